@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.llm import bpe, exact, packing, simhash, tokens
+from tesserae.llm import bpe, exact, lm, packing, quality, rules, simhash, tokens
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -10,5 +10,8 @@ QUERIES = {
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op4_bpe": bpe.op4_bpe,
     "op5_simhash": simhash.op5_simhash,
+    "op6_lm_score": lm.op6_lm_score,
+    "op7_quality": quality.op7_quality,
+    "op8_quality_rules": rules.op8_quality_rules,
 }
-ORACLE_SQL = {"op3_exact_dedup": exact.OP3_SQL}
+ORACLE_SQL = {"op3_exact_dedup": exact.OP3_SQL, "op8_quality_rules": rules.OP8_SQL}
