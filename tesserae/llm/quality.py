@@ -143,3 +143,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = crc_mod(F.col("doc_id"), 4) == 2
     model = fit(docs, table(spark, sf_dir, "labels"), "quality", ~held)
     return quality_scores(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: NeighbourVote | None, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least the threshold; without a model all stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in grouped(batches):
+            vote = shared.value
+            yield b.filter(pa.array(vote.score(np.array([terms(t) for t in texts(b)])) >= threshold)) if vote and b.num_rows else b
+
+    return docs.mapInArrow(run, docs.schema)

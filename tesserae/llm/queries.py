@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.llm import bpe, exact, lm, packing, quality, rules, simhash, tokens
+from tesserae.llm import bpe, exact, lm, packing, pii, quality, rules, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -13,5 +13,7 @@ QUERIES = {
     "op6_lm_score": lm.op6_lm_score,
     "op7_quality": quality.op7_quality,
     "op8_quality_rules": rules.op8_quality_rules,
+    "op9_toxicity": toxicity.op9_toxicity,
+    "op10_pii": pii.op10_pii,
 }
 ORACLE_SQL = {"op3_exact_dedup": exact.OP3_SQL, "op8_quality_rules": rules.OP8_SQL}
