@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from tesserae.plans import mesh, metadata, scene
+
 FLAGSHIP = "support_patches"
+_FAMILIES = (mesh, scene, metadata)
 
 
 def queries() -> dict:
-    return {}
+    return {name: q for family in _FAMILIES for name, q in family.QUERIES.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for family in _FAMILIES for name, sql in family.SQL.items()}
