@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import WS, table
+from tesserae.plans.materialize import materialize
 
 _GAP = r"[ \t\n\x0B\f\r]+"
 
@@ -76,7 +77,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # in order of hash a document's line is its first where the hash changes
     marked = _let(F.sort_array(each), lambda s: F.transform(s, lambda x, i: F.struct(x["line"].alias("line"), x["words"].alias("words"), (F.when(i == 0, True).otherwise(x["line"] != F.get(s, i - 1)["line"])).cast("int").alias("first"))))
     listed = rows.select("_id", "_key", F.explode(marked).alias("l")).select("_id", "_key", "l.*")
-    recurring = listed.groupBy("line").agg(F.sum("first").alias("n")).where(F.col("n") > line_limit).select("line")
+    # written, so that the join below is between two plain exchanges, which Spark can split by a hot line, or a broadcast if its size allows
+    recurring = materialize(listed.groupBy("line").agg(F.sum("first").alias("n")).where(F.col("n") > line_limit).select("line"), "rules-lines")
     lost = listed.select("_id", "_key", "line", "words").join(recurring, "line").groupBy("_id", "_key").agg(F.sum("words").alias("_lost"))
     stats = rows.select("doc_id", "host", "_id", "_key", text_statistics(F.col("_t")).alias("s")).select("doc_id", "host", "_id", "_key", "s.*")
     joined = stats.join(lost, ["_id", "_key"], "left")
