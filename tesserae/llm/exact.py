@@ -35,16 +35,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     extra = [digest(F.col("_t")).alias("digest")] if digest else []
     hashed = rows.select("doc_id", hash_text(F.col("_t")).alias("_h"), "_t", *extra)
     by_hash = hashed.groupBy("_h").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-
-    shared = by_hash.where("group_size > 1").select("_h", "keep_id")
-    members = materialize(hashed.select("_h", "doc_id", "_t").join(shared, "_h"), "exact-members")
-    stays = members.where("doc_id <=> keep_id").groupBy("_h").agg(F.min("_t").alias("_kept_t"))
-    differ = members.join(stays, "_h").where("_t <> _kept_t").select("_h").distinct()
+    # written, so that the joins below are between plain exchanges, which Spark can split by a hot hash;
+    # groups grow with the corpus, so none of them is broadcast
+    shared = materialize(by_hash.where("group_size > 1"), "exact-shared")
+    members = materialize(hashed.select("_h", "doc_id", "_t").join(shared.select("_h", "keep_id").hint("merge"), "_h"), "exact-members")
+    stays = materialize(members.where("doc_id <=> keep_id").groupBy("_h").agg(F.min("_t").alias("_kept_t")), "exact-stays")
+    differ = members.join(stays.hint("merge"), "_h").where("_t <> _kept_t").select("_h")
     out = ["doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), *(["digest"] if digest else [])]
-    plain = hashed.drop("_t").join(by_hash, "_h")
+    found = hashed.drop("_t").join(shared.hint("merge"), "_h", "left")
+    alone = F.col("group_size").isNull()
+    plain = found.withColumns({"keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))})
     if differ.isEmpty():
         return plain.select(*out)
-    bad = materialize(differ, "exact-differ")
+    bad = materialize(differ.distinct(), "exact-differ")
     again = hashed.join(bad, "_h")
     by_text = again.groupBy("_h", "_t").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     return plain.join(bad, "_h", "left_anti").select(*out).union(again.join(by_text, ["_h", "_t"]).select(*out))
