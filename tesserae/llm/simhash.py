@@ -103,7 +103,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = both.groupBy(F.col("a").alias("fp")).agg(F.count("*").alias("n_links"))
     comps = connected_components(pairs, "a", "b").withColumnsRenamed({"node": "fp", "component": "c"})
     rooted = nodes.join(comps, "fp", "left").join(links, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-    ids = rooted.groupBy("c").agg(F.min("first_id").alias("component_id"))
+    # written, so that the join below can be split by a hot component
+    ids = materialize(rooted.groupBy("c").agg(F.min("first_id").alias("component_id")), "simhash-ids")
     classes = rooted.join(ids, "c").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id", "n_links")
 
