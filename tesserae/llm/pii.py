@@ -78,6 +78,7 @@ _NAMED = re.compile(r"(?i)\b(?:password|passwd|pwd|passphrase|secret|token|api[_
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/=_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/=_-])")
 _PHONE_LIKE = r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
 _GROUPS = re.compile(rf"(?<![0-9A-Za-z.+-])(?:[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}|(?P<phone>{_PHONE_LIKE})|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}[A-Z0-9]{{0,3}})(?![0-9A-Za-z-])")
+_OPENED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])")
 _NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "key", "auth", "credential")
 
 #: Gazetteers: known openings of keys; words that go with personal data; words that go with harmless numbers.
@@ -109,16 +110,17 @@ def votes(text: str, start: int, end: int, named: bool) -> list[int]:
         0 if near & _HARMLESS else 2,
         1 if named else 2,
         1 if text[start - 1 : start] in ("'", '"', "`") and text[end : end + 1] == text[start - 1 : start] and digit else 2,
-        0 if not digit or re.fullmatch(r"[A-Za-z]+(?:[-_/+][A-Za-z]+)*[0-9]{0,2}", s) else 2,
+        0 if not s.startswith(_OPENINGS) and (not digit or re.fullmatch(r"[A-Za-z]+(?:[-_/+][A-Za-z]+)*[0-9]{0,2}", s)) else 2,
     ]
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, votes in base 3) of spans that may be personal data beside those taken; leftmost first, none overlapping."""
     digit, named = bool(_DIGIT(text)), "=" in text or ":" in text
-    if not digit and not named:
+    opened = "AKIA" in text or "ASIA" in text
+    if not digit and not named and not opened:
         return []
-    found = []
+    found = [("secret", *m.span(), False) for m in _OPENED.finditer(text)] if opened else []
     if named:
         low = text.lower()
         if any(n in low for n in _NAMES):
