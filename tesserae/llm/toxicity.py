@@ -141,7 +141,7 @@ def _index(windows: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndar
     return list(known), at, np.array([len(w) for w in windows], np.int64)
 
 
-def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 7, batch: int = 256, seed: int = 0) -> Network | None:
+def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 5, batch: int = 256, seed: int = 0) -> Network | None:
     """A network from documents' windows and labels; None unless both labels occur.
 
     Only some windows of a toxic document are toxic. Each epoch teaches from the toxic documents'
@@ -161,6 +161,8 @@ def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 7,
     odds = {w: np.log((in_docs[1].get(w, 0) + 0.5) / (n1 + 1)) - np.log((in_docs[0].get(w, 0) + 0.5) / (n0 + 1)) for w in in_docs[0].keys() | in_docs[1].keys()}
     frequent = sorted(w for w in odds if in_docs[0].get(w, 0) + in_docs[1].get(w, 0) >= (5 if len(labels) >= 1000 else 3))
     net = Network({w: i + 1 for i, w in enumerate(frequent)})
+    # few labelled documents are gone through more often
+    epochs = max(epochs, -(-60 * batch // (2 * int(n1) + 5 * int(n0))))
     flat = [w for d in docs for w in d]
     words, at, size = _index(flat)
     first = np.cumsum([0, *map(len, docs)])
@@ -172,8 +174,8 @@ def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 7,
         chosen, target = [], []
         for k, y in enumerate(labels):
             own = np.arange(first[k], first[k + 1])
-            top = own[np.argsort(-rank[own], kind="stable")[: 2 if y else 3]]
-            some = top if y else np.concatenate([top, r.choice(own, min(5, len(own)), replace=False)])
+            top = own[np.argsort(-rank[own], kind="stable")[: 2]]
+            some = top if y else np.concatenate([top, r.choice(own, min(3, len(own)), replace=False)])
             chosen.append(some)
             target.append(np.full(len(some), y))
         chosen, target = np.concatenate(chosen), np.concatenate(target).astype(np.float32)
@@ -250,7 +252,7 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 1000, most_windows: int = 200) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 1000, most_windows: int = 80) -> Network | None:
     """A network fitted on at most per_class labelled rows of each class, those of the lowest hashes of their ids, and at most most_windows windows, evenly spaced, of each."""
     rows = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
     part = [rows.where(F.col("_label") == v).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for v in (0, 1)]
