@@ -59,13 +59,18 @@ class PrefixBPE:
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """Fill the table for the prefixes of data that `last` (last[i]: token ending the first i bytes; last[0] unused) has not."""
-        get, compatible = self.ranks.get, self.compatible
+        get, own, pairs = self.ranks.get, self.own, self.pairs
         for i in range(len(last), len(data) + 1):
             for at in range(max(0, i - self.longest), i):
                 token = get(data[at:i])
-                if token is not None and self.stands(token) and (not at or compatible(last[at], token)):
-                    last.append(token)
-                    break
+                if token is None or not (own[token] if token in own else self.stands(token)):
+                    continue
+                if at:
+                    fits = pairs.get(last[at] << 20 | token)
+                    if not (self.compatible(last[at], token) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
             else:
                 raise ValueError("the ranks lack a byte")
         return last
@@ -117,7 +122,7 @@ def split_pieces(text: str) -> list[str]:
 class _Encoder:
     """Pre-tokens' ids as decimal text, kept in a bounded cache."""
 
-    def __init__(self, path: str, cache_entries: int = 300_000):
+    def __init__(self, path: str, cache_entries: int = 800_000):
         self.bpe, self.known, self.most = PrefixBPE(load_ranks(path)), {}, cache_entries
         self.spelled = {str(r): t for r, t in self.bpe.bytes_of.items()}
 
