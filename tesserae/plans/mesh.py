@@ -39,7 +39,7 @@ def _face_table(spark, d) -> DataFrame:
 
 @query(f"WITH {FACES} SELECT fid, round(area + 1e-9, 4) AS area, round(nz + 1e-9, 4) AS nz, round(cx + 1e-9, 4) AS cx, round(cy + 1e-9, 4) AS cy, round(cz + 1e-9, 4) AS cz FROM faces")
 def geo1_triangle_attributes(spark, d):
-    return _faces(spark, d).select("fid", *(R(c).alias(c) for c in ("area", "nz", "cx", "cy", "cz")))
+    return _faces(spark, d).select("fid", *(R(F.col(c)).alias(c) for c in ("area", "nz", "cx", "cy", "cz")))
 
 
 @query(f"WITH {FACES} SELECT fid, round((-cy + 10) * 0.01 + 1e-9, 4) AS x, round((cx + 20) * 0.01 + 1e-9, 4) AS y, round((cz + 1) * 0.01 + 1e-9, 4) AS z FROM faces")
