@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tesserae.plans import mesh, metadata, scene
+from tesserae.plans import catalogue, instances, mesh, metadata, observing, scene
 
 FLAGSHIP = "support_patches"
-_FAMILIES = (mesh, scene, metadata)
+_FAMILIES = (mesh, scene, metadata, catalogue, instances, observing)
 
 
 def queries() -> dict:
