@@ -21,6 +21,19 @@ class WordEncoder:
 
     def __init__(self, path: str, cache_entries: int = 300_000):
         self.tok, self.known, self.most = load(path), {}, cache_entries
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for entry, i in vocab.items() if entry.endswith("</w>")]] = True
+
+    def _add(self, words: list[str]) -> None:
+        """Ids of new pre-tokens: encoded as one text, words apart, and cut after each token that ends a word."""
+        ids = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(cuts) == len(words):
+            data = ids.tobytes()
+            self.known.update((w, data[a:b]) for w, a, b in zip(words, [0, *cuts], cuts, strict=False))
+        else:
+            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False), strict=True))
 
     def encode(self, whole: list[str]) -> list[bytes]:
         """As the library gives them, without special tokens; texts with unusual characters or special strings go there whole."""
@@ -31,7 +44,8 @@ class WordEncoder:
         if len(self.known) + len(missing) > self.most:
             self.known = {}
             missing = list(distinct)
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(missing, self.tok.encode_batch(missing, add_special_tokens=False), strict=True))
+        if missing:
+            self._add(missing)
         look = self.known.__getitem__
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if p is None else b"".join(map(look, p)) for t, p in zip(whole, pieces, strict=True)]
 
