@@ -6,6 +6,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import ahocorasick
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,50 +30,53 @@ class PrefixBPE:
     """
 
     def __init__(self, ranks: dict[bytes, int], pair_entries: int = 500_000):
+        if any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("the ranks lack a byte")
         self.ranks, self.bytes_of = ranks, {r: t for t, r in ranks.items()}
         self.longest, self.pairs, self.most = max(map(len, ranks)), {}, pair_entries
-        self.own: dict[int, bool] = {}  # whether merging a token's bytes gives that token
+        self.tokens = ahocorasick.Automaton()  # finds every token that ends at a byte, the longest first
+        for t, r in ranks.items():
+            self.tokens.add_word(t.decode("latin-1"), (r, len(t)))
+        self.tokens.make_automaton()
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first: the definition, used on the bytes of single tokens and pairs."""
-        parts, ranks = [data[i : i + 1] for i in range(len(data))], self.ranks
-        while len(parts) > 1:
-            low = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 40))
-            if parts[low] + parts[low + 1] not in ranks:
-                break
-            parts[low : low + 2] = [parts[low] + parts[low + 1]]
-        return [ranks[p] for p in parts]
-
-    def stands(self, token: int) -> bool:
-        if token not in self.own:
-            self.own[token] = self.merge(self.bytes_of[token]) == [token]
-        return self.own[token]
-
-    def compatible(self, left: int, right: int) -> bool:
+        parts, get, never = [data[i : i + 1] for i in range(len(data))], self.ranks.get, 1 << 40
+        joint = [get(data[i : i + 2], never) for i in range(len(data) - 1)]
+        while joint and (low := min(joint)) < never:
+            i = joint.index(low)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del joint[i]
+            if i:
+                joint[i - 1] = get(parts[i - 1] + parts[i], never)
+            if i < len(joint):
+                joint[i] = get(parts[i] + parts[i + 1], never)
+        return [self.ranks[p] for p in parts]
+
+    def fits(self, left: int, right: int) -> bool:
+        """Whether right can follow left; with left = -1, whether it can be the first token."""
         key = left << 20 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= self.most:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            both = [right] if left < 0 else [left, right]
+            known = self.pairs[key] = self.merge(b"".join(map(self.bytes_of.__getitem__, both))) == both
         return known
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
-        """Fill the table for the prefixes of data that `last` (last[i]: token ending the first i bytes; last[0] unused) has not."""
-        get, own, pairs = self.ranks.get, self.own, self.pairs
-        for i in range(len(last), len(data) + 1):
-            for at in range(max(0, i - self.longest), i):
-                token = get(data[at:i])
-                if token is None or not (own[token] if token in own else self.stands(token)):
-                    continue
-                if at:
-                    fits = pairs.get(last[at] << 20 | token)
-                    if not (self.compatible(last[at], token) if fits is None else fits):
-                        continue
+        """Fill the table for the prefixes of data that `last` (last[i]: token ending the first i bytes; last[0]: -1) has not."""
+        filled, get = len(last), self.pairs.get
+        base = max(0, filled - self.longest)
+        for end, (token, size) in self.tokens.iter(data[base:].decode("latin-1")):
+            end += base + 1
+            if end < filled:
+                continue
+            before = last[end - size]
+            known = get(before << 20 | token)
+            if self.fits(before, token) if known is None else known:
                 last.append(token)
-                break
-            else:
-                raise ValueError("the ranks lack a byte")
+                filled += 1
         return last
 
     def table(self, data: bytes) -> list[int]:
