@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -53,20 +55,25 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the base kinds, by kind and start."""
-    out = [("email", *s) for s in emails(text)] if "@" in text else []
+def matches(text: str) -> Iterator[tuple[str, int, int, bool]]:
+    """(kind, start, end, passed) of the base patterns' matches, by kind and start; passed: whether the kind's own check holds."""
+    if "@" in text:
+        for a, z in emails(text):
+            yield "email", a, z, True
     if _DIGIT(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-                out.append(("ip", *m.span()))
+            yield "ip", *m.span(), all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))
         for m in _CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m[0])
-            if 13 <= len(digits) <= 19 and luhn(digits):
-                out.append(("card", *m.span()))
+            yield "card", *m.span(), 13 <= len(digits) <= 19 and luhn(digits)
         if "+" in text:
-            out += [("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15]
-    return out
+            for m in _PHONE.finditer(text):
+                yield "phone", *m.span(), 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the base kinds, by kind and start."""
+    return [m[:3] for m in matches(text) if m[3]]
 
 
 def spell(spans: list[tuple[str, int, int]]) -> str:
@@ -83,20 +90,20 @@ _NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "key", "
 
 #: Gazetteers: known openings of keys; words that go with personal data; words that go with harmless numbers.
 _OPENINGS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "sk-", "sk_live_", "pk_live_", "xoxb-", "xoxp-", "eyJ", "glpat-")
-_PERSONAL = frozenset("password passwd pwd passphrase secret token key api access auth credential credentials login ssn social security iban account tel phone mobile fax call cell passport tax".split())
+_PERSONAL = frozenset("password passwd pwd passphrase secret token key api access auth credential credentials login ssn social security iban account tel phone mobile fax call cell passport tax email mail contact card visa host server client address".split())
 _HARMLESS = frozenset("version isbn issn doi commit sha sha1 sha256 md5 digest checksum build revision license page pages chapter figure table vol volume no serial model".split())
 _WORD = re.compile(r"[a-z0-9]+")
 
 #: What the votes are called, in the order of their places in a pattern.
-LABELERS = ("regex_opening", "regex_hex", "regex_mixed", "regex_groups", "regex_luhn", "gazetteer_personal", "gazetteer_harmless", "context_named", "context_quoted", "context_word_like")
+LABELERS = ("regex_opening", "regex_hex", "regex_mixed", "regex_groups", "regex_luhn", "gazetteer_personal", "gazetteer_harmless", "context_named", "context_quoted", "context_word_like", "regex_base")
 
 
 def entropy(s: str) -> float:
     return -sum(n / len(s) * math.log2(n / len(s)) for n in (s.count(c) for c in set(s)))
 
 
-def votes(text: str, start: int, end: int, named: bool) -> list[int]:
-    """Each labeler's vote on a span: 1 personal, 0 harmless, 2 none."""
+def votes(text: str, start: int, end: int, named: bool, passed: int = 2) -> list[int]:
+    """Each labeler's vote on a span: 1 personal, 0 harmless, 2 none. passed: 1 for a base span, 0 for a base pattern's match that failed its check."""
     s, before = text[start:end], text[max(0, start - 40) : start].lower()
     near = set(_WORD.findall(before)[-4:])
     small, big, digit = any(c.islower() for c in s), any(c.isupper() for c in s), any(c.isdigit() for c in s)
@@ -111,15 +118,46 @@ def votes(text: str, start: int, end: int, named: bool) -> list[int]:
         1 if named else 2,
         1 if text[start - 1 : start] in ("'", '"', "`") and text[end : end + 1] == text[start - 1 : start] and digit else 2,
         0 if not s.startswith(_OPENINGS) and (not digit or re.fullmatch(r"[A-Za-z]+(?:[-_/+][A-Za-z]+)*[0-9]{0,2}", s)) else 2,
+        passed,
     ]
 
 
-def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, int]]:
-    """(kind, start, end, votes in base 3) of spans that may be personal data beside those taken; leftmost first, none overlapping."""
+def _near(c: str) -> int:
+    """Kind of the character beside a span: none, space, quote, a name's sign, letter or digit, other."""
+    return 0 if not c else 1 if c.isspace() else 2 if c in "\"'`" else 3 if c in "=:" else 4 if c.isalnum() else 5
+
+
+#: Sizes of the classifier's features, each a choice among few: length, characters, first two characters, entropy,
+#: check digit, the characters before and after, the words before.
+FIELDS = (8, 16, 16, 4, 3, 6, 6, 3)
+
+
+def features(text: str, start: int, end: int) -> int:
+    """A span's form and surroundings, one choice of each of FIELDS, as a number in that mixed base."""
+    s = text[start:end]
+    kind = lambda c: 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
+    kinds = [kind(c) for c in s]
+    near = set(_WORD.findall(text[max(0, start - 40) : start].lower())[-4:])
+    digits = _NOT_DIGIT.sub("", s)
+    out = 0
+    for size, value in zip(FIELDS, (min(7, len(s).bit_length()), sum(1 << k for k in set(kinds)), 4 * kinds[0] + kinds[min(1, len(s) - 1)], min(3, int(entropy(s))), (1 + luhn(digits)) if 13 <= len(digits) <= 19 and len(digits) + 8 >= len(s) else 0, _near(text[start - 1 : start]), _near(text[end : end + 1]), 1 if near & _PERSONAL else 2 if near & _HARMLESS else 0), strict=True):
+        out = out * size + value
+    return out
+
+
+def candidates(text: str, found_base: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, int, int, int, bool]]:
+    """(kind, start, end, votes in base 3, features, open) of a text's spans that the labelers vote on.
+
+    Base spans are among them, not open, as they stay whatever the votes. Open ones are spans of added
+    kinds, leftmost first, and matches of base patterns that failed their check; they do not overlap
+    each other, and a base span only if they hold all of it.
+    """
+    code = lambda a, z, named, passed: sum(v * 3**i for i, v in enumerate(votes(text, a, z, named, passed)))
+    out = [(k, a, z, code(a, z, False, 1), features(text, a, z), False) for k, a, z, ok in found_base if ok]
     digit, named = bool(_DIGIT(text)), "=" in text or ":" in text
     opened = "AKIA" in text or "ASIA" in text
     if not digit and not named and not opened:
-        return []
+        return out
     found = [("secret", *m.span(), False) for m in _OPENED.finditer(text)] if opened else []
     if named:
         low = text.lower()
@@ -128,12 +166,19 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
     if digit:
         found += [("phone" if m["phone"] else "id_number", *m.span(), False) for m in _GROUPS.finditer(text)]
         found += [("card" if m[0].isdigit() else "secret", *m.span(), False) for m in _TOKEN.finditer(text)]
-    out, done = [], 0
-    blocked = sorted((a, z) for _, a, z in taken)
-    for kind, a, z, is_named in sorted(found, key=lambda c: (c[1], not c[3], -c[2])):
-        if a >= done and not any(a < q and p < z for p, q in blocked):
-            out.append((kind, a, z, sum(v * 3**i for i, v in enumerate(votes(text, a, z, is_named)))))
-            done = z
+    fixed = sorted(c[1:3] for c in out)
+    reach = [0, *itertools.accumulate((z for _, z in fixed), max)]
+    order = [(k, a, z, n, 2) for k, a, z, n in sorted(found, key=lambda c: (c[1], not c[3], -c[2]))] + [(k, a, z, False, 0) for k, a, z, ok in found_base if not ok and (k != "card" or sum(map(str.isdigit, text[a:z])) >= 13)]
+    taken: list[tuple[int, int]] = []
+    for kind, a, z, is_named, passed in order:
+        i = bisect.bisect_left(taken, (z, 0))
+        free, j = i == 0 or taken[i - 1][1] <= a, bisect.bisect_left(fixed, (z, 0))
+        while free and j and reach[j] > a:
+            j -= 1
+            free = fixed[j][1] <= a or fixed[j][0] >= a and fixed[j][1] <= z
+        if free:
+            taken.insert(i, (a, z))
+            out.append((kind, a, z, code(a, z, is_named, passed), features(text, a, z), True))
     return out
 
 
@@ -142,78 +187,103 @@ def unpack(patterns: np.ndarray) -> np.ndarray:
     return patterns[:, None] // 3 ** np.arange(len(LABELERS)) % 3
 
 
-class SpanModel:
-    """Labelers' reliabilities and a logistic classifier of spans, from how often each pattern of votes occurs."""
-
-    def __init__(self, patterns: np.ndarray, n: np.ndarray, rounds: int = 50):
-        """A labeler is right in a share of its votes, whichever way; abstaining says nothing. Pseudo-counts of nine right votes in ten hold rare labelers near their start."""
-        v = unpack(patterns)
-        yes, no = (v == 1).astype(float), (v == 0).astype(float)
-        self.right, prior, q = np.full(len(LABELERS), 0.9), 0.3, np.full(len(patterns), 0.3)
-        for _ in range(rounds if len(patterns) else 0):
-            weight = np.log(self.right / (1 - self.right))
-            q = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + (yes - no) @ weight, -50, 50)))
-            self.right = np.clip(((n * q) @ yes + (n * (1 - q)) @ no + 9) / (n @ (yes + no) + 10), 0.55, 0.99)
-            prior = float(np.clip((q @ n + 3) / (n.sum() + 10), 0.05, 0.45))
-        self.coef = self._logistic(self._features(v), q, n)
+def reliabilities(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """How often each labeler is right, and each pattern's probability, by expectation-maximisation.
 
-    @staticmethod
-    def _features(v: np.ndarray) -> np.ndarray:
-        return np.concatenate([v == 1, v == 0, np.ones((len(v), 1), bool)], 1).astype(float)
+    A labeler is right in a share of its votes, whichever way; abstaining says nothing. Pseudo-counts
+    of nine right votes in ten hold rare labelers near their start.
+    """
+    v = unpack(patterns)
+    yes, no = (v == 1).astype(float), (v == 0).astype(float)
+    right, prior, q = np.full(len(LABELERS), 0.9), 0.3, np.full(len(patterns), 0.3)
+    for _ in range(rounds if len(patterns) else 0):
+        weight = np.log(right / (1 - right))
+        q = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + (yes - no) @ weight, -50, 50)))
+        right = np.clip(((n * q) @ yes + (n * (1 - q)) @ no + 9) / (n @ (yes + no) + 10), 0.55, 0.99)
+        prior = float(np.clip((q @ n + 3) / (n.sum() + 10), 0.05, 0.45))
+    return right, q
 
-    @staticmethod
-    def _logistic(x: np.ndarray, q: np.ndarray, n: np.ndarray, rounds: int = 50) -> np.ndarray:
-        """Weighted logistic regression on the votes' posterior, by damped Newton steps."""
+
+class SpanModel:
+    """Logistic classifier of spans by their form and surroundings, taught by the votes' posterior."""
+
+    def __init__(self, codes: np.ndarray, q: np.ndarray, n: np.ndarray, right: np.ndarray, rounds: int = 60):
+        """codes: distinct feature numbers, each with its mean posterior q and how often it occurs. Weighted logistic regression by damped Newton steps."""
+        self.right = right
+        x, weight = self._one_hot(codes), n / max(1.0, n.sum())
         c = np.zeros(x.shape[1])
-        weight = n / max(1.0, n.sum())
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
             hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(len(c))
             c -= np.clip(np.linalg.solve(hess, x.T @ (weight * (p - q)) + 1e-4 * c), -3, 3)
-        return c
+        self.coef = c
+
+    @staticmethod
+    def _one_hot(codes: np.ndarray) -> np.ndarray:
+        out, at = [np.ones((len(codes), 1))], codes.astype(np.int64)
+        for size in reversed(FIELDS):
+            out.append(np.eye(size)[at % size])
+            at = at // size
+        return np.concatenate(out, 1)
 
-    def probability(self, patterns: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self._features(unpack(patterns)) @ self.coef, -30, 30)))
+    def probability(self, codes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self._one_hot(codes) @ self.coef, -30, 30)))
 
 
-_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base_spans string, candidates array<struct<kind:string,start:long,end:long,votes:long>>"
+_SPAN = ("kind", "start", "end", "votes", "features", "open")
+_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base_spans string, candidates array<struct<kind:string,start:long,end:long,votes:long,features:long,open:boolean>>"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: its base spans as text, and candidates with their labelers' votes."""
+    """One row for each row of docs: its base spans as text, and the candidates with their labelers' votes and features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("votes", pa.int64())]))
+        kind = pa.list_(pa.struct(list(zip(_SPAN, (pa.string(), *[pa.int64()] * 4, pa.bool_()), strict=True))))
         for b in grouped(batches):
             whole = texts(b)
-            base = [base_spans(t) for t in whole]
+            met = [list(matches(t)) for t in whole]
+            base = [[m[:3] for m in ms if m[3]] for ms in met]
             spelled = [spell(s) for s in base]
-            found = [[dict(zip(("kind", "start", "end", "votes"), c, strict=True)) for c in candidates(t, s)] for t, s in zip(whole, base, strict=True)]
+            found = [[dict(zip(_SPAN, c, strict=True)) for c in candidates(t, ms)] for t, ms in zip(whole, met, strict=True)]
             counts = [pa.array([sum(x[0] == k for x in s) for s in base], pa.int64()) for k in KINDS[:4]]
-            yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array([hashlib.sha256(s.encode()).hexdigest() for s in spelled]), pa.array(spelled), pa.array(found, kind)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base_spans", "candidates"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array([hashlib.sha256(s.encode()).hexdigest() for s in spelled], pa.string()), pa.array(spelled, pa.string()), pa.array(found, kind)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base_spans", "candidates"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {_FOUND}")
 
 
 def learn(scanned: DataFrame) -> SpanModel:
-    """Reliabilities and classifier from the vote patterns of all candidates (3 to the number of labelers at most, so bounded)."""
-    seen = scanned.select(F.explode("candidates").alias("c")).groupBy("c.votes").agg(F.count("*").alias("n")).toPandas().sort_values("votes")
-    return SpanModel(seen["votes"].to_numpy(np.int64), seen["n"].to_numpy(float))
+    """Reliabilities from the vote patterns of all candidates, then the classifier from each feature number's mean posterior.
+
+    Both go to the driver as counts by pattern: at most 3 to the number of labelers, and the product of
+    FIELDS; few of them occur, whatever the corpus.
+    """
+    seen = scanned.select(F.explode("candidates").alias("c")).groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).toPandas().sort_values(["votes", "features"])
+    votes_, of = np.unique(seen["votes"].to_numpy(np.int64), return_inverse=True)
+    n = seen["n"].to_numpy(float)
+    right, q = reliabilities(votes_, np.bincount(of, weights=n, minlength=len(votes_)))
+    codes, at = np.unique(seen["features"].to_numpy(np.int64), return_inverse=True)
+    total = np.bincount(at, weights=n, minlength=len(codes))
+    return SpanModel(codes, np.bincount(at, weights=n * q[of], minlength=len(codes)) / total, total, right)
 
 
 def _accepted(found: list[dict], model: SpanModel) -> list[tuple[str, int, int]]:
+    found = [c for c in found if c["open"]]
     if not found:
         return []
-    p = model.probability(np.array([c["votes"] for c in found], np.int64))
+    p = model.probability(np.array([c["features"] for c in found], np.int64))
     return [(c["kind"], c["start"], c["end"]) for c, x in zip(found, p, strict=True) if x >= 0.5]
 
 
+def _unspell(spans: str) -> list[tuple[str, int, int]]:
+    return [(k, int(a), int(z)) for k, a, z in (x.split(":") for x in spans.split(",") if x)]
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, counts and digest of the base spans, and all spans as text.
+    """One row for each row of docs: doc_id, counts and digest of the base spans, all spans as text, and the number of added ones.
 
-    Texts are read once; what goes on is a few numbers for each candidate. Spans added never overlap a
-    base span or each other. Null and empty texts have no spans; repeated rows are alike; null ids stay
-    null; other columns are not read. No rows give no rows.
+    Texts are read once; what goes on is a few numbers for each candidate. Spans added do not
+    overlap each other, and a base span only if they hold all of it; all are listed by kind, then start. Null and empty texts have no spans;
+    repeated rows are alike; null ids stay null; other columns are not read. No rows give no rows.
     """
     scanned = materialize(scan(docs, id_col, text_col), "pii")
     shared = docs.sparkSession.sparkContext.broadcast(learn(scanned))
@@ -222,13 +292,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for b in slices(batches, 4096):
             names = b.schema.names
             base, found = b.column(names.index("base_spans")).to_pylist(), b.column(names.index("candidates")).to_pylist()
-            out = []
+            out, n = [], []
             for s, c in zip(base, found, strict=True):
-                added = spell(_accepted(c or [], shared.value))
-                out.append(",".join(filter(None, (s, added))))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(6)), pa.array(out, pa.string())], names=[*names[:6], "spans"])
+                added = _accepted(c or [], shared.value)
+                out.append(spell(_unspell(s) + added) if added else s)
+                n.append(len(added))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(6)), pa.array(out, pa.string()), pa.array(n, pa.int64())], names=[*names[:6], "spans", "n_added"])
 
-    return scanned.mapInArrow(decide, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return scanned.mapInArrow(decide, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
 def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -251,9 +322,8 @@ def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFra
             new = []
             for t in b.column(i).to_pylist():
                 if t:
-                    base = base_spans(t)
-                    found = [dict(zip(("kind", "start", "end", "votes"), c, strict=True)) for c in candidates(t, base)]
-                    spans = base + _accepted(found, shared.value)
+                    met = list(matches(t))
+                    spans = [m[:3] for m in met if m[3]] + _accepted([dict(zip(_SPAN, c, strict=True)) for c in candidates(t, met)], shared.value)
                     t = redact_text(t, spans) if spans else t
                 new.append(t)
             yield b.set_column(i, b.schema.field(i), pa.array(new, b.schema.field(i).type))
