@@ -6,16 +6,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import WS, crc_mod, grouped, table, worker_global
+from tesserae.llm.common import crc_mod, grouped, table, worker_global
 from tesserae.plans.materialize import materialize
 
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-_BASE = 0x9E3779B97F4A7C15 | 5
-_GRAIN = 8  # steps of a factor of two, for the statistics that the mixture weights are learned from
+_GRAIN = 4  # steps of a factor of two, for the cells that the statistics of the mixture weights are kept by
+_GAP = b"\xff"  # between a block's texts; no UTF-8 text has this byte
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -26,46 +27,25 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """64-bit hashes of the words of many texts at once, by prefix sums of a polynomial in the byte's place."""
-
-    def __init__(self):
-        r = np.random.default_rng(7)
-        self.value = r.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.value[65:91] = self.value[97:123]
-        self.space = np.zeros(256, bool)
-        self.space[[ord(c) for c in WS]] = True
-        self.room(1 << 20)
-
-    def room(self, n: int) -> None:
-        self.power = self._powers(_BASE, n)
-        self.inverse = self._powers(pow(_BASE, -1, 1 << 64), n)
-
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        p = np.full(n, base & (1 << 64) - 1, np.uint64)
-        p[0] = 1
-        return np.multiply.accumulate(p)
-
-    def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all words in order, and the number of words of each text."""
-        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-        if len(data) > len(self.power):
-            self.room(len(data) * 5 // 4)
-        gap = self.space[data]
-        value = self.value[data]
-        value[gap] = 0
-        sums = np.cumsum(value * self.power[: len(data)], dtype=np.uint64)
-        edge = np.diff(np.concatenate(([1], gap.view(np.int8), [1])))
-        start, end = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
-        before = np.where(start > 0, sums[start - 1], np.uint64(0))
-        h = _mix((sums[end - 1] - before) * self.inverse[start] + (end - start).astype(np.uint64))
-        stops = np.cumsum([len(t) + 1 for t in texts])
-        return h, np.diff(np.searchsorted(start, stops), prepend=0)
+    """XXH64 of words, with those met last kept by."""
+
+    def __init__(self, most: int = 200_000):
+        self.known, self.most = {}, most
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        missing = set(words).difference(self.known)
+        if len(self.known) + len(missing) > self.most:
+            self.known, missing = {}, set(words)
+        of = xxhash.xxh64_intdigest
+        self.known.update((w, of(w, 42)) for w in missing)
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of texts, each as start, words, end; and the number of hashes of each text."""
-    h, n = worker_global("hasher", Hasher).words(texts)
+    """Token hashes of A-Z lower-cased texts, each as start, words, end; and the number of hashes of each text."""
+    split = [t.split() for t in texts]
+    n = np.fromiter(map(len, split), np.int64, len(split))
+    h = worker_global("hasher", Hasher)([w for own in split for w in own])
     at = np.cumsum(n)
     ends = np.repeat(at, 2)
     marks = np.tile(np.array([_END, _START]), len(n))
@@ -82,120 +62,146 @@ def pairs(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return p[inside] >> np.uint64(8)
 
 
-def _planes(a: np.ndarray) -> bytes:
-    """Byte planes, so that the shuffle's compression finds the empty ones."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+def planes(a: np.ndarray) -> bytes:
+    """Unsigned 64-bit values as their byte planes, those above the largest value left out; the first byte is the number of planes."""
+    k = (int(a.max(initial=0)).bit_length() + 7) // 8
+    return bytes([k]) + np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T).tobytes()
 
 
-def _unplanes(b: bytes, kind: type) -> np.ndarray:
-    k = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(k, -1).T).reshape(-1).view(kind)
+def unplanes(b: bytes, n: int | None = None) -> np.ndarray:
+    """The values of planes(); n: how many, needed where all may be 0."""
+    k, data = b[0], np.frombuffer(b, np.uint8, offset=1)
+    n = len(data) // k if n is None else n
+    out = np.zeros((n, 8), np.uint8)
+    if k:
+        out[:, :k] = data.reshape(k, n).T
+    return out.reshape(-1).view("<u8")
 
 
 def _bounds(bits: int, r: int) -> np.ndarray:
     return np.array([(i << bits) // r for i in range(1, r)], np.uint64)
 
 
-def _requests(block: int, h: np.ndarray, train: np.ndarray, bits: int, kind: int, r: int) -> list[tuple]:
+def _requests(block: int, h: np.ndarray, train: np.ndarray, bits: int, kind: int, r: int) -> Iterator[tuple]:
     """A block's distinct hashes, dealt by range over r groups, with how often each occurs in training texts."""
     keys, where = np.unique(h, return_inverse=True)
-    counts = np.bincount(where, weights=train, minlength=len(keys)).astype(np.uint32)
+    counts = np.bincount(where, weights=train, minlength=len(keys)).astype(np.uint64)
     cuts = [0, *np.searchsorted(keys, _bounds(bits, r)).tolist(), len(keys)]
-    out = []
     for g, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)):
         if z > a:
-            out.append((kind * r + g, block, _planes(np.diff(keys[a:z], prepend=np.uint64(0))), _planes(counts[a:z])))
-    return out
-
+            yield kind * r + g, block, z - a, planes(np.diff(keys[a:z], prepend=np.uint64(0))), planes(counts[a:z])
 
-REQUEST = pa.schema([("group", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-def _batches(rows: list[tuple], schema: pa.Schema, size: int = 32) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(rows), size):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + size], strict=True), schema.types, strict=True)], schema=schema)
 
+REQUEST = pa.schema([("group", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
-def _encoded(col: pa.Array) -> list[bytes]:
-    return [(t or "").encode() for t in col.to_pylist()]
 
+def _blocks(block_bytes: int) -> Callable:
+    """Neighbouring rows' texts, lower-cased and compressed together: blocks of block_bytes, or of one longer text."""
 
-def _ask(r: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, []
+        from pyspark import TaskContext
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                h, n, train = (np.concatenate(x) for x in zip(*held, strict=True))
-                yield from _batches(_requests(block, h, np.repeat(train, n), 64, 0, r), REQUEST)
-                yield from _batches(_requests(block, pairs(h, n), np.repeat(train, n - 1), 56, 1, r), REQUEST)
-                held.clear()
+        number = TaskContext.get().partitionId() << 33
+        squeeze, ids, held, own, size = zstandard.ZstdCompressor(level=3).compress, [], [], [], 0
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([held], pa.list_(pa.bool_())), pa.array([squeeze(_GAP.join(own))], pa.binary())], names=["block", "doc_ids", "held_out", "texts"])
 
         for b in grouped(batches):
-            ids = np.asarray(b.column(2))
-            cuts = [0, *(np.nonzero(np.diff(ids))[0] + 1).tolist(), len(ids)]
-            for a, z in zip(cuts, cuts[1:], strict=False):
-                if block != ids[a]:
-                    yield from flush()
-                    block = int(ids[a])
-                h, n = tokens(_encoded(b.column(0).slice(a, z - a)))
-                held.append((h, n, 1 - np.asarray(b.column(1).slice(a, z - a)).astype(np.int64)))
-        yield from flush()
+            kind = b.schema.field(0).type
+            for i, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                t = (t or "").encode().lower()
+                if own and size + len(t) > block_bytes:
+                    yield made()
+                    ids, held, own, size, number = [], [], [], 0, number + 1
+                ids.append(i)
+                held.append(bool(h))
+                own.append(t)
+                size += len(t) + 1
+        if own:
+            yield made()
+
+    return run
+
+
+def _texts(blob: bytes) -> list[bytes]:
+    return zstandard.decompress(blob).split(_GAP)
+
+
+def _ask(r: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                h, n = tokens(_texts(b.column(2)[i].as_py()))
+                block, train = b.column(0)[i].as_py(), 1 - np.array(b.column(1)[i].as_py(), np.int64)
+                yield _batch(list(_requests(block, h, np.repeat(train, n), 64, 0, r)), REQUEST)
+                yield _batch(list(_requests(block, pairs(h, n), np.repeat(train, n - 1), 56, 1, r)), REQUEST)
 
     return run
 
 
 def _answer(t: pa.Table) -> pa.Table:
-    """Total training counts of a range of hashes, sent back to each block in its own order."""
-    keys = [np.cumsum(_unplanes(x, np.uint64), dtype=np.uint64) for x in t["keys"].to_pylist()]
-    _, where = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.concatenate([_unplanes(x, np.uint32) for x in t["counts"].to_pylist()])
-    total = np.bincount(where, weights=counts).astype(np.uint32)[where]
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return pa.table({"group": t["group"], "block": t["block"], "totals": pa.array([_planes(x) for x in np.split(total, cuts)], pa.binary())})
+    """Total training counts of a range of hashes, sent back to each block in its own order.
+
+    firsts is the number of hashes that a block is the first to have in a training text, start marks
+    aside: their sum is the number of distinct ones.
+    """
+    sizes = np.asarray(t["n"])
+    keys = np.concatenate([np.cumsum(unplanes(x, n), dtype=np.uint64) for x, n in zip(t["keys"].to_pylist(), sizes, strict=True)])
+    counts = np.concatenate([unplanes(x, n) for x, n in zip(t["counts"].to_pylist(), sizes, strict=True)])
+    _, where = np.unique(keys, return_inverse=True)
+    total = np.bincount(where, weights=counts).astype(np.uint64)[where]
+    mine = np.flatnonzero((counts > 0) & (keys != _START))
+    owner = np.repeat(np.arange(len(sizes)), sizes)[mine[np.unique(where[mine], return_index=True)[1]]]
+    cuts = np.cumsum(sizes)[:-1]
+    return pa.table({"group": t["group"], "block": t["block"], "n": t["n"], "totals": pa.array([planes(x) for x in np.split(total, cuts)], pa.binary()), "firsts": pa.array(np.bincount(owner, minlength=len(sizes)), pa.int64())})
 
 
-STREAMS = "doc_id {id}, held_out boolean, n_tokens long, ones binary, twos binary"
+STREAMS = "doc_id {id}, held_out boolean, n_tokens long, firsts long, ones binary, twos binary"
 
 
-def _join(docs: pa.Table, answers: pa.Table, r: int) -> pa.Table:
+def _join(blocks: pa.Table, answers: pa.Table, r: int) -> pa.Table:
     """Each text's tokens with their training counts: of the token (from the start mark on) and of it with the one before."""
-    order = np.argsort(np.asarray(answers["group"]), kind="stable")
-    group, totals = np.asarray(answers["group"])[order], answers["totals"].take(pa.array(order)).to_pylist()
-    one = np.concatenate([np.zeros(0, np.uint32), *(_unplanes(x, np.uint32) for g, x in zip(group, totals, strict=True) if g < r)])
-    two = np.concatenate([np.zeros(0, np.uint32), *(_unplanes(x, np.uint32) for g, x in zip(group, totals, strict=True) if g >= r)])
-    hs, ns = [], []
-    for b in grouped(docs.select(["text"]).to_batches()):
-        h, n = tokens(_encoded(b.column(0)))
-        hs.append(h)
-        ns.append(n)
-    h, n = np.concatenate(hs), np.concatenate(ns)
-    p = pairs(h, n)
-    one = one[np.unique(h, return_inverse=True)[1]]
-    two = two[np.unique(p, return_inverse=True)[1]]
-    at, ones, twos = np.concatenate(([0], np.cumsum(n))), [], []
-    for i in range(len(n)):
-        ones.append(_planes(one[at[i] : at[i + 1]]))
-        twos.append(_planes(two[at[i] - i : at[i + 1] - i - 1]))
-    return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(n - 1, pa.int64()), "ones": pa.array(ones, pa.binary()), "twos": pa.array(twos, pa.binary())})
+    group = np.asarray(answers["group"])
+    order = np.argsort(group, kind="stable")
+    total = lambda kept: np.concatenate([np.zeros(0, np.uint64), *(unplanes(answers["totals"][i].as_py(), answers["n"][i].as_py()) for i in order[kept].tolist())])
+    h, n = tokens(_texts(blocks["texts"][0].as_py()))
+    one = total(group[order] < r)[np.unique(h, return_inverse=True)[1]]
+    two = total(group[order] >= r)[np.unique(pairs(h, n), return_inverse=True)[1]]
+    at = np.concatenate(([0], np.cumsum(n))).tolist()
+    ones = [planes(one[a:z]) for a, z in zip(at, at[1:], strict=False)]
+    twos = [planes(two[a - i : z - i - 1]) for i, (a, z) in enumerate(zip(at, at[1:], strict=False))]
+    firsts = [int(np.asarray(answers["firsts"])[group < r].sum())] + [0] * (len(n) - 1)
+    row = blocks.slice(0, 1)
+    return pa.table({"doc_id": row["doc_ids"].combine_chunks().flatten(), "held_out": row["held_out"].combine_chunks().flatten(), "n_tokens": pa.array(n - 1, pa.int64()), "firsts": pa.array(firsts, pa.int64()), "ones": pa.array(ones, pa.binary()), "twos": pa.array(twos, pa.binary())})
+
+
+_CELL = "bucket int, two int, one int, n double, p2 double, c1 double"
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training tokens by context bucket and by both estimates without the token itself; sums for N and V are under bucket -1."""
+    """Training tokens by cells of context bucket and both estimates without the token itself, with each cell's sums of them; N and V are under bucket -1."""
     for b in batches:
-        tally: dict = {}
-        n = v = 0.0
-        for held, ones, twos in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        codes, p2s, c1s, n, v = [], [], [], 0, sum(b.column(2).to_pylist())
+        for held, size, ones, twos in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
             if held:
                 continue
-            one, two = _unplanes(ones, np.uint32).astype(np.float64), _unplanes(twos, np.uint32).astype(np.float64)
-            n += len(two)
-            v += float((1 / one[1:]).sum())
-            code = (bucket(one[:-1] - 1) << 32) + (_step((two - 1) / np.maximum(one[:-1] - 1, 1)) << 16) + _step(one[1:] - 1)
-            for k, c in zip(*np.unique(code, return_counts=True), strict=True):
-                tally[int(k)] = tally.get(int(k), 0) + float(c)
-        k = list(tally)
-        yield pa.RecordBatch.from_arrays([pa.array([*(x >> 32 for x in k), -1, -2], pa.int32()), pa.array([*(x >> 16 & 65535 for x in k), 0, 0], pa.int32()), pa.array([*(x & 65535 for x in k), 0, 0], pa.int32()), pa.array([*tally.values(), n, v], pa.float64())], names=["bucket", "two", "one", "n"])
+            one, two = unplanes(ones, size + 1).astype(np.float64), unplanes(twos, size).astype(np.float64)
+            n += size
+            p2, c1 = (two - 1) / np.maximum(one[:-1] - 1, 1), one[1:] - 1
+            codes.append((bucket(one[:-1] - 1) << 32) + (_step(p2) << 16) + _step(c1))
+            p2s.append(p2)
+            c1s.append(c1)
+        rows = [(-1, 0, 0, float(n), float(v), 0.0)]
+        if codes:
+            k, of = np.unique(np.concatenate(codes), return_inverse=True)
+            sums = (np.bincount(of, weights=w) for w in (None, np.concatenate(p2s), np.concatenate(c1s)))
+            rows += zip((k >> 32).tolist(), (k >> 16 & 65535).tolist(), (k & 65535).tolist(), *(x.astype(float).tolist() for x in sums), strict=True)
+        yield _batch(rows, pa.schema([(x.split()[0], pa.int32() if x.endswith("int") else pa.float64()) for x in _CELL.split(", ")]))
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -208,10 +214,6 @@ def _step(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, np.rint(_GRAIN * np.log2(np.maximum(x, 1e-30))).astype(np.int64) + 8192, 0)
 
 
-def _value(step: np.ndarray) -> np.ndarray:
-    return np.where(step > 0, 2.0 ** ((step - 8192) / _GRAIN), 0)
-
-
 def learn_weights(buckets: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float, n: np.ndarray, rounds: int = 60) -> np.ndarray:
     """weights[bucket] = (bigram, unigram, uniform), by expectation-maximisation on counts of held-out events.
 
@@ -231,51 +233,48 @@ def learn_weights(buckets: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float
     return w
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_rows: int = 8192) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 3 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
     The model is a bigram estimate, a unigram estimate and a uniform one over the V known tokens and
     one unknown, mixed by weights that depend on how often the token before occurs (by powers of two).
     Counts are over all rows that are not held out. Each training token's own occurrence is deleted
-    from its counts to make it a held-out event; expectation-maximisation on all these events gives
-    the weights. log10 probabilities of a text's tokens, its end among them, are summed.
+    from its counts to make it a held-out event; expectation-maximisation on all these events, in
+    cells of like estimates that carry their means, gives the weights. log10 probabilities of a text's
+    tokens, its end among them, are summed.
 
-    Blocks of neighbouring rows ask for the counts of their distinct tokens and bigrams: requests are
-    packed by hash range, summed by range, and answered in the same order, and each block joins its
-    answers with its texts. A frequent word costs one entry a block, so no task is hot. Tokens are told
-    apart by 64-bit, bigrams by 56-bit hashes. Texts are shuffled once; no table of words is broadcast.
+    Texts are written in blocks of about block_bytes, which bounds what a task holds. A block asks for
+    the counts of its distinct tokens and bigrams: requests are packed by hash range, summed by range,
+    and answered in the same order, and each block joins its answers with its texts. Ranges are as many
+    as the input's size needs for a range's keys to fit a task. A frequent word costs one entry a
+    block, so no task is hot; no table of words is broadcast. Tokens are told apart by XXH64, bigrams by
+    56-bit hashes; counts are 64 bits wide and V is counted key by key.
 
     Null and empty texts are the end token alone. Null ids stay null; repeated rows count as often as
     they occur. Without training rows every token is unknown. Other columns are not read. No rows give none.
     """
-    spark = docs.sparkSession
-    columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out")]
-    block = F.xxhash64("_metadata.file_path", "_metadata.file_block_start", F.floor(F.col("_metadata.row_index") / block_rows)).alias("block")
-    try:
-        own = docs.select(*columns, block)
-    except AnalysisException:  # not read from files: written first, so that both readings see the same blocks
-        own = materialize(docs.select(*columns), "lm-docs").select("*", block)
-    splits = own.rdd.getNumPartitions()
-    r = max(8, splits // 2)
-    asked = own.select("text", F.col("held_out").cast("int"), "block").mapInArrow(_ask(r), "group int, block long, keys binary, counts binary")
-    answers = asked.groupBy("group").applyInArrow(_answer, "group int, block long, totals binary")
-    kind = docs.schema[id_col].dataType.simpleString()
-    streams = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _join(d, a, r), STREAMS.format(id=kind))
-    streams = materialize(streams, "lm-streams")
-
-    stats = streams.select("held_out", "ones", "twos").mapInArrow(_statistics, "bucket int, two int, one int, n double").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    own = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    r = max(8, 2 * own.rdd.getNumPartitions())
+    blocks = materialize(own.mapInArrow(_blocks(block_bytes), f"block long, doc_ids array<{kind}>, held_out array<boolean>, texts binary"), "lm-blocks", compression="none")
+    asked = blocks.select("block", "held_out", "texts").mapInArrow(_ask(r), "group int, block long, n long, keys binary, counts binary")
+    answers = asked.groupBy("group").applyInArrow(_answer, "group int, block long, n long, totals binary, firsts long")
+    streams = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _join(d, a, r), STREAMS.format(id=kind))
+    streams = materialize(streams, "lm-streams", compression="zstd")
+
+    stats = streams.select("held_out", "n_tokens", "firsts", "ones", "twos").mapInArrow(_statistics, _CELL).groupBy("bucket", "two", "one").agg(*(F.sum(c).alias(c) for c in ("n", "p2", "c1"))).toPandas()
     events = stats[stats.bucket >= 0].sort_values(["bucket", "two", "one"])
-    total, distinct = (float(stats.n[stats.bucket == k].sum()) for k in (-1, -2))
-    distinct = round(distinct)
-    w = learn_weights(events.bucket.to_numpy(), _value(events.two.to_numpy()), _value(events.one.to_numpy()) / max(1, total - 1), 1 / (distinct + 1), events.n.to_numpy())
+    total, distinct = (float(stats[c][stats.bucket == -1].sum()) for c in ("n", "p2"))
+    n = events.n.to_numpy()
+    w = learn_weights(events.bucket.to_numpy(), events.p2.to_numpy() / n, events.c1.to_numpy() / n / max(1, total - 1), 1 / (distinct + 1), n)
     model = spark.sparkContext.broadcast((w, total, distinct))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, total, distinct = model.value
         for b in batches:
             known, base, out = [], [], []
-            for ones, twos in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                one, two = _unplanes(ones, np.uint32).astype(np.float64), _unplanes(twos, np.uint32).astype(np.float64)
+            for size, ones, twos in zip(b.column(2).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True):
+                one, two = unplanes(ones, size + 1).astype(np.float64), unplanes(twos, size).astype(np.float64)
                 mine = w[np.minimum(bucket(one[:-1]), len(w) - 1)]
                 p = mine[:, 0] * two / np.maximum(one[:-1], 1) + mine[:, 1] * one[1:] / max(1, total) + mine[:, 2] / (distinct + 1)
                 known.append(int((one[1:] > 0).sum()))
