@@ -106,7 +106,7 @@ def _blocks(block_bytes: int) -> Callable:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 33
-        squeeze, ids, held, own, size = zstandard.ZstdCompressor(level=3).compress, [], [], [], 0
+        squeeze, ids, held, own, size = zstandard.ZstdCompressor(level=6).compress, [], [], [], 0
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([held], pa.list_(pa.bool_())), pa.array([squeeze(_GAP.join(own))], pa.binary())], names=["block", "doc_ids", "held_out", "texts"])
@@ -233,7 +233,7 @@ def learn_weights(buckets: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float
     return w
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 3 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
     The model is a bigram estimate, a unigram estimate and a uniform one over the V known tokens and
