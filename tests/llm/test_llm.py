@@ -157,6 +157,26 @@ def components(fps, distance):
     return [find(i) for i in range(len(fps))]
 
 
+def similar_components(texts, least=0.8):
+    """Components over pairs of that similarity of five-word shingles."""
+    sets = []
+    for t in texts:
+        w = words_of(t)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
 def test_simhash(spark, data, odd, none):
     for df in (odd, docs_of(spark, data)):
         rows = df.select("doc_id", "text").collect()
@@ -281,7 +301,7 @@ def test_pipeline_against_brute_force(spark, data):
         largest[t] = max(i, largest.get(t, i))
     assert set(kept["exact_dedup"]) == set(largest.values())
     ids = sorted(kept["exact_dedup"])
-    roots = components([slow_fingerprint(kept["exact_dedup"][i]) for i in ids], 4)
+    roots = similar_components([kept["exact_dedup"][i] for i in ids])
     first = {}
     for i, c in zip(ids, roots, strict=True):
         first.setdefault(c, i)
