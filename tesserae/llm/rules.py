@@ -57,28 +57,32 @@ def line_hash(line: Column, host: Column) -> Column:
     return F.xxhash64(host, F.regexp_replace(F.lower(F.btrim(line, F.lit(WS))), _GAP, " "))
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", line_limit: int = 100, least_left: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_percent: int = 5, least_documents: int = 3, least_left: float = 0.8) -> DataFrame:
     """One row for each row of docs: doc_id, host, the statistics, base_failed, n_line_words (words in recurring lines), kept.
 
-    A line recurs if more than line_limit documents of its host have it. Lines that recur are taken
-    out; a document of which less than least_left of the words remains is rejected, as is one that
-    fails the base rules (under 50 words, or over half of them in repeated 3-word windows).
+    A line recurs if more than host_percent of its host's documents have it, and more than
+    least_documents. Lines that recur are taken out; a document of which less than least_left of the
+    words remains is rejected, as is one that fails the base rules (under 50 words, or over half of
+    them in repeated 3-word windows).
 
-    Lines travel as hashes and numbers of words; counting is a partial aggregation, and the recurring
-    lines are joined back to the documents' lines, where Spark splits a hot line. No text is shuffled.
-    Null texts count as empty, null hosts as one host. Each repeated row counts as a document, and they
-    get the same verdict. Other columns are not read. No rows give no rows.
+    Lines travel as hashes and numbers of words, written once; counting is a partial aggregation, and
+    the recurring lines are joined back to the documents' lines, where Spark splits a hot line. No text
+    is shuffled. Ids are of any type. Null texts count as empty, null hosts as one host. Each repeated
+    row counts as a document, and they get the same verdict. Other columns are not read. No rows give
+    no rows.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = [F.coalesce(F.col(id_col), F.lit(-1)).alias("_id"), F.xxhash64(F.col(host_col), text, F.col(id_col)).alias("_key")]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text.alias("_t"), *keys)
+    text, host = F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(F.col(host_col))
+    keys = [F.xxhash64(F.col(id_col), F.lit("id")).alias("_id"), F.xxhash64(F.col(host_col), text, F.col(id_col)).alias("_key")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), host.alias("_host"), text.alias("_t"), *keys)
     lines = F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(WS)) != "")
     each = F.transform(lines, lambda x: F.struct(line_hash(x, F.col("host")).alias("line"), F.size(F.split(F.btrim(x, F.lit(WS)), _GAP)).alias("words")))
     # in order of hash a document's line is its first where the hash changes
     marked = _let(F.sort_array(each), lambda s: F.transform(s, lambda x, i: F.struct(x["line"].alias("line"), x["words"].alias("words"), (F.when(i == 0, True).otherwise(x["line"] != F.get(s, i - 1)["line"])).cast("int").alias("first"))))
-    listed = rows.select("_id", "_key", F.explode(marked).alias("l")).select("_id", "_key", "l.*")
+    listed = materialize(rows.select("_id", "_key", "_host", F.explode(marked).alias("l")).select("_id", "_key", "_host", "l.*"), "rules-listed")
+    hosts = docs.groupBy(host.alias("_host")).agg(F.count("*").alias("documents"))
+    often = listed.groupBy("_host", "line").agg(F.sum("first").alias("n")).where(F.col("n") > least_documents)
     # written, so that the join below is between two plain exchanges, which Spark can split by a hot line, or a broadcast if its size allows
-    recurring = materialize(listed.groupBy("line").agg(F.sum("first").alias("n")).where(F.col("n") > line_limit).select("line"), "rules-lines")
+    recurring = materialize(often.join(hosts, "_host").where(100 * F.col("n") > host_percent * F.col("documents")).select("line"), "rules-lines")
     lost = listed.select("_id", "_key", "line", "words").join(recurring, "line").groupBy("_id", "_key").agg(F.sum("words").alias("_lost"))
     stats = rows.select("doc_id", "host", "_id", "_key", text_statistics(F.col("_t")).alias("s")).select("doc_id", "host", "_id", "_key", "s.*")
     joined = stats.join(lost, ["_id", "_key"], "left")
@@ -103,12 +107,13 @@ twice AS (SELECT doc_id, x.i AS i, count(*) OVER (PARTITION BY doc_id, x.k) AS n
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
 ln AS (SELECT doc_id, source, lower(regexp_replace(trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS k, len(list_filter(regexp_split_to_array(x, '[ \t\n\x0B\f\r]+'), lambda y: y <> '')) AS words
   FROM (SELECT doc_id, source, unnest(l) AS x FROM w)),
-freq AS (SELECT source, k FROM ln GROUP BY source, k HAVING count(DISTINCT doc_id) > 100),
+hosts AS (SELECT source, count(*) AS documents FROM documents GROUP BY source),
+freq AS (SELECT source, k FROM (SELECT source, k, count(DISTINCT doc_id) AS n FROM ln GROUP BY source, k) JOIN hosts USING (source) WHERE n > 3 AND 100 * n > 5 * documents),
 lost AS (SELECT doc_id, sum(words) AS n FROM ln JOIN freq USING (source, k) GROUP BY doc_id),
 s AS (SELECT w.doc_id, len(w.w) AS n_words, length(array_to_string(w.w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_line_words
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-  n_repeat_words::BIGINT AS n_repeat_words, base_failed, n_line_words::BIGINT AS n_line_words, NOT base_failed AND n_words - n_line_words >= 0.5 * n_words AS kept FROM f
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, n_line_words::BIGINT AS n_line_words, NOT base_failed AND n_words - n_line_words >= 0.8 * n_words AS kept FROM f
 """

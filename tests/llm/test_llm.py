@@ -238,9 +238,24 @@ def test_rules(spark, data, odd, none):
 
 def test_recurring_lines_deplete_a_document(spark):
     own = " ".join(f"w{k}" for k in range(60))
-    rows = [(k, f"{own} {k}\nSame line here", "h") for k in range(5)] + [(9, "Same  LINE here\n" * 30 + own, "h"), (10, "same line here\n" * 30, "other")]
-    got = {r.doc_id: (r.n_line_words, r.kept) for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), line_limit=4).collect()}
-    assert got[0] == (3, True) and got[9] == (90, False) and got[10][0] == 0
+    rows = [(k, f"{own} {k}\nSame line here", "h") for k in range(5)] + [(9, "Same  LINE here\n" * 30 + own, "h"), (10, "same line here\n" * 30, "other"), (11, f"{own}\n" + "same line here\n" * 6, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    of = lambda **o: {r.doc_id: (r.n_line_words, r.kept) for r in rules.quality_rules(df, **o).collect()}
+    assert of()[0] == (3, True) and of()[9] == (90, False) and of()[10][0] == 0
+    # seven of the host's seven documents have the line
+    assert of()[11] == (18, False) and of(least_left=0.7)[11] == (18, True)
+    assert of(least_documents=7)[11] == (0, True) and of(host_percent=100)[11] == (0, True) and of(host_percent=99)[11] == (18, False)
+
+
+def test_rules_take_ids_of_any_type(spark, odd):
+    want = sorted((str(r.doc_id), r.n_words, r.kept) for r in rules.quality_rules(odd).collect())
+    assert sorted((str(r.doc_id), r.n_words, r.kept) for r in rules.quality_rules(odd.withColumn("doc_id", F.col("doc_id").cast("string"))).collect()) == want
+
+
+def test_verdicts_differ_by_recurring_lines(spark):
+    got = rules.op8_quality_rules(spark, "/root/testdata/sf0.01").where("kept = base_failed AND n_line_words > 0").collect()
+    assert got and all(r.n_words - r.n_line_words < 0.8 * r.n_words for r in got)
+    same_rows(rules.op8_quality_rules(spark, "/root/testdata/sf0.01").toPandas(), duck("/root/testdata/sf0.01").sql(rules.OP8_SQL).df())
 
 
 def test_toxicity(spark, odd, none):
