@@ -16,14 +16,34 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise: Callable[[Column], Column] = fold_ascii, hash_text: Callable[[Column], Column] = content_hash, digest: Callable[[Column], Column] | None = None) -> DataFrame:
+def _bit(h: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(h), F.lit(bits))
+
+
+def marked(hashes: DataFrame, bits: int) -> DataFrame:
+    """(bucket, bitmap): one bit for each hash (_h), in maps of 32,768 bits; bits / 8 bytes at most, whatever the number of hashes."""
+    at = hashes.select(_bit(F.col("_h"), bits).alias("at"))
+    return at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+
+
+def among(rows: DataFrame, maps: DataFrame, bits: int) -> DataFrame:
+    """The rows whose hash (_h) has its bit set, and few others: a broadcast of bounded size."""
+    place = F.bitmap_bit_position(_bit(F.col("_h"), bits)).cast("int")
+    byte = F.conv(F.hex(F.expr("substring(bitmap, _p div 8 + 1, 1)")), 16, 10).cast("int")
+    met = rows.withColumn("_p", place).join(F.broadcast(maps), F.bitmap_bucket_number(_bit(F.col("_h"), bits)) == F.col("bucket"))
+    return met.where(byte.bitwiseAND(F.expr("shiftleft(1, _p % 8)")) != 0).select(*rows.columns)
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise: Callable[[Column], Column] = fold_ascii, hash_text: Callable[[Column], Column] = content_hash, digest: Callable[[Column], Column] | None = None, filter_bits: int = 1 << 26) -> DataFrame:
     """(doc_id, keep_id, group_size, kept[, digest]) for each row; rows whose normalised texts are equal are a group.
 
-    The row with the smallest id stays (keep="largest": the largest). Sizes and ids come from a
-    partial aggregation by hash, which carries no text. Then the texts of groups of two and more are
-    compared, byte for byte, with the text of the row that stays; a hot group's rows are dealt over
-    tasks by Spark's handling of skewed joins, as its one text is the other side. Should texts differ
-    under one hash, the groups of that hash are made anew by hash and text.
+    The row with the smallest id stays (keep="largest": the largest). Texts are hashed once; hashes and
+    ids are written, and sizes and ids come from a partial aggregation by hash, without any text. Then
+    the texts of groups of two and more are compared, byte for byte, with the text of the row that
+    stays: a broadcast bitmap of filter_bits marks the hashes of such groups, so that other texts are not
+    shuffled, but for a share of them that is that of the bits set. A hot group's rows are dealt over tasks by
+    Spark's handling of skewed joins, as its one text is the other side. Should texts differ under one
+    hash, the groups of that hash are made anew by hash and text.
 
     Null texts count as empty. Ids that are null rank below all others and are kept only in a group
     without another id. Of repeated rows (equal id and text) each is a row of the group, and each with
@@ -31,24 +51,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     best = F.max if keep == "largest" else F.min
     text = normalise(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_t"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_t")).select("doc_id", hash_text(F.col("_t")).alias("_h"), "_t")
     extra = [digest(F.col("_t")).alias("digest")] if digest else []
-    hashed = rows.select("doc_id", hash_text(F.col("_t")).alias("_h"), "_t", *extra)
-    by_hash = hashed.groupBy("_h").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    hashed = materialize(rows.select("doc_id", "_h", *extra), "exact-hashed")
     # written, so that the joins below are between plain exchanges, which Spark can split by a hot hash;
     # groups grow with the corpus, so none of them is broadcast
-    shared = materialize(by_hash.where("group_size > 1"), "exact-shared")
-    members = materialize(hashed.select("_h", "doc_id", "_t").join(shared.select("_h", "keep_id").hint("merge"), "_h"), "exact-members")
+    shared = materialize(hashed.groupBy("_h").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1"), "exact-shared")
+    likely = among(rows, marked(shared, filter_bits), filter_bits)
+    members = materialize(likely.join(shared.select("_h", "keep_id").hint("merge"), "_h"), "exact-members")
     stays = materialize(members.where("doc_id <=> keep_id").groupBy("_h").agg(F.min("_t").alias("_kept_t")), "exact-stays")
     differ = members.join(stays.hint("merge"), "_h").where("_t <> _kept_t").select("_h")
     out = ["doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), *(["digest"] if digest else [])]
-    found = hashed.drop("_t").join(shared.hint("merge"), "_h", "left")
+    found = hashed.join(shared.hint("merge"), "_h", "left")
     alone = F.col("group_size").isNull()
     plain = found.withColumns({"keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))})
     if differ.isEmpty():
         return plain.select(*out)
     bad = materialize(differ.distinct(), "exact-differ")
-    again = hashed.join(bad, "_h")
+    again = rows.join(bad, "_h").select("doc_id", "_h", "_t", *extra)
     by_text = again.groupBy("_h", "_t").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     return plain.join(bad, "_h", "left_anti").select(*out).union(again.join(by_text, ["_h", "_t"]).select(*out))
 

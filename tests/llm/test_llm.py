@@ -100,6 +100,14 @@ def test_exact_dedup_survives_collisions(spark, data):
     same_rows(exact.exact_groups(docs, hash_text=weak).toPandas(), exact.exact_groups(docs).toPandas())
 
 
+def test_bitmap_passes_all_marked_rows_and_few_others(spark):
+    rows = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("_h"))
+    maps = exact.marked(rows.where("id < 500"), 1 << 20)
+    got = {r.id for r in exact.among(rows, maps, 1 << 20).collect()}
+    assert set(range(500)) <= got and len(got) < 600
+    assert exact.among(rows, exact.marked(rows.where("false"), 1 << 20), 1 << 20).count() == 0
+
+
 def test_bpe(spark, data, odd, none):
     import tiktoken
 
