@@ -62,13 +62,13 @@ class Network:
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """What a word adds to the gates of both directions: (words, 2, 3 hidden)."""
-        return (np.einsum("nd,kdh->nkh", x, self.p["w"], optimize=True) + self.p["bias"][:, 0]).astype(np.float32)
+        return (np.einsum("nd,kdh->nkh", x, self.p["w"], optimize=True) + self.p["bias"][:, 0]).astype(self.p["w"].dtype)
 
     def forward(self, g: np.ndarray, size: np.ndarray, keep: bool = False):
         """Logits of windows; g: (windows, WINDOW, 2, 3 hidden), size: words in each."""
         b, t, h, u = len(g), g.shape[1], self.h, self.p["u"]
-        live = (np.arange(t) < size[:, None]).astype(np.float32)
-        state, states, kept = np.zeros((2, b, h), np.float32), np.empty((2, t, b, h), np.float32), []
+        live = (np.arange(t) < size[:, None]).astype(g.dtype)
+        state, states, kept = np.zeros((2, b, h), g.dtype), np.empty((2, t, b, h), g.dtype), []
         for i in range(t):
             j = t - 1 - i
             gi = np.stack([g[:, i, 0], g[:, j, 1]])
@@ -89,8 +89,8 @@ class Network:
         logit = pooled @ self.p["out"] + self.p["off"]
         return (logit, (both, a, pooled, kept)) if keep else logit
 
-    def learn(self, words: list[bytes], at: np.ndarray, size: np.ndarray, label: np.ndarray, rate: float = 0.01) -> None:
-        """One step of Adam on the logistic loss of windows; at: (windows, WINDOW) places in words."""
+    def gradients(self, words: list[bytes], at: np.ndarray, size: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the windows' mean logistic loss, by parameter; at: (windows, WINDOW) places in words."""
         x, ids, code, owner = self.inputs(words)
         gate = self.gates(x)
         logit, (both, a, pooled, kept) = self.forward(gate[at], size, keep=True)
@@ -102,7 +102,7 @@ class Network:
         ds = a * (da - (a * da).sum(0))
         grad["attend"] = np.einsum("tb,tbh->h", ds, both, optimize=True)
         dboth = a[:, :, None] * dp + ds[:, :, None] * p["attend"]
-        dg, du, dstate = np.zeros((b, t, 2, 3 * h), np.float32), np.zeros_like(p["u"]), np.zeros((2, b, h), np.float32)
+        dg, du, dstate = np.zeros((b, t, 2, 3 * h), gate.dtype), np.zeros_like(p["u"]), np.zeros((2, b, h), gate.dtype)
         for i in range(t - 1, -1, -1):
             j = t - 1 - i
             state, m, z, r, new, hn = kept[i]
@@ -116,7 +116,7 @@ class Network:
             dg[:, i, 0], dg[:, j, 1] = dgi[0], dgi[1]
             dstate = dstate * (1 - m * (1 - z)) + dhu @ np.swapaxes(p["u"], 1, 2)
         grad["u"] = du
-        flat = np.zeros((len(words), 6 * h), np.float32)
+        flat = np.zeros((len(words), 6 * h), gate.dtype)
         np.add.at(flat, at.reshape(-1), dg.reshape(b * t, -1))
         flat = flat.reshape(len(words), 2, 3 * h)
         grad["w"], grad["bias"] = np.einsum("nd,nkh->kdh", x, flat, optimize=True), flat.sum(0)[:, None]
@@ -124,8 +124,13 @@ class Network:
         grad["word"], grad["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(grad["word"], ids, dx[:, : self.dim])
         np.add.at(grad["char"], code, (dx[:, self.dim :] / np.bincount(owner, minlength=len(words))[:, None])[owner])
+        return grad
+
+    def learn(self, words: list[bytes], at: np.ndarray, size: np.ndarray, label: np.ndarray, rate: float = 0.01) -> None:
+        """One step of Adam."""
+        p = self.p
         self.steps += 1
-        for k, g in grad.items():
+        for k, g in self.gradients(words, at, size, label).items():
             m1, m2 = self.moments[k]
             m1 += 0.1 * (g - m1)
             m2 += 0.01 * (g * g - m2)
@@ -141,13 +146,15 @@ def _index(windows: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndar
     return list(known), at, np.array([len(w) for w in windows], np.int64)
 
 
-def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 5, batch: int = 256, seed: int = 0) -> Network | None:
+def train(windows: list[list[list[bytes]]], labels: np.ndarray, steps: int = 160, batch: int = 256, least_documents: int = 5, drop: float = 0.25, seed: int = 0) -> Network | None:
     """A network from documents' windows and labels; None unless both labels occur.
 
-    Only some windows of a toxic document are toxic. Each epoch teaches from the toxic documents'
-    windows that score highest so far and from the highest and some other windows of clean ones; the
-    first epoch ranks windows by their words' log-odds. A logistic fit on the documents' highest
-    logits then turns these into probabilities, with even weight for both labels.
+    Only some windows of a toxic document are toxic. Each round teaches from the toxic documents'
+    windows that score highest so far, repeated to a third of the others' number, and from the highest
+    and some other windows of clean ones; they are ranked by their words' log-odds at first, and anew
+    after 20 batches or more. Rounds go on until `steps` batches are taught, whatever the number of
+    documents. A share `drop` of the words is taught by their letters alone. A logistic fit on
+    the documents' highest logits then turns these into probabilities, with even weight for both labels.
     """
     docs = windows
     if not len(labels) or labels.min() == labels.max():
@@ -159,31 +166,35 @@ def train(windows: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 5,
             in_docs[y][w] = in_docs[y].get(w, 0) + 1
     n0, n1 = (labels == 0).sum(), (labels == 1).sum()
     odds = {w: np.log((in_docs[1].get(w, 0) + 0.5) / (n1 + 1)) - np.log((in_docs[0].get(w, 0) + 0.5) / (n0 + 1)) for w in in_docs[0].keys() | in_docs[1].keys()}
-    frequent = sorted(w for w in odds if in_docs[0].get(w, 0) + in_docs[1].get(w, 0) >= (5 if len(labels) >= 1000 else 3))
+    frequent = sorted(w for w in odds if in_docs[0].get(w, 0) + in_docs[1].get(w, 0) >= least_documents)
     net = Network({w: i + 1 for i, w in enumerate(frequent)})
-    # few labelled documents are gone through more often
-    epochs = max(epochs, -(-60 * batch // (2 * int(n1) + 5 * int(n0))))
     flat = [w for d in docs for w in d]
     words, at, size = _index(flat)
     first = np.cumsum([0, *map(len, docs)])
     known = np.array([odds[w] if w in net.vocabulary else 0.0 for w in words])
     rank = np.where(np.arange(WINDOW) < size[:, None], known[at], -9.0).max(1)
-    for epoch in range(epochs):
-        if epoch:
-            rank = _logits(net, words, at, size)
-        chosen, target = [], []
+    ranked = 0
+    while net.steps < steps:
+        if net.steps >= ranked + 20:
+            rank, ranked = _logits(net, words, at, size), net.steps
+        chosen: tuple[list, list] = ([], [])
         for k, y in enumerate(labels):
             own = np.arange(first[k], first[k + 1])
-            top = own[np.argsort(-rank[own], kind="stable")[: 2]]
-            some = top if y else np.concatenate([top, r.choice(own, min(3, len(own)), replace=False)])
-            chosen.append(some)
-            target.append(np.full(len(some), y))
-        chosen, target = np.concatenate(chosen), np.concatenate(target).astype(np.float32)
-        order = r.permutation(len(chosen))
+            top = own[np.argsort(-rank[own], kind="stable")[:2]]
+            chosen[y].append(top if y else np.concatenate([top, r.choice(own, min(3, len(own)), replace=False)]))
+        clean, toxic = map(np.concatenate, chosen)
+        toxic = np.tile(toxic, max(1, round(len(clean) / (3 * len(toxic)))))
+        both, target = np.concatenate([clean, toxic]), np.repeat(np.float32([0, 1]), [len(clean), len(toxic)])
+        order = r.permutation(len(both))
         for a in range(0, len(order), batch):
             part = order[a : a + batch]
-            used, where = np.unique(at[chosen[part]], return_inverse=True)
-            net.learn([words[i] for i in used], where.reshape(len(part), WINDOW), size[chosen[part]], target[part], 0.02 if epoch < epochs - 2 else 0.005)
+            used, where = np.unique(at[both[part]], return_inverse=True)
+            # now and then a word has its letters only, as unknown words do
+            own = [words[i] for i in used]
+            hidden, vocabulary = {w for w, x in zip(own, r.random(len(own)), strict=True) if x < drop}, net.vocabulary
+            net.vocabulary = {w: k for w in own if w not in hidden and (k := vocabulary.get(w))}
+            net.learn(own, where.reshape(len(part), WINDOW), size[both[part]], target[part], 0.02 if net.steps < 0.6 * steps else 0.005)
+            net.vocabulary = vocabulary
     rank = _logits(net, words, at, size)
     best = np.maximum.reduceat(rank, first[:-1])
     weight = np.where(labels == 1, 0.5 / n1, 0.5 / n0)
@@ -252,8 +263,12 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 1000, most_windows: int = 80) -> Network | None:
-    """A network fitted on at most per_class labelled rows of each class, those of the lowest hashes of their ids, and at most most_windows windows, evenly spaced, of each."""
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 800) -> Network | None:
+    """A network fitted on all windows of at most per_class labelled rows of each class, those of the lowest hashes of their ids.
+
+    None unless both labels occur. Texts without words teach nothing; a document with both labels
+    takes both; null ids match no label. Other columns are not read.
+    """
     rows = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
     part = [rows.where(F.col("_label") == v).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for v in (0, 1)]
 
@@ -262,9 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str
             out = []
             for t in texts(b):
                 w = words_of(t)
-                starts = list(window_starts(len(w))) if w else []
-                some = starts if len(starts) <= most_windows else [starts[i * len(starts) // most_windows] for i in range(most_windows)]
-                out.append([b" ".join(w[s : s + WINDOW]) for s in some])
+                out.append([b" ".join(w[s : s + WINDOW]) for s in window_starts(len(w))] if w else [])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.binary()))], names=["id", "label", "windows"])
 
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(part[0].union(part[1])), "_id").select("_id", "_label", "text")
@@ -278,7 +291,7 @@ def toxicity_scores(docs: DataFrame, net: Network | None, id_col: str = "doc_id"
 
     The broadcast network is bounded by its vocabulary, of the labelled rows it was fitted on. Null
     texts and texts without words get a low fixed score; without a network all score 0. Repeated rows
-    score alike; null ids stay null; other columns are not read.
+    score alike; null ids stay null; other columns are not read. No rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
