@@ -80,7 +80,7 @@ def test_held_out_documents(spark):
     hit = ((got.predicted == 1) & (got.toxic == 1)).sum()
     recall, precision = hit / (got.toxic == 1).sum(), hit / max(1, (got.predicted == 1).sum())
     # always 0: recall 0; always 1: precision of the toxic share; some labels are wrong: 6 of 97 toxic texts have no toxic word
-    assert recall > 0.85 and precision > 0.85 > 3 * got.toxic.mean()
+    assert recall > 0.85 and precision > 0.75 > 3 * got.toxic.mean()
 
 
 def test_ties_and_texts_without_words(spark):
