@@ -7,40 +7,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import crc_mod, grouped, table, texts
+from tesserae.llm.common import crc_mod, grouped, table, texts, worker_global
 
-_PUNCTUATION = ".,!?|#*$%&-"
+#: Terms of a text: hashed words, hashed runs of three UTF-8 bytes, and three of repetition.
+WORDS, TRIPLES = 4096, 4096
+TERMS = WORDS + TRIPLES + 3
 
 
-def _classes() -> np.ndarray:
-    """Class of each byte: small letters and some punctuation by themselves, the others by kind."""
-    c = np.full(256, 5, np.uint8)  # other ASCII
-    c[128:], c[48:58], c[65:91] = 0, 1, 2
-    c[[9, 11, 12, 13, 32]], c[10] = 3, 4
-    for i, b in enumerate((*range(97, 123), *map(ord, _PUNCTUATION))):
-        c[b] = 6 + i
-    return c
+class Buckets(dict):
+    """Terms of words met so far; the table starts afresh at `most` words."""
 
+    most = 300_000
 
-_CLASS, _N = _classes(), 43
-#: Terms of a text: pairs of neighbouring bytes' classes, then repetition terms.
-TERMS = _N * _N + 3
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, 42) % WORDS
+        return out
 
 
 def terms(text: str) -> np.ndarray:
-    """Counts of a whole text's terms: class pairs; words equal to the one before; lines and words that repeat earlier ones."""
+    """Counts of a whole text's terms: A-Z lower-cased words; byte triples; words equal to the one before, lines and words that repeat earlier ones."""
     data, out = text.encode(), np.zeros(TERMS, np.float32)
     if not data:
         return out
-    c = _CLASS[np.frombuffer(data, np.uint8)].astype(np.int64)
-    out[: _N * _N] = np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
-    words, lines = data.split(), [x for x in data.split(b"\n") if x.strip()]
-    out[-3] = 20 * sum(map(operator.eq, words, words[1:]))
-    out[-2] = 80 * (len(lines) - len(set(lines)))
-    out[-1] = 5 * max(0, len(words) - 2 * len(set(words)))
+    words, lines = data.lower().split(), [x for x in data.split(b"\n") if x.strip()]
+    of = worker_global("buckets", Buckets)
+    out[:WORDS] = np.bincount(np.fromiter((of[w] for w in words), np.int64, len(words)), minlength=WORDS)
+    d = np.frombuffer(data, np.uint8).astype(np.int64)
+    out[WORDS : WORDS + TRIPLES] = np.bincount(((d[:-2] * 961 + d[1:-1] * 31 + d[2:]) * 40503 >> 4) % TRIPLES, minlength=TRIPLES)
+    out[-3:] = sum(map(operator.eq, words, words[1:])), len(lines) - len(set(lines)), len(words) - len(set(words))
     return out
 
 
@@ -62,7 +62,7 @@ class LatentSpace:
 
     def weigh(self, counts: np.ndarray) -> np.ndarray:
         """Shares of terms, square-rooted and weighted by rarity, at unit length."""
-        x = np.sqrt(counts / np.maximum(counts[:, : _N * _N].sum(1, keepdims=True), 1)) * self.idf
+        x = np.sqrt(counts / np.maximum(counts[:, :WORDS].sum(1, keepdims=True), 1)) * self.idf
         return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
@@ -71,7 +71,7 @@ class LatentSpace:
 
 
 class NeighbourVote:
-    """Labelled vectors; a vote of the k most similar ones, by similarity."""
+    """Labelled vectors; a vote of the k most similar ones, by similarity; of vectors as similar as the k-th the first rows count."""
 
     def __init__(self, space: LatentSpace, vectors: np.ndarray, labels: np.ndarray, k: int = 15, sharpness: float = 8.0):
         self.space, self.vectors, self.labels, self.k, self.sharpness = space, vectors, labels.astype(np.float32), k, sharpness
@@ -82,18 +82,20 @@ class NeighbourVote:
         for a in range(0, len(v), block):
             cosine = v[a : a + block] @ self.vectors.T
             k = min(self.k, cosine.shape[1])
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            w = np.maximum(np.take_along_axis(cosine, near, 1), 0) ** self.sharpness
+            last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+            above, tied = cosine > last, cosine == last
+            near = above | (tied & (np.cumsum(tied, 1) <= k - above.sum(1, keepdims=True)))
+            w = np.where(near, np.maximum(cosine, 0), 0) ** self.sharpness
             total = w.sum(1)
-            vote = (w * self.labels[near]).sum(1)
-            out[a : a + block] = np.where(total > 1e-9, vote / np.maximum(total, 1e-9), self.labels.mean())
+            out[a : a + block] = np.where(total > 1e-9, w @ self.labels / np.maximum(total, 1e-9), self.labels.mean())
         return np.where(counts.any(1), out, self.labels.mean())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 1200) -> NeighbourVote | None:
     """The vote fitted on at most per_class labelled rows of each class, those of the lowest hashes of their ids.
 
-    None if no labelled row can be used. A document with two different labels takes both.
+    Labelled rows are in order of their ids, which decides among equals. None if no labelled row can be
+    used. A document with two different labels takes both; null ids match no label.
     """
     rows = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
     order = F.xxhash64("_id")
@@ -110,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str
 
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(bounded), "_id").select("_id", "_label", "text")
     kind = docs.schema[id_col].dataType.simpleString()
-    got = own.mapInArrow(count, f"id {kind}, label int, at binary, n binary").toPandas().sort_values("id", kind="stable")
+    got = own.mapInArrow(count, f"id {kind}, label int, at binary, n binary").toPandas().sort_values(["id", "label"], kind="stable")
     if not len(got):
         return None
     counts = np.zeros((len(got), TERMS), np.float32)
@@ -125,7 +127,7 @@ def quality_scores(docs: DataFrame, model: NeighbourVote | None, id_col: str = "
 
     The broadcast is bounded by per_class vectors a class. Null and empty texts have no vector and
     score the share of label 1 among the labelled vectors; without any labelled row all score 0.5.
-    Repeated rows score alike; null ids stay null; other columns are not read.
+    Repeated rows score alike; null ids stay null; other columns are not read. No rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
