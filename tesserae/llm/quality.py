@@ -87,7 +87,7 @@ class NeighbourVote:
             near = above | (tied & (np.cumsum(tied, 1) <= k - above.sum(1, keepdims=True)))
             w = np.where(near, np.maximum(cosine, 0), 0) ** self.sharpness
             total = w.sum(1)
-            out[a : a + block] = np.where(total > 1e-9, w @ self.labels / np.maximum(total, 1e-9), self.labels.mean())
+            out[a : a + block] = np.where(total > 1e-9, np.clip(w @ self.labels / np.maximum(total, 1e-9), 0, 1), self.labels.mean())
         return np.where(counts.any(1), out, self.labels.mean())
 
 
