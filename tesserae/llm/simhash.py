@@ -78,8 +78,12 @@ def linked_pairs(fps: DataFrame, distance: int = 4) -> DataFrame:
 
     Each fingerprint is indexed under its segments with one bit deleted. Two fingerprints within the
     distance agree on such a key; the join takes equal keys, checks the whole distance in the join's
-    condition and counts a pair under the first key they share, so no distinct is needed.
+    condition and counts a pair under the first key they share, so no distinct is needed. A key has 20
+    or 21 bits beside its place: N fingerprints have N * N / 2^15 candidates by chance, each a
+    comparison within the join.
     """
+    # dealt by number, as Spark would size tasks by the bytes before each row becomes 64
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     keys = fps.select("id", "fp", F.explode(variant_keys(F.col("fp"), distance)).alias("k")).select("id", "fp", F.col("k.bits").alias("bits"), (F.col("k.segment") * F.lit(64) + F.col("k.wild")).alias("at"))
     a = keys.select("bits", "at", F.col("id").alias("a"), F.col("fp").alias("fa"))
     b = keys.select(F.col("bits").alias("bits_"), F.col("at").alias("at_"), F.col("id").alias("b"), F.col("fp").alias("fb"))
