@@ -43,13 +43,19 @@ def intrinsics(width: Column, fov_x: Column, height: Column, fov_y: Column) -> l
     return [width * 0.5 / F.tan(F.radians(fov_x) / 2), height * 0.5 / F.tan(F.radians(fov_y) / 2), width / 2, height / 2]
 
 
-def unproject(row: Column, col: Column, dist: Column, fx: float, fy: float, cx: float, cy: float) -> list[Column]:
+def unproject(row: Column, col: Column, dist: Column, fx: Column | float, fy: Column | float, cx: Column | float, cy: Column | float) -> list[Column]:
     """Camera-space point at a distance along a pixel's ray."""
     rx, ry = (col + 0.5 - cx) / fx, -(row + 0.5 - cy) / fy
     size = F.sqrt(rx * rx + ry * ry + 1)
     return [rx / size * dist, ry / size * dist, F.lit(-1.0) / size * dist]
 
 
+def rigid_inverse(m: Column) -> Column:
+    """Inverse of a row-major 4x4 matrix of a rotation and a shift: the rotation turned over, and the shift turned back."""
+    rows = [[m[i], m[4 + i], m[8 + i], -(m[i] * m[3] + m[4 + i] * m[7] + m[8 + i] * m[11])] for i in range(3)]
+    return F.array(*(c for r in rows for c in r), *map(F.lit, (0.0, 0.0, 0.0, 1.0)))
+
+
 def barycentric(u: Column, v: Column) -> list[Column]:
     """Weights of the three corners; (u, v) beyond the diagonal is reflected."""
     over = u + v > 1

@@ -13,22 +13,23 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Alternates two steps until the edge set stops changing: every node's larger neighbours are
     hooked to its smallest neighbour, then every node's smaller neighbours are. Each step takes a
-    minimum by node (a partial aggregation, so a hub does not meet in one task) and joins it back.
-    Each round is written to the shared folder. Null ids and self edges carry no link.
+    minimum by node (a partial aggregation, so a hub does not meet in one task), writes it, so that
+    Spark can split the join back by a hub, and joins. Each round is written to the shared folder. Null ids and self edges carry no link.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     e = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     mark = _mark(e)
     while mark[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), "cc-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        release(low)
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         hooked = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         small = materialize(hooked.where("u <> v").distinct(), "cc-small")
-        release(e)
-        release(large)
+        for t in (e, large, low):
+            release(t)
         e, last, mark = small, mark, _mark(small)
         if mark == last:
             break

@@ -17,22 +17,22 @@ def neighbours(df: DataFrame, axes: list[str], size: float) -> DataFrame:
     return df
 
 
-def nearest_within(queries: DataFrame, reference: DataFrame, radius: float) -> DataFrame:
-    """(qid, pid, dist): each query point's closest reference point within the radius, the lowest id among equals (JOI8).
+def nearest_within(queries: DataFrame, reference: DataFrame, radius: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, qid, pid, dist): each query point's closest reference point within the radius, the lowest id among equals (JOI8).
 
-    Inputs have pid, x, y, z. Reference points sit in cells of the radius's size, queries look in the
+    Inputs have pid, x, y, z and the columns of by (a scene), within which ids are unique and points meet. Reference points sit in cells of the radius's size, queries look in the
     27 cells around; a minimum by query is a partial aggregation.
     """
-    r = reference.select(F.col("pid").alias("rid"), *(F.col(a).alias(f"r{a}") for a in "xyz"), *(cell(a, radius).alias(f"c_{a}") for a in "xyz"))
-    q = neighbours(queries.select("pid", "x", "y", "z"), ["x", "y", "z"], radius)
+    r = reference.select(*by, F.col("pid").alias("rid"), *(F.col(a).alias(f"r{a}") for a in "xyz"), *(cell(a, radius).alias(f"c_{a}") for a in "xyz"))
+    q = neighbours(queries.select(*by, "pid", "x", "y", "z"), ["x", "y", "z"], radius)
     d = F.sqrt(sum((F.col(a) - F.col(f"r{a}")) * (F.col(a) - F.col(f"r{a}")) for a in "xyz"))
-    near = q.join(r, ["c_x", "c_y", "c_z"]).withColumn("dist", d).where(F.col("dist") < radius)
-    best = near.groupBy(F.col("pid").alias("qid")).agg(F.min(F.struct("dist", "rid")).alias("m"))
-    return best.select("qid", F.col("m.rid").alias("pid"), F.col("m.dist").alias("dist"))
+    near = q.join(r, [*by, "c_x", "c_y", "c_z"]).withColumn("dist", d).where(F.col("dist") < radius)
+    best = near.groupBy(*by, F.col("pid").alias("qid")).agg(F.min(F.struct("dist", "rid")).alias("m"))
+    return best.select(*by, "qid", F.col("m.rid").alias("pid"), F.col("m.dist").alias("dist"))
 
 
-def boxes_holding(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
-    """Points with each box (x_min, x_max, y_min, y_max) that holds them, both ends included (JOI6).
+def boxes_holding(points: DataFrame, boxes: DataFrame, size: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """Points with each box (x_min, x_max, y_min, y_max) of their scene (by) that holds them, both ends included (JOI6).
 
     A box lists the cells that it covers; a point meets the boxes of its own cell only.
     """
@@ -40,4 +40,4 @@ def boxes_holding(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame
     b = boxes.withColumn("c_x", F.explode(span("x"))).withColumn("c_y", F.explode(span("y")))
     p = points.withColumns({"c_x": cell("x", size), "c_y": cell("y", size)})
     inside = (F.col("x") >= F.col("x_min")) & (F.col("x") <= F.col("x_max")) & (F.col("y") >= F.col("y_min")) & (F.col("y") <= F.col("y_max"))
-    return p.join(b, ["c_x", "c_y"]).where(inside).drop("c_x", "c_y")
+    return p.join(b, [*by, "c_x", "c_y"]).where(inside).drop("c_x", "c_y")

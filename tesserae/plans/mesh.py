@@ -49,35 +49,35 @@ def geo2_affine(spark, d):
     return _faces(spark, d).select("fid", R(x).alias("x"), R(y).alias("y"), R(z).alias("z"))
 
 
-_BOX = "(SELECT instance, min(least(x0, x1, x2)) AS x_min, max(greatest(x0, x1, x2)) AS x_max, min(least(y0, y1, y2)) AS y_min, max(greatest(y0, y1, y2)) AS y_max FROM faces GROUP BY instance)"
+_BOX = "(SELECT scene_id, instance, min(least(x0, x1, x2)) AS x_min, max(greatest(x0, x1, x2)) AS x_max, min(least(y0, y1, y2)) AS y_min, max(greatest(y0, y1, y2)) AS y_max FROM faces GROUP BY scene_id, instance)"
 
 
-def _boxes(f: DataFrame, key: str = "instance") -> DataFrame:
-    return f.groupBy(key).agg(*(F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min") for a in "xyz"), *(F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max") for a in "xyz"))
+def _boxes(f: DataFrame, *keys: str) -> DataFrame:
+    return f.groupBy(*(keys or ("scene_id", "instance"))).agg(*(F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min") for a in "xyz"), *(F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max") for a in "xyz"))
 
 
-@query(f"""WITH {FACES}, b AS {_BOX}, s AS (SELECT min(x_min) AS sx0, max(x_max) AS sx1, min(y_min) AS sy0, max(y_max) AS sy1 FROM b)
-SELECT instance, round(greatest(x_min - 0.75, sx0) + 1e-9, 4) AS x_min, round(least(x_max + 0.75, sx1) + 1e-9, 4) AS x_max, round(greatest(y_min - 0.75, sy0) + 1e-9, 4) AS y_min, round(least(y_max + 0.75, sy1) + 1e-9, 4) AS y_max FROM b, s""")
+@query(f"""WITH {FACES}, b AS {_BOX}, s AS (SELECT scene_id, min(x_min) AS sx0, max(x_max) AS sx1, min(y_min) AS sy0, max(y_max) AS sy1 FROM b GROUP BY scene_id)
+SELECT scene_id, instance, round(greatest(x_min - 0.75, sx0) + 1e-9, 4) AS x_min, round(least(x_max + 0.75, sx1) + 1e-9, 4) AS x_max, round(greatest(y_min - 0.75, sy0) + 1e-9, 4) AS y_min, round(least(y_max + 0.75, sy1) + 1e-9, 4) AS y_max FROM b JOIN s USING (scene_id)""")
 def geo4_expanded_bounds(spark, d):
-    b = _boxes(_faces(spark, d)).select("instance", "x_min", "x_max", "y_min", "y_max")
-    s = b.agg(F.min("x_min").alias("sx0"), F.max("x_max").alias("sx1"), F.min("y_min").alias("sy0"), F.max("y_max").alias("sy1"))
-    b = b.join(F.broadcast(s))  # one row
+    b = _boxes(_faces(spark, d)).select("scene_id", "instance", "x_min", "x_max", "y_min", "y_max")
+    s = b.groupBy("scene_id").agg(F.min("x_min").alias("sx0"), F.max("x_max").alias("sx1"), F.min("y_min").alias("sy0"), F.max("y_max").alias("sy1"))
+    b = b.join(s, "scene_id")
     grown = {"x_min": F.greatest(F.col("x_min") - 0.75, "sx0"), "x_max": F.least(F.col("x_max") + 0.75, "sx1"), "y_min": F.greatest(F.col("y_min") - 0.75, "sy0"), "y_max": F.least(F.col("y_max") + 0.75, "sy1")}
-    return b.select("instance", *(R(c).alias(k) for k, c in grown.items()))
+    return b.select("scene_id", "instance", *(R(c).alias(k) for k, c in grown.items()))
 
 
-_ANCHORS = "anchors AS (SELECT n_nationkey AS anchor, n_nationkey % 5 * 3e0 AS ax, n_nationkey // 5 * 3e0 AS ay FROM nation)"
+_ANCHORS = "anchors AS (SELECT 's' || (n_nationkey % 3) AS scene_id, n_nationkey AS anchor, n_nationkey % 5 * 3e0 AS ax, n_nationkey // 5 * 3e0 AS ay FROM nation)"
 _SECTOR = "CASE WHEN hypot > 1e-9 THEN (cx - ax) / hypot ELSE 0e0 END >= cos(radians(44)) AND hypot <= 4 AND cz BETWEEN 0 AND 0.09"
 
 
-@query(f"""WITH {FACES}, {_ANCHORS}, j AS (SELECT anchor, ax, cx, cz, area, sqrt((cx - ax) * (cx - ax) + (cy - ay) * (cy - ay)) AS hypot FROM faces, anchors WHERE abs(cx - ax) <= 4 AND abs(cy - ay) <= 4)
+@query(f"""WITH {FACES}, {_ANCHORS}, j AS (SELECT anchor, ax, cx, cz, area, sqrt((cx - ax) * (cx - ax) + (cy - ay) * (cy - ay)) AS hypot FROM faces JOIN anchors USING (scene_id) WHERE abs(cx - ax) <= 4 AND abs(cy - ay) <= 4)
 SELECT anchor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area FROM j WHERE {_SECTOR} GROUP BY anchor""")
 def joi7_observation_sector(spark, d):
     """Faces whose centroid is in an observer's sector: observers list the cells that they reach (GEO5, JOI7)."""
-    a = X.read(spark, d, "nation").selectExpr("n_nationkey AS anchor", "n_nationkey % 5 * 3e0 AS ax", "n_nationkey div 5 * 3e0 AS ay")
+    a = X.read(spark, d, "nation").selectExpr("concat('s', n_nationkey % 3) AS scene_id", "n_nationkey AS anchor", "n_nationkey % 5 * 3e0 AS ax", "n_nationkey div 5 * 3e0 AS ay")
     a = a.withColumns({"x_min": F.col("ax") - 4, "x_max": F.col("ax") + 4, "y_min": F.col("ay") - 4, "y_max": F.col("ay") + 4})
-    f = _faces(spark, d).select(F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "area")
-    near = spatial.boxes_holding(f, a, 4.0)
+    f = _faces(spark, d).select("scene_id", F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "area")
+    near = spatial.boxes_holding(f, a, 4.0, ("scene_id",))
     inside = near.where(G.in_sector(F.col("x") - F.col("ax"), F.col("y") - F.col("ay"), F.col("z"), F.lit(1.0), F.lit(0.0), 4.0, 44.0, F.lit(0.0), F.lit(0.09)))
     return inside.groupBy("anchor").agg(F.count("*").alias("n_faces"), R(F.sum("area"), 3).alias("area"))
 
@@ -104,7 +104,7 @@ def fil1_over_budget(spark, d):
 
 @query(f"WITH {FACES} SELECT fid, round(area + 1e-9, 4) AS area FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10")
 def fil5_upward_faces(spark, d):
-    return _face_table(spark, d).where((F.col("nz") >= F.cos(F.radians(F.lit(15)))) & (F.col("area") > 1e-10)).select("fid", R(F.col("area")).alias("area"))
+    return upward_faces(_face_table(spark, d)).select("fid", R(F.col("area")).alias("area"))
 
 
 _SUPPORT = "semantic IN (3, 4, 5, 6) AND observed AND core AND visibility >= 1 AND nz >= cos(radians(12)) AND 2 * area > 1e-12"
@@ -131,31 +131,32 @@ def agg1_scene_statistics(spark, d):
     return _faces(spark, d).groupBy("scene_id", "instance").agg(F.count("*").alias("n_faces"), F.countDistinct("semantic").alias("n_classes"), R(F.sum("area"), 3).alias("area"), R(F.min(F.least("x0", "x1", "x2"))).alias("x_min"), R(F.max(F.greatest("x0", "x1", "x2"))).alias("x_max"))
 
 
-@query(f"""WITH {FACES}, b AS {_BOX}, j AS (SELECT b.instance AS region, fid, area, cx BETWEEN x_min AND x_max AND cy BETWEEN y_min AND y_max AS core FROM faces f, b WHERE cx BETWEEN x_min - 0.75 AND x_max + 0.75 AND cy BETWEEN y_min - 0.75 AND y_max + 0.75)
+@query(f"""WITH {FACES}, b AS {_BOX}, j AS (SELECT b.instance AS region, fid, area, cx BETWEEN x_min AND x_max AND cy BETWEEN y_min AND y_max AS core FROM faces f JOIN b USING (scene_id) WHERE cx BETWEEN x_min - 0.75 AND x_max + 0.75 AND cy BETWEEN y_min - 0.75 AND y_max + 0.75)
 SELECT region, sum(CASE WHEN core THEN 1 ELSE 0 END)::BIGINT AS n_core, sum(CASE WHEN core THEN 0 ELSE 1 END)::BIGINT AS n_context, ceil(round(sum(CASE WHEN core THEN area ELSE 0 END) * 2500 + 1e-9, 3))::BIGINT AS n_points FROM j GROUP BY region""")
 def joi6_region_halo(spark, d):
     """Core and context faces of each region by the cells of its widened bounds (JOI6, AGG2)."""
     f = _faces(spark, d)
-    b = _boxes(f).selectExpr("instance AS region", "x_min AS kx0", "x_max AS kx1", "y_min AS ky0", "y_max AS ky1", "x_min - 0.75 AS x_min", "x_max + 0.75 AS x_max", "y_min - 0.75 AS y_min", "y_max + 0.75 AS y_max")
-    j = spatial.boxes_holding(f.select("fid", "area", F.col("cx").alias("x"), F.col("cy").alias("y")), b, 2.0)
+    b = _boxes(f).selectExpr("scene_id", "instance AS region", "x_min AS kx0", "x_max AS kx1", "y_min AS ky0", "y_max AS ky1", "x_min - 0.75 AS x_min", "x_max + 0.75 AS x_max", "y_min - 0.75 AS y_min", "y_max + 0.75 AS y_max")
+    j = spatial.boxes_holding(f.select("scene_id", "fid", "area", F.col("cx").alias("x"), F.col("cy").alias("y")), b, 2.0, ("scene_id",))
     j = j.withColumn("core", F.expr("x BETWEEN kx0 AND kx1 AND y BETWEEN ky0 AND ky1"))
     return j.groupBy("region").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_context"), F.ceil(R(F.sum(F.when(F.col("core"), F.col("area")).otherwise(0.0)) * 2500, 3)).alias("n_points"))
 
 
 def patches(f: DataFrame) -> DataFrame:
-    """(fid, patch): support faces of one class and instance that share vertices; a patch is its smallest face's id (ITR4).
+    """(fid, patch): support faces of one scene, class and instance that share vertices; a patch is its smallest face's id (ITR4).
 
     Faces meet at their vertices: each is linked with the smallest face of its group at each of its
     vertices, which keeps a vertex of many faces linear.
     """
-    corner = f.select("fid", "semantic", "instance", F.explode(F.array("v0", "v1", "v2")).alias("v"))
-    first = corner.groupBy("semantic", "instance", "v").agg(F.min("fid").alias("low"))
-    comp = connected_components(corner.join(first, ["semantic", "instance", "v"]).select("fid", "low"), "fid", "low")
+    group = ["scene_id", "semantic", "instance", "v"]
+    corner = f.select("scene_id", "fid", "semantic", "instance", F.explode(F.array("v0", "v1", "v2")).alias("v"))
+    first = corner.groupBy(*group).agg(F.min("fid").alias("low"))
+    comp = connected_components(corner.join(first, group).select("fid", "low"), "fid", "low")
     return f.join(comp.withColumnRenamed("node", "fid"), "fid", "left").withColumn("patch", F.coalesce("component", "fid")).drop("component")
 
 
-_PATCH = f"""{FACES}, s AS (SELECT * FROM faces WHERE {_SUPPORT}), c AS (SELECT fid, semantic, instance, unnest([v0, v1, v2]) AS v FROM s),
-e AS (SELECT DISTINCT a.fid AS a, b.fid AS b FROM c a JOIN c b USING (semantic, instance, v)),
+_PATCH = f"""{FACES}, s AS (SELECT * FROM faces WHERE {_SUPPORT}), c AS (SELECT scene_id, fid, semantic, instance, unnest([v0, v1, v2]) AS v FROM s),
+e AS (SELECT DISTINCT a.fid AS a, b.fid AS b FROM c a JOIN c b USING (scene_id, semantic, instance, v)),
 reach AS (SELECT fid, fid AS root FROM s UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.fid WHERE r.root < e.b),
 p AS (SELECT fid, min(root) AS patch FROM reach GROUP BY fid), sp AS (SELECT * FROM s JOIN p USING (fid))"""
 
@@ -165,19 +166,26 @@ def itr4_mesh_components(spark, d):
     return patches(support_faces(_face_table(spark, d))).select("fid", "patch")
 
 
-_SUMMARY = "q AS (SELECT patch, min(semantic) AS semantic, min(instance) AS instance, count(*) AS n_faces, round(sum(area) + 1e-9, 4) AS area, round(sum(area * cx) / sum(area) + 1e-9, 4) AS x, round(sum(area * cy) / sum(area) + 1e-9, 4) AS y, round(sum(area * cz) / sum(area) + 1e-9, 4) AS z FROM sp GROUP BY patch HAVING round(sum(area) + 1e-9, 4) >= 0.04)"
+_SUMMARY = f"q AS (SELECT patch, min(scene_id) AS scene_id, min(semantic) AS semantic, min(instance) AS instance, count(*) AS n_faces, round(sum(area) + 1e-9, 4) AS area, round(sum(area * cx) / sum(area) + 1e-9, 4) AS x, round(sum(area * cy) / sum(area) + 1e-9, 4) AS y, round(sum(area * cz) / sum(area) + 1e-9, 4) AS z, {", ".join(f"round(sum(area * n{a}) / sqrt(sum(area * nx) * sum(area * nx) + sum(area * ny) * sum(area * ny) + sum(area * nz) * sum(area * nz)) + 1e-9, 4) + 0e0 AS n{a}" for a in "xyz")}, {", ".join(f"round(min(least({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_min, round(max(greatest({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_max" for a in "xyz")} FROM sp GROUP BY patch HAVING sum(area) >= 0.04)"
 
 
-def patch_summary(p: DataFrame) -> DataFrame:
-    """Totals of each patch, small ones left out (AGG20)."""
-    mean = lambda c: R(F.sum(F.col("area") * F.col(c)) / F.sum("area"))
-    s = p.groupBy("patch").agg(F.min("semantic").alias("semantic"), F.min("instance").alias("instance"), F.count("*").alias("n_faces"), R(F.sum("area")).alias("area"), mean("cx").alias("x"), mean("cy").alias("y"), mean("cz").alias("z"))
-    return s.where("area >= 0.04")
+def patch_summary(p: DataFrame, least_area: float = 0.04) -> DataFrame:
+    """Each patch's faces, area, weighted centroid, weighted unit normal (nx, ny, nz) and bounds; patches of less area are left out (AGG20)."""
+    total = lambda c: F.sum(F.col("area") * F.col(c))
+    size = F.sqrt(sum(total(f"n{a}") * total(f"n{a}") for a in "xyz"))
+    bounds = [x for a in "xyz" for x in (F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min"), F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max"))]
+    s = p.groupBy("patch").agg(F.min("scene_id").alias("scene_id"), F.min("semantic").alias("semantic"), F.min("instance").alias("instance"), F.count("*").alias("n_faces"), F.sum("area").alias("area"), *((total(f"c{a}") / F.sum("area")).alias(a) for a in "xyz"), *((total(f"n{a}") / F.greatest(size, F.lit(1e-12))).alias(f"n{a}") for a in "xyz"), *bounds)
+    return s.where(F.col("area") >= least_area)
+
+
+def _rounded(s: DataFrame) -> DataFrame:
+    """Figures to four places, for the comparison with SQL."""
+    return s.select(*((R(F.col(c)) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in s.dtypes))
 
 
 @query(f"WITH RECURSIVE {_PATCH}, {_SUMMARY} SELECT * FROM q")
 def agg20_patch_summary(spark, d):
-    return patch_summary(patches(support_faces(_face_table(spark, d))))
+    return _rounded(patch_summary(patches(support_faces(_face_table(spark, d)))))
 
 
 def boundary_edges(p: DataFrame) -> DataFrame:
@@ -230,33 +238,47 @@ def geo9_boundary_clearance(spark, d):
     return clearances(candidates(p), boundary_edges(p))
 
 
-@query(f"WITH RECURSIVE {_PATCH}, {_SUMMARY}, {_EDGES}, {_TOP}, {_CLEAR}, n AS (SELECT patch, 'support_' || lpad((row_number() OVER (ORDER BY semantic, instance, patch) - 1)::VARCHAR, 5, '0') AS patch_id FROM q), b AS (SELECT patch, max(clearance) AS best FROM cl GROUP BY patch) SELECT patch_id, q.*, best FROM q JOIN n USING (patch) JOIN b USING (patch)")
+@query(f"WITH RECURSIVE {_PATCH}, {_SUMMARY}, {_EDGES}, {_TOP}, {_CLEAR}, n AS (SELECT patch, 'support_' || lpad((row_number() OVER (PARTITION BY scene_id ORDER BY semantic, instance, patch) - 1)::VARCHAR, 5, '0') AS patch_id FROM q), b AS (SELECT patch, max(clearance) AS best FROM cl GROUP BY patch) SELECT patch_id, q.*, best FROM q JOIN n USING (patch) JOIN b USING (patch)")
 def support_patches(spark, d):
     """Support patches in full: components, totals, numbering and the clearest candidate (FIL6, ITR4, AGG20, AGG21, GEO9, TOP2, TOP3)."""
     p = materialize(patches(support_faces(_face_table(spark, d))), "patches")
-    q = patch_summary(p).withColumn("scene_id", F.lit("s0"))
+    q = _rounded(patch_summary(p))
     number = F.row_number().over(Window.partitionBy("scene_id").orderBy("semantic", "instance", "patch")) - 1
-    q = q.withColumn("patch_id", F.concat(F.lit("support_"), F.lpad(number.cast("string"), 5, "0"))).drop("scene_id")
+    q = q.withColumn("patch_id", F.concat(F.lit("support_"), F.lpad(number.cast("string"), 5, "0")))
     best = clearances(candidates(p), boundary_edges(p)).groupBy("patch").agg(F.max("clearance").alias("best"))
     return q.join(best, "patch")
 
 
 _FLOOR = f"""{FACES}, up AS (SELECT *, floor(cx / 0.5)::BIGINT AS gx, floor(cy / 0.5)::BIGINT AS gy, floor(cz / 0.25)::BIGINT AS gz FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10),
-cells AS (SELECT DISTINCT gx, gy, gz, gx * 1000000 + gy * 1000 + gz AS k FROM up),
-fe AS (SELECT a.k AS a, b.k AS b FROM cells a JOIN cells b ON abs(a.gx - b.gx) <= 1 AND abs(a.gy - b.gy) <= 1 AND abs(a.gz - b.gz) <= 1),
+cells AS (SELECT DISTINCT scene_id, gx, gy, gz, scene_id || '/' || gx || '/' || gy || '/' || gz AS k FROM up),
+fe AS (SELECT a.k AS a, b.k AS b FROM cells a JOIN cells b ON a.scene_id = b.scene_id AND abs(a.gx - b.gx) <= 1 AND abs(a.gy - b.gy) <= 1 AND abs(a.gz - b.gz) <= 1),
 fr AS (SELECT k, k AS root FROM cells UNION SELECT fe.b, r.root FROM fr r JOIN fe ON fe.a = r.k WHERE r.root < fe.b),
 fc AS (SELECT k, min(root) AS floor FROM fr GROUP BY k)"""
 
 
-@query(f"WITH RECURSIVE {_FLOOR} SELECT floor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, round(median(cz) + 1e-9, 4) AS z FROM up JOIN fc ON fc.k = gx * 1000000 + gy * 1000 + gz GROUP BY floor HAVING round(sum(area) + 1e-9, 3) >= 2")
-def itr2_floors(spark, d):
-    """Floors: upward faces flooded over neighbouring cells, small ones left out (ITR2, AGG3)."""
-    up = _face_table(spark, d).where((F.col("nz") >= F.cos(F.radians(F.lit(15)))) & (F.col("area") > 1e-10))
-    up = up.withColumns({"c_x": spatial.cell("cx", 0.5), "c_y": spatial.cell("cy", 0.5), "c_z": spatial.cell("cz", 0.25)}).withColumn("k", F.expr("c_x * 1000000 + c_y * 1000 + c_z"))
-    cells = up.select("c_x", "c_y", "c_z", "k").distinct()
-    near = cells.select(F.col("k").alias("a"), *(F.explode(F.expr(f"sequence(c_{a} - 1, c_{a} + 1)")).alias(f"c_{a}") if a == "x" else F.col(f"c_{a}") for a in "xyz"))
-    for a in "yz":
-        near = near.withColumn(f"c_{a}", F.explode(F.expr(f"sequence(c_{a} - 1, c_{a} + 1)")))
-    comp = connected_components(near.join(cells.withColumnRenamed("k", "b"), ["c_x", "c_y", "c_z"]), "a", "b")
+def upward_faces(f: DataFrame, degrees: float = 15, least_area: float = 1e-10) -> DataFrame:
+    """Faces that look up (FIL5)."""
+    return f.where((F.col("nz") >= F.cos(F.radians(F.lit(degrees)))) & (F.col("area") > least_area))
+
+
+def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: float = 2.0) -> DataFrame:
+    """(floor, n_faces, area, z): each scene's upward faces flooded over neighbouring cells, small floors left out (ITR2, AGG3).
+
+    A cell is known by its scene and its three numbers; an edge is listed once, from the cell that
+    comes first in 13 of the 26 directions.
+    """
+    up = up.withColumns({"c_x": spatial.cell("cx", size), "c_y": spatial.cell("cy", size), "c_z": spatial.cell("cz", height)})
+    axes = ["scene_id", "c_x", "c_y", "c_z"]
+    up = up.withColumn("k", F.concat_ws("/", *axes))
+    cells = up.select(*axes, "k").distinct()
+    steps = [(x, y, z) for x in (0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1) if (x, y, z) > (0, 0, 0)]
+    step = F.explode(F.array(*(F.struct(*(F.lit(v).alias(a) for a, v in zip("xyz", t, strict=True))) for t in steps)))
+    near = cells.withColumn("s", step).select("scene_id", F.col("k").alias("a"), *((F.col(f"c_{a}") + F.col(f"s.{a}")).alias(f"c_{a}") for a in "xyz"))
+    comp = connected_components(near.join(cells.withColumnRenamed("k", "b"), axes), "a", "b")
     joined = up.join(comp.withColumnRenamed("node", "k"), "k", "left").withColumn("floor", F.coalesce("component", "k"))
-    return joined.groupBy("floor").agg(F.count("*").alias("n_faces"), R(F.sum("area"), 3).alias("area"), R(F.median("cz")).alias("z")).where("area >= 2")
+    return joined.groupBy("floor").agg(F.count("*").alias("n_faces"), F.sum("area").alias("area"), F.median("cz").alias("z")).where(F.col("area") >= least_area)
+
+
+@query(f"WITH RECURSIVE {_FLOOR} SELECT floor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, round(median(cz) + 1e-9, 4) AS z FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz GROUP BY floor HAVING sum(area) >= 2")
+def itr2_floors(spark, d):
+    return floors(upward_faces(_face_table(spark, d))).select("floor", "n_faces", R(F.col("area"), 3).alias("area"), R(F.col("z")).alias("z"))

@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def _anchors(spark, d) -> DataFrame:
-    return X.read(spark, d, "nation").selectExpr("n_nationkey AS anchor", "n_nationkey % 5 * 3e0 AS ax", "n_nationkey div 5 * 3e0 AS ay")
+    return X.read(spark, d, "nation").selectExpr("concat('s', n_nationkey % 3) AS scene_id", "n_nationkey AS anchor", "n_nationkey % 5 * 3e0 AS ax", "n_nationkey div 5 * 3e0 AS ay")
 
 
 def _reach(a: DataFrame, r: float) -> DataFrame:
@@ -53,15 +53,15 @@ _PROBES = [("cx", "cy", "cz")] + [tuple(f"{a}{k}" for a in "xyz") for k in range
 _WIDE = 44 + math.degrees(math.atan2(1.5, 4))
 
 
-@query(f"""WITH {FACES}, {_ANCHORS}, pr AS (SELECT fid, unnest([{", ".join(f"{{'k': {k}, 'x': {x}, 'y': {y}, 'z': {z}}}" for k, (x, y, z) in enumerate(_PROBES))}]) AS p FROM faces),
-j AS (SELECT anchor, fid, p.k AS k, p.x - ax AS dx, p.y - ay AS dy, p.z AS z, sqrt((p.x - ax) * (p.x - ax) + (p.y - ay) * (p.y - ay)) AS r FROM pr, anchors WHERE abs(p.x - ax) <= 5.5 AND abs(p.y - ay) <= 5.5),
+@query(f"""WITH {FACES}, {_ANCHORS}, pr AS (SELECT scene_id, fid, unnest([{", ".join(f"{{'k': {k}, 'x': {x}, 'y': {y}, 'z': {z}}}" for k, (x, y, z) in enumerate(_PROBES))}]) AS p FROM faces),
+j AS (SELECT anchor, fid, p.k AS k, p.x - ax AS dx, p.y - ay AS dy, p.z AS z, sqrt((p.x - ax) * (p.x - ax) + (p.y - ay) * (p.y - ay)) AS r FROM pr JOIN anchors USING (scene_id) WHERE abs(p.x - ax) <= 5.5 AND abs(p.y - ay) <= 5.5),
 s AS (SELECT anchor, fid, bool_or(k = 0 AND r <= 4 AND CASE WHEN r > 1e-9 THEN dx / r ELSE 0 END >= cos(radians(44)) AND z BETWEEN 0 AND 0.09) AS core FROM j WHERE r <= 5.5 AND CASE WHEN r > 1e-9 THEN dx / r ELSE 0 END >= cos(radians({_WIDE!r})) AND z BETWEEN -0.5 AND 0.59 GROUP BY anchor, fid)
 SELECT anchor, count(*) AS n_faces, sum(core::INT)::BIGINT AS n_core FROM s GROUP BY anchor""")
 def joi7_observation_context(spark, d):
     """Faces that an observer's widened sector meets at any of seven probes, and those whose centroid is in the sector (JOI7)."""
     probe = [F.struct(F.lit(k).alias("k"), *(F.expr(e).alias(a) for a, e in zip("xyz", p, strict=True))) for k, p in enumerate(_PROBES)]
-    p = _faces(spark, d).select("fid", F.explode(F.array(*probe)).alias("p")).select("fid", "p.*")
-    near = spatial.boxes_holding(p, _reach(_anchors(spark, d), 5.5), 4.0)
+    p = _faces(spark, d).select("scene_id", "fid", F.explode(F.array(*probe)).alias("p")).select("scene_id", "fid", "p.*")
+    near = spatial.boxes_holding(p, _reach(_anchors(spark, d), 5.5), 4.0, ("scene_id",))
     sector = lambda r, half, low, high: G.in_sector(F.col("x") - F.col("ax"), F.col("y") - F.col("ay"), F.col("z"), F.lit(1.0), F.lit(0.0), r, half, F.lit(low), F.lit(high))
     met = near.where(sector(5.5, _WIDE, -0.5, 0.59)).groupBy("anchor", "fid").agg(F.bool_or((F.col("k") == 0) & sector(4.0, 44.0, 0.0, 0.09)).alias("core"))
     return met.groupBy("anchor").agg(F.count("*").alias("n_faces"), F.count_if("core").alias("n_core"))
@@ -76,7 +76,7 @@ def _dot(a: list[Column], b: list[Column]) -> Column:
 
 
 def ray_hits(rays: DataFrame, faces: DataFrame, size: float = 0.5) -> DataFrame:
-    """(ray, n_hits, t): faces that each ray (ray, ox..oz, unit dx..dz, len) meets, and the nearest distance; rays without a hit have no row (JOI14).
+    """(ray, n_hits, t, nz): faces of its scene_id that each ray (ray, ox..oz, unit dx..dz, len) meets, the nearest distance and the upward part of the nearest face's normal; rays without a hit have no row (JOI14).
 
     Rays and triangles list the cells in XY that their boxes cover and meet there; a pair counts in
     the first cell that both cover only. The rest is column arithmetic.
@@ -87,25 +87,25 @@ def ray_hits(rays: DataFrame, faces: DataFrame, size: float = 0.5) -> DataFrame:
     for a in "xy":
         end = c(f"o{a}") + c(f"d{a}") * c("len")
         r = r.withColumn(f"r{a}", F.floor(F.least(c(f"o{a}"), end) / size).cast("long")).withColumn(f"c_{a}", F.explode(cells(F.least(c(f"o{a}"), end), F.greatest(c(f"o{a}"), end))))
-    f = faces.select("fid", *(f"{a}{k}" for k in range(3) for a in "xyz"))
+    f = faces.select("scene_id", "nz", *(f"{a}{k}" for k in range(3) for a in "xyz"))
     for a in "xy":
         low, high = F.least(*(f"{a}{k}" for k in range(3))), F.greatest(*(f"{a}{k}" for k in range(3)))
         f = f.withColumn(f"f{a}", F.floor(low / size).cast("long")).withColumn(f"c_{a}", F.explode(cells(low, high)))
-    j = r.join(f, ["c_x", "c_y"]).where(" AND ".join(f"c_{a} = greatest(r{a}, f{a})" for a in "xy"))
+    j = r.join(f, ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{a} = greatest(r{a}, f{a})" for a in "xy"))
     e1, e2 = ([c(f"{a}{k}") - c(f"{a}0") for a in "xyz"] for k in (1, 2))
     o, dv = [c(f"o{a}") - c(f"{a}0") for a in "xyz"], [c(f"d{a}") for a in "xyz"]
     p = _cross(dv, e2)
     det, q = _dot(e1, p), _cross(o, e1)
     j = j.withColumns({"det": det, "u": _dot(o, p), "v": _dot(dv, q), "w": _dot(e2, q)}).where("abs(det) > 1e-12")
-    j = j.selectExpr("ray", "len", "u / det AS u", "v / det AS v", "w / det AS t").where("u >= 0 AND v >= 0 AND u + v <= 1 AND t >= 0 AND t <= len")
-    return j.groupBy("ray").agg(F.count("*").alias("n_hits"), F.min("t").alias("t"))
+    j = j.selectExpr("ray", "nz", "len", "u / det AS u", "v / det AS v", "w / det AS t").where("u >= 0 AND v >= 0 AND u + v <= 1 AND t >= 0 AND t <= len")
+    return j.groupBy("ray").agg(F.count("*").alias("n_hits"), F.min("t").alias("t"), F.min(F.struct("t", "nz")).getField("nz").alias("nz"))
 
 
-_RAYS = """rays AS (SELECT c_custkey * 2 + k AS ray, (c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001 AS ox, (c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002 AS oy, CASE WHEN k = 0 THEN 1e0 ELSE 0.05e0 END AS oz,
+_RAYS = """rays AS (SELECT 's' || (c_custkey % 3) AS scene_id, c_custkey * 2 + k AS ray, (c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001 AS ox, (c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002 AS oy, CASE WHEN k = 0 THEN 1e0 ELSE 0.05e0 END AS oz,
   CASE WHEN k = 0 THEN 0e0 ELSE cos(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dx, CASE WHEN k = 0 THEN 0e0 ELSE sin(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dy, CASE WHEN k = 0 THEN -1e0 ELSE 0e0 END AS dz, CASE WHEN k = 0 THEN 2e0 ELSE 0.35e0 END AS len FROM customer, (VALUES (0), (1)) t(k))"""
 _x = lambda a, b: [f"({a[1]} * {b[2]} - {a[2]} * {b[1]})", f"({a[2]} * {b[0]} - {a[0]} * {b[2]})", f"({a[0]} * {b[1]} - {a[1]} * {b[0]})"]
 _d = lambda a, b: f"({a[0]} * {b[0]} + {a[1]} * {b[1]} + {a[2]} * {b[2]})"
-_HITS = f"""mt AS (SELECT ray, len, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
+_HITS = f"""mt AS (SELECT ray, len, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON rays.scene_id = faces.scene_id AND least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
 mu AS (SELECT *, {_d(["e1x", "e1y", "e1z"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS det, {_d(["sx", "sy", "sz"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS u, {_d(["dx", "dy", "dz"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS v, {_d(["e2x", "e2y", "e2z"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS w FROM mt),
 hits AS (SELECT ray, count(*) AS n_hits, min(w / det) AS t FROM mu WHERE abs(det) > 1e-12 AND u / det >= 0 AND v / det >= 0 AND u / det + v / det <= 1 AND w / det BETWEEN 0 AND len GROUP BY ray)"""
 
@@ -114,7 +114,7 @@ def _rays(spark, d) -> DataFrame:
     down = "k = 0"
     yaw = "radians(c_custkey % 16 * 22.5e0 + 1)"
     r = X.read(spark, d, "customer").select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-    return r.selectExpr("c_custkey * 2 + k AS ray", "(c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001e0 AS ox", "(c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002e0 AS oy", f"if({down}, 1e0, 0.05e0) AS oz", f"if({down}, 0e0, cos({yaw})) AS dx", f"if({down}, 0e0, sin({yaw})) AS dy", f"if({down}, -1e0, 0e0) AS dz", f"if({down}, 2e0, 0.35e0) AS len")
+    return r.selectExpr("concat('s', c_custkey % 3) AS scene_id", "c_custkey * 2 + k AS ray", "(c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001e0 AS ox", "(c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002e0 AS oy", f"if({down}, 1e0, 0.05e0) AS oz", f"if({down}, 0e0, cos({yaw})) AS dx", f"if({down}, 0e0, sin({yaw})) AS dy", f"if({down}, -1e0, 0e0) AS dz", f"if({down}, 2e0, 0.35e0) AS len")
 
 
 @query(f"WITH {FACES}, {_RAYS}, {_HITS} SELECT rays.ray, coalesce(n_hits, 0) AS n_hits, round(coalesce(t, -1) + 1e-9, 4) AS t FROM rays LEFT JOIN hits USING (ray)")
@@ -125,25 +125,25 @@ def joi14_line_of_sight(spark, d):
 
 
 def touching(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
-    """Pairs of boxes (x_min..z_max) of a (key a) and b (key b) that overlap, each found in the first cell that both cover (JOI15)."""
+    """Pairs of boxes (x_min..z_max) of one scene_id, of a (key a) and b (key b), that overlap, each found in the first cell that both cover (JOI15)."""
 
     def spread(df: DataFrame, p: str) -> DataFrame:
-        df = df.select(p, *(F.col(f"{x}_{m}").alias(f"{p}{x}_{m}") for x in "xyz" for m in ("min", "max")))
+        df = df.select("scene_id", p, *(F.col(f"{x}_{m}").alias(f"{p}{x}_{m}") for x in "xyz" for m in ("min", "max")))
         for x in "xy":
             df = df.withColumn(f"{p}{x}", F.floor(F.col(f"{p}{x}_min") / size).cast("long")).withColumn(f"c_{x}", F.explode(F.sequence(F.floor(F.col(f"{p}{x}_min") / size).cast("long"), F.floor(F.col(f"{p}{x}_max") / size).cast("long"))))
         return df
 
-    j = spread(a, "a").join(spread(b, "b"), ["c_x", "c_y"]).where(" AND ".join(f"c_{x} = greatest(a{x}, b{x})" for x in "xy"))
+    j = spread(a, "a").join(spread(b, "b"), ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{x} = greatest(a{x}, b{x})" for x in "xy"))
     return j.where(" AND ".join(f"a{x}_min < b{x}_max AND b{x}_min < a{x}_max" for x in "xyz")).select("a", "b")
 
 
-@query(f"""WITH {FACES}, ob AS (SELECT fid AS a, cx - 0.2 AS x_min, cx + 0.2 AS x_max, cy - 0.2 AS y_min, cy + 0.2 AS y_max, cz + 0.02 AS z_min, cz + 0.42 AS z_max FROM faces WHERE {_SUPPORT})
-SELECT a AS fid, count(*) AS n_touching FROM ob JOIN faces ON {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY a""")
+@query(f"""WITH {FACES}, ob AS (SELECT scene_id, fid AS a, cx - 0.2 AS x_min, cx + 0.2 AS x_max, cy - 0.2 AS y_min, cy + 0.2 AS y_max, cz + 0.02 AS z_min, cz + 0.42 AS z_max FROM faces WHERE {_SUPPORT})
+SELECT a AS fid, count(*) AS n_touching FROM ob JOIN faces ON ob.scene_id = faces.scene_id AND {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY a""")
 def joi15_interference(spark, d):
     """Scene faces whose boxes touch an object of side 0.4 set on each candidate point; candidates without any have no row."""
     f = _face_table(spark, d)
-    ob = support_faces(f).selectExpr("fid AS a", "cx - 0.2e0 AS x_min", "cx + 0.2e0 AS x_max", "cy - 0.2e0 AS y_min", "cy + 0.2e0 AS y_max", "cz + 0.02e0 AS z_min", "cz + 0.42e0 AS z_max")
-    fb = f.select(F.col("fid").alias("b"), *(e for x in "xyz" for e in (F.least(*(f"{x}{k}" for k in range(3))).alias(f"{x}_min"), F.greatest(*(f"{x}{k}" for k in range(3))).alias(f"{x}_max"))))
+    ob = support_faces(f).selectExpr("scene_id", "fid AS a", "cx - 0.2e0 AS x_min", "cx + 0.2e0 AS x_max", "cy - 0.2e0 AS y_min", "cy + 0.2e0 AS y_max", "cz + 0.02e0 AS z_min", "cz + 0.42e0 AS z_max")
+    fb = f.select("scene_id", F.col("fid").alias("b"), *(e for x in "xyz" for e in (F.least(*(f"{x}{k}" for k in range(3))).alias(f"{x}_min"), F.greatest(*(f"{x}{k}" for k in range(3))).alias(f"{x}_max"))))
     return touching(ob, fb, 0.5).groupBy(F.col("a").alias("fid")).agg(F.count("*").alias("n_touching"))
 
 
@@ -179,13 +179,13 @@ def smp1_surface_samples(spark, d):
     return weighted_draws(items, draws)
 
 
-@query(f"""WITH {FACES}, {_ANCHORS}, dz AS (SELECT anchor, ax, ay, k AS trial, cos(radians(k * 45 + anchor * 7 + 0.3e0)) AS fx, sin(radians(k * 45 + anchor * 7 + 0.3e0)) AS fy FROM anchors, range(0, 8) t(k)),
-j AS (SELECT anchor, trial, area, fx, fy, cx - ax AS dx, cy - ay AS dy, sqrt((cx - ax) * (cx - ax) + (cy - ay) * (cy - ay)) AS r FROM faces, dz WHERE abs(cx - ax) <= 4 AND abs(cy - ay) <= 4 AND cz BETWEEN 0 AND 0.09),
+@query(f"""WITH {FACES}, {_ANCHORS}, dz AS (SELECT scene_id, anchor, ax, ay, k AS trial, cos(radians(k * 45 + anchor * 7 + 0.3e0)) AS fx, sin(radians(k * 45 + anchor * 7 + 0.3e0)) AS fy FROM anchors, range(0, 8) t(k)),
+j AS (SELECT anchor, trial, area, fx, fy, cx - ax AS dx, cy - ay AS dy, sqrt((cx - ax) * (cx - ax) + (cy - ay) * (cy - ay)) AS r FROM faces JOIN dz USING (scene_id) WHERE abs(cx - ax) <= 4 AND abs(cy - ay) <= 4 AND cz BETWEEN 0 AND 0.09),
 g AS (SELECT anchor, trial, count(*) AS n, round(sum(area) + 1e-9, 3) AS area FROM j WHERE r <= 4 AND CASE WHEN r > 1e-9 THEN (dx * fx + dy * fy) / r ELSE 0 END >= cos(radians(44)) GROUP BY anchor, trial),
 b AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY n DESC, area DESC, trial) AS k FROM g) SELECT anchor, trial::INT AS trial, n, area FROM b WHERE k = 1 AND n >= 5""")
 def smp3_directions(spark, d):
     """Of eight directions, the one that sees the most faces, then area, then comes first; observers that see few are dropped."""
-    near = spatial.boxes_holding(_faces(spark, d).select(F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "area"), _reach(_anchors(spark, d), 4.0), 4.0)
+    near = spatial.boxes_holding(_faces(spark, d).select("scene_id", F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "area"), _reach(_anchors(spark, d), 4.0), 4.0, ("scene_id",))
     t = near.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("yaw", F.expr("radians(trial * 45 + anchor * 7 + 0.3e0)"))
     seen = t.where(G.in_sector(F.col("x") - F.col("ax"), F.col("y") - F.col("ay"), F.col("z"), F.cos("yaw"), F.sin("yaw"), 4.0, 44.0, F.lit(0.0), F.lit(0.09)))
     g = seen.groupBy("anchor", "trial").agg(F.count("*").alias("n"), R(F.sum("area"), 3).alias("area"))
@@ -212,18 +212,18 @@ _OFFSETS = [(0.0, 0.0)] + [(0.8 * f * math.cos(t), 0.8 * f * math.sin(t)) for f
 _AXES = [(1.0, 0.0, 0.0), (-1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, -1.0, 0.0), (0.0, 0.0, 1.0), (0.0, 0.0, -1.0)]
 
 
-@query(f"""WITH {FACES}, {_ANCHORS}, po AS (SELECT anchor, o AS spot, ax + 0.011 + dx AS px, ay + 0.013 + dy AS py FROM anchors, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE)" for i, (x, y) in enumerate(_OFFSETS))}) t(o, dx, dy)),
-rays AS (SELECT (anchor * 9 + spot) * 6 + k AS ray, px AS ox, py AS oy, 0.3e0 AS oz, dx, dy, dz, 0.25e0 AS len FROM po, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE, {z!r}::DOUBLE)" for i, (x, y, z) in enumerate(_AXES))}) t(k, dx, dy, dz)), {_HITS},
+@query(f"""WITH {FACES}, {_ANCHORS}, po AS (SELECT scene_id, anchor, o AS spot, ax + 0.011 + dx AS px, ay + 0.013 + dy AS py FROM anchors, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE)" for i, (x, y) in enumerate(_OFFSETS))}) t(o, dx, dy)),
+rays AS (SELECT scene_id, (anchor * 9 + spot) * 6 + k AS ray, px AS ox, py AS oy, 0.3e0 AS oz, dx, dy, dz, 0.25e0 AS len FROM po, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE, {z!r}::DOUBLE)" for i, (x, y, z) in enumerate(_AXES))}) t(k, dx, dy, dz)), {_HITS},
 ok AS (SELECT anchor, spot FROM po WHERE NOT EXISTS (SELECT 1 FROM hits WHERE ray // 6 = anchor * 9 + spot)),
 v AS (SELECT anchor, spot, p AS pitch, y AS yaw, row_number() OVER (PARTITION BY anchor ORDER BY spot, i, j) AS k FROM ok, (VALUES (0, 0), (1, -15), (2, 15)) t(i, p), (VALUES (0, 0), (1, -20), (2, 20), (3, -40), (4, 40)) u(j, y))
 SELECT anchor, k::INT AS view, spot::INT AS spot, pitch::INT AS pitch, yaw::INT AS yaw FROM v WHERE k <= 24""")
 def smp5_observation_cameras(spark, d):
     """Nine spots about each observer, those with nothing within 0.25 along six axes, three pitches and five yaws; the first 24 (SMP5)."""
     spots = F.array(*(F.struct(F.lit(i).alias("spot"), F.lit(x).alias("dx"), F.lit(y).alias("dy")) for i, (x, y) in enumerate(_OFFSETS)))
-    po = _anchors(spark, d).withColumn("s", F.explode(spots)).selectExpr("anchor", "s.spot", "ax + 0.011e0 + s.dx AS ox", "ay + 0.013e0 + s.dy AS oy")
+    po = _anchors(spark, d).withColumn("s", F.explode(spots)).selectExpr("scene_id", "anchor", "s.spot", "ax + 0.011e0 + s.dx AS ox", "ay + 0.013e0 + s.dy AS oy")
     axes = F.array(*(F.struct(*(F.lit(v).alias(f"d{a}") for a, v in zip("xyz", t, strict=True))) for t in _AXES))
-    rays = po.select("anchor", "spot", "ox", "oy", F.posexplode(axes).alias("k", "t"))
-    rays = rays.selectExpr("(anchor * 9 + spot) * 6 + k AS ray", "ox", "oy", "0.3e0 AS oz", "t.dx", "t.dy", "t.dz", "0.25e0 AS len")
+    rays = po.select("scene_id", "anchor", "spot", "ox", "oy", F.posexplode(axes).alias("k", "t"))
+    rays = rays.selectExpr("scene_id", "(anchor * 9 + spot) * 6 + k AS ray", "ox", "oy", "0.3e0 AS oz", "t.dx", "t.dy", "t.dz", "0.25e0 AS len")
     blocked = ray_hits(rays, _faces(spark, d)).select(F.expr("ray div 6").alias("place")).distinct()
     clear = po.withColumn("place", F.expr("anchor * 9 + spot")).join(blocked, "place", "left_anti")
     turn = lambda *v: F.array(*(F.lit(x) for x in v))

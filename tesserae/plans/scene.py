@@ -57,52 +57,92 @@ def agg17_face_instance_conflict(spark, d):
     return best.select("fid", (-F.col("b.i")).alias("instance"), R(F.col("b.c").cast("double")).alias("confidence"))
 
 
-@query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT qid, pid, round(dist + 1e-9, 4) AS dist FROM k WHERE k = 1")
+@query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT qid, pid, round(dist + 1e-9, 4) AS dist FROM k WHERE k = 1")
 def joi8_nearest_point(spark, d):
     p = X.points(spark, d)
-    return spatial.nearest_within(p.where("is_query"), p.where("NOT is_query"), 0.2).select("qid", "pid", R(F.col("dist")).alias("dist"))
+    return spatial.nearest_within(p.where("is_query"), p.where("NOT is_query"), 0.2, ("scene_id",)).select("qid", "pid", R(F.col("dist")).alias("dist"))
 
 
-@query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.view, q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT pid, count(DISTINCT view) AS n_views FROM k WHERE k = 1 GROUP BY pid")
+def point_visibility(pixels: DataFrame, points: DataFrame, radius: float, stride: int = 2) -> DataFrame:
+    """(scene_id, pid, n_views): views in which a point is the nearest to some pixel, of every stride-th row and column (AGG7).
+
+    pixels: (scene_id, pid, view, row, col, x, y, z); points: (scene_id, pid, x, y, z). Points that no view sees have no row.
+    """
+    some = pixels.where((F.col("row") % stride == 0) & (F.col("col") % stride == 0))
+    near = spatial.nearest_within(some, points, radius, ("scene_id",)).select("scene_id", "qid", F.col("pid").alias("rid"))
+    seen = near.join(some.select("scene_id", F.col("pid").alias("qid"), "view"), ["scene_id", "qid"])
+    return seen.groupBy("scene_id", F.col("rid").alias("pid")).agg(F.countDistinct("view").alias("n_views"))
+
+
+@query(f"WITH {POINTS}, q AS (SELECT *, pid % 7 AS row, pid // 7 % 5 AS col FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.view, q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND row % 2 = 0 AND col % 2 = 0 AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT pid, count(DISTINCT view) AS n_views FROM k WHERE k = 1 GROUP BY pid")
 def agg7_point_visibility(spark, d):
-    """Views in which a point is the nearest to some query."""
     p = X.points(spark, d)
-    near = spatial.nearest_within(p.where("is_query"), p.where("NOT is_query"), 0.2).select("qid", F.col("pid").alias("rid"))
-    return near.join(p.select(F.col("pid").alias("qid"), "view"), "qid").groupBy(F.col("rid").alias("pid")).agg(F.countDistinct("view").alias("n_views"))
+    pixels = p.where("is_query").withColumns({"row": F.expr("pid % 7"), "col": F.expr("pid div 7 % 5")})
+    return point_visibility(pixels, p.where("NOT is_query"), 0.2).select("pid", "n_views")
 
 
-_VOXEL = "v0 AS (SELECT min(x) AS mx, min(y) AS my, min(z) AS mz FROM points), v AS (SELECT p.*, floor((x - mx) / 0.5)::BIGINT AS gx, floor((y - my) / 0.5)::BIGINT AS gy, floor((z - mz) / 0.5)::BIGINT AS gz FROM points p, v0)"
+_VOXEL = """v0 AS (SELECT scene_id, min(x) AS mx, min(y) AS my, min(z) AS mz FROM points GROUP BY scene_id), v AS (SELECT p.*, floor((x - mx) / 0.5)::BIGINT AS gx, floor((y - my) / 0.5)::BIGINT AS gy, floor((z - mz) / 0.5)::BIGINT AS gz FROM points p JOIN v0 USING (scene_id)),
+vx AS (SELECT scene_id, gx, gy, gz, min(pid) AS first_pid, count(*) AS n, arg_min(x, pid) AS x, arg_min(y, pid) AS y, arg_min(z, pid) AS z, avg(r) / 127.5e0 - 1 AS r, avg(g) / 127.5e0 - 1 AS g, avg(b) / 127.5e0 - 1 AS b FROM v GROUP BY scene_id, gx, gy, gz),
+vc AS (SELECT scene_id, avg(x) AS ax, avg(y) AS ay, avg(z) AS az FROM vx GROUP BY scene_id)"""
 
 
 def voxels(p: DataFrame, size: float = 0.5) -> DataFrame:
-    """Points with their voxel, counted from the cloud's least corner; one row of minima is broadcast (AGG4)."""
-    low = p.agg(*(F.min(a).alias(f"m{a}") for a in "xyz"))
-    return p.join(F.broadcast(low)).select(*p.columns, *(F.floor((F.col(a) - F.col(f"m{a}")) / size).cast("long").alias(f"g{a}") for a in "xyz"))
+    """Points with their voxel (gx, gy, gz), counted from their scene's least corner (AGG4)."""
+    low = p.groupBy("scene_id").agg(*(F.min(a).alias(f"m{a}") for a in "xyz"))
+    return p.join(low, "scene_id").select(*p.columns, *(F.floor((F.col(a) - F.col(f"m{a}")) / size).cast("long").alias(f"g{a}") for a in "xyz"))
+
+
+def voxel_points(v: DataFrame) -> DataFrame:
+    """One row for each voxel: its first point's place, centred on the scene's mean of them, and mean colours from -1 to 1 (AGG4)."""
+    first = F.min(F.struct("pid", "x", "y", "z")).alias("f")
+    g = v.groupBy("scene_id", "gx", "gy", "gz").agg(first, F.count("*").alias("n"), *((F.avg(c) / 127.5 - 1).alias(c) for c in "rgb")).select("scene_id", "gx", "gy", "gz", F.col("f.pid").alias("first_pid"), "n", *(F.col(f"f.{a}").alias(a) for a in "xyz"), "r", "g", "b")
+    mean = g.groupBy("scene_id").agg(*(F.avg(a).alias(f"a{a}") for a in "xyz"))
+    return g.join(mean, "scene_id").select("scene_id", "gx", "gy", "gz", "first_pid", "n", *((F.col(a) - F.col(f"a{a}")).alias(a) for a in "xyz"), "r", "g", "b")
 
 
-@query(f"WITH {POINTS}, {_VOXEL} SELECT gx, gy, gz, min(pid) AS first_pid, count(*) AS n, round(avg(r) + 1e-9, 4) AS r, round(avg(g) + 1e-9, 4) AS g, round(avg(b) + 1e-9, 4) AS b FROM v GROUP BY gx, gy, gz")
+@query(f"WITH {POINTS}, {_VOXEL} SELECT scene_id, gx, gy, gz, first_pid, n, round(x - ax + 1e-9, 4) AS x, round(y - ay + 1e-9, 4) AS y, round(z - az + 1e-9, 4) AS z, round(r + 1e-9, 4) AS r, round(g + 1e-9, 4) AS g, round(b + 1e-9, 4) AS b FROM vx JOIN vc USING (scene_id)")
 def agg4_voxels(spark, d):
-    return voxels(X.points(spark, d)).groupBy("gx", "gy", "gz").agg(F.min("pid").alias("first_pid"), F.count("*").alias("n"), *(R(F.avg(c)).alias(c) for c in "rgb"))
+    v = voxel_points(voxels(X.points(spark, d)))
+    return v.select("scene_id", "gx", "gy", "gz", "first_pid", "n", *(R(F.col(c)).alias(c) for c in "xyzrgb"))
 
 
-@query(f"WITH {POINTS}, {_VOXEL} SELECT pid, min(pid) OVER (PARTITION BY gx, gy, gz) AS first_pid FROM v")
+@query(f"WITH {POINTS}, {_VOXEL} SELECT pid, min(pid) OVER (PARTITION BY scene_id, gx, gy, gz) AS first_pid FROM v")
 def agg5_voxel_back_projection(spark, d):
-    v = voxels(X.points(spark, d)).select("pid", "gx", "gy", "gz")
-    return v.join(v.groupBy("gx", "gy", "gz").agg(F.min("pid").alias("first_pid")), ["gx", "gy", "gz"]).select("pid", "first_pid")
+    v = voxels(X.points(spark, d)).select("scene_id", "pid", "gx", "gy", "gz")
+    return v.join(voxel_points(voxels(X.points(spark, d))).select("scene_id", "gx", "gy", "gz", "first_pid"), ["scene_id", "gx", "gy", "gz"]).select("pid", "first_pid")
 
 
-@query(f"WITH {POINTS} SELECT floor(x / 1)::BIGINT AS gx, floor(y / 1)::BIGINT AS gy, count(*) AS n, round(median(x) + 1e-9, 4) AS x, round(median(y) + 1e-9, 4) AS y, round(median(z) + 1e-9, 4) AS z FROM points GROUP BY 1, 2 HAVING count(*) >= 8")
+def occupied_targets(p: DataFrame, size: float = 5.0, least: int = 8) -> DataFrame:
+    """(scene_id, gx, gy, n, x, y, z): medians of XY cells, counted from the scene's least corner, with enough points; a scene without any has its centre, without a cell (AGG22)."""
+    box = p.groupBy("scene_id").agg(F.count("*").alias("all"), *(g for a in "xyz" for g in (F.min(a).alias(f"{a}_min"), F.max(a).alias(f"{a}_max"))))
+    at = p.join(box.select("scene_id", "x_min", "y_min"), "scene_id").withColumns({f"g{a}": F.floor((F.col(a) - F.col(f"{a}_min")) / size).cast("long") for a in "xy"})
+    cells = at.groupBy("scene_id", "gx", "gy").agg(F.count("*").alias("n"), *(F.median(a).alias(a) for a in "xyz")).where(F.col("n") >= least)
+    none = F.lit(None).cast("long")
+    rest = box.join(cells.select("scene_id").distinct(), "scene_id", "left_anti").select("scene_id", none.alias("gx"), none.alias("gy"), F.col("all").alias("n"), *(((F.col(f"{a}_min") + F.col(f"{a}_max")) / 2).alias(a) for a in "xyz"))
+    return cells.unionByName(rest)
+
+
+@query(f"""WITH {POINTS}, pp AS (SELECT * FROM points UNION ALL SELECT 'sparse', pid, x, y, z, r, g, b, view, is_query FROM points WHERE pid < 3), bx AS (SELECT scene_id, count(*) AS n, min(x) AS mx, max(x) AS nx, min(y) AS my, max(y) AS ny, min(z) AS mz, max(z) AS nz FROM pp GROUP BY scene_id),
+c AS (SELECT scene_id, floor((x - mx) / 1)::BIGINT AS gx, floor((y - my) / 1)::BIGINT AS gy, count(*) AS n, median(x) AS x, median(y) AS y, median(z) AS z FROM pp JOIN bx USING (scene_id) GROUP BY ALL HAVING count(*) >= 8), a AS (SELECT * FROM c UNION ALL SELECT scene_id, NULL, NULL, n, (mx + nx) / 2, (my + ny) / 2, (mz + nz) / 2 FROM bx WHERE scene_id NOT IN (SELECT scene_id FROM c))
+SELECT scene_id, coalesce(gx, -1) AS gx, coalesce(gy, -1) AS gy, n, round(x + 1e-9, 4) AS x, round(y + 1e-9, 4) AS y, round(z + 1e-9, 4) AS z FROM a""")
 def agg22_occupied_cells(spark, d):
-    g = X.points(spark, d).groupBy(spatial.cell("x", 1).alias("gx"), spatial.cell("y", 1).alias("gy"))
-    return g.agg(F.count("*").alias("n"), *(R(F.median(a)).alias(a) for a in "xyz")).where("n >= 8")
+    p = X.points(spark, d)
+    t = occupied_targets(p.unionByName(p.where("pid < 3").withColumn("scene_id", F.lit("sparse"))), 1.0)
+    return t.select("scene_id", F.coalesce("gx", F.lit(-1).cast("long")).alias("gx"), F.coalesce("gy", F.lit(-1).cast("long")).alias("gy"), "n", *(R(F.col(a)).alias(a) for a in "xyz"))
+
+
+_HEAD = "h AS (SELECT scene_id, mask, min(view) AS view, min(class) AS class, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z, max(weight) AS score FROM mask_points GROUP BY scene_id, mask)"
 
 
-_HEAD = "h AS (SELECT mask, min(view) AS view, min(class) AS class, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z, max(weight) AS score FROM mask_points GROUP BY mask)"
+def lifted_points(near: DataFrame, radius: float) -> DataFrame:
+    """(scene_id, mask, pid, weight): each mask's points, weighted by their nearest pixel as exp(-(dist/radius)^2) (AGG6); near: (scene_id, mask, pid, dist)."""
+    share = F.col("dist") / max(radius, 1e-8)
+    return near.groupBy("scene_id", "mask", "pid").agg(F.max(F.exp(-share * share)).alias("weight"))
 
 
 def mask_heads(mp: DataFrame) -> DataFrame:
     """One row for each lifted mask: view, class, size, centroid, score (AGG6)."""
-    return mp.groupBy("mask").agg(F.min("view").alias("view"), F.min("class").alias("class"), F.count("*").alias("n"), *(F.avg(a).alias(a) for a in "xyz"), F.max("weight").alias("score"))
+    return mp.groupBy("scene_id", "mask").agg(F.min("view").alias("view"), F.min("class").alias("class"), F.count("*").alias("n"), *(F.avg(a).alias(a) for a in "xyz"), F.max("weight").alias("score"))
 
 
 @query(f"WITH {MASK_POINTS}, {_HEAD} SELECT mask, view, class, n, round(x + 1e-9, 4) AS x, round(y + 1e-9, 4) AS y, round(z + 1e-9, 4) AS z FROM h")
@@ -110,16 +150,22 @@ def agg6_mask_centroids(spark, d):
     return mask_heads(X.mask_points(spark, d)).select("mask", "view", "class", "n", *(R(F.col(a)).alias(a) for a in "xyz"))
 
 
-_PAIRS = "pr AS (SELECT a.mask AS a, b.mask AS b, a.n AS na, b.n AS nb, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS dist FROM h a JOIN h b ON a.class = b.class AND a.view <> b.view AND a.mask < b.mask AND abs(floor(a.x / 0.5) - floor(b.x / 0.5)) <= 1 AND abs(floor(a.y / 0.5) - floor(b.y / 0.5)) <= 1 AND abs(floor(a.z / 0.5) - floor(b.z / 0.5)) <= 1)"
+@query("WITH n AS (SELECT l_suppkey * 8 + l_linenumber AS mask, l_partkey % 200 AS pid, l_quantity::DOUBLE / 1000 AS dist FROM lineitem) SELECT mask, pid, round(max(exp(-(dist / 0.035e0) * (dist / 0.035e0))) + 1e-9, 4) AS weight FROM n GROUP BY mask, pid")
+def agg6_point_weights(spark, d):
+    near = X.read(spark, d, "lineitem").selectExpr("concat('s', l_suppkey % 3) AS scene_id", "l_suppkey * 8 + l_linenumber AS mask", "l_partkey % 200 AS pid", "CAST(l_quantity AS DOUBLE) / 1000 AS dist")
+    return lifted_points(near, 0.035).select("mask", "pid", R(F.col("weight")).alias("weight"))
+
+
+_PAIRS = "pr AS (SELECT a.scene_id, a.mask AS a, b.mask AS b, a.n AS na, b.n AS nb, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS dist FROM h a JOIN h b ON a.scene_id = b.scene_id AND a.class = b.class AND a.view <> b.view AND a.mask < b.mask AND abs(floor(a.x / 0.5) - floor(b.x / 0.5)) <= 1 AND abs(floor(a.y / 0.5) - floor(b.y / 0.5)) <= 1 AND abs(floor(a.z / 0.5) - floor(b.z / 0.5)) <= 1)"
 
 
 def mask_pairs(h: DataFrame, size: float = 0.5) -> DataFrame:
-    """Pairs of masks of one class, seen from different views, with centroids in neighbouring cells (JOI10)."""
+    """Pairs of masks of one scene and class, seen from different views, with centroids in neighbouring cells (JOI10)."""
     a = spatial.neighbours(h, ["x", "y", "z"], size)
-    b = h.select(F.col("mask").alias("b"), F.col("view").alias("vb"), "class", F.col("n").alias("nb"), *(F.col(k).alias(f"{k}b") for k in "xyz"), *(spatial.cell(k, size).alias(f"c_{k}") for k in "xyz"))
-    j = a.join(b, ["class", "c_x", "c_y", "c_z"]).where("view <> vb AND mask < b")
+    b = h.select("scene_id", F.col("mask").alias("b"), F.col("view").alias("vb"), "class", F.col("n").alias("nb"), *(F.col(k).alias(f"{k}b") for k in "xyz"), *(spatial.cell(k, size).alias(f"c_{k}") for k in "xyz"))
+    j = a.join(b, ["scene_id", "class", "c_x", "c_y", "c_z"]).where("view <> vb AND mask < b")
     d = F.sqrt(sum((F.col(k) - F.col(f"{k}b")) * (F.col(k) - F.col(f"{k}b")) for k in "xyz"))
-    return j.select(F.col("mask").alias("a"), "b", F.col("n").alias("na"), "nb", d.alias("dist"))
+    return j.select("scene_id", F.col("mask").alias("a"), "b", F.col("n").alias("na"), "nb", d.alias("dist"))
 
 
 @query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS} SELECT a, b, round(dist + 1e-9, 4) AS dist FROM pr")
@@ -127,34 +173,70 @@ def joi10_mask_pairs(spark, d):
     return mask_pairs(mask_heads(X.mask_points(spark, d))).select("a", "b", R(F.col("dist")).alias("dist"))
 
 
-_IOU = "io AS (SELECT pr.a, pr.b, any_value(na) AS na, any_value(nb) AS nb, any_value(dist) AS dist, count(q.pid) AS common FROM pr JOIN mask_points p ON p.mask = pr.a LEFT JOIN mask_points q ON q.mask = pr.b AND q.pid = p.pid GROUP BY pr.a, pr.b), sc AS (SELECT a, b, common / (na + nb - common) AS iou, 0.55e0 * (common / (na + nb - common)) + 0.2e0 * greatest(0e0, 1 - dist / 0.5) AS score FROM io)"
+_IOU = """io AS (SELECT pr.a, pr.b, any_value(na) AS na, any_value(nb) AS nb, any_value(dist) AS dist, count(q.pid) AS common FROM pr JOIN mask_points p ON p.mask = pr.a LEFT JOIN mask_points q ON q.mask = pr.b AND q.pid = p.pid GROUP BY pr.a, pr.b),
+sc AS (SELECT a, b, dist, common / (na + nb - common) AS iou FROM io)"""
+#: A mask's feature is that of the vector of its own number; masks beyond the vectors have none.
+_EDGE = """es AS (SELECT sc.*, 0.55e0 * iou + 0.2e0 * greatest(0e0, 1 - dist / 0.5) + 0.25e0 * greatest(0e0, coalesce(list_sum(list_transform(list_zip(e.embedding, g.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) / sqrt(list_sum(list_transform(e.embedding, lambda z: z::DOUBLE * z::DOUBLE)) * list_sum(list_transform(g.embedding, lambda z: z::DOUBLE * z::DOUBLE))), 0e0)) AS score FROM sc LEFT JOIN embeddings e ON e.vec_id = sc.a LEFT JOIN embeddings g ON g.vec_id = sc.b)"""
+
+
+def pair_overlap(mp: DataFrame, size: float = 0.5) -> DataFrame:
+    """(scene_id, a, b, dist, iou) of the pairs of mask_pairs() (AGG9).
+
+    Points in common are counted by an inverted index: masks of one scene and class meet at their
+    points and each pair is counted, partially at first; nothing is listed for points that two masks
+    do not share. Pairs that share none have an overlap of 0.
+    """
+    side = lambda k: mp.select("scene_id", "class", "pid", F.col("mask").alias(k), F.col("view").alias(f"v{k}"))
+    met = side("a").join(side("b"), ["scene_id", "class", "pid"]).where("a < b AND va <> vb").groupBy("scene_id", "a", "b").agg(F.count("*").alias("common"))
+    p = mask_pairs(mask_heads(mp), size).join(met, ["scene_id", "a", "b"], "left").fillna(0, ["common"])
+    return p.select("scene_id", "a", "b", "dist", (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("iou"))
 
 
-def edge_scores(pairs: DataFrame, mp: DataFrame) -> DataFrame:
-    """Overlap and closeness of mask pairs (AGG9, AGG11; the feature share is left to inputs that have features)."""
-    p = mp.select(F.col("mask").alias("a"), "pid")
-    q = mp.select(F.col("mask").alias("b"), "pid", F.lit(1).alias("hit"))
-    j = pairs.join(p, "a").join(q, ["b", "pid"], "left")
-    g = j.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.first("dist").alias("dist"), F.count("hit").alias("common"))
-    iou = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    return g.select("a", "b", iou.alias("iou"), (0.55 * iou + 0.2 * F.greatest(F.lit(0.0), 1 - F.col("dist") / 0.5)).alias("score"))
+def edge_scores(pairs: DataFrame, features: DataFrame, reach: float = 0.5) -> DataFrame:
+    """pairs with their score of overlap, closeness and likeness (AGG11); features: (mask, feature), a mask without one is like no other (GEO3)."""
+    f = lambda k: features.select(F.col("mask").alias(k), F.col("feature").alias(f"f{k}"))
+    j = pairs.join(f("a"), "a", "left").join(f("b"), "b", "left")
+    like = F.coalesce(G.cosine(F.col("fa"), F.col("fb")), F.lit(0.0))
+    score = 0.55 * F.col("iou") + 0.2 * F.greatest(F.lit(0.0), 1 - F.col("dist") / reach) + 0.25 * F.greatest(F.lit(0.0), like)
+    return j.withColumn("score", score).drop("fa", "fb")
 
 
-@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU} SELECT a, b, round(iou + 1e-9, 4) AS iou, round(score + 1e-9, 4) AS score FROM sc")
+def _features(spark, d) -> DataFrame:
+    return X.read(spark, d, "embeddings").select(F.col("vec_id").alias("mask"), F.col("embedding").alias("feature"))
+
+
+@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU} SELECT a, b, round(iou + 1e-9, 4) AS iou FROM sc")
 def agg9_pair_overlap(spark, d):
-    mp = X.mask_points(spark, d)
-    return edge_scores(mask_pairs(mask_heads(mp)), mp).select("a", "b", R(F.col("iou")).alias("iou"), R(F.col("score")).alias("score"))
+    return pair_overlap(X.mask_points(spark, d)).select("a", "b", R(F.col("iou")).alias("iou"))
+
+
+@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE} SELECT a, b, round(score + 1e-9, 4) AS score FROM es")
+def agg11_edge_scores(spark, d):
+    return edge_scores(pair_overlap(X.mask_points(spark, d)), _features(spark, d)).select("a", "b", R(F.col("score")).alias("score"))
 
 
-_COMP = f"{MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, ed AS (SELECT a, b FROM sc WHERE round(score + 1e-9, 6) >= 0.25 UNION SELECT b, a FROM sc WHERE round(score + 1e-9, 6) >= 0.25), rc AS (SELECT mask, mask AS root FROM h UNION SELECT ed.b, r.root FROM rc r JOIN ed ON ed.a = r.mask WHERE r.root < ed.b), cp AS (SELECT mask, min(root) AS instance FROM rc GROUP BY mask)"
+#: At 0.55 no pair of the bound tables is linked, so the queries pass another limit.
+_LEAST = 0.25
+_COMP = f"{MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE}, ed AS (SELECT a, b FROM es WHERE round(score + 1e-9, 6) >= {_LEAST} UNION SELECT b, a FROM es WHERE round(score + 1e-9, 6) >= {_LEAST}), rc AS (SELECT mask, mask AS root FROM h UNION SELECT ed.b, r.root FROM rc r JOIN ed ON ed.a = r.mask WHERE r.root < ed.b), cp AS (SELECT mask, min(root) AS instance FROM rc GROUP BY mask)"
+
+
+def mask_components(heads: DataFrame, edges: DataFrame, least: float = 0.55) -> DataFrame:
+    """heads with the instance that each mask belongs to: its component over edges that score at least `least` (ITR3)."""
+    comp = connected_components(edges.where(F.col("score") >= least), "a", "b").withColumnRenamed("node", "mask")
+    return heads.join(comp, "mask", "left").withColumn("instance", F.coalesce("component", "mask")).drop("component")
+
+
+def merged_instances(masks_: DataFrame, mp: DataFrame, min_views: int = 2, min_points: int = 50) -> DataFrame:
+    """Each instance's class, views, score weighted by points, number of distinct points and smallest point; few views or points drop it (AGG12, SET2)."""
+    g = masks_.groupBy("instance").agg(F.min("class").alias("class"), F.countDistinct("view").alias("n_views"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
+    pts = mp.select("mask", "pid").join(masks_.select("mask", "instance"), "mask").select("instance", "pid").distinct().groupBy("instance").agg(F.count("*").alias("n_points"), F.min("pid").alias("first_point"))
+    return g.join(pts, "instance").where((F.col("n_views") >= min_views) & (F.col("n_points") >= min_points))
 
 
 def _instances(spark, d) -> tuple[DataFrame, DataFrame]:
     mp = X.mask_points(spark, d)
-    e = edge_scores(mask_pairs(mask_heads(mp)), mp).where(R(F.col("score"), 6) >= 0.25)
-    comp = connected_components(e, "a", "b").withColumnRenamed("node", "mask")
-    masks_ = mask_heads(mp).join(comp, "mask", "left").withColumn("instance", F.coalesce("component", "mask")).drop("component")
-    return mp, masks_
+    e = edge_scores(pair_overlap(mp), _features(spark, d)).withColumn("score", R(F.col("score"), 6))
+    return mp, mask_components(mask_heads(mp), e, _LEAST)
 
 
 @query(f"WITH RECURSIVE {_COMP} SELECT mask, instance FROM cp")
@@ -164,17 +246,36 @@ def itr3_mask_components(spark, d):
 
 @query(f"WITH RECURSIVE {_COMP}, j AS (SELECT instance, h.* FROM h JOIN cp USING (mask)), pt AS (SELECT instance, count(DISTINCT pid) AS n_points, min(pid) AS first_point FROM mask_points JOIN cp USING (mask) GROUP BY instance) SELECT instance, any_value(class) AS class, count(DISTINCT view) AS n_views, round(sum(score * n) / sum(n) + 1e-9, 4) AS score, any_value(n_points) AS n_points, any_value(first_point) AS first_point FROM j JOIN pt USING (instance) GROUP BY instance HAVING count(DISTINCT view) >= 2 AND any_value(n_points) >= 50")
 def agg12_instances(spark, d):
-    """Masks merged by component, kept with two views and fifty distinct points (AGG12, SET2)."""
     mp, m = _instances(spark, d)
-    g = m.groupBy("instance").agg(F.first("class").alias("class"), F.countDistinct("view").alias("n_views"), R(F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
-    pts = mp.select("mask", "pid").join(m.select("mask", "instance"), "mask").select("instance", "pid").distinct().groupBy("instance").agg(F.count("*").alias("n_points"), F.min("pid").alias("first_point"))
-    return g.join(pts, "instance").where("n_views >= 2 AND n_points >= 50")
+    return merged_instances(m, mp).withColumn("score", R(F.col("score")))
+
+
+_POSE = "cams AS (SELECT n_nationkey AS view, radians(n_nationkey * 15e0) AS t, n_nationkey * 0.5e0 AS px, n_nationkey * 0.25e0 AS py, 1.6e0 AS pz FROM nation)"
+
+
+def _views(spark, d) -> DataFrame:
+    """Cameras turned about Z, as row-major 4x4 matrices."""
+    turn = "array(cos(t), -sin(t), 0e0, px, sin(t), cos(t), 0e0, py, 0e0, 0e0, 1e0, pz, 0e0, 0e0, 0e0, 1e0)"
+    v = X.read(spark, d, "nation").selectExpr("n_nationkey AS view", "radians(n_nationkey * 15e0) AS t", "n_nationkey * 0.5e0 AS px", "n_nationkey * 0.25e0 AS py", "1.6e0 AS pz")
+    return v.selectExpr("view", "64e0 AS fx", "64e0 AS fy", "32e0 AS cx", "32e0 AS cy", f"{turn} AS camera_to_world")
+
+
+def unprojected(pixels: DataFrame, views: DataFrame) -> DataFrame:
+    """pixels (view, row, col, dist) with their world places x, y, z; those without a finite positive distance or a camera have none (GEO7).
 
+    views: (view, fx, fy, cx, cy, camera_to_world); a table of cameras, which Spark broadcasts if it is small.
+    """
+    seen = pixels.where((F.col("dist") > 0) & (F.col("dist") < float("inf"))).join(views, "view")
+    x, y, z = G.unproject(*(F.col(c) for c in ("row", "col", "dist", "fx", "fy", "cx", "cy")))
+    m = F.col("camera_to_world")
+    out = {a: m[4 * i] * x + m[4 * i + 1] * y + m[4 * i + 2] * z + m[4 * i + 3] for i, a in enumerate("xyz")}
+    return seen.withColumns(out).select(*pixels.columns, "x", "y", "z")
 
-@query(f"WITH {PIXELS}, r AS (SELECT *, (col + 0.5e0 - 32) / 64 AS rx, -(row + 0.5e0 - 32) / 64 AS ry FROM pixels WHERE dist > 0), n AS (SELECT *, sqrt(rx * rx + ry * ry + 1) AS s FROM r) SELECT view, row, col, count(*) AS n, round(min(rx / s * dist) + 1e-9, 4) AS x, round(min(ry / s * dist) + 1e-9, 4) AS y, round(min(-1e0 / s * dist) + 1e-9, 4) AS z FROM n GROUP BY view, row, col")
+
+@query(f"""WITH {PIXELS}, {_POSE}, r AS (SELECT *, (col + 0.5e0 - 32) / 64 AS rx, -(row + 0.5e0 - 32) / 64 AS ry FROM pixels WHERE dist > 0), n AS (SELECT view, row, col, rx / sqrt(rx * rx + ry * ry + 1) * dist AS x, ry / sqrt(rx * rx + ry * ry + 1) * dist AS y, -1e0 / sqrt(rx * rx + ry * ry + 1) * dist AS z FROM r),
+w AS (SELECT view, row, col, cos(t) * x - sin(t) * y + px AS x, sin(t) * x + cos(t) * y + py AS y, z + pz AS z FROM n JOIN cams USING (view)) SELECT view, row, col, count(*) AS n, round(min(x) + 1e-9, 4) AS x, round(min(y) + 1e-9, 4) AS y, round(min(z) + 1e-9, 4) AS z FROM w GROUP BY view, row, col""")
 def geo7_unproject(spark, d):
-    x, y, z = G.unproject(F.col("row"), F.col("col"), F.col("dist"), 64.0, 64.0, 32.0, 32.0)
-    p = X.pixels(spark, d).where(F.col("dist") > 0).select("view", "row", "col", x.alias("x"), y.alias("y"), z.alias("z"))
+    p = unprojected(X.pixels(spark, d).select("view", "row", "col", "dist"), _views(spark, d))
     return p.groupBy("view", "row", "col").agg(F.count("*").alias("n"), *(R(F.min(a)).alias(a) for a in "xyz"))
 
 
@@ -185,6 +286,13 @@ def geo8_intrinsics(spark, d):
     return X.read(spark, d, "part").select(F.col("p_partkey").alias("view"), R(fx).alias("fx"), R(fy).alias("fy"), cx.alias("cx"), cy.alias("cy"))
 
 
+@query(f"WITH {_POSE}, m AS (SELECT view, unnest([cos(t), sin(t), 0e0, -(cos(t) * px + sin(t) * py), -sin(t), cos(t), 0e0, sin(t) * px - cos(t) * py, 0e0, 0e0, 1e0, -pz]) AS v, unnest(range(0, 12)) AS i FROM cams) SELECT view, i::INT AS i, round(v + 1e-9, 4) + 0e0 AS v FROM m")
+def geo8_world_to_camera(spark, d):
+    """The inverse of each camera's rigid pose, its first twelve entries (GEO8)."""
+    inverse = F.slice(G.rigid_inverse(F.col("camera_to_world")), 1, 12)
+    return _views(spark, d).select("view", F.posexplode(inverse).alias("i", "v")).select("view", "i", (R(F.col("v")) + 0.0).alias("v"))
+
+
 _DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1]::DOUBLE * z[2]::DOUBLE))"
 
 
@@ -195,7 +303,7 @@ def geo3_cosine(spark, d):
     return e.join(n, "vec_id").select("vec_id", R(G.cosine(F.col("embedding"), F.col("next"))).alias("cosine"))
 
 
-_PROTO = f"en AS (SELECT label, unnest(range(1, 65)) AS i, embedding, sqrt({_DOT.format(a='embedding', b='embedding')}) AS s FROM embeddings WHERE vec_id % 5 = 0), pm AS (SELECT label, i, avg(embedding[i]::DOUBLE / greatest(s, 1e-8)) AS m FROM en GROUP BY label, i), pn AS (SELECT label, sqrt(sum(m * m)) AS s FROM pm GROUP BY label), proto AS (SELECT label, i, m / greatest(s, 1e-8) AS p FROM pm JOIN pn USING (label))"
+_PROTO = f"en AS (SELECT label, unnest(range(1, 65)) AS i, embedding, sqrt({_DOT.format(a='embedding', b='embedding')}) AS s FROM embeddings), pm AS (SELECT label, i, avg(embedding[i]::DOUBLE / greatest(s, 1e-8)) AS m FROM en GROUP BY label, i), pn AS (SELECT label, sqrt(sum(m * m)) AS s FROM pm GROUP BY label), proto AS (SELECT label, i, m / greatest(s, 1e-8) AS p FROM pm JOIN pn USING (label))"
 
 
 def prototypes(e: DataFrame) -> DataFrame:
@@ -209,20 +317,34 @@ def prototypes(e: DataFrame) -> DataFrame:
 
 @query(f"WITH {_PROTO} SELECT label, (i - 1)::INT AS i, round(p + 1e-9, 4) AS p FROM proto")
 def agg23_prototypes(spark, d):
-    p = prototypes(X.read(spark, d, "embeddings").where("vec_id % 5 = 0"))
+    p = prototypes(X.read(spark, d, "embeddings"))
     return p.select("label", F.posexplode("proto").alias("i", "p")).withColumn("p", R(F.col("p")))
 
 
-@query(f"WITH {_PROTO}, d AS (SELECT vec_id, pr.label, sum(e.embedding[i]::DOUBLE * p) AS dot FROM embeddings e, proto pr GROUP BY vec_id, pr.label), s AS (SELECT vec_id, label, exp(dot) / sum(exp(dot)) OVER (PARTITION BY vec_id) AS conf FROM d), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(conf + 1e-9, 9) DESC, label) AS k FROM s) SELECT vec_id, label, round(conf + 1e-9, 4) AS conf, k::INT AS rank FROM k WHERE k <= 5")
-def top1_zero_shot(spark, d):
-    """The five likeliest classes of each vector; the prototypes, one row a class, are broadcast."""
-    e = X.read(spark, d, "embeddings").select("vec_id", "embedding", "label")
-    p = prototypes(e.where("vec_id % 5 = 0")).agg(F.collect_list(F.struct("label", "proto")).alias("ps"))
+def zero_shot(vectors: DataFrame, protos: DataFrame, k: int = 5, least: float = 0.25, margin: float = 0.05) -> DataFrame:
+    """(vec_id, top array<struct<label, conf>>, margin, unknown): the k likeliest classes of each vector by softmax over unit vectors' products (TOP1).
+
+    unknown: the first class's confidence is under `least`, or leads the second's by less than `margin` (alone, it leads by all
+    of it). The prototypes, one row a class, are broadcast.
+    """
+    p = protos.agg(F.collect_list(F.struct("label", "proto")).alias("ps"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-    s = e.join(F.broadcast(p)).select("vec_id", F.transform("ps", lambda x: F.struct(x["label"].alias("label"), F.exp(dot(F.col("embedding"), x["proto"])).alias("e"))).alias("s"))
+    v = F.col("embedding")
+    size = F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))), F.lit(1e-8))
+    s = vectors.join(F.broadcast(p)).select("vec_id", "ps", "embedding", size.alias("size"))
+    s = s.select("vec_id", F.transform("ps", lambda x: F.struct(x["label"].alias("label"), F.exp(dot(v, x["proto"]) / F.col("size")).alias("e"))).alias("s"))
     s = s.select("vec_id", "s", F.aggregate("s", F.lit(0.0), lambda t, x: t + x["e"]).alias("t"))
-    ranked = F.slice(F.sort_array(F.transform("s", lambda x: F.struct((-R(x["e"] / F.col("t"), 9)).alias("neg"), x["label"].alias("label")))), 1, 5)
-    return s.select("vec_id", F.posexplode(ranked).alias("k", "x")).select("vec_id", "x.label", R(-F.col("x.neg")).alias("conf"), (F.col("k") + 1).alias("rank"))
+    ranked = F.slice(F.sort_array(F.transform("s", lambda x: F.struct((-x["e"] / F.col("t")).alias("neg"), x["label"].alias("label")))), 1, k)
+    s = s.select("vec_id", F.transform(ranked, lambda x: F.struct(x["label"].alias("label"), (-x["neg"]).alias("conf"))).alias("top"))
+    first, second = F.col("top")[0]["conf"], F.coalesce(F.get("top", F.lit(1))["conf"], F.lit(0.0))
+    return s.select("vec_id", "top", (first - second).alias("margin"), ((first < least) | (first - second < margin)).alias("unknown"))
+
+
+@query(f"WITH {_PROTO}, d AS (SELECT vec_id, pr.label, sum(e.embedding[i]::DOUBLE * p / s) AS dot FROM (SELECT *, greatest(sqrt({_DOT.format(a='embedding', b='embedding')}), 1e-8) AS s FROM embeddings) e, proto pr GROUP BY vec_id, pr.label), s AS (SELECT vec_id, label, exp(dot) / sum(exp(dot)) OVER (PARTITION BY vec_id) AS conf FROM d), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY conf DESC, label) AS k, max(conf) OVER (PARTITION BY vec_id) AS first, nth_value(conf, 2) OVER (PARTITION BY vec_id ORDER BY conf DESC, label ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM s) SELECT vec_id, label, round(conf + 1e-9, 4) AS conf, k::INT AS rank, round(first - second + 1e-9, 4) AS margin, round(first + 1e-9, 7) < 0.15 OR round(first - second + 1e-9, 7) < 0.05 AS unknown FROM k WHERE k <= 5")
+def top1_zero_shot(spark, d):
+    e = X.read(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    s = zero_shot(e, prototypes(e), 5, 0.15, 0.05)
+    return s.select("vec_id", F.posexplode("top").alias("k", "x"), "margin", "unknown").select("vec_id", "x.label", R(F.col("x.conf")).alias("conf"), (F.col("k") + 1).alias("rank"), R(F.col("margin")).alias("margin"), "unknown")
 
 
 @query(f"WITH {BITS}, c AS (SELECT *, coalesce((bit <> lag(bit) OVER w)::INT, 0) AS c FROM bits WINDOW w AS (PARTITION BY mask ORDER BY idx)), r AS (SELECT *, sum(c) OVER (PARTITION BY mask ORDER BY idx) AS run FROM c), g AS (SELECT mask, run, count(*) AS n, min(bit) AS bit FROM r GROUP BY mask, run), l AS (SELECT mask, string_agg(n::VARCHAR, ',' ORDER BY run) AS s, first(bit ORDER BY run) AS b FROM g GROUP BY mask) SELECT mask, CASE WHEN b = 1 THEN '0,' || s ELSE s END AS rle FROM l")
