@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
+from tesserae.operators.metadata import token_set
 from tesserae.plans.materialize import shared_dir
 from tesserae.plans.mesh import _boxes, _faces
-from tesserae.plans.metadata import token_set
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES, OBJECTS
 

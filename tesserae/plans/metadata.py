@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
+from tesserae.operators import metadata as M
+from tesserae.operators.metadata import token_set
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import OBJECTS
 
 R = lambda c, n=4: F.round(c, n)
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-#: Terms of each class, over the words of the objects' names: 5 nouns and 3 adjectives.
-RULES = 5
+#: Rules of the bound tables: classes with their terms, single words and whole names.
+RULES = [("ball", ["ball", "small ball", "sphere"]), ("cup", ["cup", "mug", "red cup"]), ("ring", ["ring", "shiny"]), ("widget", ["widget", "gadget"]), ("panel", ["panel", "large panel"])]
 
 
 def query(sql: str | None = None):
@@ -33,20 +35,6 @@ def fil2_face_count(spark, d):
     return X.objects(spark, d).select("uid", n.cast("int").alias("face_count"), F.coalesce(n.between(500, 4000), F.lit(True)).alias("accepted"))
 
 
-@query(f"WITH {OBJECTS} SELECT uid, license, CASE WHEN license IS NULL OR license NOT IN (SELECT 'brand#' || i FROM range(1, 21) t(i)) THEN 'license' WHEN category LIKE 'E%' THEN 'category:' || category ELSE 'ok' END AS verdict FROM objects")
-def fil3_license_and_category(spark, d):
-    allowed = [f"brand#{i}" for i in range(1, 21)]
-    ok = F.coalesce(F.col("license").isin(allowed), F.lit(False))
-    verdict = F.when(~ok, "license").when(F.col("category").startswith("E"), F.concat(F.lit("category:"), F.col("category"))).otherwise("ok")
-    return X.objects(spark, d).select("uid", "license", verdict.alias("verdict"))
-
-
-def token_set(text: Column) -> Column:
-    """The normalised text as a whole and its single words, each once (TXT2)."""
-    norm = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-    return F.array_distinct(F.filter(F.concat(F.array(norm), F.split(norm, " ")), lambda x: x != ""))
-
-
 _NORM = "trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g'))"
 
 
@@ -55,32 +43,50 @@ def txt2_tokens(spark, d):
     return X.objects(spark, d).select("uid", F.explode(token_set(F.col("name"))).alias("token"))
 
 
-_WORDS = f"wd AS (SELECT DISTINCT uid, unnest(string_split({_NORM}, ' ')) AS token FROM objects), tm AS (SELECT token, dense_rank() OVER (ORDER BY token) % 8 AS class FROM (SELECT DISTINCT token FROM wd))"
+_META = """meta AS (SELECT p_partkey AS uid, trim(p_name) AS name, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'a ' || p_name END AS description, list_filter([string_split(p_name, ' ')[1], '', lower(p_brand)], lambda x: x <> '') AS tags, [p_type] AS categories, CASE WHEN p_partkey % 4 = 0 THEN [replace(p_name, ' ', '_')] ELSE [] END AS lvis, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE lower(p_brand) END AS license FROM part)"""
 
 
-def _rule_terms(tokens: DataFrame) -> DataFrame:
-    """(token, class): single words dealt to classes by their order; the list of distinct words is a small dimension."""
-    from pyspark.sql import Window
+def _metadata(spark, d) -> DataFrame:
+    """Annotations of free form: tags as texts and as objects, blanks, categories as objects."""
+    tags = "array(to_json(split(p_name, ' ')[0]), '\" \"', to_json(named_struct('name', lower(p_brand))), '7')"
+    lvis = "if(p_partkey % 4 = 0, concat('[', to_json(replace(p_name, ' ', '_')), ']'), '[]')"
+    note = "if(p_partkey % 5 = 0, 'null', to_json(concat(' a ', p_name)))"
+    licence = "if(p_partkey % 9 = 0, 'null', to_json(p_brand))"
+    text = f"concat('{{\"name\":', to_json(concat(p_name, '  ')), ',\"description\":', {note}, ',\"license\":', {licence}, ',\"tags\":[', concat_ws(',', {tags}), '],\"categories\":[', to_json(named_struct('name', p_type)), '],\"_extra\":{{\"lvis_categories\":', {lvis}, '}}}}')"
+    for part in ("split(p_name, ' ')[0]", "replace(p_name, ' ', '_')", "concat(' a ', p_name)", "p_brand", "concat(p_name, '  ')"):
+        text = text.replace(f"to_json({part})", f"concat('\"', {part}, '\"')")
+    return M.normalised_metadata(X.read(spark, d, "part").selectExpr("p_partkey AS uid", f"{text} AS annotation"))
 
-    words = tokens.where(~F.col("token").contains(" ")).select("token").distinct()
-    return words.select("token", (F.dense_rank().over(Window.orderBy("token")) % 8).alias("class"))
 
+@query(f"WITH {_META} SELECT uid, name, description, array_to_string(tags, '|') AS tags, array_to_string(categories, '|') AS categories, array_to_string(lvis, '|') AS lvis, license FROM meta")
+def txt1_normalised_metadata(spark, d):
+    return _metadata(spark, d).select("uid", "name", "description", *(F.array_join(k, "|").alias(k) for k in ("tags", "categories", "lvis")), "license")
 
-@query(f"WITH {OBJECTS}, {_WORDS}, m AS (SELECT uid, class FROM wd JOIN tm USING (token) WHERE class < {RULES} GROUP BY uid, class), g AS (SELECT uid, count(*) AS n, string_agg(class::VARCHAR, ',' ORDER BY class) AS classes FROM m GROUP BY uid) SELECT o.uid, CASE WHEN n = 1 THEN 'accepted' ELSE 'needs_review' END AS decision, coalesce(classes, '') AS classes FROM objects o LEFT JOIN g USING (uid)")
-def txt3_rule_classification(spark, d):
-    """Objects whose tokens meet exactly one class's terms are accepted; conflicts list their classes."""
-    o = X.objects(spark, d)
-    tokens = o.select("uid", F.explode(token_set(F.col("name"))).alias("token"))
-    hits = tokens.join(_rule_terms(tokens).where(F.col("class") < RULES), "token").select("uid", "class").distinct()
-    g = hits.groupBy("uid").agg(F.count("*").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("class")), lambda x: x.cast("string")), ",").alias("classes"))
-    return o.select("uid").join(g, "uid", "left").select("uid", F.when(F.col("n") == 1, "accepted").otherwise("needs_review").alias("decision"), F.coalesce("classes", F.lit("")).alias("classes"))
 
+_BLOCKED = ["ECONOMY", "promo"]
+_REFUSED = "ad AS (SELECT *, CASE WHEN license NOT IN (SELECT 'brand#' || i FROM range(1, 21) t(i)) THEN 'License is not allowed: ' || CASE WHEN license = '' THEN 'missing' ELSE license END WHEN lower(categories[1]) IN ('economy', 'promo') THEN 'Rejected metadata category: ' || lower(categories[1]) END AS refused FROM meta)"
 
-@query(f"WITH {OBJECTS} SELECT uid, trim(name) AS name, len(string_split(name, ' ')) AS n_tags, license FROM objects")
-def txt1_normalised_metadata(spark, d):
-    v = F.parse_json("annotation")
-    tags = F.filter(F.try_variant_get(v, "$.tags", "array<string>"), lambda x: F.trim(x) != "")
-    return X.objects(spark, d).select("uid", F.trim(F.try_variant_get(v, "$.name", "string")).alias("name"), F.size(tags).cast("long").alias("n_tags"), F.lower(F.trim(F.try_variant_get(v, "$.license", "string"))).alias("license"))
+
+def _admitted(spark, d) -> DataFrame:
+    return M.admission(_metadata(spark, d), [f"Brand#{i}" for i in range(1, 21)], _BLOCKED)
+
+
+@query(f"WITH {_META}, {_REFUSED} SELECT uid, license, coalesce(refused, 'ok') AS verdict FROM ad")
+def fil3_license_and_category(spark, d):
+    return _admitted(spark, d).select("uid", "license", F.coalesce("refused", F.lit("ok")).alias("verdict"))
+
+
+_N = "trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+_CLASSIFIED = f"""fl AS (SELECT uid, unnest(list_concat(list_transform(lvis, lambda x: replace(x, '_', ' ')), [name], tags, categories)) AS x FROM ad WHERE refused IS NULL), fn AS (SELECT uid, {_N.format(x="x")} AS x FROM fl), tk AS (SELECT uid, x AS token FROM fn UNION SELECT uid, unnest(string_split(x, ' ')) FROM fn),
+ru AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {k}, '{t}')" for c, ts in RULES for k, t in enumerate(ts))}) t(class, k, term)),
+ht AS (SELECT tk.uid, class, arg_min(term, k) AS term, bool_or(term IN (SELECT unnest(list_transform(m.lvis, lambda y: {_N.format(x="replace(y, '_', ' ')")})))) AS lv FROM tk JOIN ru ON token = term JOIN meta m ON m.uid = tk.uid GROUP BY tk.uid, class),
+ob AS (SELECT uid, count(*) AS n, string_agg(class, ', ' ORDER BY class) AS classes, any_value(term) AS term, any_value(lv) AS lv FROM ht GROUP BY uid)"""
+
+
+@query(f"WITH {_META}, {_REFUSED}, {_CLASSIFIED} SELECT ad.uid, CASE WHEN refused IS NOT NULL THEN 'rejected' WHEN n = 1 THEN 'accepted' ELSE 'needs_review' END AS decision, CASE WHEN refused IS NULL AND n = 1 THEN classes END AS class, CASE WHEN refused IS NOT NULL THEN 1e0 WHEN n = 1 THEN CASE WHEN lv THEN 0.98e0 ELSE 0.9e0 END ELSE 0e0 END AS confidence, CASE WHEN refused IS NOT NULL THEN refused WHEN n = 1 THEN 'Matched ' || CASE WHEN lv THEN 'LVIS' ELSE 'metadata' END || ' term: ' || term WHEN n > 1 THEN 'Conflicting canonical classes: ' || classes ELSE 'No high-confidence canonical class rule matched' END AS reason FROM ad LEFT JOIN ob ON ob.uid = ad.uid")
+def txt3_rule_classification(spark, d):
+    rules = spark.createDataFrame(RULES, "canonical_class string, terms array<string>")
+    return M.classify(_admitted(spark, d), rules)
 
 
 @query("SELECT p_partkey AS uid, regexp_replace(regexp_replace(p_name, '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS dashed, regexp_replace(p_name, '[^A-Za-z0-9]', '_', 'g') AS scored FROM part")
@@ -88,11 +94,21 @@ def txt7_safe_names(spark, d):
     return X.objects(spark, d).select("uid", F.regexp_replace(F.regexp_replace("name", "[^A-Za-z0-9]+", "-"), "^-+|-+$", "").alias("dashed"), F.regexp_replace("name", "[^A-Za-z0-9]", "_").alias("scored"))
 
 
-@query(f"WITH {OBJECTS}, rq AS (SELECT DISTINCT l_partkey AS uid FROM lineitem WHERE l_quantity > 30), an AS (SELECT * FROM objects WHERE uid % 7 <> 0) SELECT uid, name, category FROM an JOIN rq USING (uid)")
+@query("""WITH f AS (SELECT p_partkey AS uid, CASE WHEN p_partkey % 8 = 0 THEN 'cache/' ELSE 'a/' END || p_partkey || '.glb' AS path FROM part UNION ALL SELECT p_partkey, 'b/' || p_partkey || '.glb' FROM part WHERE p_partkey % 9 = 0), k AS (SELECT * FROM f WHERE path NOT LIKE 'cache/%'), c AS (SELECT uid, count(*) AS n FROM k GROUP BY uid), n AS (SELECT DISTINCT l_partkey AS uid FROM lineitem WHERE l_quantity > 30)
+SELECT uid, path, CASE WHEN n > 1 THEN 'duplicate uid' WHEN uid % 10 = 0 THEN 'uid mismatch' WHEN uid % 11 = 0 THEN 'path mismatch' ELSE '' END AS problem FROM k JOIN c USING (uid) JOIN n USING (uid)""")
 def joi1_object_annotations(spark, d):
-    """Requested objects that have an annotation."""
-    rq = X.read(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_partkey").alias("uid")).distinct()
-    return X.objects(spark, d).where("uid % 7 <> 0").join(rq, "uid", "left_semi").select("uid", "name", "category")
+    """Files of objects, some in an excluded folder and some twice, and annotations with other uids and paths among them."""
+    f = X.read(spark, d, "part").selectExpr("p_partkey AS uid", "explode(if(p_partkey % 9 = 0, array(if(p_partkey % 8 = 0, 'cache/', 'a/'), 'b/'), array(if(p_partkey % 8 = 0, 'cache/', 'a/')))) AS folder").selectExpr("uid", "concat(folder, uid, '.glb') AS path")
+    n = X.read(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_partkey").alias("uid")).distinct()
+    n = n.selectExpr("uid", "if(uid % 10 = 0, uid + 1, uid) AS given_uid", "concat(if(uid % 8 = 0, if(uid % 9 = 0, 'B/', 'cache/'), 'A/'), if(uid % 11 = 0, 'x', ''), uid, '.GLB') AS given_path")
+    return M.annotated_objects(f, n)
+
+
+@query("WITH w AS (SELECT DISTINCT l_partkey AS uid, l_partkey % 10 AS shard FROM lineitem) SELECT shard, uid, CASE WHEN uid % 7 = 0 THEN 'missing' WHEN uid % 13 = 0 THEN 'not an object' WHEN uid % 17 = 0 THEN 'reserved key' ELSE 'found' END AS status FROM w")
+def joi2_shard_lookup(spark, d):
+    w = X.read(spark, d, "lineitem").selectExpr("l_partkey % 10 AS shard", "l_partkey AS uid").distinct()
+    value = """CASE WHEN uid % 13 = 0 THEN '[1]' WHEN uid % 17 = 0 THEN '{"_extra":{}}' ELSE annotation END AS value"""
+    return M.shard_lookup(w, X.objects(spark, d).where("uid % 7 <> 0").selectExpr("CAST(shard AS BIGINT) AS shard", "uid", value))
 
 
 @query(f"WITH {OBJECTS}, rq AS (SELECT DISTINCT l_partkey AS uid FROM lineitem) SELECT uid FROM rq WHERE uid NOT IN (SELECT uid FROM objects WHERE uid % 7 <> 0)")
@@ -111,18 +127,20 @@ def joi3_category_inversion(spark, d):
     return g.groupBy("uid").agg(F.array_join(F.array_sort(F.collect_set("category")), "|").alias("categories"))
 
 
-@query(f"WITH {OBJECTS} SELECT uid, name, CASE WHEN uid % 3 = 0 THEN category ELSE 'none' END AS category, 'shard-' || shard AS provenance FROM objects")
+@query(f"WITH {OBJECTS}, c AS (SELECT l_partkey AS uid, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS categories FROM lineitem GROUP BY l_partkey) SELECT uid, name, coalesce(categories, '') AS categories, 'shard-' || shard AS provenance FROM objects LEFT JOIN c USING (uid)")
 def joi4_enrichment(spark, d):
-    o = X.objects(spark, d)
-    c = o.where("uid % 3 = 0").select("uid", F.col("category").alias("c"))
-    return o.join(c, "uid", "left").select("uid", "name", F.coalesce("c", F.lit("none")).alias("category"), F.concat(F.lit("shard-"), "shard").alias("provenance"))
+    """Objects with the categories that another table has for them, and where they come from."""
+    c = X.read(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("uid")).agg(F.array_sort(F.collect_set("l_returnflag")).alias("c"))
+    o = X.objects(spark, d).join(c, "uid", "left").withColumn("c", F.coalesce("c", F.array().cast("array<string>")))
+    return o.select("uid", "name", F.array_join("c", "|").alias("categories"), F.concat(F.lit("shard-"), "shard").alias("provenance"))
 
 
-@query(f"WITH {OBJECTS} SELECT uid, CASE WHEN uid % 4 = 0 THEN 'model' ELSE 'rules' END AS source, CASE WHEN uid % 4 = 0 THEN 'accepted' ELSE 'needs_review' END AS decision FROM objects")
+@query("WITH m AS (SELECT s_suppkey AS uid, CASE WHEN s_suppkey % 3 = 0 THEN 'rejected' ELSE 'accepted' END AS m FROM supplier) SELECT p_partkey AS uid, CASE WHEN m IS NULL THEN 'rules' ELSE 'model' END AS source, coalesce(m, 'needs_review') AS decision FROM part LEFT JOIN m ON m.uid = p_partkey")
 def joi13_result_override(spark, d):
-    o = X.objects(spark, d).select("uid")
-    m = o.where("uid % 4 = 0").withColumn("m", F.lit("accepted"))
-    return o.join(m, "uid", "left").select("uid", F.when(F.col("m").isNull(), "rules").otherwise("model").alias("source"), F.coalesce("m", F.lit("needs_review")).alias("decision"))
+    """A model's answers, where there are any, in place of the rules'."""
+    m = X.read(spark, d, "supplier").selectExpr("s_suppkey AS uid", "if(s_suppkey % 3 = 0, 'rejected', 'accepted') AS m")
+    o = X.objects(spark, d).select("uid").join(m, "uid", "left")
+    return o.select("uid", F.when(F.col("m").isNull(), "rules").otherwise("model").alias("source"), F.coalesce("m", F.lit("needs_review")).alias("decision"))
 
 
 @query(f"WITH {OBJECTS}, b AS (SELECT uid, 1 + uid % 5 + 0e0 AS dx, 1 + uid % 3 + 0e0 AS dy, 1 + uid % 7 + 0e0 AS dz FROM objects) SELECT uid, round(dz / sqrt(greatest(dx * dy, 1e-12)), 4) AS z, round(dx / sqrt(greatest(dy * dz, 1e-12)), 4) AS x, round(dy / sqrt(greatest(dz * dx, 1e-12)), 4) AS y FROM b")
@@ -152,30 +170,32 @@ def smp6_seeded_shuffle(spark, d):
     return o.withColumn("k", k).where("k <= 12")
 
 
-_UNITS = "un AS (SELECT o_custkey AS unit, sha256(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) AS digest FROM orders GROUP BY o_custkey), pr AS (SELECT unit, CASE WHEN unit % 5 = 0 THEN 'old' ELSE digest END AS digest FROM un WHERE unit % 3 <> 0)"
+#: A table of runs: one row for each line of an order, of the order's customer and one of three stages; the last of a stage counts.
+_RUNS = """runs AS (SELECT o_custkey AS unit, ['lift', 'merge', 'export'][1 + l_linenumber % 3] AS stage, o_orderkey * 8 + l_linenumber AS seq, CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'complete' END AS status, 'c' || l_suppkey % 2 AS config_digest, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'u' || l_partkey % 2 END AS upstream_digest FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+last AS (SELECT unit, stage, max({'q': seq, 's': status, 'c': config_digest, 'u': coalesce(upstream_digest, '')}) AS m FROM runs GROUP BY unit, stage), st(stage, stage_no) AS (VALUES ('lift', 0), ('merge', 1), ('export', 2))"""
+_STAGES = [("lift", 0), ("merge", 1), ("export", 2)]
 
 
-def unit_digests(rows: DataFrame) -> DataFrame:
-    """(unit, digest): one digest over each unit's rows in order (LIN3)."""
-    ids = F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda x: x.cast("string"))
-    return rows.groupBy(F.col("o_custkey").alias("unit")).agg(F.sha2(F.array_join(ids, ","), 256).alias("digest"))
+def _runs(spark, d) -> DataFrame:
+    j = X.read(spark, d, "lineitem").join(X.read(spark, d, "orders"), F.expr("o_orderkey = l_orderkey"))
+    return j.selectExpr("o_custkey AS unit", "array('lift', 'merge', 'export')[l_linenumber % 3] AS stage", "o_orderkey * 8 + l_linenumber AS seq", "if(l_returnflag = 'R', 'failed', 'complete') AS status", "concat('c', l_suppkey % 2) AS config_digest", "if(l_linenumber % 3 = 0, NULL, concat('u', l_partkey % 2)) AS upstream_digest")
 
 
-@query(f"WITH {_UNITS} SELECT * FROM un")
+@query("SELECT o_custkey AS unit, o_orderstatus AS stage, sha256(string_agg('f' || o_orderkey || '.npz' || o_custkey * 7 || (o_orderkey % 1000), '' ORDER BY 'd' || o_orderkey % 3 || '/f' || o_orderkey || '.npz')) AS artifact_digest FROM orders GROUP BY o_custkey, o_orderstatus")
 def lin3_artifact_digest(spark, d):
-    return unit_digests(X.read(spark, d, "orders"))
+    f = X.read(spark, d, "orders").selectExpr("o_custkey AS unit", "o_orderstatus AS stage", "concat('d', o_orderkey % 3, '/f', o_orderkey, '.npz') AS path", "o_custkey * 7 AS size", "o_orderkey % 1000 AS mtime")
+    return M.artifact_digests(f)
 
 
-@query(f"WITH {_UNITS} SELECT unit FROM un WHERE NOT EXISTS (SELECT 1 FROM pr WHERE pr.unit = un.unit AND pr.digest = un.digest)")
+@query(f"WITH {_RUNS}, w AS (SELECT c_custkey AS unit, stage, 'c' || c_custkey % 2 AS config_digest, CASE WHEN stage = 'lift' THEN '' ELSE 'u1' END AS u FROM customer, st) SELECT unit, stage FROM w WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.unit = w.unit AND l.stage = w.stage AND l.m.s = 'complete' AND l.m.c = w.config_digest AND l.m.u = w.u)")
 def lin4_units_to_run(spark, d):
-    """Units without a complete run of the same digest (LIN4, LIN6)."""
-    un = unit_digests(X.read(spark, d, "orders"))
-    prior = un.where("unit % 3 <> 0").select("unit", F.when(F.expr("unit % 5 = 0"), "old").otherwise(F.col("digest")).alias("digest"))
-    return un.join(prior, ["unit", "digest"], "left_anti").select("unit")
+    """Stages of all units that have no complete last run under both digests; the digest of a stage covers its own settings (LIN4, LIN6)."""
+    w = X.read(spark, d, "customer").selectExpr("c_custkey AS unit", "explode(array('lift', 'merge', 'export')) AS stage").selectExpr("unit", "stage", "concat('c', unit % 2) AS config_digest", "if(stage = 'lift', NULL, 'u1') AS upstream_digest")
+    return M.to_run(w, _runs(spark, d)).select("unit", "stage")
 
 
-@query("WITH st AS (SELECT o_custkey AS unit, s AS stage, CASE WHEN s >= o_custkey % 4 THEN 'pending' ELSE 'complete' END AS status FROM (SELECT DISTINCT o_custkey FROM orders), range(0, 4) t(s)) SELECT * FROM st")
+@query(f"WITH {_RUNS}, fo AS (SELECT c_custkey AS unit, min(stage_no) AS low FROM customer JOIN st ON stage = ['lift', 'merge', 'export'][1 + c_nationkey % 3] WHERE c_acctbal > 5000 GROUP BY c_custkey), un AS (SELECT unit FROM runs UNION SELECT unit FROM fo) SELECT un.unit, st.stage, CASE WHEN stage_no >= low THEN 'pending' ELSE coalesce(l.m.s, 'pending') END AS status FROM un CROSS JOIN st LEFT JOIN fo ON fo.unit = un.unit LEFT JOIN last l ON l.unit = un.unit AND l.stage = st.stage")
 def lin5_invalidation(spark, d):
-    """A forced stage and all after it are pending again."""
-    u = X.read(spark, d, "orders").select(F.col("o_custkey").alias("unit")).distinct()
-    return u.select("unit", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("stage")).withColumn("status", F.when(F.expr("stage >= unit % 4"), "pending").otherwise("complete"))
+    """A forced stage and all after it are pending again, whatever their last run."""
+    forced = X.read(spark, d, "customer").where("c_acctbal > 5000").selectExpr("c_custkey AS unit", "array('lift', 'merge', 'export')[c_nationkey % 3] AS stage")
+    return M.invalidated(_runs(spark, d), forced, spark.createDataFrame(_STAGES, "stage string, stage_no int"))
