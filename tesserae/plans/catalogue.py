@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
 from tesserae.operators.metadata import token_set
+from tesserae.operators.placement import placed_boxes
 from tesserae.plans.materialize import shared_dir
 from tesserae.plans.mesh import _boxes, _faces
 from tesserae.sources import fixtures as X
@@ -208,37 +209,28 @@ def txt6_content_ids(spark, d):
     return _boxes(_faces(spark, d)).select("instance", region.alias("region_id"), mask.alias("mask_id"))
 
 
-def placed_boxes(objects: DataFrame, clearance: float = 0.005) -> DataFrame:
-    """World boxes of objects (uid, dx, dy, dz, yaw, px, py, pz, target): turned by yaw, scaled to a height, set down on a point (GEO12).
-
-    scale is null for an object without height.
-    """
-    scale = F.when(F.col("dz") > 1e-8, F.col("target") / F.col("dz"))
-    o = objects.withColumn("scale", scale)
-    corners = [(F.cos("yaw") * (sx * F.col("dx")) - F.sin("yaw") * (sy * F.col("dy")), F.sin("yaw") * (sx * F.col("dx")) + F.cos("yaw") * (sy * F.col("dy"))) for sx in (-0.5, 0.5) for sy in (-0.5, 0.5)]
-    out = {}
-    for k, a in enumerate("xy"):
-        out |= {f"{a}_min": F.col(f"p{a}") + F.col("scale") * F.least(*(c[k] for c in corners)), f"{a}_max": F.col(f"p{a}") + F.col("scale") * F.greatest(*(c[k] for c in corners))}
-    return o.withColumns(out | {"z_min": F.col("pz") + clearance, "z_max": F.col("pz") + clearance + F.col("scale") * F.col("dz")})
-
-
-@query(f"""WITH {OBJECTS}, o AS (SELECT uid, 1 + uid % 5 + 0e0 AS dx, 1 + uid % 3 + 0e0 AS dy, 1 + uid % 7 + 0e0 AS dz, radians(uid % 24 * 15 + 1) AS yaw, uid % 10 * 1e0 AS px, uid % 9 * 1e0 AS py, 0.2e0 AS pz, 0.3e0 + uid % 4 * 0.1e0 AS target FROM objects),
-h AS (SELECT *, target / dz AS s, (abs(cos(yaw)) * dx + abs(sin(yaw)) * dy) / 2 AS hx, (abs(sin(yaw)) * dx + abs(cos(yaw)) * dy) / 2 AS hy FROM o)
-SELECT uid, round(px - s * hx + 1e-9, 4) AS x_min, round(px + s * hx + 1e-9, 4) AS x_max, round(py - s * hy + 1e-9, 4) AS y_min, round(py + s * hy + 1e-9, 4) AS y_max, round(pz + 0.005 + 1e-9, 4) AS z_min, round(pz + 0.005 + target + 1e-9, 4) AS z_max FROM h""")
+@query(f"""WITH {OBJECTS}, q AS (SELECT uid, uid % 3 AS up, uid % 2 AS longest, 1 + uid % 5 + 0e0 AS dx, 1 + uid % 3 + 0e0 AS dy, 1 + uid % 7 + 0e0 AS dz, radians(uid % 24 * 15 + 1) AS yaw, uid % 10 * 1e0 AS px, uid % 9 * 1e0 AS py, 0.2e0 AS pz, 0.3e0 + uid % 4 * 0.1e0 AS target FROM objects),
+o AS (SELECT * REPLACE (CASE WHEN up = 1 THEN dz ELSE dx END AS dx, CASE WHEN up = 2 THEN dz ELSE dy END AS dy, CASE up WHEN 1 THEN dx WHEN 2 THEN dy ELSE dz END AS dz) FROM q), e AS (SELECT *, abs(cos(yaw)) * dx + abs(sin(yaw)) * dy AS ex, abs(sin(yaw)) * dx + abs(cos(yaw)) * dy AS ey FROM o),
+h AS (SELECT *, target / CASE WHEN longest = 1 THEN greatest(ex, ey, dz) ELSE dz END AS s, ex / 2 AS hx, ey / 2 AS hy FROM e)
+SELECT uid, round(px - s * hx + 1e-9, 4) AS x_min, round(px + s * hx + 1e-9, 4) AS x_max, round(py - s * hy + 1e-9, 4) AS y_min, round(py + s * hy + 1e-9, 4) AS y_max, round(pz + 0.005 + 1e-9, 4) AS z_min, round(pz + 0.005 + s * dz + 1e-9, 4) AS z_max FROM h""")
 def geo12_placement(spark, d):
-    o = X.objects(spark, d).selectExpr("uid", "1 + uid % 5 + 0e0 AS dx", "1 + uid % 3 + 0e0 AS dy", "1 + uid % 7 + 0e0 AS dz", "radians(uid % 24 * 15 + 1) AS yaw", "uid % 10 * 1e0 AS px", "uid % 9 * 1e0 AS py", "0.2e0 AS pz", "0.3e0 + uid % 4 * 0.1e0 AS target")
+    o = X.objects(spark, d).selectExpr("uid", "array('+Z', '+X', '-Y')[uid % 3] AS up", "if(uid % 2 = 1, 'longest', 'height') AS dimension", "1 + uid % 5 + 0e0 AS dx", "1 + uid % 3 + 0e0 AS dy", "1 + uid % 7 + 0e0 AS dz", "radians(uid % 24 * 15 + 1) AS yaw", "uid % 10 * 1e0 AS px", "uid % 9 * 1e0 AS py", "0.2e0 AS pz", "0.3e0 + uid % 4 * 0.1e0 AS target")
     return placed_boxes(o).select("uid", *(R(F.col(f"{a}_{m}")).alias(f"{a}_{m}") for a in "xyz" for m in ("min", "max")))
 
 
 def inventory(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """(scene_id, rel_path, length, modified) of the files under a folder with this suffix; contents are not read (SRC1, LIN1)."""
+    """(scene_id, rel_path, length, modified) of the files under a folder with this suffix, by their paths in lower case; contents are not read (SRC1, LIN1)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    named = system.resolvePath(p).toUri().getPath().rstrip("/") + "/"
     base = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
-    rel = F.regexp_replace("path", ".*/" + root.rstrip("/").rsplit("/", 1)[-1] + "/", "")
-    f = base.withColumn("rel_path", rel).where(F.lower("rel_path").endswith(suffix))
+    # the folder's own path as it stands, wherever it begins in the address
+    rel = F.substr("path", F.locate(named, "path") + len(named))
+    f = base.withColumn("rel_path", rel).where(F.lower("rel_path").endswith(suffix.lower()))
     stem = F.regexp_replace(F.regexp_replace(F.regexp_replace("rel_path", r"\.[^./]*$", ""), "/", "__"), "[^A-Za-z0-9._-]", "_")
     name = F.regexp_replace(stem, "^[._-]+|[._-]+$", "")
     name = F.when(name == "", "scene").otherwise(name)
-    return f.select(F.concat(name, F.lit("-"), F.substring(F.sha2(F.lower("rel_path"), 256), 1, 8)).alias("scene_id"), "rel_path", "length", "modified")
+    return f.select(F.concat(name, F.lit("-"), F.substring(F.sha2(F.lower("rel_path"), 256), 1, 8)).alias("scene_id"), "rel_path", "length", "modified").orderBy(F.lower("rel_path"))
 
 
 @query()

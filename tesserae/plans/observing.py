@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
-from tesserae.operators import spatial
-from tesserae.plans.catalogue import placed_boxes
+from tesserae.operators import placement, spatial
+from tesserae.operators.placement import placed_boxes
+from tesserae.operators.rays import ray_hits, touching
 from tesserae.plans.materialize import materialize, release
-from tesserae.plans.mesh import _ANCHORS, _SUPPORT, _face_table, _faces, support_faces
+from tesserae.plans.mesh import _ANCHORS, _SUPPORT, _face_table, _faces, boundary_edges, candidates, clearances, patch_summary, patches, support_faces
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES, OBJECTS, POINTS
 
@@ -67,40 +68,6 @@ def joi7_observation_context(spark, d):
     return met.groupBy("anchor").agg(F.count("*").alias("n_faces"), F.count_if("core").alias("n_core"))
 
 
-def _cross(a: list[Column], b: list[Column]) -> list[Column]:
-    return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
-
-
-def _dot(a: list[Column], b: list[Column]) -> Column:
-    return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
-
-
-def ray_hits(rays: DataFrame, faces: DataFrame, size: float = 0.5) -> DataFrame:
-    """(ray, n_hits, t, nz): faces of its scene_id that each ray (ray, ox..oz, unit dx..dz, len) meets, the nearest distance and the upward part of the nearest face's normal; rays without a hit have no row (JOI14).
-
-    Rays and triangles list the cells in XY that their boxes cover and meet there; a pair counts in
-    the first cell that both cover only. The rest is column arithmetic.
-    """
-    c = F.col
-    cells = lambda low, high: F.sequence(F.floor(low / size).cast("long"), F.floor(high / size).cast("long"))
-    r = rays
-    for a in "xy":
-        end = c(f"o{a}") + c(f"d{a}") * c("len")
-        r = r.withColumn(f"r{a}", F.floor(F.least(c(f"o{a}"), end) / size).cast("long")).withColumn(f"c_{a}", F.explode(cells(F.least(c(f"o{a}"), end), F.greatest(c(f"o{a}"), end))))
-    f = faces.select("scene_id", "nz", *(f"{a}{k}" for k in range(3) for a in "xyz"))
-    for a in "xy":
-        low, high = F.least(*(f"{a}{k}" for k in range(3))), F.greatest(*(f"{a}{k}" for k in range(3)))
-        f = f.withColumn(f"f{a}", F.floor(low / size).cast("long")).withColumn(f"c_{a}", F.explode(cells(low, high)))
-    j = r.join(f, ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{a} = greatest(r{a}, f{a})" for a in "xy"))
-    e1, e2 = ([c(f"{a}{k}") - c(f"{a}0") for a in "xyz"] for k in (1, 2))
-    o, dv = [c(f"o{a}") - c(f"{a}0") for a in "xyz"], [c(f"d{a}") for a in "xyz"]
-    p = _cross(dv, e2)
-    det, q = _dot(e1, p), _cross(o, e1)
-    j = j.withColumns({"det": det, "u": _dot(o, p), "v": _dot(dv, q), "w": _dot(e2, q)}).where("abs(det) > 1e-12")
-    j = j.selectExpr("ray", "nz", "len", "u / det AS u", "v / det AS v", "w / det AS t").where("u >= 0 AND v >= 0 AND u + v <= 1 AND t >= 0 AND t <= len")
-    return j.groupBy("ray").agg(F.count("*").alias("n_hits"), F.min("t").alias("t"), F.min(F.struct("t", "nz")).getField("nz").alias("nz"))
-
-
 _RAYS = """rays AS (SELECT 's' || (c_custkey % 3) AS scene_id, c_custkey * 2 + k AS ray, (c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001 AS ox, (c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002 AS oy, CASE WHEN k = 0 THEN 1e0 ELSE 0.05e0 END AS oz,
   CASE WHEN k = 0 THEN 0e0 ELSE cos(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dx, CASE WHEN k = 0 THEN 0e0 ELSE sin(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dy, CASE WHEN k = 0 THEN -1e0 ELSE 0e0 END AS dz, CASE WHEN k = 0 THEN 2e0 ELSE 0.35e0 END AS len FROM customer, (VALUES (0), (1)) t(k))"""
 _x = lambda a, b: [f"({a[1]} * {b[2]} - {a[2]} * {b[1]})", f"({a[2]} * {b[0]} - {a[0]} * {b[2]})", f"({a[0]} * {b[1]} - {a[1]} * {b[0]})"]
@@ -124,19 +91,6 @@ def joi14_line_of_sight(spark, d):
     return r.select("ray").join(ray_hits(r, _faces(spark, d)), "ray", "left").select("ray", F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"), R(F.coalesce("t", F.lit(-1.0))).alias("t"))
 
 
-def touching(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
-    """Pairs of boxes (x_min..z_max) of one scene_id, of a (key a) and b (key b), that overlap, each found in the first cell that both cover (JOI15)."""
-
-    def spread(df: DataFrame, p: str) -> DataFrame:
-        df = df.select("scene_id", p, *(F.col(f"{x}_{m}").alias(f"{p}{x}_{m}") for x in "xyz" for m in ("min", "max")))
-        for x in "xy":
-            df = df.withColumn(f"{p}{x}", F.floor(F.col(f"{p}{x}_min") / size).cast("long")).withColumn(f"c_{x}", F.explode(F.sequence(F.floor(F.col(f"{p}{x}_min") / size).cast("long"), F.floor(F.col(f"{p}{x}_max") / size).cast("long"))))
-        return df
-
-    j = spread(a, "a").join(spread(b, "b"), ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{x} = greatest(a{x}, b{x})" for x in "xy"))
-    return j.where(" AND ".join(f"a{x}_min < b{x}_max AND b{x}_min < a{x}_max" for x in "xyz")).select("a", "b")
-
-
 @query(f"""WITH {FACES}, ob AS (SELECT scene_id, fid AS a, cx - 0.2 AS x_min, cx + 0.2 AS x_max, cy - 0.2 AS y_min, cy + 0.2 AS y_max, cz + 0.02 AS z_min, cz + 0.42 AS z_max FROM faces WHERE {_SUPPORT})
 SELECT a AS fid, count(*) AS n_touching FROM ob JOIN faces ON ob.scene_id = faces.scene_id AND {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY a""")
 def joi15_interference(spark, d):
@@ -148,35 +102,36 @@ def joi15_interference(spark, d):
 
 
 def weighted_draws(items: DataFrame, draws: DataFrame, block: int = 256) -> DataFrame:
-    """(draw, fid): items (fid, w: whole numbers) drawn with replacement, draws (draw, u in [0, 1)) (SMP1).
+    """(scene_id, draw, fid): each scene's items (scene_id, fid, w: whole numbers) drawn with replacement, draws (scene_id, draw, u in [0, 1)) (SMP1).
 
-    Weights are summed by blocks of ids, then within each block, so no window spans all items but one
-    over the block sums. The range of sums is cut into cells of about the mean weight; an item lists
-    those it covers and meets a draw in the draw's cell. Items list two cells
-    each on average, whatever the weights.
+    Weights are summed by blocks of ids, then by blocks of blocks, so that no window spans more than
+    `block` rows but the last, over a scene's number of ids divided by block * block. The range of sums is cut into cells of about the
+    mean weight; an item lists those it covers and meets a draw in the draw's cell: two cells an item
+    on average, whatever the weights. A scene without weight gives no draws.
     """
-    i = items.where("w > 0").withColumn("blk", F.expr(f"fid div {block}"))
-    sums = i.groupBy("blk").agg(F.sum("w").alias("s")).withColumn("one", F.lit(1))
-    before = F.coalesce(F.sum("s").over(Window.partitionBy("one").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sums.select("blk", before.alias("b0"))
-    within = F.sum("w").over(Window.partitionBy("blk").orderBy("fid"))
-    cum = i.withColumn("hi", within).join(starts, "blk").selectExpr("fid", "w", "b0 + hi - w AS lo", "b0 + hi AS hi")
-    total = i.agg(F.sum("w").alias("total"), F.greatest(F.lit(1).cast("long"), F.expr("sum(w) div count(*)")).alias("unit"))
-    at = draws.join(F.broadcast(total)).selectExpr("draw", "CAST(floor(u * total) AS BIGINT) AS x", "unit").selectExpr("draw", "x", "x div unit AS c")
-    listed = cum.join(F.broadcast(total)).withColumn("c", F.explode(F.expr("sequence(lo div unit, (hi - 1) div unit)")))
-    return at.join(listed, "c").where("x >= lo AND x < hi").select("draw", "fid")
+    i = items.where("w > 0").withColumns({"blk": F.expr(f"fid div {block}"), "big": F.expr(f"fid div {block * block}")})
+    before = lambda *by: F.coalesce(F.sum("s").over(Window.partitionBy("scene_id", *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = i.groupBy("scene_id", "big", "blk").agg(F.sum("w").alias("s"))
+    bigs = sums.groupBy("scene_id", "big").agg(F.sum("s").alias("s")).select("scene_id", "big", before("big").alias("b1"))
+    starts = sums.select("scene_id", "big", "blk", before("big", "blk").alias("b0")).join(bigs, ["scene_id", "big"])
+    within = F.sum("w").over(Window.partitionBy("scene_id", "blk").orderBy("fid"))
+    cum = i.withColumn("hi", within).join(starts, ["scene_id", "big", "blk"]).selectExpr("scene_id", "fid", "w", "b1 + b0 + hi - w AS lo", "b1 + b0 + hi AS hi")
+    total = i.groupBy("scene_id").agg(F.sum("w").alias("total"), F.greatest(F.lit(1).cast("long"), F.expr("sum(w) div count(*)")).alias("unit"))
+    at = draws.join(total, "scene_id").selectExpr("scene_id", "draw", "CAST(floor(u * total) AS BIGINT) AS x", "unit").selectExpr("scene_id", "draw", "x", "x div unit AS c")
+    listed = cum.join(total, "scene_id").withColumn("c", F.explode(F.expr("sequence(lo div unit, (hi - 1) div unit)")))
+    return at.join(listed, ["scene_id", "c"]).where("x >= lo AND x < hi").select("scene_id", "draw", "fid")
 
 
-_DRAWS = f"""{FACES}, it AS (SELECT fid, floor(area * 1000000 + 0.001)::BIGINT AS w FROM faces), cu AS (SELECT fid, w, sum(w) OVER (ORDER BY fid)::BIGINT AS hi FROM it WHERE w > 0), tt AS (SELECT sum(w)::BIGINT AS total FROM it),
-dr AS (SELECT event_id AS draw, floor(((event_id * 7919) % 10007 + 0.5e0) / 10007 * total)::BIGINT AS x FROM events, tt)"""
+_DRAWS = f"""{FACES}, it AS (SELECT scene_id, fid, floor(area * 1000000 + 0.001)::BIGINT AS w FROM faces), cu AS (SELECT scene_id, fid, w, sum(w) OVER (PARTITION BY scene_id ORDER BY fid)::BIGINT AS hi FROM it WHERE w > 0), tt AS (SELECT scene_id, sum(w)::BIGINT AS total FROM it GROUP BY scene_id),
+dr AS (SELECT scene_id, event_id AS draw, floor(((event_id * 7919) % 10007 + 0.5e0) / 10007 * total)::BIGINT AS x FROM events JOIN tt ON scene_id = 's' || (event_id % 3))"""
 
 
-@query(f"WITH {_DRAWS} SELECT draw, fid FROM dr ASOF JOIN (SELECT fid, hi - w AS lo FROM cu) c ON dr.x >= c.lo")
+@query(f"WITH {_DRAWS} SELECT draw, fid FROM dr ASOF JOIN (SELECT scene_id, fid, hi - w AS lo FROM cu) c ON dr.scene_id = c.scene_id AND dr.x >= c.lo")
 def smp1_surface_samples(spark, d):
     """Faces drawn by area, one draw for each event (SMP1, SMP2)."""
-    items = _faces(spark, d).select("fid", F.floor(F.col("area") * 1000000 + 0.001).cast("long").alias("w"))
-    draws = X.read(spark, d, "events").selectExpr("event_id AS draw", "((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u")
-    return weighted_draws(items, draws)
+    items = _faces(spark, d).select("scene_id", "fid", F.floor(F.col("area") * 1000000 + 0.001).cast("long").alias("w"))
+    draws = X.read(spark, d, "events").selectExpr("concat('s', event_id % 3) AS scene_id", "event_id AS draw", "((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u")
+    return weighted_draws(items, draws).select("draw", "fid")
 
 
 @query(f"""WITH {FACES}, {_ANCHORS}, dz AS (SELECT scene_id, anchor, ax, ay, k AS trial, cos(radians(k * 45 + anchor * 7 + 0.3e0)) AS fx, sin(radians(k * 45 + anchor * 7 + 0.3e0)) AS fy FROM anchors, range(0, 8) t(k)),
@@ -232,31 +187,37 @@ def smp5_observation_cameras(spark, d):
     return v.withColumn("view", k).where("view <= 24").select("anchor", "view", "spot", "pitch", "yaw")
 
 
-def spaced(points: DataFrame, least: float) -> DataFrame:
-    """Points (rank, x, y) accepted in order of rank unless an accepted one is closer than least (ITR7).
+def spaced(points: DataFrame, least: float, most: int | None = None) -> DataFrame:
+    """Points (scene_id, rank, x, y) of each scene accepted in order of rank unless an accepted one is closer than least; the first `most` of a scene (ITR7).
 
     In each round a point without an open better neighbour is accepted, and one with an accepted better
-    neighbour refused; the best open one is always decided.
+    neighbour refused; the best open one of a scene is always decided.
     """
-    p = points.select("rank", "x", "y")
+    p = points.select("scene_id", "rank", "x", "y")
+    key = ["scene_id", "rank"]
     a = spatial.neighbours(p, ["x", "y"], least)
-    b = p.select(F.col("rank").alias("better"), F.col("x").alias("bx"), F.col("y").alias("by"), spatial.cell("x", least).alias("c_x"), spatial.cell("y", least).alias("c_y"))
-    edges = materialize(a.join(b, ["c_x", "c_y"]).where((F.col("better") < F.col("rank")) & (F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) < least)).select("rank", "better"), "spacing")
-    state = materialize(p.select("rank", F.lit(None).cast("boolean").alias("kept")), "spaced")
-    while state.where("kept IS NULL").limit(1).count():
-        met = edges.join(state.select(F.col("rank").alias("better"), "kept"), "better").groupBy("rank").agg(F.count_if("kept").alias("near"), F.count_if(F.col("kept").isNull()).alias("open"))
-        s = state.join(met, "rank", "left").fillna(0, ["near", "open"])
-        after = materialize(s.select("rank", F.coalesce("kept", F.when(F.col("near") > 0, False).when(F.col("open") == 0, True)).alias("kept")), "spaced")
+    b = p.select("scene_id", F.col("rank").alias("better"), F.col("x").alias("bx"), F.col("y").alias("by"), spatial.cell("x", least).alias("c_x"), spatial.cell("y", least).alias("c_y"))
+    edges = materialize(a.join(b, ["scene_id", "c_x", "c_y"]).where((F.col("better") < F.col("rank")) & (F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) < least)).select(*key, "better"), "spacing")
+    state = materialize(p.select(*key, F.lit(None).cast("boolean").alias("kept")), "spaced")
+    while not state.where("kept IS NULL").isEmpty():
+        met = edges.join(state.select("scene_id", F.col("rank").alias("better"), "kept"), ["scene_id", "better"]).groupBy(*key).agg(F.count_if("kept").alias("near"), F.count_if(F.col("kept").isNull()).alias("open"))
+        s = state.join(met, key, "left").fillna(0, ["near", "open"])
+        after = materialize(s.select(*key, F.coalesce("kept", F.when(F.col("near") > 0, False).when(F.col("open") == 0, True)).alias("kept")), "spaced")
         release(state)
         state = after
-    return points.join(state.where("kept").select("rank"), "rank")
+    release(edges)
+    kept = points.join(state.where("kept").select(*key), key)
+    if most is None:
+        return kept
+    k = F.row_number().over(Window.partitionBy("scene_id").orderBy("rank"))
+    return kept.withColumn("_k", k).where(F.col("_k") <= most).drop("_k")
 
 
 @query()
 def itr7_spaced_anchors(spark, d):
-    """Events as candidate places in order, two apart at least (ITR7)."""
-    p = X.points(spark, d).select(F.col("pid").alias("rank"), "x", "y")
-    return spaced(p, 2.0).select("rank", R(F.col("x")).alias("x"), R(F.col("y")).alias("y"))
+    """Events as candidate places in order, two apart at least, the first eight of each scene (ITR7)."""
+    p = X.points(spark, d).select("scene_id", F.col("pid").alias("rank"), "x", "y")
+    return spaced(p, 2.0, 8).select("scene_id", "rank", R(F.col("x")).alias("x"), R(F.col("y")).alias("y"))
 
 
 def plan_regions(points: DataFrame, most: int, side: float, floor: float = 0.25) -> DataFrame:
@@ -343,3 +304,22 @@ def smp7_placements(spark, d):
     t = o.join(su, "instance").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(11))))
     t = t.selectExpr("uid", "trial", "x_lo", "x_hi", "y_lo", "y_hi", "pz", "(uid % 7 + 1) * 0.01e0 + if(uid % 50 = 0, 500, 0) AS dz", "radians(trial * 30 + uid % 30 + 0.5e0) AS yaw", "x_lo + (x_hi - x_lo) * ((uid * 31 + trial * 17) % 101) / 101e0 AS px", "y_lo + (y_hi - y_lo) * ((uid * 13 + trial * 29) % 103) / 103e0 AS py", "(uid % 5 + 1) * 0.1e0 AS dx", "(uid % 3 + 1) * 0.1e0 AS dy", "0.02e0 + uid % 4 * 0.01e0 AS target")
     return first_placements(t).select("uid", "trial", "reason", R(F.col("px")).alias("look_x"), R(F.col("py")).alias("look_y"), R(F.col("look_z")).alias("look_z"))
+
+
+@query()
+def smp7_placement_search(spark, d):
+    """Of each observer's first twelve objects the first that fits on a support near by: failed trials with reasons, then the winner with its camera (JOI11, SMP6, SMP7, SMP8)."""
+    f = _face_table(spark, d)
+    p = materialize(patches(support_faces(f)), "placing-patches")
+    a = _anchors(spark, d)
+    near = patch_summary(p).join(a, "scene_id").where(F.hypot(F.col("x") - F.col("ax"), F.col("y") - F.col("ay")) <= 4)
+    supports = materialize(near.select(F.col("anchor").alias("observation"), "patch", F.col("semantic").alias("class"), *(F.col(f"{x}_{m}").alias(f"{x}_{n}") for x in "xy" for m, n in (("min", "lo"), ("max", "hi")))), "placing-supports")
+    c = candidates(p)
+    spots = clearances(c, boundary_edges(p)).join(c.join(f.select("fid", "cz"), "fid"), ["patch", "fid"])
+    points = spots.join(supports.select("observation", "patch"), "patch").select("observation", "patch", F.col("fid").alias("point"), F.col("cx").alias("px"), F.col("cy").alias("py"), F.col("cz").alias("pz"), "clearance")
+    o = X.objects(spark, d).selectExpr("uid", "uid % 25 AS observation", "array(3 + uid % 6, 3 + uid * 5 % 4) AS classes", "(uid % 5 + 1) * 0.1e0 AS dx", "(uid % 3 + 1) * 0.1e0 AS dy", "(uid % 7 + 1) * 0.1e0 + if(uid % 50 = 0, 500, 0) AS dz", "0.02e0 + uid % 4 * 0.01e0 AS target_min", "0.05e0 + uid % 4 * 0.01e0 AS target_max", "if(uid % 2 = 0, 'height', 'longest') AS dimension")
+    turn = F.row_number().over(Window.partitionBy("observation").orderBy(F.sha2(F.concat_ws(":", F.lit("7"), "observation", "uid"), 256), "uid"))
+    o = o.withColumn("turn", turn).where("turn <= 12")
+    eyes = a.select(F.col("anchor").alias("observation"), "scene_id", F.col("ax").alias("eye_x"), F.col("ay").alias("eye_y"), F.lit(1.6).alias("eye_z"))
+    t = placement.searched(placement.trials(o, supports, points, 7), f, eyes)
+    return t.select("observation", "uid", "patch", "point", "yaw_turn", "reason", *(R(F.col(f"look_{x}")).alias(f"look_{x}") for x in "xyz"), "eye_x", "eye_y", "eye_z", F.lit(60.0).alias("horizontal_fov_deg"))

@@ -26,13 +26,57 @@ def test_exclusive_owners(spark):
 
 def test_spaced(spark):
     r = random.Random(4)
-    pts = [(i, r.random() * 10 - 5, r.random() * 10 - 5) for i in range(150)] + [(150, 0.0, 0.0), (151, 0.0, 0.0)]
+    pts = [(f"s{i % 2}", i, r.random() * 10 - 5, r.random() * 10 - 5) for i in range(200)] + [("s0", 200, 0.0, 0.0), ("s0", 201, 0.0, 0.0)]
     want = []
-    for i, x, y in pts:
-        if all(math.hypot(x - a, y - b) >= 1.5 for _, a, b in want):
-            want.append((i, x, y))
-    got = observing.spaced(spark.createDataFrame(pts, "rank int, x double, y double"), 1.5)
-    assert sorted(x.rank for x in got.collect()) == [i for i, _, _ in want]
+    for s, i, x, y in pts:
+        if all(t != s or math.hypot(x - a, y - b) >= 1.5 for t, _, a, b in want):
+            want.append((s, i, x, y))
+    df = spark.createDataFrame(pts, "scene_id string, rank int, x double, y double")
+    assert sorted(x.rank for x in observing.spaced(df, 1.5).collect()) == sorted(i for _, i, _, _ in want)
+    first = {s: [i for t, i, _, _ in want if t == s][:3] for s in ("s0", "s1")}
+    assert sorted((x.scene_id, x.rank) for x in observing.spaced(df, 1.5, 3).collect()) == [(s, i) for s in first for i in first[s]]
+
+
+def test_placement_search(spark):
+    """A table with a block on it: what fits, what touches the block, what a wall hides, against plain loops over the ordered trials."""
+    from tesserae.operators import placement
+
+    tri = lambda fid, *p: ("s", fid, *(v for q in p for v in q), 1.0)
+    corner = [f"{a}{k}" for k in range(3) for a in "xyz"]
+    faces = [tri(1, (0.0, 0.0, 0.0), (2.0, 0.0, 0.0), (2.0, 2.0, 0.0)), tri(2, (1.0, 0.9, 0.01), (1.2, 0.9, 0.01), (1.1, 1.1, 0.3)), tri(3, (-0.2, -0.2, 0.0), (-0.2, 0.6, 0.0), (-0.2, 0.2, 3.0))]
+    f = spark.createDataFrame(faces, "scene_id string, fid int, " + ", ".join(f"{c} double" for c in corner) + ", nz double")
+    objects = [("o", 1, 1, [3], 0.2, 0.2, 900.0, 0.1, 0.2), ("o", 2, 2, [9, 3], 0.3, 0.1, 0.2, 0.2, 0.4), ("o", 3, 3, [3], 0.1, 0.1, 0.1, 0.1, 0.1), ("p", 4, 1, [8], 0.1, 0.1, 0.1, 0.1, 0.1)]
+    o = spark.createDataFrame(objects, "observation string, uid int, turn int, classes array<int>, dx double, dy double, dz double, target_min double, target_max double")
+    s = spark.createDataFrame([("o", "a", 3, 0.0, 2.0, 0.0, 2.0), ("p", "a", 3, 0.0, 2.0, 0.0, 2.0)], "observation string, patch string, class int, x_lo double, x_hi double, y_lo double, y_hi double")
+    spots = [("o", "a", k, x, y, 0.0, min(x, y, 2 - x, 2 - y)) for k, (x, y) in enumerate([(0.1, 0.1), (1.1, 1.0), (0.2, 0.2), (0.5, 0.6), (1.5, 0.5), (1.9, 1.0)])]
+    pts = spark.createDataFrame(spots, "observation string, patch string, point int, px double, py double, pz double, clearance double")
+    eyes = spark.createDataFrame([("o", "s", -1.0, 0.2, 1.6), ("p", "s", 0.0, 0.0, 1.6)], "observation string, scene_id string, eye_x double, eye_y double, eye_z double")
+    every = placement.trials(o, s, pts, 3, positions=5, yaws=4)
+    got = placement.searched(every, f, eyes).collect()
+    want = []
+    for t in sorted(every.collect(), key=lambda t: (t.turn, t.patch_turn, t.patch, t.point_turn, t.yaw_turn)):
+        scale = t.target / t.dz
+        ex, ey = (scale * (abs(math.cos(t.yaw)) * p + abs(math.sin(t.yaw)) * q) for p, q in ((t.dx, t.dy), (t.dy, t.dx)))
+        box = [t.px - ex / 2, t.px + ex / 2, t.py - ey / 2, t.py + ey / 2, 0.005, 0.005 + t.target]
+        look = [(box[k] + box[k + 1]) / 2 for k in (0, 2, 4)]
+        touches = any(all(box[2 * k] < max(c[2 + k::3][:3]) and min(c[2 + k::3][:3]) < box[2 * k + 1] for k in range(3)) for c in faces)
+        eye = np.array([-1.0, 0.2, 1.6])
+
+        def blocked(c, eye=eye, look=look):
+            p = [np.array(c[2 + 3 * k : 5 + 3 * k]) for k in range(3)]
+            way = np.array(look) - eye
+            m = np.array([way, p[0] - p[1], p[0] - p[2]]).T
+            if abs(np.linalg.det(m)) < 1e-12:
+                return False
+            u, v, w = np.linalg.solve(m, p[0] - eye)
+            return v >= 0 and w >= 0 and v + w <= 1 and 0 <= u * np.linalg.norm(way) <= np.linalg.norm(way) - 1e-3
+
+        reason = "scale" if scale < 0.001 else "outside" if box[0] < 0 or box[1] > 2 or box[2] < 0 or box[3] > 2 else "clearance" if t.clearance < math.hypot(ex, ey) / 2 + 0.03 else "collision" if touches else "occluded" if any(map(blocked, faces)) else ""
+        want.append((t.uid, t.point, t.yaw_turn, reason))
+        if not reason:
+            break
+    assert sorted((x.uid, x.point, x.yaw_turn, x.reason) for x in got) == sorted(want)
+    assert {x[3] for x in want} >= {"scale", "outside", "clearance", "occluded", ""} or len({x[3] for x in want}) >= 4
 
 
 def regions(points, box, most, side, name="r"):
@@ -82,6 +126,16 @@ def test_manifest_last_line_counts(spark):
     assert got == {"a": ("000-002", "000-002/a.GLB", 2), "b": ("000-003", "000-003/b.glb", 1)}
 
 
+def test_inventory_strips_its_own_folder_only(spark, tmp_path):
+    for name in ("x.y/in/A b.PARQUET", "x.y/x.y/in/c.parquet", "d.parquet", "e.txt"):
+        at = tmp_path / "x.y" / name
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(b"1")
+    got = catalogue.inventory(spark, str(tmp_path / "x.y"), ".parquet").collect()
+    assert [x.rel_path for x in got] == ["d.parquet", "x.y/in/A b.PARQUET", "x.y/x.y/in/c.parquet"]
+    assert got[1].scene_id.startswith("x.y__in__A_b-") and len({x.scene_id for x in got}) == 3
+
+
 def test_inventory_lists_files(spark, data):
     got = {x.rel_path: x.length for x in catalogue.inventory(spark, data, ".parquet").collect()}
     assert got == {os.path.relpath(os.path.join(r, f), data): os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(data) for f in fs if f.endswith(".parquet")}
