@@ -42,6 +42,15 @@ def trigram_sums(words: list[bytes], vectors: np.ndarray) -> np.ndarray:
     return np.add.reduceat(vectors[code], first, axis=0) / (size - 2)[:, None].astype(np.float32), code, owner
 
 
+def summed(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """(n, columns): sums of the rows by their places `at`."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    out[at[order][first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 class Network:
     """Word and character-trigram vectors, a gated recurrent layer each way, attention over its states, one logit."""
 
@@ -116,14 +125,11 @@ class Network:
             dg[:, i, 0], dg[:, j, 1] = dgi[0], dgi[1]
             dstate = dstate * (1 - m * (1 - z)) + dhu @ np.swapaxes(p["u"], 1, 2)
         grad["u"] = du
-        flat = np.zeros((len(words), 6 * h), gate.dtype)
-        np.add.at(flat, at.reshape(-1), dg.reshape(b * t, -1))
-        flat = flat.reshape(len(words), 2, 3 * h)
+        flat = summed(len(words), at.reshape(-1), dg.reshape(b * t, -1)).reshape(len(words), 2, 3 * h)
         grad["w"], grad["bias"] = np.einsum("nd,nkh->kdh", x, flat, optimize=True), flat.sum(0)[:, None]
         dx = np.einsum("nkh,kdh->nd", flat, p["w"], optimize=True)
-        grad["word"], grad["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        np.add.at(grad["word"], ids, dx[:, : self.dim])
-        np.add.at(grad["char"], code, (dx[:, self.dim :] / np.bincount(owner, minlength=len(words))[:, None])[owner])
+        grad["word"] = summed(len(p["word"]), ids, dx[:, : self.dim])
+        grad["char"] = summed(len(p["char"]), code, (dx[:, self.dim :] / np.bincount(owner, minlength=len(words)).astype(gate.dtype)[:, None])[owner])
         return grad
 
     def learn(self, words: list[bytes], at: np.ndarray, size: np.ndarray, label: np.ndarray, rate: float = 0.01) -> None:
