@@ -312,7 +312,7 @@ def smp7_placement_search(spark, d):
     f = _face_table(spark, d)
     p = materialize(patches(support_faces(f)), "placing-patches")
     a = _anchors(spark, d)
-    near = patch_summary(p).join(a, "scene_id").where(F.hypot(F.col("x") - F.col("ax"), F.col("y") - F.col("ay")) <= 4)
+    near = patch_summary(p).join(a, "scene_id").where(F.hypot(F.col("x") - F.col("ax"), F.col("y") - F.col("ay")) <= 2)
     supports = materialize(near.select(F.col("anchor").alias("observation"), "patch", F.col("semantic").alias("class"), *(F.col(f"{x}_{m}").alias(f"{x}_{n}") for x in "xy" for m, n in (("min", "lo"), ("max", "hi")))), "placing-supports")
     c = candidates(p)
     spots = clearances(c, boundary_edges(p)).join(c.join(f.select("fid", "cz"), "fid"), ["patch", "fid"])
