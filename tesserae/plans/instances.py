@@ -41,75 +41,84 @@ def agg10_mask_features(spark, d):
 
 
 #: Proposals are all masks of one supplier; each point has a class of its own, a confidence, and may be unknown.
-_PROPOSALS = f"""{MASK_POINTS}, h AS (SELECT mask, min(view) AS view, min(class) AS class, count(*) AS n, max(weight) AS score FROM mask_points GROUP BY mask),
-base AS (SELECT DISTINCT pid, pid % 5 AS top, (pid * 37 % 100) / 100e0 AS conf, pid % 7 = 0 AS unknown FROM mask_points),
-ip AS (SELECT DISTINCT mask // 8 AS inst, class, pid FROM mask_points),
-ih AS (SELECT mask // 8 AS inst, min(class) AS class, count(DISTINCT view) AS views, sum(score * n) / sum(n) AS score FROM h GROUP BY 1),
-fs AS (SELECT ih.inst, ih.class, views, count(*) AS n, min(ip.pid) AS low, round(0.45e0 * coalesce(avg(CASE WHEN top = ih.class THEN conf END), 0) + 0.35e0 * any_value(score) + 0.1e0 * least(1e0, views / 4e0) + 0.1e0 * least(1e0, count(*) / 200e0) + 1e-9, 6) AS fused FROM ih JOIN ip USING (inst) JOIN base USING (pid) GROUP BY ih.inst, ih.class, views)"""
+_PROPOSALS = f"""{MASK_POINTS}, h AS (SELECT scene_id, mask, min(view) AS view, min(class) AS class, count(*) AS n, max(weight) AS score FROM mask_points GROUP BY scene_id, mask),
+base AS (SELECT DISTINCT scene_id, pid, pid % 5 AS top, (pid * 37 % 100) / 100e0 AS conf, pid % 7 = 0 AS unknown FROM mask_points),
+ip AS (SELECT DISTINCT scene_id, mask // 8 AS inst, class, pid FROM mask_points),
+ih AS (SELECT scene_id, mask // 8 AS inst, min(class) AS class, count(DISTINCT view) AS views, sum(score * n) / sum(n) AS score FROM h GROUP BY 1, 2),
+fs AS (SELECT scene_id, ih.inst, ih.class, views, count(*) AS n, min(ip.pid) AS low, round(0.45e0 * coalesce(avg(CASE WHEN top = ih.class THEN conf END), 0) + 0.35e0 * any_value(score) + 0.1e0 * least(1e0, views / 4e0) + 0.1e0 * least(1e0, count(*) / 200e0) + 1e-9, 6) AS fused FROM ih JOIN ip USING (scene_id, inst) JOIN base USING (scene_id, pid) GROUP BY scene_id, ih.inst, ih.class, views)"""
 
 
 def _base(spark, d) -> DataFrame:
-    return X.mask_points(spark, d).select("pid").distinct().selectExpr("pid", "pid % 5 AS top", "(pid * 37 % 100) / 100e0 AS conf", "pid % 7 = 0 AS unknown")
+    return X.mask_points(spark, d).select("scene_id", "pid").distinct().selectExpr("scene_id", "pid", "pid % 5 AS top", "(pid * 37 % 100) / 100e0 AS conf", "pid % 7 = 0 AS unknown")
 
 
 def _members(spark, d) -> DataFrame:
-    return X.mask_points(spark, d).selectExpr("mask div 8 AS inst", "class", "pid").distinct()
+    return X.mask_points(spark, d).selectExpr("scene_id", "mask div 8 AS inst", "class", "pid").distinct()
 
 
 def fused_scores(heads: DataFrame, members: DataFrame, base: DataFrame, min_views: int = 2, min_points: int = 50) -> DataFrame:
-    """(inst, class, views, n, low, fused): how far points, masks, views and size speak for an instance (AGG13)."""
-    h = heads.groupBy("inst").agg(F.min("class").alias("class"), F.countDistinct("view").alias("views"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
-    p = members.join(base, "pid").groupBy("inst").agg(F.count("*").alias("n"), F.min("pid").alias("low"), F.coalesce(F.avg(F.when(F.col("top") == F.col("class"), F.col("conf"))), F.lit(0.0)).alias("agree"))
+    """(scene_id, inst, class, views, n, low, fused): how far points, masks, views and size speak for an instance (AGG13)."""
+    key = ["scene_id", "inst"]
+    h = heads.groupBy(*key).agg(F.min("class").alias("class"), F.countDistinct("view").alias("views"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
+    p = members.join(base, ["scene_id", "pid"]).groupBy(*key).agg(F.count("*").alias("n"), F.min("pid").alias("low"), F.coalesce(F.avg(F.when(F.col("top") == F.col("class"), F.col("conf"))), F.lit(0.0)).alias("agree"))
     share = lambda c, most: F.least(F.lit(1.0), F.col(c) / most)
     fused = 0.45 * F.col("agree") + 0.35 * F.col("score") + 0.1 * share("views", 2.0 * min_views) + 0.1 * share("n", 4.0 * min_points)
-    return h.join(p, "inst").select("inst", "class", "views", "n", "low", R(fused, 6).alias("fused"))
+    return h.join(p, key).select(*key, "class", "views", "n", "low", fused.alias("fused"))
 
 
 def _fused(spark, d) -> DataFrame:
     heads = mask_heads(X.mask_points(spark, d)).withColumn("inst", F.expr("mask div 8"))
-    return fused_scores(heads, _members(spark, d), _base(spark, d))
+    # both engines rank by six places
+    return fused_scores(heads, _members(spark, d), _base(spark, d)).withColumn("fused", R(F.col("fused"), 6))
 
 
 @query(f"WITH {_PROPOSALS} SELECT inst, class, views, n, low, round(fused, 4) AS fused FROM fs")
 def agg13_fused_scores(spark, d):
-    return _fused(spark, d).withColumn("fused", F.round("fused", 4))
+    return _fused(spark, d).withColumn("fused", F.round("fused", 4)).drop("scene_id")
 
 
-@query(f"""WITH {_PROPOSALS}, c AS (SELECT pid, CASE WHEN unknown THEN -1 ELSE top END AS label, conf::FLOAT AS s, -1 AS k FROM base UNION ALL SELECT pid, ip.class, fused::FLOAT, ip.inst FROM ip JOIN fs USING (inst)),
-r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY s DESC, k) AS j FROM c) SELECT pid, label, round(s::DOUBLE + 1e-9, 4) AS score FROM r WHERE j = 1""")
+def point_labels(base: DataFrame, members: DataFrame, proposals: DataFrame) -> DataFrame:
+    """(scene_id, pid, label, score): each point's best label: its own (-1 if unknown), unless a proposal's score is strictly higher as a 32-bit number; the earlier among equal proposals (AGG14)."""
+    own = base.select("scene_id", "pid", F.when(F.col("unknown"), -1).otherwise(F.col("top")).cast("long").alias("label"), F.col("conf").cast("float").alias("s"), F.lit(-1).cast("long").alias("k"))
+    scored = proposals.select("scene_id", "inst", F.col("fused").cast("float").alias("s"))
+    given = members.join(scored, ["scene_id", "inst"]).select("scene_id", "pid", F.col("class").alias("label"), "s", F.col("inst").alias("k"))
+    best = own.unionByName(given).groupBy("scene_id", "pid").agg(F.max(F.struct("s", (-F.col("k")).alias("neg"), "label")).alias("b"))
+    return best.select("scene_id", "pid", "b.label", F.col("b.s").cast("double").alias("score"))
+
+
+@query(f"""WITH {_PROPOSALS}, c AS (SELECT scene_id, pid, CASE WHEN unknown THEN -1 ELSE top END AS label, conf::FLOAT AS s, -1 AS k FROM base UNION ALL SELECT scene_id, pid, ip.class, fused::FLOAT, ip.inst FROM ip JOIN fs USING (scene_id, inst)),
+r AS (SELECT *, row_number() OVER (PARTITION BY scene_id, pid ORDER BY s DESC, k) AS j FROM c) SELECT scene_id, pid, label, round(s::DOUBLE + 1e-9, 4) AS score FROM r WHERE j = 1""")
 def agg14_point_labels(spark, d):
-    """Each point's best label: its own, unless a proposal's score is strictly higher; the earlier among equal proposals (AGG14)."""
-    own = _base(spark, d).select("pid", F.when(F.col("unknown"), -1).otherwise(F.col("top")).cast("long").alias("label"), F.col("conf").cast("float").alias("s"), F.lit(-1).cast("long").alias("k"))
-    given = _members(spark, d).join(_fused(spark, d).select("inst", F.col("fused").cast("float").alias("s")), "inst").select("pid", F.col("class").alias("label"), "s", F.col("inst").alias("k"))
-    best = own.unionByName(given).groupBy("pid").agg(F.max(F.struct("s", (-F.col("k")).alias("neg"), "label")).alias("b"))
-    return best.select("pid", "b.label", R(F.col("b.s").cast("double")).alias("score"))
+    return point_labels(_base(spark, d), _members(spark, d), _fused(spark, d)).withColumn("score", R(F.col("score")))
 
 
 def exclusive_owners(members: DataFrame, ranks: DataFrame, least: int) -> DataFrame:
-    """(pid, inst): the proposal that owns each point, when the best rank claims first and keeps only if enough is left (ITR6).
+    """(scene_id, pid, inst): the proposal that owns each point, when the best rank of a scene claims first and keeps only if enough is left (ITR6).
 
-    members: (inst, pid), ranks: (inst, rank), rank 1 first and none twice. In each round an open proposal
+    members: (scene_id, inst, pid), ranks: (scene_id, inst, rank), rank 1 first and none twice in a scene. In each round an open proposal
     is accepted if the points that no accepted or open better one holds are enough, and refused if
     those that no accepted better one holds are too few. The best open one is always decided, so the
     rounds end. A point's state is two minima, which are partial aggregations.
     """
-    state = materialize(ranks.select("inst", "rank", F.lit(None).cast("boolean").alias("kept")), "owners")
-    while state.where("kept IS NULL").limit(1).count():
-        m = members.join(state, "inst")
-        best = m.groupBy("pid").agg(F.min(F.when(F.col("kept"), F.col("rank"))).alias("taken"), F.min(F.when(F.col("kept").isNull(), F.col("rank"))).alias("open"))
+    key, point = ["scene_id", "inst"], ["scene_id", "pid"]
+    state = materialize(ranks.select(*key, "rank", F.lit(None).cast("boolean").alias("kept")), "owners")
+    while not state.where("kept IS NULL").isEmpty():
+        m = members.join(state, key)
+        best = m.groupBy(*point).agg(F.min(F.when(F.col("kept"), F.col("rank"))).alias("taken"), F.min(F.when(F.col("kept").isNull(), F.col("rank"))).alias("open"))
         free = F.col("taken").isNull() | (F.col("taken") > F.col("rank"))
-        left = m.where("kept IS NULL").join(best, "pid").groupBy("inst").agg(F.count_if(free).alias("upper"), F.count_if(free & (F.col("open") == F.col("rank"))).alias("lower"))
-        s = state.join(left, "inst", "left").fillna(0, ["upper", "lower"])
-        after = materialize(s.select("inst", "rank", F.coalesce("kept", F.when(F.col("lower") >= least, True).when(F.col("upper") < least, False)).alias("kept")), "owners")
+        left = m.where("kept IS NULL").join(best, point).groupBy(*key).agg(F.count_if(free).alias("upper"), F.count_if(free & (F.col("open") == F.col("rank"))).alias("lower"))
+        s = state.join(left, key, "left").fillna(0, ["upper", "lower"])
+        after = materialize(s.select(*key, "rank", F.coalesce("kept", F.when(F.col("lower") >= least, True).when(F.col("upper") < least, False)).alias("kept")), "owners")
         release(state)
         state = after
-    return members.join(state.where("kept"), "inst").groupBy("pid").agg(F.min(F.struct("rank", "inst")).alias("m")).select("pid", "m.inst")
+    return members.join(state.where("kept"), key).groupBy(*point).agg(F.min(F.struct("rank", "inst")).alias("m")).select(*point, "m.inst")
 
 
 def _owned(spark, d) -> DataFrame:
-    f = _fused(spark, d).withColumn("scene_id", F.lit("s0"))
+    """Points of proposals for things: classes above 0 here, as 0 stands for a floor."""
     rank = F.row_number().over(Window.partitionBy("scene_id").orderBy(F.col("fused").desc(), "class", "low", "inst"))
-    return exclusive_owners(_members(spark, d).select("inst", "pid"), f.select("inst", rank.alias("rank")), 20)
+    f = _fused(spark, d).where("class > 0")
+    return exclusive_owners(_members(spark, d).select("scene_id", "inst", "pid"), f.select("scene_id", "inst", rank.alias("rank")), 20)
 
 
 @query()
@@ -117,19 +126,31 @@ def itr6_exclusive_points(spark, d):
     return _owned(spark, d)
 
 
-@query(f"WITH {_PROPOSALS}, c AS (SELECT inst, ip.class, round(avg((pid * 7919) % 10007) + 1e-9, 4) AS x, min(pid) AS low FROM ip GROUP BY inst, ip.class) SELECT inst, (row_number() OVER (ORDER BY class, x, low, inst) - 1)::INT AS number FROM c")
+@query(f"WITH {_PROPOSALS}, c AS (SELECT scene_id, inst, ip.class, round(avg((pid * 7919) % 10007) + 1e-9, 4) AS x, min(pid) AS low FROM ip GROUP BY scene_id, inst, ip.class) SELECT inst, (row_number() OVER (PARTITION BY scene_id ORDER BY class, x, low, inst) - 1)::INT AS number FROM c")
 def top4_instance_numbers(spark, d):
     """Numbers that follow from class, centroid and smallest point, in each scene (TOP4)."""
-    c = _members(spark, d).groupBy("inst", "class").agg(R(F.avg(F.expr("(pid * 7919) % 10007"))).alias("x"), F.min("pid").alias("low")).withColumn("scene_id", F.lit("s0"))
+    c = _members(spark, d).groupBy("scene_id", "inst", "class").agg(R(F.avg(F.expr("(pid * 7919) % 10007"))).alias("x"), F.min("pid").alias("low"))
     return c.select("inst", (F.row_number().over(Window.partitionBy("scene_id").orderBy("class", "x", "low", "inst")) - 1).alias("number"))
 
 
-@query(f"WITH {MASK_POINTS}, p AS (SELECT DISTINCT mask // 8 AS inst, class, pid, x, y, z FROM mask_points), v AS (SELECT mask // 8 AS inst, string_agg(DISTINCT view::VARCHAR, ',' ORDER BY view::VARCHAR) AS views FROM mask_points GROUP BY 1) SELECT inst, any_value(class) AS class, count(*) AS n, any_value(views) AS views, round(avg(x) + 1e-9, 4) AS x, round(min(x) + 1e-9, 4) AS x_min, round(max(x) + 1e-9, 4) AS x_max, round(avg(y) + 1e-9, 4) AS y, round(min(y) + 1e-9, 4) AS y_min, round(max(y) + 1e-9, 4) AS y_max, round(avg(z) + 1e-9, 4) AS z, round(min(z) + 1e-9, 4) AS z_min, round(max(z) + 1e-9, 4) AS z_max, round(sum(CASE WHEN pid % 4 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS visible FROM p JOIN v USING (inst) GROUP BY inst")
+def instance_summary(points: DataFrame, names: DataFrame) -> DataFrame:
+    """One row for each instance of points (scene_id, inst, class, view, pid, x, y, z, visible, core): size, views, centroid, bounds, shares of visible and core points, label (AGG18, JOI12).
+
+    A point that several views saw counts once. names: (class, label), a table of configuration.
+    """
+    key = ["scene_id", "inst"]
+    views = points.groupBy(*key).agg(F.array_sort(F.collect_set(F.col("view").cast("string"))).alias("views"))
+    share = lambda c: (F.count_if(c) / F.count("*")).alias(c)
+    g = points.drop("view").distinct().groupBy(*key).agg(F.min("class").alias("class"), F.count("*").alias("n"), *(f(a).alias(a + n) for a in "xyz" for f, n in ((F.avg, ""), (F.min, "_min"), (F.max, "_max"))), share("visible"), share("core"))
+    return g.join(views, key).join(names, "class", "left")
+
+
+@query(f"WITH {MASK_POINTS}, p AS (SELECT DISTINCT mask // 8 AS inst, class, pid, x, y, z FROM mask_points), v AS (SELECT mask // 8 AS inst, string_agg(DISTINCT view::VARCHAR, ',' ORDER BY view::VARCHAR) AS views FROM mask_points GROUP BY 1) SELECT inst, any_value(class) AS class, count(*) AS n, any_value(views) AS views, round(avg(x) + 1e-9, 4) AS x, round(min(x) + 1e-9, 4) AS x_min, round(max(x) + 1e-9, 4) AS x_max, round(avg(y) + 1e-9, 4) AS y, round(min(y) + 1e-9, 4) AS y_min, round(max(y) + 1e-9, 4) AS y_max, round(avg(z) + 1e-9, 4) AS z, round(min(z) + 1e-9, 4) AS z_min, round(max(z) + 1e-9, 4) AS z_max, round(sum(CASE WHEN pid % 4 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS visible, round(sum(CASE WHEN pid % 3 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS core, ['table', 'desk', 'counter', 'shelf', 'cabinet'][1 + any_value(class)] AS label FROM p JOIN v USING (inst) GROUP BY inst")
 def agg18_instance_summary(spark, d):
-    mp = X.mask_points(spark, d).withColumn("inst", F.expr("mask div 8"))
-    views = mp.groupBy("inst").agg(F.array_join(F.array_sort(F.collect_set(F.col("view").cast("string"))), ",").alias("views"))
-    g = mp.select("inst", "class", "pid", "x", "y", "z").distinct().groupBy("inst").agg(F.min("class").alias("class"), F.count("*").alias("n"), *(R(f(a)).alias(a + n) for a in "xyz" for f, n in ((F.avg, ""), (F.min, "_min"), (F.max, "_max"))), R(F.count_if(F.expr("pid % 4 > 0")) / F.count("*")).alias("visible"))
-    return g.join(views, "inst")
+    p = X.mask_points(spark, d).selectExpr("scene_id", "mask div 8 AS inst", "class", "view", "pid", "x", "y", "z", "pid % 4 > 0 AS visible", "pid % 3 > 0 AS core")
+    names = spark.createDataFrame(list(enumerate(["table", "desk", "counter", "shelf", "cabinet"])), "class bigint, label string")
+    s = instance_summary(p, names)
+    return s.select("inst", "class", "n", F.array_join("views", ",").alias("views"), *(R(F.col(c)).alias(c) for a in "xyz" for c in (a, f"{a}_min", f"{a}_max")), R(F.col("visible")).alias("visible"), R(F.col("core")).alias("core"), "label")
 
 
 def oriented_boxes(points: DataFrame, key: str) -> DataFrame:

@@ -12,16 +12,18 @@ from tesserae.plans import catalogue, instances, observing
 
 def test_exclusive_owners(spark):
     r = random.Random(3)
-    sets = {i: {r.randrange(60) for _ in range(r.randrange(1, 30))} for i in range(40)}
-    want, free = {}, set(range(60))
-    for i in range(40):
-        own = sets[i] & free
-        if len(own) >= 5:
-            free -= own
-            want |= dict.fromkeys(own, i)
-    members = spark.createDataFrame([(i, p) for i, s in sets.items() for p in s], "inst int, pid int")
-    ranks = spark.createDataFrame([(i, i) for i in [*sets, 99]], "inst int, rank int")
-    assert {x.pid: x.inst for x in instances.exclusive_owners(members, ranks, 5).collect()} == want
+    sets = {i: {r.randrange(60) for _ in range(r.randrange(1, 30))} for i in range(80)}
+    want = {}
+    for s in (0, 1):
+        free = set(range(60))
+        for i in range(s, 80, 2):
+            own = sets[i] & free
+            if len(own) >= 5:
+                free -= own
+                want |= {(s, p): i for p in own}
+    members = spark.createDataFrame([(i % 2, i, p) for i, s in sets.items() for p in s], "scene_id int, inst int, pid int")
+    ranks = spark.createDataFrame([(i % 2, i, i) for i in [*sets, 99]], "scene_id int, inst int, rank int")
+    assert {(x.scene_id, x.pid): x.inst for x in instances.exclusive_owners(members, ranks, 5).collect()} == want
 
 
 def test_spaced(spark):
