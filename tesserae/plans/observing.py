@@ -238,11 +238,19 @@ def plan_regions(points: DataFrame, most: int, side: float, floor: float = 0.25)
         axes = [F.struct(F.lit(a).alias("axis"), F.col(f"{a}_min").alias("low"), F.col(f"{a}_max").alias("high")) for a in "xy"]
         tried = due.select("scene", "node", "n", F.explode(F.array(*axes)).alias("t")).select("scene", "node", "n", "t.*").where(F.col("high") - F.col("low") >= 2 * floor)
         v = p.join(due.select("scene", "node"), ["scene", "node"]).select("scene", "node", F.explode(F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")), F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))).alias("t")).select("scene", "node", "t.*")
-        c = v.groupBy("scene", "node", "axis", "v").agg(F.count("*").alias("c"))
-        w = Window.partitionBy("scene", "node", "axis").orderBy("v")
-        c = c.select("*", F.sum("c").over(w).alias("cum"), F.lead("v").over(w).alias("next"), F.lead("v", 2).over(w).alias("after"))
-        # the first value that reaches half; of the last value the one before it
-        c = c.join(tried, ["scene", "node", "axis"]).where(F.col("next").isNotNull() & ((F.col("cum") >= F.expr("n div 2")) | F.col("after").isNull()))
+        key = ["scene", "node", "axis"]
+        v = v.join(tried, key).withColumn("b", F.least(F.lit(255), F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * 256)))
+        c = materialize(v.groupBy(*key, "low", "high", "n", "b", "v").agg(F.count("*").alias("c")), "values")
+        # of 256 strips of the span the one in which half is reached, and then the value in it
+        w = Window.partitionBy(*key).orderBy("b")
+        strips = c.groupBy(*key, "n", "b").agg(F.sum("c").alias("s"), F.min("v").alias("first"), F.max("v").alias("last"))
+        strips = strips.select(*key, "n", "b", (F.sum("s").over(w) - F.col("s")).alias("before"), "s", F.lag("last").over(w).alias("under"), F.lead("first").over(w).alias("over_"))
+        strips = strips.where((F.col("before") < F.greatest(F.lit(1), F.expr("n div 2"))) & (F.col("before") + F.col("s") >= F.expr("n div 2")))
+        w = Window.partitionBy(*key).orderBy("v")
+        c = c.join(strips.drop("n", "s"), [*key, "b"]).select("*", (F.col("before") + F.sum("c").over(w)).alias("cum"), F.coalesce(F.lead("v").over(w), "over_").alias("next"), F.coalesce(F.lag("v").over(w), "under").alias("prev"))
+        c = c.where(F.col("cum") >= F.expr("n div 2")).groupBy(*key, "low", "high").agg(F.min(F.struct("v", "next", "prev")).alias("f"))
+        # the last value is cut off from the one before it
+        c = c.withColumns({"next": F.coalesce("f.next", "f.v"), "v": F.when(F.col("f.next").isNull(), F.col("f.prev")).otherwise(F.col("f.v"))}).where("v IS NOT NULL")
         cut = c.groupBy("scene", "node", "axis", "low", "high").agg(F.min(F.struct("v", "next")).alias("m")).withColumn("at", (F.col("m.v") + F.col("m.next")) * 0.5)
         cut = cut.where((F.col("at") - F.col("low") >= floor) & (F.col("high") - F.col("at") >= floor))
         cut = cut.groupBy("scene", "node").agg(F.min(F.struct((F.col("low") - F.col("high")).alias("short"), "axis", "at")).alias("m")).select("scene", "node", "m.axis", "m.at")
