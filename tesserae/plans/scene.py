@@ -100,10 +100,10 @@ def voxel_points(v: DataFrame) -> DataFrame:
     return g.join(mean, "scene_id").select("scene_id", "gx", "gy", "gz", "first_pid", "n", *((F.col(a) - F.col(f"a{a}")).alias(a) for a in "xyz"), "r", "g", "b")
 
 
-@query(f"WITH {POINTS}, {_VOXEL} SELECT scene_id, gx, gy, gz, first_pid, n, round(x - ax + 1e-9, 4) AS x, round(y - ay + 1e-9, 4) AS y, round(z - az + 1e-9, 4) AS z, round(r + 1e-9, 4) AS r, round(g + 1e-9, 4) AS g, round(b + 1e-9, 4) AS b FROM vx JOIN vc USING (scene_id)")
+@query(f"WITH {POINTS}, {_VOXEL} SELECT scene_id, gx, gy, gz, first_pid, n, round(x - ax + 1e-9, 4) + 0e0 AS x, round(y - ay + 1e-9, 4) + 0e0 AS y, round(z - az + 1e-9, 4) + 0e0 AS z, round(r + 1e-9, 4) + 0e0 AS r, round(g + 1e-9, 4) + 0e0 AS g, round(b + 1e-9, 4) + 0e0 AS b FROM vx JOIN vc USING (scene_id)")
 def agg4_voxels(spark, d):
     v = voxel_points(voxels(X.points(spark, d)))
-    return v.select("scene_id", "gx", "gy", "gz", "first_pid", "n", *(R(F.col(c)).alias(c) for c in "xyzrgb"))
+    return v.select("scene_id", "gx", "gy", "gz", "first_pid", "n", *((R(F.col(c)) + 0.0).alias(c) for c in "xyzrgb"))
 
 
 @query(f"WITH {POINTS}, {_VOXEL} SELECT pid, min(pid) OVER (PARTITION BY scene_id, gx, gy, gz) AS first_pid FROM v")
@@ -273,10 +273,10 @@ def unprojected(pixels: DataFrame, views: DataFrame) -> DataFrame:
 
 
 @query(f"""WITH {PIXELS}, {_POSE}, r AS (SELECT *, (col + 0.5e0 - 32) / 64 AS rx, -(row + 0.5e0 - 32) / 64 AS ry FROM pixels WHERE dist > 0), n AS (SELECT view, row, col, rx / sqrt(rx * rx + ry * ry + 1) * dist AS x, ry / sqrt(rx * rx + ry * ry + 1) * dist AS y, -1e0 / sqrt(rx * rx + ry * ry + 1) * dist AS z FROM r),
-w AS (SELECT view, row, col, cos(t) * x - sin(t) * y + px AS x, sin(t) * x + cos(t) * y + py AS y, z + pz AS z FROM n JOIN cams USING (view)) SELECT view, row, col, count(*) AS n, round(min(x) + 1e-9, 4) AS x, round(min(y) + 1e-9, 4) AS y, round(min(z) + 1e-9, 4) AS z FROM w GROUP BY view, row, col""")
+w AS (SELECT view, row, col, cos(t) * x - sin(t) * y + px AS x, sin(t) * x + cos(t) * y + py AS y, z + pz AS z FROM n JOIN cams USING (view)) SELECT view, row, col, count(*) AS n, round(min(x) + 1e-9, 4) + 0e0 AS x, round(min(y) + 1e-9, 4) + 0e0 AS y, round(min(z) + 1e-9, 4) + 0e0 AS z FROM w GROUP BY view, row, col""")
 def geo7_unproject(spark, d):
     p = unprojected(X.pixels(spark, d).select("view", "row", "col", "dist"), _views(spark, d))
-    return p.groupBy("view", "row", "col").agg(F.count("*").alias("n"), *(R(F.min(a)).alias(a) for a in "xyz"))
+    return p.groupBy("view", "row", "col").agg(F.count("*").alias("n"), *((R(F.min(a)) + 0.0).alias(a) for a in "xyz"))
 
 
 @query("SELECT p_partkey AS view, round((p_size + 100) * 0.5e0 / tan(radians(60e0) / 2) + 1e-9, 4) AS fx, round((p_size + 50) * 0.5e0 / tan(radians(45e0) / 2) + 1e-9, 4) AS fy, (p_size + 100) / 2e0 AS cx, (p_size + 50) / 2e0 AS cy FROM part")
