@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +53,27 @@ def touching(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
 
     j = spread(a, "a").join(spread(b, "b"), ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{x} = greatest(a{x}, b{x})" for x in "xy"))
     return j.where(" AND ".join(f"a{x}_min < b{x}_max AND b{x}_min < a{x}_max" for x in "xyz")).select("a", "b")
+
+
+def _ring(n: int, r: float) -> list[tuple[float, float]]:
+    return [(r * math.cos(2 * math.pi * k / n), r * math.sin(2 * math.pi * k / n)) for k in range(n)]
+
+
+def anchor_probes(eye: float = 1.6) -> list[tuple]:
+    """(kind, ox, oy, oz, dx, dy, dz, len) of the rays about a standing place: one up, three rings to the sides, a ring of feet down."""
+    head = [("head", 0.0, 0.0, 0.05, 0.0, 0.0, 1.0, 1.8)]
+    body = [("body", 0.0, 0.0, h, x, y, 0.0, 0.35) for h in (0.3, min(0.9, eye), eye) for x, y in _ring(16, 1.0)]
+    return head + body + [("ground", x, y, 0.35, 0.0, 0.0, -1.0, 0.7) for x, y in _ring(8, 0.28)]
+
+
+def anchor_checks(anchors: DataFrame, faces: DataFrame, eye: float = 1.6, step: float = 0.3, flat: float = 0.7) -> DataFrame:
+    """(scene_id, anchor, head, body, ground) of places (scene_id, anchor, x, y, z): whether nothing is in the way of the head and the body, and whether all feet meet flat ground (JOI14).
+
+    Ground is met if each ray down first hits a face within `step` of the place's height whose upright part of the normal is `flat` or more.
+    """
+    probes = F.array(*(F.struct(F.lit(k).alias("k"), *(F.lit(v).alias(n) for n, v in zip(("kind", "px", "py", "pz", "dx", "dy", "dz", "len"), p, strict=True))) for k, p in enumerate(anchor_probes(eye))))
+    r = anchors.withColumn("p", F.explode(probes)).select("scene_id", "anchor", "z", "p.*", F.concat_ws("/", "scene_id", "anchor", "p.k").alias("ray"), *((F.col(a) + F.col(f"p.p{a}")).alias(f"o{a}") for a in "xyz"))
+    h = r.join(ray_hits(r.select("scene_id", "ray", *(f"{c}{a}" for c in "od" for a in "xyz"), "len"), faces).select("ray", "t", "nz"), "ray", "left")
+    free = lambda kind: F.bool_and(F.when(F.col("kind") == kind, F.col("t").isNull()))
+    firm = F.coalesce((F.abs(F.col("oz") - F.col("t") - F.col("z")) <= step) & (F.col("nz") >= flat), F.lit(False))
+    return h.groupBy("scene_id", "anchor").agg(free("head").alias("head"), free("body").alias("body"), F.bool_and(F.when(F.col("kind") == "ground", firm)).alias("ground"))

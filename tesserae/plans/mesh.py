@@ -261,8 +261,8 @@ def upward_faces(f: DataFrame, degrees: float = 15, least_area: float = 1e-10) -
     return f.where((F.col("nz") >= F.cos(F.radians(F.lit(degrees)))) & (F.col("area") > least_area))
 
 
-def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: float = 2.0) -> DataFrame:
-    """(floor, n_faces, area, z): each scene's upward faces flooded over neighbouring cells, small floors left out (ITR2, AGG3).
+def floor_faces(up: DataFrame, size: float = 0.5, height: float = 0.25) -> DataFrame:
+    """up with the floor of each face: a scene's upward faces flooded over neighbouring cells (ITR2).
 
     A cell is known by its scene and its three numbers; an edge is listed once, from the cell that
     comes first in 13 of the 26 directions.
@@ -275,8 +275,12 @@ def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: f
     step = F.explode(F.array(*(F.struct(*(F.lit(v).alias(a) for a, v in zip("xyz", t, strict=True))) for t in steps)))
     near = cells.withColumn("s", step).select("scene_id", F.col("k").alias("a"), *((F.col(f"c_{a}") + F.col(f"s.{a}")).alias(f"c_{a}") for a in "xyz"))
     comp = connected_components(near.join(cells.withColumnRenamed("k", "b"), axes), "a", "b")
-    joined = up.join(comp.withColumnRenamed("node", "k"), "k", "left").withColumn("floor", F.coalesce("component", "k"))
-    return joined.groupBy("floor").agg(F.count("*").alias("n_faces"), F.sum("area").alias("area"), F.median("cz").alias("z")).where(F.col("area") >= least_area)
+    return up.join(comp.withColumnRenamed("node", "k"), "k", "left").withColumn("floor", F.coalesce("component", "k")).drop("component")
+
+
+def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: float = 2.0) -> DataFrame:
+    """(floor, n_faces, area, z): totals of the floors of floor_faces(), small ones left out (AGG3)."""
+    return floor_faces(up, size, height).groupBy("floor").agg(F.count("*").alias("n_faces"), F.sum("area").alias("area"), F.median("cz").alias("z")).where(F.col("area") >= least_area)
 
 
 @query(f"WITH RECURSIVE {_FLOOR} SELECT floor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, round(median(cz) + 1e-9, 4) AS z FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz GROUP BY floor HAVING sum(area) >= 2")

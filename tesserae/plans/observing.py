@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tesserae.functions import geometry as G
 from tesserae.operators import placement, spatial
 from tesserae.operators.placement import placed_boxes
-from tesserae.operators.rays import ray_hits, touching
+from tesserae.operators.rays import anchor_checks, anchor_probes, ray_hits, touching
 from tesserae.plans.materialize import materialize, release
-from tesserae.plans.mesh import _ANCHORS, _SUPPORT, _face_table, _faces, boundary_edges, candidates, clearances, patch_summary, patches, support_faces
+from tesserae.plans.mesh import _ANCHORS, _FLOOR, _SUPPORT, _face_table, _faces, boundary_edges, candidates, clearances, floor_faces, patch_summary, patches, support_faces, upward_faces
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES, OBJECTS, POINTS
 
@@ -72,9 +72,9 @@ _RAYS = """rays AS (SELECT 's' || (c_custkey % 3) AS scene_id, c_custkey * 2 + k
   CASE WHEN k = 0 THEN 0e0 ELSE cos(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dx, CASE WHEN k = 0 THEN 0e0 ELSE sin(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dy, CASE WHEN k = 0 THEN -1e0 ELSE 0e0 END AS dz, CASE WHEN k = 0 THEN 2e0 ELSE 0.35e0 END AS len FROM customer, (VALUES (0), (1)) t(k))"""
 _x = lambda a, b: [f"({a[1]} * {b[2]} - {a[2]} * {b[1]})", f"({a[2]} * {b[0]} - {a[0]} * {b[2]})", f"({a[0]} * {b[1]} - {a[1]} * {b[0]})"]
 _d = lambda a, b: f"({a[0]} * {b[0]} + {a[1]} * {b[1]} + {a[2]} * {b[2]})"
-_HITS = f"""mt AS (SELECT ray, len, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON rays.scene_id = faces.scene_id AND least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
+_HITS = f"""mt AS (SELECT ray, len, nz, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON rays.scene_id = faces.scene_id AND least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
 mu AS (SELECT *, {_d(["e1x", "e1y", "e1z"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS det, {_d(["sx", "sy", "sz"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS u, {_d(["dx", "dy", "dz"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS v, {_d(["e2x", "e2y", "e2z"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS w FROM mt),
-hits AS (SELECT ray, count(*) AS n_hits, min(w / det) AS t FROM mu WHERE abs(det) > 1e-12 AND u / det >= 0 AND v / det >= 0 AND u / det + v / det <= 1 AND w / det BETWEEN 0 AND len GROUP BY ray)"""
+hits AS (SELECT ray, count(*) AS n_hits, min(w / det) AS t, arg_min(nz, w / det) AS nz FROM mu WHERE abs(det) > 1e-12 AND u / det >= 0 AND v / det >= 0 AND u / det + v / det <= 1 AND w / det BETWEEN 0 AND len GROUP BY ray)"""
 
 
 def _rays(spark, d) -> DataFrame:
@@ -91,6 +91,17 @@ def joi14_line_of_sight(spark, d):
     return r.select("ray").join(ray_hits(r, _faces(spark, d)), "ray", "left").select("ray", F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"), R(F.coalesce("t", F.lit(-1.0))).alias("t"))
 
 
+_PLACES = "pl AS (SELECT scene_id, anchor, ax + 0.511e0 AS x, ay + 0.513e0 AS y, 0.05e0 AS z FROM anchors)"
+
+
+@query(f"""WITH {FACES}, {_ANCHORS}, {_PLACES}, rays AS (SELECT scene_id, anchor * 100 + k AS ray, anchor, kind, z, x + px AS ox, y + py AS oy, z + pz AS oz, dx, dy, dz, len FROM pl, (VALUES {", ".join(f"({k}, '{p[0]}', " + ", ".join(f"{v!r}::DOUBLE" for v in p[1:]) + ")" for k, p in enumerate(anchor_probes()))}) t(k, kind, px, py, pz, dx, dy, dz, len)), {_HITS}
+SELECT scene_id, anchor, bool_and(t IS NULL) FILTER (kind = 'head') AS head, bool_and(t IS NULL) FILTER (kind = 'body') AS body, bool_and(coalesce(abs(oz - t - z) <= 0.3 AND nz >= 0.7, false)) FILTER (kind = 'ground') AS ground FROM rays LEFT JOIN hits USING (ray) GROUP BY scene_id, anchor""")
+def joi14_anchor_checks(spark, d):
+    """Whether an observer can stand at its place: head, body and ground (JOI14)."""
+    a = _anchors(spark, d).selectExpr("scene_id", "anchor", "ax + 0.511e0 AS x", "ay + 0.513e0 AS y", "0.05e0 AS z")
+    return anchor_checks(a, _faces(spark, d))
+
+
 @query(f"""WITH {FACES}, ob AS (SELECT scene_id, fid AS a, cx - 0.2 AS x_min, cx + 0.2 AS x_max, cy - 0.2 AS y_min, cy + 0.2 AS y_max, cz + 0.02 AS z_min, cz + 0.42 AS z_max FROM faces WHERE {_SUPPORT})
 SELECT a AS fid, count(*) AS n_touching FROM ob JOIN faces ON ob.scene_id = faces.scene_id AND {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY a""")
 def joi15_interference(spark, d):
@@ -134,6 +145,27 @@ def smp1_surface_samples(spark, d):
     return weighted_draws(items, draws).select("draw", "fid")
 
 
+_WEIGHT = "floor(area * 1000000 + 0.001)::BIGINT"
+
+
+@query(f"""WITH RECURSIVE {_FLOOR}, fw AS (SELECT scene_id, floor, fid, {_WEIGHT} AS w, area FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz), fk AS (SELECT scene_id, floor, min(fid) AS id, sum(w)::BIGINT AS w FROM fw GROUP BY scene_id, floor HAVING sum(area) >= 2),
+k1 AS (SELECT *, sum(w) OVER (PARTITION BY scene_id ORDER BY id)::BIGINT - w AS lo, sum(w) OVER (PARTITION BY scene_id)::BIGINT AS total FROM fk), dr AS (SELECT 's' || (event_id % 3) AS scene_id, event_id AS draw, ((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u, ((event_id * 104729) % 10009 + 0.5e0) / 10009 AS v FROM events),
+d1 AS (SELECT dr.*, floor(u * total)::BIGINT AS x FROM dr JOIN (SELECT DISTINCT scene_id, total FROM k1) USING (scene_id)), p1 AS (SELECT d1.scene_id, draw, v, id, w AS size FROM d1 ASOF JOIN k1 ON d1.scene_id = k1.scene_id AND d1.x >= k1.lo),
+k2 AS (SELECT fk.id AS floor_id, fid, sum(fw.w) OVER (PARTITION BY fk.id ORDER BY fid)::BIGINT - fw.w AS lo FROM fw JOIN fk USING (scene_id, floor) WHERE fw.w > 0), p2 AS (SELECT draw, id, floor(v * size)::BIGINT AS x FROM p1)
+SELECT p2.draw, p2.id AS floor_id, k2.fid FROM p2 ASOF JOIN k2 ON p2.id = k2.floor_id AND p2.x >= k2.lo""")
+def smp2_anchor_draws(spark, d):
+    """Faces drawn for each attempt: a floor by its area, then a face of it by area (SMP2)."""
+    f = floor_faces(upward_faces(_face_table(spark, d))).withColumn("w", F.floor(F.col("area") * 1000000 + 0.001).cast("long"))
+    f = materialize(f.select("scene_id", "floor", "fid", "w", "area"), "floor-faces")
+    whole = f.groupBy("scene_id", "floor").agg(F.min("fid").alias("fid"), F.sum("w").alias("w"), F.sum("area").alias("area")).where(F.col("area") >= 2)
+    draws = X.read(spark, d, "events").selectExpr("concat('s', event_id % 3) AS scene_id", "event_id AS draw", "((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u", "((event_id * 104729) % 10009 + 0.5e0) / 10009 AS v")
+    chosen = weighted_draws(whole.select("scene_id", "fid", "w"), draws).withColumnRenamed("fid", "floor_id")
+    # within a floor, which is the key of the second draw as a scene is of the first
+    inside = f.join(whole.select("scene_id", "floor", F.col("fid").alias("floor_id")), ["scene_id", "floor"]).select(F.col("floor_id").alias("scene_id"), "fid", "w")
+    again = chosen.join(draws.select("draw", "v"), "draw").select(F.col("floor_id").alias("scene_id"), "draw", F.col("v").alias("u"))
+    return weighted_draws(inside, again).select("draw", F.col("scene_id").alias("floor_id"), "fid")
+
+
 @query(f"""WITH {FACES}, {_ANCHORS}, dz AS (SELECT scene_id, anchor, ax, ay, k AS trial, cos(radians(k * 45 + anchor * 7 + 0.3e0)) AS fx, sin(radians(k * 45 + anchor * 7 + 0.3e0)) AS fy FROM anchors, range(0, 8) t(k)),
 j AS (SELECT anchor, trial, area, fx, fy, cx - ax AS dx, cy - ay AS dy, sqrt((cx - ax) * (cx - ax) + (cy - ay) * (cy - ay)) AS r FROM faces JOIN dz USING (scene_id) WHERE abs(cx - ax) <= 4 AND abs(cy - ay) <= 4 AND cz BETWEEN 0 AND 0.09),
 g AS (SELECT anchor, trial, count(*) AS n, round(sum(area) + 1e-9, 3) AS area FROM j WHERE r <= 4 AND CASE WHEN r > 1e-9 THEN (dx * fx + dy * fy) / r ELSE 0 END >= cos(radians(44)) GROUP BY anchor, trial),
