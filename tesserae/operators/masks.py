@@ -30,3 +30,15 @@ def compact(indices: DataFrame, owner: str, idx: str) -> DataFrame:
     d = indices.select(owner, idx).distinct()
     island = F.col(idx) - F.row_number().over(Window.partitionBy(owner).orderBy(idx))
     return d.withColumn("_i", island).groupBy(owner, "_i").agg(F.min(idx).alias("start"), F.max(idx).alias("end")).drop("_i")
+
+
+def run_problems(runs: DataFrame) -> DataFrame:
+    """(mask, problem) of run lists (mask, rle, height, width) that cannot be decoded: a negative run, or a sum that is not the image's size (SRC7)."""
+    total = F.aggregate("rle", F.lit(0).cast("long"), lambda s, x: s + x)
+    problem = F.when(F.exists("rle", lambda x: x < 0), "negative run").when(total != F.col("height") * F.col("width"), "size mismatch")
+    return runs.select("mask", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def decode_pixels(runs: DataFrame) -> DataFrame:
+    """(mask, row, col) of the ones of run lists (mask, rle, height), which go down the columns; lists with problems are for run_problems() (SRC7)."""
+    return decode_runs(runs).join(runs.select("mask", "height"), "mask").select("mask", (F.col("idx") % F.col("height")).alias("row"), F.floor(F.col("idx") / F.col("height")).alias("col"))

@@ -116,3 +116,25 @@ def artifact_digests(files: DataFrame) -> DataFrame:
     each = F.concat(F.element_at(F.split("path", "/"), -1), F.col("size").cast("string"), F.col("mtime").cast("string"))
     g = files.groupBy("unit", "stage").agg(F.sort_array(F.collect_list(F.struct("path", each.alias("e")))).alias("l"))
     return g.select("unit", "stage", F.sha2(F.array_join(F.transform("l", lambda x: x["e"]), ""), 256).alias("artifact_digest"))
+
+
+def vocabulary_problems(vocabulary: DataFrame) -> DataFrame:
+    """(id, problem) of a vocabulary (id, name, kind): ids and, whatever their case, names that occur twice; kinds that are none (SRC5)."""
+    twice = lambda key, what: vocabulary.join(vocabulary.groupBy(key.alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1"), key == F.col("_k"), "left_semi").select("id", F.lit(what).alias("problem"))
+    kind = vocabulary.where(~F.coalesce(F.col("kind").isin("thing", "stuff"), F.lit(False))).select("id", F.lit("kind").alias("problem"))
+    return twice(F.col("id"), "duplicate id").union(twice(F.lower("name"), "duplicate name")).union(kind)
+
+
+def setting_problems(settings: DataFrame, weights: tuple[str, ...], thresholds: tuple[str, ...]) -> DataFrame:
+    """(config, problem) of settings (config, name, value): thresholds outside 0 to 1, and fusion weights whose sum is not 1 but for 1e-6 (SRC5)."""
+    out = settings.where(F.col("name").isin(*thresholds) & ~F.coalesce(F.col("value").between(0, 1), F.lit(False))).select("config", F.concat(F.lit("threshold "), "name").alias("problem"))
+    total = settings.where(F.col("name").isin(*weights)).groupBy("config").agg(F.sum("value").alias("s"))
+    return out.union(total.where(F.abs(F.col("s") - 1) > 1e-6).select("config", F.lit("weights").alias("problem")))
+
+
+def rule_problems(rules: DataFrame) -> DataFrame:
+    """(rule, problem) of class rules (rule, placement, dimension, low, high, terms, supports), one row for each thing wrong (SRC5)."""
+    lacks = lambda c: F.coalesce(F.size(c) <= 0, F.lit(True))
+    checks = {"placement": ~F.col("placement").isin("surface", "floor"), "dimension": ~F.col("dimension").isin("height", "longest"), "range": ~((F.col("low") > 0) & (F.col("low") <= F.col("high"))), "terms": lacks("terms"), "supports": lacks("supports")}
+    problems = F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.lit(k)) for k, bad in checks.items())))
+    return rules.select("rule", F.explode(problems).alias("problem"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
-from tesserae.operators.metadata import token_set
+from tesserae.operators.metadata import rule_problems, setting_problems, token_set, vocabulary_problems
 from tesserae.operators.placement import placed_boxes
 from tesserae.plans.materialize import shared_dir
 from tesserae.plans.mesh import _boxes, _faces
@@ -70,13 +70,25 @@ def src3_keyed_json(spark, d):
     return out.select("source", "key", F.coalesce(F.get_json_object("value", "$.faceCount").cast("int"), F.lit(-1)).alias("face_count"))
 
 
-@query("WITH r AS (SELECT p_brand AS rule, min(p_size) - 2 AS low, max(p_size) - 12 AS high, min(p_partkey) % 3 AS k, count(*) AS n FROM part GROUP BY p_brand) SELECT rule, 'placement' AS problem FROM r WHERE k = 2 UNION ALL SELECT rule, 'range' FROM r WHERE NOT (0 < low AND low <= high) UNION ALL SELECT rule, 'terms' FROM r WHERE n < 5")
+@query("""WITH r AS (SELECT p_brand AS rule, min(p_size) - 2 AS low, max(p_size) - 12 AS high, min(p_partkey) % 3 AS k, max(p_partkey) % 3 AS m, count(*) AS n FROM part GROUP BY p_brand) SELECT rule, 'placement' AS problem FROM r WHERE k = 2 UNION ALL SELECT rule, 'dimension' FROM r WHERE m = 1 UNION ALL SELECT rule, 'range' FROM r WHERE NOT (0 < low AND low <= high) UNION ALL SELECT rule, 'terms' FROM r WHERE n % 4 = 0 UNION ALL SELECT rule, 'supports' FROM r WHERE n % 5 = 0""")
 def src5_rule_checks(spark, d):
-    """One row for each thing wrong with a class rule."""
-    r = X.read(spark, d, "part").groupBy(F.col("p_brand").alias("rule")).agg((F.min("p_size") - 2).alias("low"), (F.max("p_size") - 12).alias("high"), F.element_at(F.array(F.lit("surface"), F.lit("floor"), F.lit("wall")), (F.min("p_partkey") % 3 + 1).cast("int")).alias("placement"), F.count("*").alias("n"))
-    checks = {"placement": ~F.col("placement").isin("surface", "floor"), "range": ~((F.col("low") > 0) & (F.col("low") <= F.col("high"))), "terms": F.col("n") < 5}
-    problems = F.array_compact(F.array(*(F.when(bad, F.lit(k)) for k, bad in checks.items())))
-    return r.select("rule", F.explode(problems).alias("problem"))
+    r = X.read(spark, d, "part").groupBy(F.col("p_brand").alias("rule")).agg((F.min("p_size") - 2).alias("low"), (F.max("p_size") - 12).alias("high"), F.expr("array('surface', 'floor', 'wall')[min(p_partkey) % 3]").alias("placement"), F.expr("array('height', 'depth', 'longest')[max(p_partkey) % 3]").alias("dimension"), F.expr("if(count(*) % 4 = 0, array(), array('a'))").alias("terms"), F.expr("if(count(*) % 5 = 0, NULL, array('table'))").alias("supports"))
+    return rule_problems(r)
+
+
+@query("""WITH v AS (SELECT s_suppkey % 90 AS id, 'Name' || s_suppkey % 85 AS name, CASE WHEN s_suppkey % 9 = 4 THEN 'other' ELSE 'thing' END AS kind, s_suppkey % 2 AS up FROM supplier), t AS (SELECT id FROM v GROUP BY id HAVING count(*) > 1), n AS (SELECT name FROM v GROUP BY name HAVING count(*) > 1)
+SELECT id, 'duplicate id' AS problem FROM v JOIN t USING (id) UNION ALL SELECT id, 'duplicate name' FROM v JOIN n USING (name) UNION ALL SELECT id, 'kind' FROM v WHERE kind = 'other'""")
+def src5_vocabulary_checks(spark, d):
+    v = X.read(spark, d, "supplier").selectExpr("s_suppkey % 90 AS id", "concat(if(s_suppkey % 2 = 0, 'NAME', 'name'), s_suppkey % 85) AS name", "if(s_suppkey % 9 = 4, 'other', 'thing') AS kind")
+    return vocabulary_problems(v)
+
+
+@query("""WITH s AS (SELECT c_nationkey AS config, 'w' || k AS name, CASE WHEN c_nationkey % 4 = 0 AND k = 0 THEN 0.3e0 ELSE 0.25e0 END AS value FROM (SELECT DISTINCT c_nationkey FROM customer), range(0, 4) t(k) UNION ALL SELECT n_nationkey, 'least', n_nationkey / 20e0 FROM nation)
+SELECT config, 'threshold least' AS problem FROM s WHERE name = 'least' AND NOT value BETWEEN 0 AND 1 UNION ALL SELECT config, 'weights' FROM s WHERE name <> 'least' GROUP BY config HAVING abs(sum(value) - 1) > 1e-6""")
+def src5_setting_checks(spark, d):
+    w = X.read(spark, d, "customer").select(F.col("c_nationkey").alias("config")).distinct().selectExpr("config", "explode(array(0, 1, 2, 3)) AS k").selectExpr("config", "concat('w', k) AS name", "if(config % 4 = 0 AND k = 0, 0.3e0, 0.25e0) AS value")
+    n = X.read(spark, d, "nation").selectExpr("n_nationkey AS config", "'least' AS name", "n_nationkey / 20e0 AS value")
+    return setting_problems(w.union(n), ("w0", "w1", "w2", "w3"), ("least",))
 
 
 @query("SELECT label, count(*) AS n, sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END)::BIGINT AS n_wrong_size, sum(CASE WHEN len(list_filter(embedding, lambda x: NOT isfinite(x))) > 0 THEN 1 ELSE 0 END)::BIGINT AS n_not_finite FROM embeddings GROUP BY label")
@@ -183,18 +195,25 @@ def txt4_prompts(spark, d):
 
 
 def judged(answers: DataFrame, classes: list[str], threshold: float = 0.75) -> DataFrame:
-    """(uid, decision, class, confidence) of a model's answers (uid, raw): what stands between the first and the last brace."""
+    """(uid, decision, class, confidence, reason) of a model's answers (uid, raw): what stands between the first and the last brace (TXT5).
+
+    An answer that is not accepted, or of no known class, is rejected with its own reason, cut at 500
+    characters; one under the threshold or that is no JSON needs a review. An accepted one takes the class's rule by a join.
+    """
     v = F.try_parse_json(F.regexp_extract("raw", r"(?s)(\{.*\})", 1))
-    a = answers.select("uid", v.alias("v")).select("uid", "v", F.try_variant_get("v", "$.canonical_class", "string").alias("c"), F.try_variant_get("v", "$.decision", "string").alias("said"), F.coalesce(F.try_variant_get("v", "$.confidence", "double"), F.lit(0.0)).alias("p"))
+    a = answers.select("uid", v.alias("v")).select("uid", "v", F.try_variant_get("v", "$.canonical_class", "string").alias("c"), F.try_variant_get("v", "$.decision", "string").alias("said"), F.coalesce(F.try_variant_get("v", "$.confidence", "double"), F.lit(0.0)).alias("p"), F.try_variant_get("v", "$.reason", "string").alias("why"))
     known = F.coalesce((F.col("said") == "accepted") & F.col("c").isin(*classes), F.lit(False))
     decision = F.when(F.col("v").isNull(), "needs_review").when(~known, "rejected").when(F.col("p") < threshold, "needs_review").otherwise("accepted")
-    return a.select("uid", decision.alias("decision"), "c", "p").select("uid", "decision", F.when(F.col("decision") == "accepted", F.col("c")).alias("class"), F.col("p").alias("confidence"))
+    own = F.substring(F.coalesce(F.when(F.col("why") != "", F.col("why")), F.lit("Local LLM classification")), 1, 500)
+    reason = F.when(F.col("v").isNull(), "Invalid model output").when(known & (F.col("p") < threshold), "Below acceptance threshold").otherwise(own)
+    return a.select("uid", decision.alias("decision"), "c", "p", reason.alias("reason")).select("uid", "decision", F.when(F.col("decision") == "accepted", F.col("c")).alias("class"), F.col("p").alias("confidence"), "reason")
 
 
 @query("""WITH a AS (SELECT p_partkey AS uid, p_partkey % 6 AS k, p_size % 3 AS c, p_size % 100 / 100e0 + 0.5e0 AS p FROM part)
-SELECT uid, CASE WHEN k >= 4 THEN 'needs_review' WHEN k = 3 OR c = 2 THEN 'rejected' WHEN p < 0.75 THEN 'needs_review' ELSE 'accepted' END AS decision, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN 'c' || c END AS class, CASE WHEN k >= 4 THEN 0e0 ELSE p END AS confidence FROM a""")
+SELECT uid, CASE WHEN k >= 4 THEN 'needs_review' WHEN k = 3 OR c = 2 THEN 'rejected' WHEN p < 0.75 THEN 'needs_review' ELSE 'accepted' END AS decision, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN 'c' || c END AS class, CASE WHEN k >= 4 THEN 0e0 ELSE p END AS confidence,
+CASE WHEN k >= 4 THEN 'Invalid model output' WHEN k < 3 AND c < 2 AND p < 0.75 THEN 'Below acceptance threshold' WHEN uid % 5 = 0 THEN 'Local LLM classification' ELSE left(repeat('so {it} is ', uid % 90 + 1), 500) END AS reason FROM a""")
 def txt5_model_answers(spark, d):
-    said = """concat('{"decision":"', if(uid % 6 = 3, 'rejected', 'accepted'), '","canonical_class":"c', size % 3, '","confidence":', size % 100 / 100e0 + 0.5e0, ',"reason":"so {it} is"}')"""
+    said = """concat('{"decision":"', if(uid % 6 = 3, 'rejected', 'accepted'), '","canonical_class":"c', size % 3, '","confidence":', size % 100 / 100e0 + 0.5e0, ',"reason":"', if(uid % 5 = 0, '', repeat('so {it} is ', CAST(uid % 90 + 1 AS INT))), '"}')"""
     raw = f"CASE uid % 6 WHEN 4 THEN 'no answer' WHEN 5 THEN '{{broken}}' ELSE concat('Well: ', {said}, ' thus.') END"
     return judged(X.read(spark, d, "part").selectExpr("p_partkey AS uid", "p_size AS size").selectExpr("uid", f"{raw} AS raw"), ["c0", "c1"])
 

@@ -357,6 +357,19 @@ def src7_decode_runs(spark, d):
     return masks.decode_runs(masks.encode_runs(X.mask_bits(spark, d)))
 
 
+@query(f"WITH {BITS} SELECT mask, (idx % 8)::BIGINT AS row, idx // 8 AS col FROM bits WHERE bit = 1")
+def src7_decode_pixels(spark, d):
+    return masks.decode_pixels(masks.encode_runs(X.mask_bits(spark, d)).withColumn("height", F.lit(8).cast("long"))).withColumn("col", F.col("col").cast("long"))
+
+
+@query(f"WITH {BITS}, n AS (SELECT mask, count(*) AS n, max(bit) = 1 AND arg_min(bit, idx) = 0 AS two FROM bits GROUP BY mask) SELECT mask, CASE WHEN mask % 5 = 1 THEN 'negative run' ELSE 'size mismatch' END AS problem FROM n WHERE mask % 5 = 1 OR mask % 7 = 2")
+def src7_run_problems(spark, d):
+    """Run lists, some with a negative run and some of an image that is not of their size."""
+    rle = masks.encode_runs(X.mask_bits(spark, d)).withColumns({"height": F.lit(1), "width": F.aggregate("rle", F.lit(0).cast("long"), lambda s, x: s + x)})
+    odd = F.when(F.expr("mask % 5 = 1"), F.concat("rle", F.array(F.lit(-3).cast("long"), F.lit(3).cast("long")))).otherwise(F.col("rle"))
+    return masks.run_problems(rle.select("mask", odd.alias("rle"), "height", F.when(F.expr("mask % 7 = 2"), F.col("width") + 1).otherwise(F.col("width")).alias("width")))
+
+
 @query(f"WITH {BITS}, i AS (SELECT mask, idx, idx - row_number() OVER (PARTITION BY mask ORDER BY idx) AS g FROM bits WHERE bit = 1) SELECT mask, min(idx) AS start, max(idx) AS \"end\" FROM i GROUP BY mask, g")
 def src9_index_runs(spark, d):
     return masks.compact(X.mask_bits(spark, d).where("bit = 1"), "mask", "idx")
