@@ -95,11 +95,18 @@ def geo6_barycentric(spark, d):
     return _faces(spark, d).select("fid", *(R(sum(w[k] * F.col(f"{a}{k}") for k in range(3))).alias(a) for a in "xyz"))
 
 
-@query(f"WITH {FACES} SELECT instance, count(*) AS n, round(sum(area) + 1e-9, 3) AS area, count(*) > 100 OR ceil(round(sum(area) * 2500 + 1e-9, 3)) > 8000 OR max(greatest(x0, x1, x2)) - min(least(x0, x1, x2)) > 8 AS over_budget FROM faces GROUP BY instance")
+def budgets(f: DataFrame, keys: tuple[str, ...] = ("scene_id", "instance"), triangles: int = 1_500_000, points: int = 250_000, side: float = 8.0, density: float = 2500.0) -> DataFrame:
+    """(*keys, n, area, n_points, over_budget) of groups of faces: too many triangles or estimated points, or too long a side in XY (FIL1, AGG2)."""
+    spans = [F.max(F.greatest(*(f"{a}{k}" for k in range(3)))) - F.min(F.least(*(f"{a}{k}" for k in range(3)))) for a in "xy"]
+    # off the ties, as sums depend on their order
+    n_points = F.ceil(R(F.sum("area") * density, 3))
+    over = (F.count("*") > triangles) | (n_points > points) | (F.greatest(*spans) > side)
+    return f.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("area").alias("area"), n_points.alias("n_points"), over.alias("over_budget"))
+
+
+@query(f"WITH {FACES} SELECT instance, count(*) AS n, round(sum(area) + 1e-9, 3) AS area, ceil(round(sum(area) * 2500 + 1e-9, 3))::BIGINT AS n_points, count(*) > 100 OR ceil(round(sum(area) * 2500 + 1e-9, 3)) > 8000 OR greatest(max(greatest(x0, x1, x2)) - min(least(x0, x1, x2)), max(greatest(y0, y1, y2)) - min(least(y0, y1, y2))) > 8 AS over_budget FROM faces GROUP BY instance")
 def fil1_over_budget(spark, d):
-    f = _faces(spark, d)
-    side = F.max(F.greatest("x0", "x1", "x2")) - F.min(F.least("x0", "x1", "x2"))
-    return f.groupBy("instance").agg(F.count("*").alias("n"), R(F.sum("area"), 3).alias("area"), ((F.count("*") > 100) | (F.ceil(R(F.sum("area") * 2500, 3)) > 8000) | (side > 8)).alias("over_budget"))
+    return budgets(_faces(spark, d), triangles=100, points=8000).select("instance", "n", R(F.col("area"), 3).alias("area"), "n_points", "over_budget")
 
 
 @query(f"WITH {FACES} SELECT fid, round(area + 1e-9, 4) AS area FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10")
@@ -110,9 +117,9 @@ def fil5_upward_faces(spark, d):
 _SUPPORT = "semantic IN (3, 4, 5, 6) AND observed AND core AND visibility >= 1 AND nz >= cos(radians(12)) AND 2 * area > 1e-12"
 
 
-def support_faces(f: DataFrame) -> DataFrame:
+def support_faces(f: DataFrame, classes: tuple[int, ...] = (3, 4, 5, 6), views: int = 1, degrees: float = 12) -> DataFrame:
     """Faces that can carry something: seen, of a supporting class, flat (FIL6)."""
-    return f.where(F.col("semantic").isin(3, 4, 5, 6) & F.col("observed") & F.col("core") & (F.col("visibility") >= 1) & (F.col("nz") >= F.cos(F.radians(F.lit(12)))) & (2 * F.col("area") > 1e-12))
+    return f.where(F.col("semantic").isin(*classes) & F.col("observed") & F.col("core") & (F.col("visibility") >= views) & (F.col("nz") >= F.cos(F.radians(F.lit(degrees)))) & (2 * F.col("area") > 1e-12))
 
 
 @query(f"WITH {FACES} SELECT fid, semantic, instance FROM faces WHERE {_SUPPORT}")
@@ -120,10 +127,18 @@ def fil6_support_faces(spark, d):
     return support_faces(_face_table(spark, d)).select("fid", "semantic", "instance")
 
 
-@query(f"WITH {FACES} SELECT scene_id, count(*) AS n, sum(CASE WHEN NOT isfinite(area) OR area < 0 THEN 1 ELSE 0 END)::BIGINT AS n_bad FROM faces GROUP BY scene_id")
-def fil8_scene_validation(spark, d):
+def scene_problems(scenes: DataFrame, faces: DataFrame) -> DataFrame:
+    """(scene_id, problem) of scenes (scene_id, scale) whose faces cannot be planned with: none, areas that are negative or not finite, or a scale that is not positive (FIL8)."""
     bad = F.isnan("area") | (F.col("area") < 0) | (F.abs("area") == float("inf"))
-    return _faces(spark, d).groupBy("scene_id").agg(F.count("*").alias("n"), F.count_if(bad).alias("n_bad"))
+    s = scenes.join(faces.groupBy("scene_id").agg(F.count_if(bad).alias("bad")), "scene_id", "left")
+    problem = F.when(F.col("bad").isNull(), "empty").when(F.col("bad") > 0, "areas").when(~F.coalesce(F.col("scale") > 0, F.lit(False)), "scale")
+    return s.select("scene_id", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+@query(f"WITH {FACES}, sc AS (SELECT 's' || n_nationkey % 5 AS scene_id, min(n_nationkey) % 3 - 1 AS scale FROM nation GROUP BY 1), g AS (SELECT scene_id, sum((NOT isfinite(area) OR area < 0)::INT) AS bad FROM faces GROUP BY scene_id) SELECT * FROM (SELECT scene_id, CASE WHEN bad IS NULL THEN 'empty' WHEN bad > 0 THEN 'areas' WHEN NOT scale > 0 THEN 'scale' END AS problem FROM sc LEFT JOIN g USING (scene_id)) WHERE problem IS NOT NULL")
+def fil8_scene_validation(spark, d):
+    scenes = X.read(spark, d, "nation").groupBy(F.expr("concat('s', n_nationkey % 5)").alias("scene_id")).agg((F.min("n_nationkey") % 3 - 1).alias("scale"))
+    return scene_problems(scenes, _faces(spark, d))
 
 
 @query(f"WITH {FACES} SELECT scene_id, instance, count(*) AS n_faces, count(DISTINCT semantic) AS n_classes, round(sum(area) + 1e-9, 3) AS area, round(min(least(x0, x1, x2)) + 1e-9, 4) AS x_min, round(max(greatest(x0, x1, x2)) + 1e-9, 4) AS x_max FROM faces GROUP BY scene_id, instance")

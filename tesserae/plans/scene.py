@@ -27,34 +27,52 @@ def query(sql: str | None = None):
     return add
 
 
-@query(f"""WITH {SAMPLES}, c AS (SELECT fid, label, count(*) AS n, sum(round(conf * 100)::BIGINT) AS s FROM samples GROUP BY ALL), t AS (SELECT fid, sum(n) AS total FROM c GROUP BY fid),
-w AS (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY n DESC, label) AS k FROM c WHERE label >= 0)
-SELECT t.fid, CASE WHEN n / total >= 0.45 THEN label ELSE -1 END AS label, CASE WHEN n / total >= 0.45 THEN round(s / n / 100 + 1e-9, 4) ELSE 0e0 END AS confidence FROM t LEFT JOIN w ON w.fid = t.fid AND k = 1""")
-def agg16_face_semantics(spark, d):
-    """Each face's most frequent known label, the smallest among equals, if it has 0.45 of all samples."""
-    s = X.samples(spark, d).groupBy("fid", "label").agg(F.count("*").alias("n"), F.sum(F.round(F.col("conf") * 100).cast("long")).alias("s"))
+def face_semantics(samples: DataFrame, least: float = 0.45) -> DataFrame:
+    """(fid, label, confidence): each face's most frequent known label, the smallest among equals, if it has the share `least` of all samples, unknown ones (-1) included; the mean confidence of its samples. Else -1 and 0 (AGG16)."""
+    s = samples.groupBy("fid", "label").agg(F.count("*").alias("n"), F.sum("conf").alias("s"))
     best = F.max(F.when(F.col("label") >= 0, F.struct("n", (-F.col("label")).alias("neg"), "s"))).alias("b")
     t = s.groupBy("fid").agg(F.sum("n").alias("total"), best)
-    won = F.coalesce(F.col("b.n") / F.col("total") >= 0.45, F.lit(False))
-    return t.select("fid", F.when(won, -F.col("b.neg")).otherwise(-1).alias("label"), F.when(won, R(F.col("b.s") / F.col("b.n") / 100)).otherwise(0.0).alias("confidence"))
+    won = F.coalesce(F.col("b.n") / F.col("total") >= least, F.lit(False))
+    return t.select("fid", F.when(won, -F.col("b.neg")).otherwise(-1).alias("label"), F.when(won, F.col("b.s") / F.col("b.n")).otherwise(0.0).alias("confidence"))
+
+
+@query(f"""WITH {SAMPLES}, c AS (SELECT fid, label, count(*) AS n, sum(conf) AS s FROM samples GROUP BY ALL), t AS (SELECT fid, sum(n) AS total FROM c GROUP BY fid),
+w AS (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY n DESC, label) AS k FROM c WHERE label >= 0)
+SELECT t.fid, CASE WHEN n / total >= 0.45 THEN label ELSE -1 END AS label, CASE WHEN n / total >= 0.45 THEN round(s / n + 1e-9, 4) ELSE 0e0 END AS confidence FROM t LEFT JOIN w ON w.fid = t.fid AND k = 1""")
+def agg16_face_semantics(spark, d):
+    return face_semantics(X.samples(spark, d)).withColumn("confidence", F.when(F.col("confidence") > 0, R(F.col("confidence"))).otherwise(0.0))
+
+
+def face_visibility(faces: DataFrame, samples: DataFrame) -> DataFrame:
+    """(fid, visibility, core): the most views that see one of a face's samples, 0 without any; a face without a mapping is core (AGG8)."""
+    seen = samples.groupBy("fid").agg(F.max("visible").alias("v"))
+    return faces.join(seen, "fid", "left").select("fid", F.coalesce("v", F.lit(0)).alias("visibility"), F.coalesce("core", F.lit(True)).alias("core"))
 
 
 @query(f"WITH {SAMPLES}, f AS (SELECT o_orderkey AS fid, o_custkey % 4 <> 0 AS core FROM orders) SELECT f.fid, coalesce(max(visible), 0) AS visibility, bool_and(core) AS core FROM f LEFT JOIN samples s USING (fid) GROUP BY f.fid")
 def agg8_face_visibility(spark, d):
-    f = X.read(spark, d, "orders").selectExpr("o_orderkey AS fid", "o_custkey % 4 <> 0 AS core")
-    seen = X.samples(spark, d).groupBy("fid").agg(F.max("visible").alias("v"))
-    return f.join(seen, "fid", "left").select("fid", F.coalesce("v", F.lit(0)).alias("visibility"), F.coalesce("core", F.lit(True)).alias("core"))
+    return face_visibility(X.read(spark, d, "orders").selectExpr("o_orderkey AS fid", "o_custkey % 4 <> 0 AS core"), X.samples(spark, d))
+
+
+def instance_faces(samples: DataFrame, least: float = 0.55) -> DataFrame:
+    """(fid, owned, n): faces of whose samples an instance owns the share `least` (AGG15)."""
+    return samples.groupBy("fid").agg(F.count_if("selected").alias("owned"), F.count("*").alias("n")).where(F.col("owned") / F.col("n") >= least)
 
 
 @query(f"WITH {SAMPLES} SELECT fid, sum(selected::INT)::BIGINT AS owned, count(*) AS n FROM samples GROUP BY fid HAVING sum(selected::INT) / count(*) >= 0.55")
 def agg15_instance_face_vote(spark, d):
-    return X.samples(spark, d).groupBy("fid").agg(F.count_if("selected").alias("owned"), F.count("*").alias("n")).where("owned / n >= 0.55")
+    return instance_faces(X.samples(spark, d))
+
+
+def face_instances(claims: DataFrame) -> DataFrame:
+    """(fid, instance, confidence): the claim (fid, instance, conf) of the highest confidence as a 32-bit number, the lowest instance among equals (AGG17)."""
+    best = claims.groupBy("fid").agg(F.max(F.struct(F.col("conf").cast("float").alias("c"), (-F.col("instance")).alias("i"))).alias("b"))
+    return best.select("fid", (-F.col("b.i")).alias("instance"), F.col("b.c").cast("double").alias("confidence"))
 
 
 @query(f"WITH {SAMPLES}, r AS (SELECT fid, instance, conf::FLOAT AS conf, row_number() OVER (PARTITION BY fid ORDER BY conf::FLOAT DESC, instance) AS k FROM samples) SELECT fid, instance, round(conf::DOUBLE + 1e-9, 4) AS confidence FROM r WHERE k = 1")
 def agg17_face_instance_conflict(spark, d):
-    best = X.samples(spark, d).groupBy("fid").agg(F.max(F.struct(F.col("conf").cast("float").alias("c"), (-F.col("instance")).alias("i"))).alias("b"))
-    return best.select("fid", (-F.col("b.i")).alias("instance"), R(F.col("b.c").cast("double")).alias("confidence"))
+    return face_instances(X.samples(spark, d)).withColumn("confidence", R(F.col("confidence")))
 
 
 @query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT qid, pid, round(dist + 1e-9, 4) AS dist FROM k WHERE k = 1")
