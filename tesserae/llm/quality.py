@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import crc_mod, grouped, table, texts, worker_global
+from tesserae.llm.common import crc_mod, grouped, slices, table, texts, worker_global
 
 #: Terms of a text: hashed words, hashed runs of three UTF-8 bytes, and three of repetition.
 WORDS, TRIPLES = 4096, 4096
@@ -21,7 +21,7 @@ TERMS = WORDS + TRIPLES + 3
 class Buckets(dict):
     """Terms of words met so far; the table starts afresh at `most` words."""
 
-    most = 300_000
+    most = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -132,7 +132,7 @@ def quality_scores(docs: DataFrame, model: NeighbourVote | None, id_col: str = "
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in grouped(batches):
+        for b in slices(grouped(batches), 64):
             vote = shared.value
             s = vote.score(np.array([terms(t) for t in texts(b)])) if vote and b.num_rows else np.full(b.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s.astype(float), pa.float64())], names=["doc_id", "score"])
@@ -152,7 +152,7 @@ def keep_good(docs: DataFrame, model: NeighbourVote | None, threshold: float = 0
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in grouped(batches):
+        for b in slices(grouped(batches), 64):
             vote = shared.value
             yield b.filter(pa.array(vote.score(np.array([terms(t) for t in texts(b)])) >= threshold)) if vote and b.num_rows else b
 
