@@ -88,7 +88,9 @@ def test_ties_and_texts_without_words(spark):
     labels = docs.where("doc_id is not null").select("doc_id", (F.col("doc_id") % 2).alias("toxic")).union(docs.where("doc_id = 3").select("doc_id", F.lit(0).cast("long")))
     net = T.fit(docs, labels, "toxic", F.lit(True))
     got = {r.doc_id: r.score for r in T.toxicity_scores(docs.union(docs.where("doc_id = 5")), net).collect()}
-    assert all((s >= 0.5) == (k % 2 == 1) for k, s in got.items() if k is not None and k < 60)
+    # document 3 has both labels
+    wrong = {k: s for k, s in got.items() if k is not None and k < 60 and k != 3 and (s >= 0.5) != (k % 2 == 1)}
+    assert not wrong
     assert got[60] == got[61] < 0.1 and got[None] < 0.5
     assert T.fit(docs, labels.where("toxic = 1"), "toxic", F.lit(True)) is None
     assert T.fit(docs, labels, "toxic", F.lit(False)) is None
