@@ -30,6 +30,19 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_id, _label, text): at most per_class labelled documents of each class, those of the lowest hashes of their ids, one row each.
+
+    Of rows that share an id the text of the lowest hash counts, chosen by a partial aggregation, so
+    that neither the join nor the driver's share grows with an id's rows. A document with both labels takes both; null
+    ids match no label.
+    """
+    rows = labels.where(usable & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
+    part = [rows.where(F.col("_label") == v).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for v in (0, 1)]
+    own = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(part[0].union(part[1])), "_id")
+    return own.groupBy("_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches of at most `rows` rows, so that Python never holds many texts at once."""
     for b in batches:

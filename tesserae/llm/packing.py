@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import WORD_LEVEL, grouped, is_plain, table, texts, worker_global
 from tesserae.llm.tokens import load
 
-PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: Columns of a piece after its document's id, which keeps its type.
+PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class WordEncoder:
@@ -106,7 +107,8 @@ def pack(docs: DataFrame, path: str, most: int = 4096, end_id: int = 2, block_to
     Each task tokenizes its rows and packs them in blocks of about block_tokens tokens, so a task
     holds one block and nothing is shuffled. A sequence id is the partition's number and a count in
     it. A document keeps its ids' order; each id lies in one piece. Null and empty texts are the end
-    id alone; repeated rows are packed once each; null ids stay null. No rows give no pieces.
+    id alone; repeated rows are packed once each; ids are of any type, null ones
+    stay null; other columns are not read. No rows give no pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +118,7 @@ def pack(docs: DataFrame, path: str, most: int = 4096, end_id: int = 2, block_to
         end, base = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 33
         ids: list = []
         held: list[bytes] = []
-        total = 0
+        total, kind = 0, pa.int64()
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal base, ids, held, total
@@ -125,12 +127,13 @@ def pack(docs: DataFrame, path: str, most: int = 4096, end_id: int = 2, block_to
             for i in range(0, len(pieces), 4096):
                 part = pieces[i : i + 4096]
                 d, s, n, q, o = map(list, zip(*part, strict=True))
-                arrays = [pa.array([ids[k] for k in d], pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array([held[k][4 * a : 4 * (a + b)] for k, a, b in zip(d, s, n, strict=True)], pa.binary()), pa.array(lengths[d], pa.int64()), pa.array([base + x for x in q], pa.int64()), pa.array(o, pa.int64())]
+                arrays = [pa.array([ids[k] for k in d], kind), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array([held[k][4 * a : 4 * (a + b)] for k, a, b in zip(d, s, n, strict=True)], pa.binary()), pa.array(lengths[d], pa.int64()), pa.array([base + x for x in q], pa.int64()), pa.array(o, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
             base += max((p[3] for p in pieces), default=-1) + 1
             ids, held, total = [], [], 0
 
         for b in grouped(batches):
+            kind = b.column(0).type
             for i, x in zip(b.column(0).to_pylist(), enc.encode(texts(b)), strict=True):
                 ids.append(i)
                 held.append(x + end)
@@ -140,7 +143,7 @@ def pack(docs: DataFrame, path: str, most: int = 4096, end_id: int = 2, block_to
         if held:
             yield from flush()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

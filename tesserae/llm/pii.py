@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,20 +100,25 @@ LABELERS = ("regex_opening", "regex_hex", "regex_mixed", "regex_groups", "regex_
 
 
 def entropy(s: str) -> float:
-    return -sum(n / len(s) * math.log2(n / len(s)) for n in (s.count(c) for c in set(s)))
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
+
+
+def _numeric(s: str) -> bool:
+    """Only the digits 0 to 9: other scripts' digits and superscripts are no numbers here."""
+    return s.isascii() and s.isdigit()
 
 
 def votes(text: str, start: int, end: int, named: bool, passed: int = 2) -> list[int]:
     """Each labeler's vote on a span: 1 personal, 0 harmless, 2 none. passed: 1 for a base span, 0 for a base pattern's match that failed its check."""
     s, before = text[start:end], text[max(0, start - 40) : start].lower()
     near = set(_WORD.findall(before)[-4:])
-    small, big, digit = any(c.islower() for c in s), any(c.isupper() for c in s), any(c.isdigit() for c in s)
+    small, big, digit = any(c.islower() for c in s), any(c.isupper() for c in s), bool(_DIGIT(s))
     return [
         1 if s.startswith(_OPENINGS) else 2,
-        1 if len(s) >= 16 and digit and re.fullmatch("[0-9a-f]+|[0-9A-F]+", s) and not s.isdigit() else 2,
+        1 if len(s) >= 16 and digit and re.fullmatch("[0-9a-f]+|[0-9A-F]+", s) and not _numeric(s) else 2,
         1 if len(s) >= 16 and digit and (small or big) and entropy(s) >= 3.3 else 0 if entropy(s) < 2.0 else 2,
         1 if _GROUPS.fullmatch(s) else 2,
-        (1 if 13 <= len(s) <= 19 and luhn(s) else 0) if s.isdigit() else 2,
+        (1 if 13 <= len(s) <= 19 and luhn(s) else 0) if _numeric(s) else 2,
         1 if near & _PERSONAL else 2,
         0 if near & _HARMLESS else 2,
         1 if named else 2,
@@ -135,7 +141,7 @@ FIELDS = (8, 16, 16, 4, 3, 6, 6, 3)
 def features(text: str, start: int, end: int) -> int:
     """A span's form and surroundings, one choice of each of FIELDS, as a number in that mixed base."""
     s = text[start:end]
-    kind = lambda c: 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
+    kind = lambda c: 0 if "0" <= c <= "9" else 1 if c.isupper() else 2 if c.islower() else 3
     kinds = [kind(c) for c in s]
     near = set(_WORD.findall(text[max(0, start - 40) : start].lower())[-4:])
     digits = _NOT_DIGIT.sub("", s)

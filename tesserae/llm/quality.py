@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import operator
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,36 +11,26 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import crc_mod, grouped, slices, table, texts, worker_global
+from tesserae.llm.common import crc_mod, grouped, labelled_texts, slices, table, texts
 
 #: Terms of a text: hashed words, hashed runs of three UTF-8 bytes, and three of repetition.
 WORDS, TRIPLES = 4096, 4096
 TERMS = WORDS + TRIPLES + 3
 
 
-class Buckets(dict):
-    """Terms of words met so far; the table starts afresh at `most` words."""
-
-    most = 100_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, 42) % WORDS
-        return out
-
-
 def terms(text: str) -> np.ndarray:
-    """Counts of a whole text's terms: A-Z lower-cased words; byte triples; words equal to the one before, lines and words that repeat earlier ones."""
+    """Counts of a whole text's terms: A-Z lower-cased words; byte triples; words equal to the one before, lines and words that repeat earlier ones. Words are told apart by XXH64."""
     data, out = text.encode(), np.zeros(TERMS, np.float32)
     if not data:
         return out
     words, lines = data.lower().split(), [x for x in data.split(b"\n") if x.strip()]
-    of = worker_global("buckets", Buckets)
-    out[:WORDS] = np.bincount(np.fromiter((of[w] for w in words), np.int64, len(words)), minlength=WORDS)
-    d = np.frombuffer(data, np.uint8).astype(np.int64)
-    out[WORDS : WORDS + TRIPLES] = np.bincount(((d[:-2] * 961 + d[1:-1] * 31 + d[2:]) * 40503 >> 4) % TRIPLES, minlength=TRIPLES)
-    out[-3:] = sum(map(operator.eq, words, words[1:])), len(lines) - len(set(lines)), len(words) - len(set(words))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words, itertools.repeat(42)), np.uint64, len(words))
+    out[:WORDS] = np.bincount((h % WORDS).astype(np.int64), minlength=WORDS)
+    d = np.frombuffer(data, np.uint8).astype(np.uint16)
+    # bits 4 to 15 of the product are one of TRIPLES terms
+    out[WORDS : WORDS + TRIPLES] = np.bincount((d[:-2] * 961 + d[1:-1] * 31 + d[2:]) * 40503 >> 4, minlength=TRIPLES)
+    s = np.sort(h)
+    out[-3:] = (h[1:] == h[:-1]).sum(), len(lines) - len(set(lines)), (s[1:] == s[:-1]).sum()
     return out
 
 
@@ -82,35 +72,32 @@ class NeighbourVote:
         for a in range(0, len(v), block):
             cosine = v[a : a + block] @ self.vectors.T
             k = min(self.k, cosine.shape[1])
-            last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
-            above, tied = cosine > last, cosine == last
-            near = above | (tied & (np.cumsum(tied, 1) <= k - above.sum(1, keepdims=True)))
-            w = np.where(near, np.maximum(cosine, 0), 0) ** self.sharpness
+            last = np.partition(cosine, cosine.shape[1] - k, axis=1)[:, cosine.shape[1] - k, None]
+            near = cosine >= last
+            for row in np.flatnonzero(near.sum(1) > k):
+                tied = np.flatnonzero(cosine[row] == last[row])
+                near[row, tied[k - near[row].sum() :]] = False
+            at = np.nonzero(near)[1].reshape(-1, k)
+            w = np.maximum(np.take_along_axis(cosine, at, 1), 0) ** self.sharpness
             total = w.sum(1)
-            out[a : a + block] = np.where(total > 1e-9, np.clip(w @ self.labels / np.maximum(total, 1e-9), 0, 1), self.labels.mean())
+            out[a : a + block] = np.where(total > 1e-9, np.clip((w * self.labels[at]).sum(1) / np.maximum(total, 1e-9), 0, 1), self.labels.mean())
         return np.where(counts.any(1), out, self.labels.mean())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 1200) -> NeighbourVote | None:
-    """The vote fitted on at most per_class labelled rows of each class, those of the lowest hashes of their ids.
+    """The vote fitted on at most per_class labelled documents of each class, one row each (labelled_texts()).
 
+    Of each only its terms' counts go to the driver, so what it holds is bounded by per_class and TERMS.
     Labelled rows are in order of their ids, which decides among equals. None if no labelled row can be
-    used. A document with two different labels takes both; null ids match no label.
+    used.
     """
-    rows = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
-    order = F.xxhash64("_id")
-    bounded = None
-    for value in (0, 1):
-        part = rows.where(F.col("_label") == value).orderBy(order, "_id").limit(per_class)
-        bounded = part if bounded is None else bounded.union(part)
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in grouped(batches):
             found = [terms(t) for t in texts(b)]
             at = [np.nonzero(x)[0] for x in found]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i.astype("<u2").tobytes() for i in at], pa.binary()), pa.array([x[i].astype("<f4").tobytes() for x, i in zip(found, at, strict=True)], pa.binary())], names=["id", "label", "at", "n"])
 
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(bounded), "_id").select("_id", "_label", "text")
+    own = labelled_texts(docs, labels, label_col, usable, per_class, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     got = own.mapInArrow(count, f"id {kind}, label int, at binary, n binary").toPandas().sort_values(["id", "label"], kind="stable")
     if not len(got):

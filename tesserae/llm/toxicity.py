@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import crc_mod, grouped, table, texts
+from tesserae.llm.common import crc_mod, grouped, labelled_texts, table, texts
 
 WINDOW, STRIDE = 24, 12
 _TRIGRAMS = 2048
@@ -269,24 +270,24 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 800) -> Network | None:
-    """A network fitted on all windows of at most per_class labelled rows of each class, those of the lowest hashes of their ids.
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable, id_col: str = "doc_id", text_col: str = "text", per_class: int = 800, per_document: int = 1024) -> Network | None:
+    """A network fitted on at most per_class labelled documents of each class, one row each (labelled_texts()).
 
-    None unless both labels occur. Texts without words teach nothing; a document with both labels
-    takes both; null ids match no label. Other columns are not read.
+    A document gives all its windows, or if it has over per_document those of the lowest hashes, drawn
+    in the tasks from its whole text; so what the driver holds is bounded by per_class and per_document. None unless
+    both labels occur. Texts without words teach nothing. Other columns are not read.
     """
-    rows = labels.where(usable & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
-    part = [rows.where(F.col("_label") == v).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for v in (0, 1)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in grouped(batches):
             out = []
             for t in texts(b):
                 w = words_of(t)
-                out.append([b" ".join(w[s : s + WINDOW]) for s in window_starts(len(w))] if w else [])
+                own = [b" ".join(w[s : s + WINDOW]) for s in window_starts(len(w))] if w else []
+                out.append(own if len(own) <= per_document else sorted(own, key=xxhash.xxh64_intdigest)[:per_document])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.binary()))], names=["id", "label", "windows"])
 
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(part[0].union(part[1])), "_id").select("_id", "_label", "text")
+    own = labelled_texts(docs, labels, label_col, usable, per_class, id_col, text_col)
     got = own.mapInArrow(cut, f"id {docs.schema[id_col].dataType.simpleString()}, label int, windows array<binary>").toPandas().sort_values(["id", "label"], kind="stable")
     got = got[got["windows"].map(len) > 0]
     return train([[bytes(w).split() for w in ws] for ws in got["windows"]], got["label"].to_numpy())

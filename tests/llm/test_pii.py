@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import unicodedata
 
 import numpy as np
 
@@ -99,3 +100,15 @@ def test_odd_rows(spark):
     clean = pii.redact(df, pii.learn(pii.scan(df)))
     assert sorted((str(r.doc_id), str(r.text), str(r.spans)) for r in clean.collect()) == [("3", "None", "None"), ("3", "[EMAIL]", "z"), ("3", "[EMAIL]", "z"), ("None", "[EMAIL]", "z")]
     assert pii.redact(df.where("false"), pii.learn(pii.scan(df.where("false")))).count() == 0
+
+
+def test_digits_and_spaces_of_any_script(spark):
+    """Every number, digit and space character of Unicode, in the places where values stand."""
+    odd = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nd", "Nl", "No", "Zs", "Zl", "Zp")]
+    rows = [f"password: {c * 14} token={c}x9f8{c}e7d6c5a1b2 card 4041{c}8949{c}7460{c}8795 +1{c}988 555-2485" for c in odd]
+    rows += ["password: " + "".join(odd[i : i + 40]) for i in range(0, len(odd), 40)] + ["secret = " + "\u00b2" * 14]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for r in pii.personal_data(df).collect():
+        base = plain_spans(rows[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in base).encode()).hexdigest()
+    assert pii.redact(df, pii.learn(pii.scan(df))).count() == len(rows)

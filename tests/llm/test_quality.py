@@ -7,6 +7,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tesserae.llm import quality as Q
+from tesserae.llm import toxicity
+from tesserae.llm.common import labelled_texts
 
 
 def test_terms_are_counts_of_the_whole_text():
@@ -65,3 +67,17 @@ def test_rows_of_any_kind(spark):
     assert all((s > 0.5) == (k % 2 == 1) for k, s in got.items() if k is not None and k < 40) and got[None] > 0.5 and 0 <= got[52] <= 1
     kept = Q.keep_good(docs, model, 0.7)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {k for k in range(1, 40, 2) if k != 3}
+
+
+def test_fit_takes_one_row_an_id(spark):
+    """A labelled id on many rows gives one vector, whatever their order, in both fits."""
+    docs = spark.createDataFrame([(1, f"plain words number {k}") for k in range(300)] + [(2, "other words"), (3, None), (4, "third words here")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 0, 0), (4, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = labelled_texts(docs, labels, "quality", F.lit(True), 2).collect()
+    assert sorted((r._id, r._label) for r in got) == [(1, 1), (2, 0), (3, 0), (4, 1)]
+    again = labelled_texts(docs.orderBy(F.desc("text")).repartition(5), labels, "quality", F.lit(True), 2).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+    assert len(Q.fit(docs, labels, "quality", F.lit(True), per_class=1).vectors) == 2
+    long = docs.union(spark.createDataFrame([(5, " ".join(f"w{k}" for k in range(40_000)))], docs.schema))
+    more = labels.union(spark.createDataFrame([(5, 0, 0)], labels.schema))
+    assert toxicity.fit(long, more, "toxic", F.lit(True), per_document=8) is not None
