@@ -39,7 +39,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, usable: C
     """
     rows = labels.where(usable & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
     part = [rows.where(F.col("_label") == v).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for v in (0, 1)]
-    own = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(part[0].union(part[1])), "_id")
+    chosen = part[0].union(part[1]).withColumn("_id", F.col("_id").try_cast(docs.schema[id_col].dataType))
+    own = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id")
     return own.groupBy("_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
