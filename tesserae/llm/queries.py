@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.llm import bpe, exact, lm, packing, pii, quality, rules, simhash, tokens, toxicity
+from tesserae.llm import bpe, exact, lm, negatives, packing, pii, quality, rules, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_pii": pii.op10_pii,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
-ORACLE_SQL = {"op3_exact_dedup": exact.OP3_SQL, "op8_quality_rules": rules.OP8_SQL}
+ORACLE_SQL = {"op3_exact_dedup": exact.OP3_SQL, "op8_quality_rules": rules.OP8_SQL, "op13_hard_negatives": negatives.OP13_SQL}
