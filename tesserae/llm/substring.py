@@ -91,8 +91,8 @@ def partition_sketch(held: list[list[np.ndarray]], shape: Shape) -> Iterator[tup
                 yield k * per + s, _pack(a), _pack(b)
 
 
-def repeated_cells(docs: DataFrame, size: int, text_col: str = "text", shape: Shape = Shape()) -> np.ndarray:
-    """Bits of the cells that two windows or more fall into: partition sketches, merged slice by slice.
+def repeated_cells(docs: DataFrame, size: int, text_col: str = "text", shape: Shape = Shape()) -> dict[int, bytes]:
+    """Bits of the cells that two windows or more fall into, compressed, by slice: partition sketches, merged slice by slice.
 
     A task sends its sketch as compressed lists of cells, about a byte a window and row. A slice's lists are added up as
     they come, in one array of the slice's size, however many tasks there are. The merged bits,
@@ -136,9 +136,14 @@ def repeated_cells(docs: DataFrame, size: int, text_col: str = "text", shape: Sh
 
     pieces = docs.select(F.col(text_col).alias("text")).mapInArrow(sketch, "slice int, once binary, more binary")
     merged = pieces.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, bits binary")
+    return {r["slice"]: bytes(r["bits"]) for r in merged.toLocalIterator()}
+
+
+def laid_out(slices: dict[int, bytes], shape: Shape) -> np.ndarray:
+    """All cells' bits in one array."""
     out = np.zeros(shape.depth << (shape.width - 3), np.uint8)
-    for r in merged.toLocalIterator():
-        out[r["slice"] << (shape.slice - 3) : (r["slice"] + 1) << (shape.slice - 3)] = np.frombuffer(zstandard.decompress(r["bits"]), np.uint8)
+    for s, bits in slices.items():
+        out[s << (shape.slice - 3) : (s + 1) << (shape.slice - 3)] = np.frombuffer(zstandard.decompress(bits), np.uint8)
     return out
 
 
@@ -166,6 +171,7 @@ def _contenders(bits, size: int, shape: Shape):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held, total, kind = [], [], [], 0, None
+        repeated = laid_out(bits.value, shape)
 
         def flush() -> Iterator[pa.RecordBatch]:
             doc = np.concatenate([np.full(len(s), d, np.int32) for d, s, _ in held])
@@ -192,7 +198,7 @@ def _contenders(bits, size: int, shape: Shape):
             kind = b.column(0).type
             for i, k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b), strict=True):
                 h = window_hashes(words_of(t), size)
-                at = np.flatnonzero(estimated_repeated(h, bits.value, shape))
+                at = np.flatnonzero(estimated_repeated(h, repeated, shape))
                 if len(at):
                     held.append((len(ids), at.astype(np.int32), h[at]))
                     ids.append(i)
@@ -241,7 +247,7 @@ def _seconds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def second_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text", shape: Shape = Shape()) -> DataFrame:
     """(id, dk, start, n): runs of n windows of `size` words whose words also stand earlier: at a smaller id, or earlier in the same document. dk tells apart rows that share an id.
 
-    First every task sketches its windows, and the merged sketch is broadcast. Then windows that it estimates
+    First every task sketches its windows, and the merged sketch, compressed, is broadcast. Then windows that it estimates
     repeated, which are all repeated ones and few others, are combined within a task, so that a common
     passage sends a row a batch of documents, dealt by hash and sorted within partitions; a stream over
     these names all but the first of each hash. A sketch of fixed size lets more through the more windows there are:
