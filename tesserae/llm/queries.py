@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.llm import bpe, exact, lm, negatives, packing, pii, quality, rules, simhash, substring, tokens, toxicity
+from tesserae.llm import alignment, bpe, exact, lm, negatives, packing, pii, quality, rules, simhash, substring, tokens, toxicity
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_pii": pii.op10_pii,
+    "op11_alignment": alignment.op11_alignment,
     "op12_substring_dedup": substring.op12_substring_dedup,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
