@@ -8,34 +8,36 @@ from pyspark.sql import functions as F
 from tesserae.plans.materialize import materialize, release
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """(node, component) for every node that has an edge; component is the smallest node id reachable.
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, node, component) for every node that has an edge; component is the smallest node id reachable.
 
+    Ids need be unique only among rows of the same `by` (a scene): equal ids of two scenes are two nodes.
     Alternates two steps until the edge set stops changing: every node's larger neighbours are
     hooked to its smallest neighbour, then every node's smaller neighbours are. Each step takes a
     minimum by node (a partial aggregation, so a hub does not meet in one task), writes it, so that
     Spark can split the join back by a hub, and joins. Each round is written to the shared folder. Null ids and self edges carry no link.
     """
-    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    e = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
-    mark = _mark(e)
+    key, pair = [*by, "u"], [*by, "u", "v"]
+    e = edges.select(*by, F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
+    e = materialize(e.select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    mark = _mark(e, pair)
     while mark[0]:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = e.union(e.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
+        low = materialize(both.groupBy(*key).agg(F.min("v").alias("m")).select(*key, F.least("u", "m").alias("m")), "cc-low")
+        large = both.where("v > u").join(low, key).select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), "cc-large")
         release(low)
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
-        hooked = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+        low = materialize(large.groupBy(*key).agg(F.min("v").alias("m")), "cc-low")
+        hooked = large.join(low, key).select(*by, F.col("v").alias("u"), F.col("m").alias("v")).union(low.select(*key, F.col("m").alias("v")))
         small = materialize(hooked.where("u <> v").distinct(), "cc-small")
         for t in (e, large, low):
             release(t)
-        e, last, mark = small, mark, _mark(small)
+        e, last, mark = small, mark, _mark(small, pair)
         if mark == last:
             break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    return e.select(*by, F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(*by, F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def _mark(e: DataFrame) -> tuple:
+def _mark(e: DataFrame, pair: list[str]) -> tuple:
     """Count and order-free digest of the edges, to tell when a round changed nothing."""
-    return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    return tuple(e.agg(F.count("*"), F.sum(F.xxhash64(*pair).cast("decimal(20,0)"))).first())

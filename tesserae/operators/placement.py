@@ -72,12 +72,12 @@ def searched(tried: DataFrame, faces: DataFrame, eyes: DataFrame, margin: float
     p = p.withColumn("cheap", cheap)
     left = p.where("cheap = ''").select("scene_id", "key", *(f"{a}_{m}" for a in "xyz" for m in ("min", "max")), *(f"eye_{a}" for a in "xyz"), *(f"look_{a}" for a in "xyz"))
     boxes = faces.select("scene_id", F.col("fid").alias("b"), *(e for x in "xyz" for e in (F.least(*(f"{x}{k}" for k in range(3))).alias(f"{x}_min"), F.greatest(*(f"{x}{k}" for k in range(3))).alias(f"{x}_max"))))
-    hit = touching(left.withColumnRenamed("key", "a"), boxes, 0.5).select(F.col("a").alias("key")).distinct().withColumn("hit", F.lit(True))
+    hit = touching(left.withColumnRenamed("key", "a"), boxes, 0.5).select("scene_id", F.col("a").alias("key")).distinct().withColumn("hit", F.lit(True))
     way = {a: F.col(f"look_{a}") - F.col(f"eye_{a}") for a in "xyz"}
     size = F.sqrt(sum(v * v for v in way.values()))
     rays = left.withColumn("len", size - 1e-3).select("scene_id", F.col("key").alias("ray"), *(F.col(f"eye_{a}").alias(f"o{a}") for a in "xyz"), *((v / size).alias(f"d{a}") for a, v in way.items()), "len")
-    dark = ray_hits(rays, faces).select(F.col("ray").alias("key")).withColumn("dark", F.lit(True))
-    j = p.join(hit, "key", "left").join(dark, "key", "left")
+    dark = ray_hits(rays, faces).select("scene_id", F.col("ray").alias("key")).withColumn("dark", F.lit(True))
+    j = p.join(hit, ["scene_id", "key"], "left").join(dark, ["scene_id", "key"], "left")
     j = j.withColumn("reason", F.when(F.col("cheap") != "", F.col("cheap")).when(F.col("hit"), "collision").when(F.col("dark"), "occluded").otherwise(""))
     won = j.groupBy("observation").agg(F.min(F.when(F.col("reason") == "", F.col("order"))).alias("first"))
     return j.join(won, "observation").where(F.col("first").isNull() | (F.col("order") <= F.col("first"))).drop("cheap", "hit", "dark", "first")

@@ -17,7 +17,7 @@ def _dot(a: list[Column], b: list[Column]) -> Column:
 
 
 def ray_hits(rays: DataFrame, faces: DataFrame, size: float = 0.5) -> DataFrame:
-    """(ray, n_hits, t, nz): faces of its scene_id that each ray (ray, ox..oz, unit dx..dz, len) meets, the nearest distance and the upward part of the nearest face's normal; rays without a hit have no row (JOI14).
+    """(scene_id, ray, n_hits, t, nz): faces of its scene_id that each ray (ray, ox..oz, unit dx..dz, len) meets, the nearest distance and the upward part of the nearest face's normal; rays without a hit have no row (JOI14).
 
     Rays and triangles list the cells in XY that their boxes cover and meet there; a pair counts in
     the first cell that both cover only. The rest is column arithmetic.
@@ -38,12 +38,12 @@ def ray_hits(rays: DataFrame, faces: DataFrame, size: float = 0.5) -> DataFrame:
     p = _cross(dv, e2)
     det, q = _dot(e1, p), _cross(o, e1)
     j = j.withColumns({"det": det, "u": _dot(o, p), "v": _dot(dv, q), "w": _dot(e2, q)}).where("abs(det) > 1e-12")
-    j = j.selectExpr("ray", "nz", "len", "u / det AS u", "v / det AS v", "w / det AS t").where("u >= 0 AND v >= 0 AND u + v <= 1 AND t >= 0 AND t <= len")
-    return j.groupBy("ray").agg(F.count("*").alias("n_hits"), F.min("t").alias("t"), F.min(F.struct("t", "nz")).getField("nz").alias("nz"))
+    j = j.selectExpr("scene_id", "ray", "nz", "len", "u / det AS u", "v / det AS v", "w / det AS t").where("u >= 0 AND v >= 0 AND u + v <= 1 AND t >= 0 AND t <= len")
+    return j.groupBy("scene_id", "ray").agg(F.count("*").alias("n_hits"), F.min("t").alias("t"), F.min(F.struct("t", "nz")).getField("nz").alias("nz"))
 
 
 def touching(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
-    """Pairs of boxes (x_min..z_max) of one scene_id, of a (key a) and b (key b), that overlap, each found in the first cell that both cover (JOI15)."""
+    """(scene_id, a, b): pairs of boxes (x_min..z_max) of one scene_id, of a (key a) and b (key b), that overlap, each found in the first cell that both cover (JOI15)."""
 
     def spread(df: DataFrame, p: str) -> DataFrame:
         df = df.select("scene_id", p, *(F.col(f"{x}_{m}").alias(f"{p}{x}_{m}") for x in "xyz" for m in ("min", "max")))
@@ -52,7 +52,7 @@ def touching(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
         return df
 
     j = spread(a, "a").join(spread(b, "b"), ["scene_id", "c_x", "c_y"]).where(" AND ".join(f"c_{x} = greatest(a{x}, b{x})" for x in "xy"))
-    return j.where(" AND ".join(f"a{x}_min < b{x}_max AND b{x}_min < a{x}_max" for x in "xyz")).select("a", "b")
+    return j.where(" AND ".join(f"a{x}_min < b{x}_max AND b{x}_min < a{x}_max" for x in "xyz")).select("scene_id", "a", "b")
 
 
 def _ring(n: int, r: float) -> list[tuple[float, float]]:
@@ -72,8 +72,8 @@ def anchor_checks(anchors: DataFrame, faces: DataFrame, eye: float = 1.6, step:
     Ground is met if each ray down first hits a face within `step` of the place's height whose upright part of the normal is `flat` or more.
     """
     probes = F.array(*(F.struct(F.lit(k).alias("k"), *(F.lit(v).alias(n) for n, v in zip(("kind", "px", "py", "pz", "dx", "dy", "dz", "len"), p, strict=True))) for k, p in enumerate(anchor_probes(eye))))
-    r = anchors.withColumn("p", F.explode(probes)).select("scene_id", "anchor", "z", "p.*", F.concat_ws("/", "scene_id", "anchor", "p.k").alias("ray"), *((F.col(a) + F.col(f"p.p{a}")).alias(f"o{a}") for a in "xyz"))
-    h = r.join(ray_hits(r.select("scene_id", "ray", *(f"{c}{a}" for c in "od" for a in "xyz"), "len"), faces).select("ray", "t", "nz"), "ray", "left")
+    r = anchors.withColumn("p", F.explode(probes)).select("scene_id", "anchor", "z", "p.*", F.concat_ws("/", "anchor", "p.k").alias("ray"), *((F.col(a) + F.col(f"p.p{a}")).alias(f"o{a}") for a in "xyz"))
+    h = r.join(ray_hits(r.select("scene_id", "ray", *(f"{c}{a}" for c in "od" for a in "xyz"), "len"), faces).select("scene_id", "ray", "t", "nz"), ["scene_id", "ray"], "left")
     free = lambda kind: F.bool_and(F.when(F.col("kind") == kind, F.col("t").isNull()))
     firm = F.coalesce((F.abs(F.col("oz") - F.col("t") - F.col("z")) <= step) & (F.col("nz") >= flat), F.lit(False))
     return h.groupBy("scene_id", "anchor").agg(free("head").alias("head"), free("body").alias("body"), F.bool_and(F.when(F.col("kind") == "ground", firm)).alias("ground"))

@@ -28,16 +28,16 @@ def query(sql: str | None = None):
 
 
 def mean_features(mask_points: DataFrame, features: DataFrame, dim: int) -> DataFrame:
-    """(mask, feature): mean vector of each mask's points; dim averages side by side, so that nothing is exploded (AGG10)."""
-    j = mask_points.select("mask", "pid").join(features, "pid")
-    return j.groupBy("mask").agg(F.array(*(F.avg(F.element_at("feature", i + 1).cast("double")) for i in range(dim))).alias("feature"))
+    """(scene_id, mask, feature): mean vector of each mask's points; dim averages side by side, so that nothing is exploded (AGG10)."""
+    j = mask_points.select("scene_id", "mask", "pid").join(features, ["scene_id", "pid"])
+    return j.groupBy("scene_id", "mask").agg(F.array(*(F.avg(F.element_at("feature", i + 1).cast("double")) for i in range(dim))).alias("feature"))
 
 
-@query(f"WITH {MASK_POINTS}, e AS (SELECT vec_id AS pid, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) SELECT mask, (i - 1)::INT AS i, round(avg(v::DOUBLE) + 1e-9, 4) + 0e0 AS v FROM mask_points JOIN e USING (pid) GROUP BY mask, i")
+@query(f"WITH {MASK_POINTS}, e AS (SELECT 's' || (vec_id % 3) AS scene_id, vec_id // 3 AS pid, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) SELECT scene_id, mask, (i - 1)::INT AS i, round(avg(v::DOUBLE) + 1e-9, 4) + 0e0 AS v FROM mask_points JOIN e USING (scene_id, pid) GROUP BY scene_id, mask, i")
 def agg10_mask_features(spark, d):
-    e = X.read(spark, d, "embeddings").select(F.col("vec_id").alias("pid"), F.col("embedding").alias("feature"))
+    e = X.read(spark, d, "embeddings").selectExpr("concat('s', vec_id % 3) AS scene_id", "vec_id div 3 AS pid", "embedding AS feature")
     m = mean_features(X.mask_points(spark, d), e, 64)
-    return m.select("mask", F.posexplode("feature").alias("i", "v")).select("mask", "i", (R(F.col("v")) + 0.0).alias("v"))
+    return m.select("scene_id", "mask", F.posexplode("feature").alias("i", "v")).select("scene_id", "mask", "i", (R(F.col("v")) + 0.0).alias("v"))
 
 
 #: Proposals are all masks of one supplier; each point has a class of its own, a confidence, and may be unknown.
@@ -72,9 +72,9 @@ def _fused(spark, d) -> DataFrame:
     return fused_scores(heads, _members(spark, d), _base(spark, d)).withColumn("fused", R(F.col("fused"), 6))
 
 
-@query(f"WITH {_PROPOSALS} SELECT inst, class, views, n, low, round(fused, 4) AS fused FROM fs")
+@query(f"WITH {_PROPOSALS} SELECT scene_id, inst, class, views, n, low, round(fused, 4) AS fused FROM fs")
 def agg13_fused_scores(spark, d):
-    return _fused(spark, d).withColumn("fused", F.round("fused", 4)).drop("scene_id")
+    return _fused(spark, d).withColumn("fused", F.round("fused", 4))
 
 
 def point_labels(base: DataFrame, members: DataFrame, proposals: DataFrame) -> DataFrame:
@@ -126,11 +126,16 @@ def itr6_exclusive_points(spark, d):
     return _owned(spark, d)
 
 
-@query(f"WITH {_PROPOSALS}, c AS (SELECT scene_id, inst, ip.class, round(avg((pid * 7919) % 10007) + 1e-9, 4) AS x, min(pid) AS low FROM ip GROUP BY scene_id, inst, ip.class) SELECT inst, (row_number() OVER (PARTITION BY scene_id ORDER BY class, x, low, inst) - 1)::INT AS number FROM c")
+def instance_numbers(instances: DataFrame) -> DataFrame:
+    """instances (scene_id, inst, class, x, low) with the number of each in its scene, from 0: by class, centroid, smallest point and id (TOP4)."""
+    return instances.withColumn("number", F.row_number().over(Window.partitionBy("scene_id").orderBy("class", "x", "low", "inst")) - 1)
+
+
+@query(f"WITH {_PROPOSALS}, c AS (SELECT scene_id, inst, ip.class, round(avg((pid * 7919) % 10007) + 1e-9, 4) AS x, min(pid) AS low FROM ip GROUP BY scene_id, inst, ip.class) SELECT scene_id, inst, (row_number() OVER (PARTITION BY scene_id ORDER BY class, x, low, inst) - 1)::INT AS number FROM c")
 def top4_instance_numbers(spark, d):
-    """Numbers that follow from class, centroid and smallest point, in each scene (TOP4)."""
+    """Instance numbers of each scene (TOP4)."""
     c = _members(spark, d).groupBy("scene_id", "inst", "class").agg(R(F.avg(F.expr("(pid * 7919) % 10007"))).alias("x"), F.min("pid").alias("low"))
-    return c.select("inst", (F.row_number().over(Window.partitionBy("scene_id").orderBy("class", "x", "low", "inst")) - 1).alias("number"))
+    return instance_numbers(c).select("scene_id", "inst", "number")
 
 
 def instance_summary(points: DataFrame, names: DataFrame) -> DataFrame:
@@ -145,22 +150,22 @@ def instance_summary(points: DataFrame, names: DataFrame) -> DataFrame:
     return g.join(views, key).join(names, "class", "left")
 
 
-@query(f"WITH {MASK_POINTS}, p AS (SELECT DISTINCT mask // 8 AS inst, class, pid, x, y, z FROM mask_points), v AS (SELECT mask // 8 AS inst, string_agg(DISTINCT view::VARCHAR, ',' ORDER BY view::VARCHAR) AS views FROM mask_points GROUP BY 1) SELECT inst, any_value(class) AS class, count(*) AS n, any_value(views) AS views, round(avg(x) + 1e-9, 4) AS x, round(min(x) + 1e-9, 4) AS x_min, round(max(x) + 1e-9, 4) AS x_max, round(avg(y) + 1e-9, 4) AS y, round(min(y) + 1e-9, 4) AS y_min, round(max(y) + 1e-9, 4) AS y_max, round(avg(z) + 1e-9, 4) AS z, round(min(z) + 1e-9, 4) AS z_min, round(max(z) + 1e-9, 4) AS z_max, round(sum(CASE WHEN pid % 4 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS visible, round(sum(CASE WHEN pid % 3 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS core, ['table', 'desk', 'counter', 'shelf', 'cabinet'][1 + any_value(class)] AS label FROM p JOIN v USING (inst) GROUP BY inst")
+@query(f"WITH {MASK_POINTS}, p AS (SELECT DISTINCT scene_id, mask // 8 AS inst, class, pid, x, y, z FROM mask_points), v AS (SELECT scene_id, mask // 8 AS inst, string_agg(DISTINCT view::VARCHAR, ',' ORDER BY view::VARCHAR) AS views FROM mask_points GROUP BY 1, 2) SELECT scene_id, inst, any_value(class) AS class, count(*) AS n, any_value(views) AS views, round(avg(x) + 1e-9, 4) AS x, round(min(x) + 1e-9, 4) AS x_min, round(max(x) + 1e-9, 4) AS x_max, round(avg(y) + 1e-9, 4) AS y, round(min(y) + 1e-9, 4) AS y_min, round(max(y) + 1e-9, 4) AS y_max, round(avg(z) + 1e-9, 4) AS z, round(min(z) + 1e-9, 4) AS z_min, round(max(z) + 1e-9, 4) AS z_max, round(sum(CASE WHEN pid % 4 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS visible, round(sum(CASE WHEN pid % 3 > 0 THEN 1 ELSE 0 END) / count(*) + 1e-9, 4) AS core, ['table', 'desk', 'counter', 'shelf', 'cabinet'][1 + any_value(class)] AS label FROM p JOIN v USING (scene_id, inst) GROUP BY scene_id, inst")
 def agg18_instance_summary(spark, d):
     p = X.mask_points(spark, d).selectExpr("scene_id", "mask div 8 AS inst", "class", "view", "pid", "x", "y", "z", "pid % 4 > 0 AS visible", "pid % 3 > 0 AS core")
     names = spark.createDataFrame(list(enumerate(["table", "desk", "counter", "shelf", "cabinet"])), "class bigint, label string")
     s = instance_summary(p, names)
-    return s.select("inst", "class", "n", F.array_join("views", ",").alias("views"), *(R(F.col(c)).alias(c) for a in "xyz" for c in (a, f"{a}_min", f"{a}_max")), R(F.col("visible")).alias("visible"), R(F.col("core")).alias("core"), "label")
+    return s.select("scene_id", "inst", "class", "n", F.array_join("views", ",").alias("views"), *(R(F.col(c)).alias(c) for a in "xyz" for c in (a, f"{a}_min", f"{a}_max")), R(F.col("visible")).alias("visible"), R(F.col("core")).alias("core"), "label")
 
 
-def oriented_boxes(points: DataFrame, key: str) -> DataFrame:
-    """(key, n, e1, e2, e3, axes): extents along each group's principal axes, the longest variance first (AGG19).
+def oriented_boxes(points: DataFrame, *key: str) -> DataFrame:
+    """(*key, n, e1, e2, e3, axes): extents along each group's principal axes, the longest variance first (AGG19).
 
     Sums and products are partial aggregations; numpy sees one 3x3 matrix a group. An axis's largest
     component is positive.
     """
     pairs = [(a, b) for i, a in enumerate("xyz") for b in "xyz"[i:]]
-    cov = points.groupBy(key).agg(F.count("*").alias("n"), F.array(*(F.covar_pop(a, b) for a, b in pairs)).alias("cov"))
+    cov = points.groupBy(*key).agg(F.count("*").alias("n"), F.array(*(F.covar_pop(a, b) for a, b in pairs)).alias("cov"))
 
     @F.pandas_udf("array<double>")
     def axes(cov: pd.Series) -> pd.Series:
@@ -170,16 +175,16 @@ def oriented_boxes(points: DataFrame, key: str) -> DataFrame:
             out.append((v * np.where(np.take_along_axis(v, np.abs(v).argmax(1)[:, None], 1) < 0, -1, 1)).ravel().tolist())
         return pd.Series(out)
 
-    a = cov.select(key, "n", axes("cov").alias("axes"))
+    a = cov.select(*key, "n", axes("cov").alias("axes"))
     along = [sum(F.col(c) * F.col("axes")[3 * k + i] for i, c in enumerate("xyz")) for k in range(3)]
-    e = points.join(a, key).groupBy(key).agg(*((F.max(p) - F.min(p)).alias(f"e{k + 1}") for k, p in enumerate(along)))
-    return a.join(e, key)
+    e = points.join(a, list(key)).groupBy(*key).agg(*((F.max(p) - F.min(p)).alias(f"e{k + 1}") for k, p in enumerate(along)))
+    return a.join(e, list(key))
 
 
 @query()
 def agg19_oriented_boxes(spark, d):
-    p = X.mask_points(spark, d).selectExpr("mask div 8 AS inst", "pid", "x", "y", "z").distinct()
-    return oriented_boxes(p, "inst").select("inst", "n", *(R(F.col(f"e{k}")).alias(f"e{k}") for k in (1, 2, 3)))
+    p = X.mask_points(spark, d).selectExpr("scene_id", "mask div 8 AS inst", "pid", "x", "y", "z").distinct()
+    return oriented_boxes(p, "scene_id", "inst").select("scene_id", "inst", "n", *(R(F.col(f"e{k}")).alias(f"e{k}") for k in (1, 2, 3)))
 
 
 @query(f"""WITH {BITS}, s AS (SELECT mask, max(idx) // 8 AS last FROM bits GROUP BY mask), o AS (SELECT mask, last, idx % 8 AS r, idx // 8 AS c FROM bits JOIN s USING (mask) WHERE bit = 1),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import geometry as G
 from tesserae.operators import spatial
 from tesserae.operators.graph import connected_components
+from tesserae.operators.ordered import medians
 from tesserae.plans.materialize import materialize
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES
@@ -37,9 +38,9 @@ def _face_table(spark, d) -> DataFrame:
     return materialize(_faces(spark, d), "faces")
 
 
-@query(f"WITH {FACES} SELECT fid, round(area + 1e-9, 4) AS area, round(nz + 1e-9, 4) AS nz, round(cx + 1e-9, 4) AS cx, round(cy + 1e-9, 4) AS cy, round(cz + 1e-9, 4) AS cz FROM faces")
+@query(f"WITH {FACES} SELECT scene_id, fid, round(area + 1e-9, 4) AS area, round(nz + 1e-9, 4) AS nz, round(cx + 1e-9, 4) AS cx, round(cy + 1e-9, 4) AS cy, round(cz + 1e-9, 4) AS cz FROM faces")
 def geo1_triangle_attributes(spark, d):
-    return _faces(spark, d).select("fid", *(R(F.col(c)).alias(c) for c in ("area", "nz", "cx", "cy", "cz")))
+    return _faces(spark, d).select("scene_id", "fid", *(R(F.col(c)).alias(c) for c in ("area", "nz", "cx", "cy", "cz")))
 
 
 @query(f"WITH {FACES} SELECT fid, round((-cy + 10) * 0.01 + 1e-9, 4) AS x, round((cx + 20) * 0.01 + 1e-9, 4) AS y, round((cz + 1) * 0.01 + 1e-9, 4) AS z FROM faces")
@@ -98,20 +99,20 @@ def geo6_barycentric(spark, d):
 def budgets(f: DataFrame, keys: tuple[str, ...] = ("scene_id", "instance"), triangles: int = 1_500_000, points: int = 250_000, side: float = 8.0, density: float = 2500.0) -> DataFrame:
     """(*keys, n, area, n_points, over_budget) of groups of faces: too many triangles or estimated points, or too long a side in XY (FIL1, AGG2)."""
     spans = [F.max(F.greatest(*(f"{a}{k}" for k in range(3)))) - F.min(F.least(*(f"{a}{k}" for k in range(3)))) for a in "xy"]
-    # off the ties, as sums depend on their order
-    n_points = F.ceil(R(F.sum("area") * density, 3))
+    # a sum depends on its order, so a whole number may come out a little above itself
+    n_points = F.ceil(F.sum("area") * density - 1e-6)
     over = (F.count("*") > triangles) | (n_points > points) | (F.greatest(*spans) > side)
     return f.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("area").alias("area"), n_points.alias("n_points"), over.alias("over_budget"))
 
 
-@query(f"WITH {FACES} SELECT instance, count(*) AS n, round(sum(area) + 1e-9, 3) AS area, ceil(round(sum(area) * 2500 + 1e-9, 3))::BIGINT AS n_points, count(*) > 100 OR ceil(round(sum(area) * 2500 + 1e-9, 3)) > 8000 OR greatest(max(greatest(x0, x1, x2)) - min(least(x0, x1, x2)), max(greatest(y0, y1, y2)) - min(least(y0, y1, y2))) > 8 AS over_budget FROM faces GROUP BY instance")
+@query(f"WITH {FACES} SELECT scene_id, instance, count(*) AS n, round(sum(area) + 1e-9, 3) AS area, ceil(sum(area) * 2500 - 1e-6)::BIGINT AS n_points, count(*) > 100 OR ceil(sum(area) * 2500 - 1e-6) > 8000 OR greatest(max(greatest(x0, x1, x2)) - min(least(x0, x1, x2)), max(greatest(y0, y1, y2)) - min(least(y0, y1, y2))) > 8 AS over_budget FROM faces GROUP BY scene_id, instance")
 def fil1_over_budget(spark, d):
-    return budgets(_faces(spark, d), triangles=100, points=8000).select("instance", "n", R(F.col("area"), 3).alias("area"), "n_points", "over_budget")
+    return budgets(_faces(spark, d), triangles=100, points=8000).select("scene_id", "instance", "n", R(F.col("area"), 3).alias("area"), "n_points", "over_budget")
 
 
-@query(f"WITH {FACES} SELECT fid, round(area + 1e-9, 4) AS area FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10")
+@query(f"WITH {FACES} SELECT scene_id, fid, round(area + 1e-9, 4) AS area FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10")
 def fil5_upward_faces(spark, d):
-    return upward_faces(_face_table(spark, d)).select("fid", R(F.col("area")).alias("area"))
+    return upward_faces(_face_table(spark, d)).select("scene_id", "fid", R(F.col("area")).alias("area"))
 
 
 _SUPPORT = "semantic IN (3, 4, 5, 6) AND observed AND core AND visibility >= 1 AND nz >= cos(radians(12)) AND 2 * area > 1e-12"
@@ -122,9 +123,9 @@ def support_faces(f: DataFrame, classes: tuple[int, ...] = (3, 4, 5, 6), views:
     return f.where(F.col("semantic").isin(*classes) & F.col("observed") & F.col("core") & (F.col("visibility") >= views) & (F.col("nz") >= F.cos(F.radians(F.lit(degrees)))) & (2 * F.col("area") > 1e-12))
 
 
-@query(f"WITH {FACES} SELECT fid, semantic, instance FROM faces WHERE {_SUPPORT}")
+@query(f"WITH {FACES} SELECT scene_id, fid, semantic, instance FROM faces WHERE {_SUPPORT}")
 def fil6_support_faces(spark, d):
-    return support_faces(_face_table(spark, d)).select("fid", "semantic", "instance")
+    return support_faces(_face_table(spark, d)).select("scene_id", "fid", "semantic", "instance")
 
 
 def scene_problems(scenes: DataFrame, faces: DataFrame) -> DataFrame:
@@ -146,42 +147,42 @@ def agg1_scene_statistics(spark, d):
     return _faces(spark, d).groupBy("scene_id", "instance").agg(F.count("*").alias("n_faces"), F.countDistinct("semantic").alias("n_classes"), R(F.sum("area"), 3).alias("area"), R(F.min(F.least("x0", "x1", "x2"))).alias("x_min"), R(F.max(F.greatest("x0", "x1", "x2"))).alias("x_max"))
 
 
-@query(f"""WITH {FACES}, b AS {_BOX}, j AS (SELECT b.instance AS region, fid, area, cx BETWEEN x_min AND x_max AND cy BETWEEN y_min AND y_max AS core FROM faces f JOIN b USING (scene_id) WHERE cx BETWEEN x_min - 0.75 AND x_max + 0.75 AND cy BETWEEN y_min - 0.75 AND y_max + 0.75)
-SELECT region, sum(CASE WHEN core THEN 1 ELSE 0 END)::BIGINT AS n_core, sum(CASE WHEN core THEN 0 ELSE 1 END)::BIGINT AS n_context, ceil(round(sum(CASE WHEN core THEN area ELSE 0 END) * 2500 + 1e-9, 3))::BIGINT AS n_points FROM j GROUP BY region""")
+@query(f"""WITH {FACES}, b AS {_BOX}, j AS (SELECT scene_id, b.instance AS region, fid, area, cx BETWEEN x_min AND x_max AND cy BETWEEN y_min AND y_max AS core FROM faces f JOIN b USING (scene_id) WHERE cx BETWEEN x_min - 0.75 AND x_max + 0.75 AND cy BETWEEN y_min - 0.75 AND y_max + 0.75)
+SELECT scene_id, region, sum(CASE WHEN core THEN 1 ELSE 0 END)::BIGINT AS n_core, sum(CASE WHEN core THEN 0 ELSE 1 END)::BIGINT AS n_context, ceil(sum(CASE WHEN core THEN area ELSE 0 END) * 2500 - 1e-6)::BIGINT AS n_points FROM j GROUP BY scene_id, region""")
 def joi6_region_halo(spark, d):
     """Core and context faces of each region by the cells of its widened bounds (JOI6, AGG2)."""
     f = _faces(spark, d)
     b = _boxes(f).selectExpr("scene_id", "instance AS region", "x_min AS kx0", "x_max AS kx1", "y_min AS ky0", "y_max AS ky1", "x_min - 0.75 AS x_min", "x_max + 0.75 AS x_max", "y_min - 0.75 AS y_min", "y_max + 0.75 AS y_max")
     j = spatial.boxes_holding(f.select("scene_id", "fid", "area", F.col("cx").alias("x"), F.col("cy").alias("y")), b, 2.0, ("scene_id",))
     j = j.withColumn("core", F.expr("x BETWEEN kx0 AND kx1 AND y BETWEEN ky0 AND ky1"))
-    return j.groupBy("region").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_context"), F.ceil(R(F.sum(F.when(F.col("core"), F.col("area")).otherwise(0.0)) * 2500, 3)).alias("n_points"))
+    return j.groupBy("scene_id", "region").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_context"), F.ceil(F.sum(F.when(F.col("core"), F.col("area")).otherwise(0.0)) * 2500 - 1e-6).alias("n_points"))
 
 
 def patches(f: DataFrame) -> DataFrame:
-    """(fid, patch): support faces of one scene, class and instance that share vertices; a patch is its smallest face's id (ITR4).
+    """f with the patch of each face: faces of one scene, class and instance that share vertices; a patch is known by its scene_id and its smallest face's id (ITR4).
 
     Faces meet at their vertices: each is linked with the smallest face of its group at each of its
-    vertices, which keeps a vertex of many faces linear.
+    vertices, which keeps a vertex of many faces linear. Face and vertex ids need be unique in their scene only.
     """
     group = ["scene_id", "semantic", "instance", "v"]
     corner = f.select("scene_id", "fid", "semantic", "instance", F.explode(F.array("v0", "v1", "v2")).alias("v"))
     first = corner.groupBy(*group).agg(F.min("fid").alias("low"))
-    comp = connected_components(corner.join(first, group).select("fid", "low"), "fid", "low")
-    return f.join(comp.withColumnRenamed("node", "fid"), "fid", "left").withColumn("patch", F.coalesce("component", "fid")).drop("component")
+    comp = connected_components(corner.join(first, group), "fid", "low", ("scene_id",)).withColumnRenamed("node", "fid")
+    return f.join(comp, ["scene_id", "fid"], "left").withColumn("patch", F.coalesce("component", "fid")).drop("component")
 
 
 _PATCH = f"""{FACES}, s AS (SELECT * FROM faces WHERE {_SUPPORT}), c AS (SELECT scene_id, fid, semantic, instance, unnest([v0, v1, v2]) AS v FROM s),
-e AS (SELECT DISTINCT a.fid AS a, b.fid AS b FROM c a JOIN c b USING (scene_id, semantic, instance, v)),
-reach AS (SELECT fid, fid AS root FROM s UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.fid WHERE r.root < e.b),
-p AS (SELECT fid, min(root) AS patch FROM reach GROUP BY fid), sp AS (SELECT * FROM s JOIN p USING (fid))"""
+e AS (SELECT DISTINCT scene_id, a.fid AS a, b.fid AS b FROM c a JOIN c b USING (scene_id, semantic, instance, v)),
+reach AS (SELECT scene_id, fid, fid AS root FROM s UNION SELECT e.scene_id, e.b, r.root FROM reach r JOIN e ON e.a = r.fid AND e.scene_id = r.scene_id WHERE r.root < e.b),
+p AS (SELECT scene_id, fid, min(root) AS patch FROM reach GROUP BY scene_id, fid), sp AS (SELECT * FROM s JOIN p USING (scene_id, fid))"""
 
 
-@query(f"WITH RECURSIVE {_PATCH} SELECT fid, patch FROM p")
+@query(f"WITH RECURSIVE {_PATCH} SELECT scene_id, fid, patch FROM p")
 def itr4_mesh_components(spark, d):
-    return patches(support_faces(_face_table(spark, d))).select("fid", "patch")
+    return patches(support_faces(_face_table(spark, d))).select("scene_id", "fid", "patch")
 
 
-_SUMMARY = f"q AS (SELECT patch, min(scene_id) AS scene_id, min(semantic) AS semantic, min(instance) AS instance, count(*) AS n_faces, round(sum(area) + 1e-9, 4) AS area, round(sum(area * cx) / sum(area) + 1e-9, 4) AS x, round(sum(area * cy) / sum(area) + 1e-9, 4) AS y, round(sum(area * cz) / sum(area) + 1e-9, 4) AS z, {", ".join(f"round(sum(area * n{a}) / sqrt(sum(area * nx) * sum(area * nx) + sum(area * ny) * sum(area * ny) + sum(area * nz) * sum(area * nz)) + 1e-9, 4) + 0e0 AS n{a}" for a in "xyz")}, {", ".join(f"round(min(least({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_min, round(max(greatest({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_max" for a in "xyz")} FROM sp GROUP BY patch HAVING sum(area) >= 0.04)"
+_SUMMARY = f"q AS (SELECT scene_id, patch, min(semantic) AS semantic, min(instance) AS instance, count(*) AS n_faces, round(sum(area) + 1e-9, 4) AS area, round(sum(area * cx) / sum(area) + 1e-9, 4) AS x, round(sum(area * cy) / sum(area) + 1e-9, 4) AS y, round(sum(area * cz) / sum(area) + 1e-9, 4) AS z, {", ".join(f"round(sum(area * n{a}) / sqrt(sum(area * nx) * sum(area * nx) + sum(area * ny) * sum(area * ny) + sum(area * nz) * sum(area * nz)) + 1e-9, 4) + 0e0 AS n{a}" for a in "xyz")}, {", ".join(f"round(min(least({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_min, round(max(greatest({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_max" for a in "xyz")} FROM sp GROUP BY scene_id, patch HAVING sum(area) >= 0.04)"
 
 
 def patch_summary(p: DataFrame, least_area: float = 0.04) -> DataFrame:
@@ -189,7 +190,7 @@ def patch_summary(p: DataFrame, least_area: float = 0.04) -> DataFrame:
     total = lambda c: F.sum(F.col("area") * F.col(c))
     size = F.sqrt(sum(total(f"n{a}") * total(f"n{a}") for a in "xyz"))
     bounds = [x for a in "xyz" for x in (F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min"), F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max"))]
-    s = p.groupBy("patch").agg(F.min("scene_id").alias("scene_id"), F.min("semantic").alias("semantic"), F.min("instance").alias("instance"), F.count("*").alias("n_faces"), F.sum("area").alias("area"), *((total(f"c{a}") / F.sum("area")).alias(a) for a in "xyz"), *((total(f"n{a}") / F.greatest(size, F.lit(1e-12))).alias(f"n{a}") for a in "xyz"), *bounds)
+    s = p.groupBy("scene_id", "patch").agg(F.min("semantic").alias("semantic"), F.min("instance").alias("instance"), F.count("*").alias("n_faces"), F.sum("area").alias("area"), *((total(f"c{a}") / F.sum("area")).alias(a) for a in "xyz"), *((total(f"n{a}") / F.greatest(size, F.lit(1e-12))).alias(f"n{a}") for a in "xyz"), *bounds)
     return s.where(F.col("area") >= least_area)
 
 
@@ -204,64 +205,73 @@ def agg20_patch_summary(spark, d):
 
 
 def boundary_edges(p: DataFrame) -> DataFrame:
-    """(patch, a, b): edges of exactly one face of their patch (AGG21)."""
-    edge = lambda i, j: F.struct(F.least(f"v{i}", f"v{j}").alias("a"), F.greatest(f"v{i}", f"v{j}").alias("b"))
-    e = p.select("patch", F.explode(F.array(edge(0, 1), edge(1, 2), edge(2, 0))).alias("e")).select("patch", "e.a", "e.b")
-    return e.groupBy("patch", "a", "b").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    """(scene_id, patch, a, b, ax, ay, bx, by): edges of exactly one face of their patch, with their ends in XY (AGG21)."""
 
+    def edge(i: int, j: int):
+        turned = F.col(f"v{i}") > F.col(f"v{j}")
+        end = lambda p, q, n: F.when(turned, F.col(f"{p}{j if n == 'a' else i}")).otherwise(F.col(f"{p}{i if n == 'a' else j}")).alias(q)
+        return F.struct(*(end(p, q, n) for n in "ab" for p, q in (("v", n), ("x", f"{n}x"), ("y", f"{n}y"))))
 
-_EDGES = "ed AS (SELECT patch, unnest([{'a': least(v0, v1), 'b': greatest(v0, v1)}, {'a': least(v1, v2), 'b': greatest(v1, v2)}, {'a': least(v2, v0), 'b': greatest(v2, v0)}]) AS e FROM sp), bd AS (SELECT patch, e.a AS a, e.b AS b FROM ed GROUP BY ALL HAVING count(*) = 1)"
+    e = p.select("scene_id", "patch", F.explode(F.array(edge(0, 1), edge(1, 2), edge(2, 0))).alias("e")).select("scene_id", "patch", "e.*")
+    at = ("ax", "ay", "bx", "by")
+    return e.groupBy("scene_id", "patch", "a", "b").agg(F.count("*").alias("n"), *(F.min(c).alias(c) for c in at)).where("n = 1").drop("n")
+
+
+_EDGES = "ed AS (SELECT scene_id, patch, unnest([{'a': least(v0, v1), 'b': greatest(v0, v1)}, {'a': least(v1, v2), 'b': greatest(v1, v2)}, {'a': least(v2, v0), 'b': greatest(v2, v0)}]) AS e FROM sp), bd AS (SELECT scene_id, patch, e.a AS a, e.b AS b FROM ed GROUP BY ALL HAVING count(*) = 1)"
 
 
 @query(f"WITH RECURSIVE {_PATCH}, {_EDGES} SELECT * FROM bd")
 def agg21_boundary_edges(spark, d):
-    return boundary_edges(patches(support_faces(_face_table(spark, d))))
+    return boundary_edges(patches(support_faces(_face_table(spark, d)))).select("scene_id", "patch", "a", "b")
 
 
-_TOP = "cand AS (SELECT patch, fid, cx, cy, row_number() OVER (PARTITION BY patch ORDER BY round(area + 1e-9, 6) DESC, fid) AS k FROM sp)"
+_TOP = "cand AS (SELECT scene_id, patch, fid, cx, cy, row_number() OVER (PARTITION BY scene_id, patch ORDER BY round(area + 1e-9, 6) DESC, fid) AS k FROM sp)"
 
 
 def candidates(p: DataFrame, most: int = 96) -> DataFrame:
-    """Centroids of each patch's largest faces (TOP3)."""
-    k = F.row_number().over(Window.partitionBy("patch").orderBy(R(F.col("area"), 6).desc(), "fid"))
-    return p.withColumn("k", k).where(F.col("k") <= most).select("patch", "fid", "cx", "cy", "k")
+    """(scene_id, patch, fid, cx, cy, cz, k): centroids of each patch's largest faces, the smallest id first among equals (TOP3). Spark keeps only the first `most` of a patch in each task before it shuffles."""
+    k = F.row_number().over(Window.partitionBy("scene_id", "patch").orderBy(F.col("area").desc(), "fid"))
+    return p.withColumn("k", k).where(F.col("k") <= most).select("scene_id", "patch", "fid", "cx", "cy", "cz", "k")
+
+
+def _six(f: DataFrame) -> DataFrame:
+    """Areas to six places, by which both engines rank."""
+    return f.withColumn("area", R(F.col("area"), 6))
 
 
-@query(f"WITH RECURSIVE {_PATCH}, {_TOP} SELECT patch, fid, k::INT AS k FROM cand WHERE k <= 96")
+@query(f"WITH RECURSIVE {_PATCH}, {_TOP} SELECT scene_id, patch, fid, k::INT AS k FROM cand WHERE k <= 96")
 def top3_candidate_points(spark, d):
-    return candidates(patches(support_faces(_face_table(spark, d)))).select("patch", "fid", "k")
+    return candidates(_six(patches(support_faces(_face_table(spark, d))))).select("scene_id", "patch", "fid", "k")
 
 
-_CLEAR = """seg AS (SELECT patch, (a % 65) * 0.25e0 AS ax, (a // 65) * 0.25e0 AS ay, (b % 65) * 0.25e0 AS bx, (b // 65) * 0.25e0 AS by_ FROM bd),
-cs AS (SELECT c.patch, c.fid, cx, cy, ax, ay, bx - ax AS dx, by_ - ay AS dy FROM cand c LEFT JOIN seg USING (patch) WHERE k <= 96),
+_CLEAR = """seg AS (SELECT scene_id, patch, (a % 65) * 0.25e0 AS ax, (a // 65) * 0.25e0 AS ay, (b % 65) * 0.25e0 AS bx, (b // 65) * 0.25e0 AS by_ FROM bd),
+cs AS (SELECT scene_id, patch, c.fid, cx, cy, ax, ay, bx - ax AS dx, by_ - ay AS dy FROM cand c LEFT JOIN seg USING (scene_id, patch) WHERE k <= 96),
 ct AS (SELECT *, greatest(0, least(1, ((cx - ax) * dx + (cy - ay) * dy) / greatest(dx * dx + dy * dy, 1e-12))) AS t FROM cs),
-cl AS (SELECT patch, fid, round(coalesce(min(sqrt((cx - ax - t * dx) * (cx - ax - t * dx) + (cy - ay - t * dy) * (cy - ay - t * dy))), 0) + 1e-9, 4) AS clearance FROM ct GROUP BY patch, fid)"""
+cl AS (SELECT scene_id, patch, fid, round(coalesce(min(sqrt((cx - ax - t * dx) * (cx - ax - t * dx) + (cy - ay - t * dy) * (cy - ay - t * dy))), 0) + 1e-9, 4) AS clearance FROM ct GROUP BY scene_id, patch, fid)"""
 
 
 def clearances(c: DataFrame, edges: DataFrame) -> DataFrame:
-    """Each candidate's distance in XY from its patch's boundary; 0 for a patch without one (GEO9)."""
-    at = lambda v: [F.expr(f"({v} % 65) * 0.25e0"), F.expr(f"({v} div 65) * 0.25e0")]
-    (ax, ay), (bx, by) = at("a"), at("b")
-    s = edges.select("patch", ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
+    """(scene_id, patch, fid, clearance): each candidate's distance in XY from its patch's boundary; 0 for a patch without one (GEO9). edges: those of boundary_edges(), with their ends."""
+    s = edges.select("scene_id", "patch", "ax", "ay", "bx", "by")
     d = G.segment_distance(*(F.col(k) for k in ("cx", "cy", "ax", "ay", "bx", "by")))
-    return c.join(s, "patch", "left").groupBy("patch", "fid").agg(R(F.coalesce(F.min(d), F.lit(0.0))).alias("clearance"))
+    return c.join(s, ["scene_id", "patch"], "left").groupBy("scene_id", "patch", "fid").agg(F.coalesce(F.min(d), F.lit(0.0)).alias("clearance"))
 
 
 @query(f"WITH RECURSIVE {_PATCH}, {_EDGES}, {_TOP}, {_CLEAR} SELECT * FROM cl")
 def geo9_boundary_clearance(spark, d):
     p = patches(support_faces(_face_table(spark, d)))
-    return clearances(candidates(p), boundary_edges(p))
+    return clearances(candidates(_six(p)), boundary_edges(p)).withColumn("clearance", R(F.col("clearance")))
 
 
-@query(f"WITH RECURSIVE {_PATCH}, {_SUMMARY}, {_EDGES}, {_TOP}, {_CLEAR}, n AS (SELECT patch, 'support_' || lpad((row_number() OVER (PARTITION BY scene_id ORDER BY semantic, instance, patch) - 1)::VARCHAR, 5, '0') AS patch_id FROM q), b AS (SELECT patch, max(clearance) AS best FROM cl GROUP BY patch) SELECT patch_id, q.*, best FROM q JOIN n USING (patch) JOIN b USING (patch)")
+@query(f"WITH RECURSIVE {_PATCH}, {_SUMMARY}, {_EDGES}, {_TOP}, {_CLEAR}, n AS (SELECT scene_id, patch, 'support_' || lpad((row_number() OVER (PARTITION BY scene_id ORDER BY semantic, instance, patch) - 1)::VARCHAR, 5, '0') AS patch_id FROM q), b AS (SELECT scene_id, patch, max(clearance) AS best FROM cl GROUP BY scene_id, patch) SELECT patch_id, q.*, best FROM q JOIN n USING (scene_id, patch) JOIN b USING (scene_id, patch)")
 def support_patches(spark, d):
     """Support patches in full: components, totals, numbering and the clearest candidate (FIL6, ITR4, AGG20, AGG21, GEO9, TOP2, TOP3)."""
     p = materialize(patches(support_faces(_face_table(spark, d))), "patches")
     q = _rounded(patch_summary(p))
     number = F.row_number().over(Window.partitionBy("scene_id").orderBy("semantic", "instance", "patch")) - 1
     q = q.withColumn("patch_id", F.concat(F.lit("support_"), F.lpad(number.cast("string"), 5, "0")))
-    best = clearances(candidates(p), boundary_edges(p)).groupBy("patch").agg(F.max("clearance").alias("best"))
-    return q.join(best, "patch")
+    best = clearances(candidates(_six(p)), boundary_edges(p)).groupBy("scene_id", "patch").agg(R(F.max("clearance")).alias("best"))
+    return q.join(best, ["scene_id", "patch"])
 
 
 _FLOOR = f"""{FACES}, up AS (SELECT *, floor(cx / 0.5)::BIGINT AS gx, floor(cy / 0.5)::BIGINT AS gy, floor(cz / 0.25)::BIGINT AS gz FROM faces WHERE nz >= cos(radians(15)) AND area > 1e-10),
@@ -293,11 +303,13 @@ def floor_faces(up: DataFrame, size: float = 0.5, height: float = 0.25) -> DataF
     return up.join(comp.withColumnRenamed("node", "k"), "k", "left").withColumn("floor", F.coalesce("component", "k")).drop("component")
 
 
-def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: float = 2.0) -> DataFrame:
-    """(floor, n_faces, area, z): totals of the floors of floor_faces(), small ones left out (AGG3)."""
-    return floor_faces(up, size, height).groupBy("floor").agg(F.count("*").alias("n_faces"), F.sum("area").alias("area"), F.median("cz").alias("z")).where(F.col("area") >= least_area)
+def floors(up: DataFrame, size: float = 0.5, height: float = 0.25, least_area: float = 2.0, large: int = 1 << 20) -> DataFrame:
+    """(scene_id, floor, n_faces, area, z): totals of the floors of floor_faces(), small ones left out; z is the median height, of floors with more than `large` faces by selection (AGG3)."""
+    f = materialize(floor_faces(up, size, height).select("scene_id", "floor", "area", "cz"), "floor-areas")
+    area = f.groupBy("scene_id", "floor").agg(F.sum("area").alias("area")).where(F.col("area") >= least_area)
+    return area.join(medians(f, ["scene_id", "floor"], ["cz"], large), ["scene_id", "floor"]).select("scene_id", "floor", F.col("n").alias("n_faces"), "area", F.col("cz").alias("z"))
 
 
-@query(f"WITH RECURSIVE {_FLOOR} SELECT floor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, round(median(cz) + 1e-9, 4) AS z FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz GROUP BY floor HAVING sum(area) >= 2")
+@query(f"WITH RECURSIVE {_FLOOR} SELECT scene_id, floor, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, round(median(cz) + 1e-9, 4) AS z FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz GROUP BY scene_id, floor HAVING sum(area) >= 2")
 def itr2_floors(spark, d):
-    return floors(upward_faces(_face_table(spark, d))).select("floor", "n_faces", R(F.col("area"), 3).alias("area"), R(F.col("z")).alias("z"))
+    return floors(upward_faces(_face_table(spark, d))).select("scene_id", "floor", "n_faces", R(F.col("area"), 3).alias("area"), R(F.col("z")).alias("z"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
 from tesserae.operators import placement, spatial
+from tesserae.operators.ordered import as_of, medians, prefix_sums
 from tesserae.operators.placement import placed_boxes
 from tesserae.operators.rays import anchor_checks, anchor_probes, ray_hits, touching
 from tesserae.plans.materialize import materialize, release
@@ -39,15 +40,20 @@ def _reach(a: DataFrame, r: float) -> DataFrame:
     return a.withColumns({"x_min": F.col("ax") - r, "x_max": F.col("ax") + r, "y_min": F.col("ay") - r, "y_max": F.col("ay") + r})
 
 
-@query(f"""WITH {FACES}, fo AS (SELECT fid, 'inst_' || instance AS object_name, row_number() OVER (PARTITION BY instance ORDER BY fid) - 1 AS local_idx FROM faces)
-SELECT fid, CASE WHEN fid % 13 = 5 THEN -1 WHEN fid % 9 = 0 THEN fid * 10 + 1 ELSE fid * 10 END AS polygon FROM fo""")
+@query(f"""WITH {FACES}, fo AS (SELECT scene_id, fid, 'inst_' || instance AS object_name, row_number() OVER (PARTITION BY scene_id, instance ORDER BY fid) - 1 AS local_idx FROM faces)
+SELECT scene_id, fid, CASE WHEN fid % 13 = 5 THEN -1 WHEN fid % 9 = 0 THEN fid * 10 + 1 ELSE fid * 10 END AS polygon FROM fo""")
 def joi5_face_provenance(spark, d):
     """Each face's source polygon by object name and index in it; the last of several entries counts, -1 marks a face without one."""
-    k = F.row_number().over(Window.partitionBy("instance").orderBy("fid")) - 1
-    f = X.faces(spark, d).select("fid", F.concat(F.lit("inst_"), "instance").alias("object_name"), k.alias("local_idx"))
-    entries = f.where("fid % 13 <> 5").withColumn("entry", F.explode(F.expr("if(fid % 9 = 0, array(0, 1), array(0))"))).select("object_name", "local_idx", "entry", F.expr("fid * 10 + entry").alias("polygon"))
-    last = entries.groupBy("object_name", "local_idx").agg(F.max_by("polygon", "entry").alias("polygon"))
-    return f.join(last, ["object_name", "local_idx"], "left").select("fid", F.coalesce("polygon", F.lit(-1).cast("long")).alias("polygon"))
+    k = F.row_number().over(Window.partitionBy("scene_id", "instance").orderBy("fid")) - 1
+    f = X.faces(spark, d).select("scene_id", "fid", F.concat(F.lit("inst_"), "instance").alias("object_name"), k.alias("local_idx"))
+    entries = f.where("fid % 13 <> 5").withColumn("entry", F.explode(F.expr("if(fid % 9 = 0, array(0, 1), array(0))"))).select("scene_id", "object_name", "local_idx", "entry", F.expr("fid * 10 + entry").alias("polygon"))
+    return face_polygons(f, entries).select("scene_id", "fid", F.coalesce("polygon", F.lit(-1).cast("long")).alias("polygon"))
+
+
+def face_polygons(faces: DataFrame, entries: DataFrame) -> DataFrame:
+    """faces (scene_id, object_name, local_idx, ..) with the polygon that each comes from, null without one; of several entries (scene_id, object_name, local_idx, entry, polygon) the last counts (JOI5)."""
+    key = ["scene_id", "object_name", "local_idx"]
+    return faces.join(entries.groupBy(*key).agg(F.max_by("polygon", "entry").alias("polygon")), key, "left")
 
 
 _PROBES = [("cx", "cy", "cz")] + [tuple(f"{a}{k}" for a in "xyz") for k in range(3)] + [tuple(f"({a}{i} + {a}{j}) / 2" for a in "xyz") for i, j in ((0, 1), (1, 2), (2, 0))]
@@ -68,34 +74,34 @@ def joi7_observation_context(spark, d):
     return met.groupBy("anchor").agg(F.count("*").alias("n_faces"), F.count_if("core").alias("n_core"))
 
 
-_RAYS = """rays AS (SELECT 's' || (c_custkey % 3) AS scene_id, c_custkey * 2 + k AS ray, (c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001 AS ox, (c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002 AS oy, CASE WHEN k = 0 THEN 1e0 ELSE 0.05e0 END AS oz,
+_RAYS = """rays AS (SELECT 's' || (c_custkey % 3) AS scene_id, c_custkey // 3 * 2 + k AS ray, (c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001 AS ox, (c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002 AS oy, CASE WHEN k = 0 THEN 1e0 ELSE 0.05e0 END AS oz,
   CASE WHEN k = 0 THEN 0e0 ELSE cos(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dx, CASE WHEN k = 0 THEN 0e0 ELSE sin(radians(c_custkey % 16 * 22.5e0 + 1)) END AS dy, CASE WHEN k = 0 THEN -1e0 ELSE 0e0 END AS dz, CASE WHEN k = 0 THEN 2e0 ELSE 0.35e0 END AS len FROM customer, (VALUES (0), (1)) t(k))"""
 _x = lambda a, b: [f"({a[1]} * {b[2]} - {a[2]} * {b[1]})", f"({a[2]} * {b[0]} - {a[0]} * {b[2]})", f"({a[0]} * {b[1]} - {a[1]} * {b[0]})"]
 _d = lambda a, b: f"({a[0]} * {b[0]} + {a[1]} * {b[1]} + {a[2]} * {b[2]})"
-_HITS = f"""mt AS (SELECT ray, len, nz, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON rays.scene_id = faces.scene_id AND least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
+_HITS = f"""mt AS (SELECT rays.scene_id, ray, len, nz, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dx, dy, dz, {", ".join(f"{a}{k} - {a}0 AS e{k}{a}" for k in (1, 2) for a in "xyz")} FROM rays JOIN faces ON rays.scene_id = faces.scene_id AND least(x0, x1, x2) <= greatest(ox, ox + dx * len) AND greatest(x0, x1, x2) >= least(ox, ox + dx * len) AND least(y0, y1, y2) <= greatest(oy, oy + dy * len) AND greatest(y0, y1, y2) >= least(oy, oy + dy * len)),
 mu AS (SELECT *, {_d(["e1x", "e1y", "e1z"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS det, {_d(["sx", "sy", "sz"], _x(["dx", "dy", "dz"], ["e2x", "e2y", "e2z"]))} AS u, {_d(["dx", "dy", "dz"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS v, {_d(["e2x", "e2y", "e2z"], _x(["sx", "sy", "sz"], ["e1x", "e1y", "e1z"]))} AS w FROM mt),
-hits AS (SELECT ray, count(*) AS n_hits, min(w / det) AS t, arg_min(nz, w / det) AS nz FROM mu WHERE abs(det) > 1e-12 AND u / det >= 0 AND v / det >= 0 AND u / det + v / det <= 1 AND w / det BETWEEN 0 AND len GROUP BY ray)"""
+hits AS (SELECT scene_id, ray, count(*) AS n_hits, min(w / det) AS t, arg_min(nz, w / det) AS nz FROM mu WHERE abs(det) > 1e-12 AND u / det >= 0 AND v / det >= 0 AND u / det + v / det <= 1 AND w / det BETWEEN 0 AND len GROUP BY scene_id, ray)"""
 
 
 def _rays(spark, d) -> DataFrame:
     down = "k = 0"
     yaw = "radians(c_custkey % 16 * 22.5e0 + 1)"
     r = X.read(spark, d, "customer").select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-    return r.selectExpr("concat('s', c_custkey % 3) AS scene_id", "c_custkey * 2 + k AS ray", "(c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001e0 AS ox", "(c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002e0 AS oy", f"if({down}, 1e0, 0.05e0) AS oz", f"if({down}, 0e0, cos({yaw})) AS dx", f"if({down}, 0e0, sin({yaw})) AS dy", f"if({down}, -1e0, 0e0) AS dz", f"if({down}, 2e0, 0.35e0) AS len")
+    return r.selectExpr("concat('s', c_custkey % 3) AS scene_id", "c_custkey div 3 * 2 + k AS ray", "(c_custkey * 7919 % 10007) / 10007e0 * 16 + 0.001e0 AS ox", "(c_custkey * 104729 % 10009) / 10009e0 * 16 + 0.002e0 AS oy", f"if({down}, 1e0, 0.05e0) AS oz", f"if({down}, 0e0, cos({yaw})) AS dx", f"if({down}, 0e0, sin({yaw})) AS dy", f"if({down}, -1e0, 0e0) AS dz", f"if({down}, 2e0, 0.35e0) AS len")
 
 
-@query(f"WITH {FACES}, {_RAYS}, {_HITS} SELECT rays.ray, coalesce(n_hits, 0) AS n_hits, round(coalesce(t, -1) + 1e-9, 4) AS t FROM rays LEFT JOIN hits USING (ray)")
+@query(f"WITH {FACES}, {_RAYS}, {_HITS} SELECT scene_id, ray, coalesce(n_hits, 0) AS n_hits, round(coalesce(t, -1) + 1e-9, 4) AS t FROM rays LEFT JOIN hits USING (scene_id, ray)")
 def joi14_line_of_sight(spark, d):
     """First hit of a ray down and any hit of a ray to the side, from each observer; t is -1 where the way is clear."""
     r = _rays(spark, d)
-    return r.select("ray").join(ray_hits(r, _faces(spark, d)), "ray", "left").select("ray", F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"), R(F.coalesce("t", F.lit(-1.0))).alias("t"))
+    return r.select("scene_id", "ray").join(ray_hits(r, _faces(spark, d)), ["scene_id", "ray"], "left").select("scene_id", "ray", F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"), R(F.coalesce("t", F.lit(-1.0))).alias("t"))
 
 
 _PLACES = "pl AS (SELECT scene_id, anchor, ax + 0.511e0 AS x, ay + 0.513e0 AS y, 0.05e0 AS z FROM anchors)"
 
 
 @query(f"""WITH {FACES}, {_ANCHORS}, {_PLACES}, rays AS (SELECT scene_id, anchor * 100 + k AS ray, anchor, kind, z, x + px AS ox, y + py AS oy, z + pz AS oz, dx, dy, dz, len FROM pl, (VALUES {", ".join(f"({k}, '{p[0]}', " + ", ".join(f"{v!r}::DOUBLE" for v in p[1:]) + ")" for k, p in enumerate(anchor_probes()))}) t(k, kind, px, py, pz, dx, dy, dz, len)), {_HITS}
-SELECT scene_id, anchor, bool_and(t IS NULL) FILTER (kind = 'head') AS head, bool_and(t IS NULL) FILTER (kind = 'body') AS body, bool_and(coalesce(abs(oz - t - z) <= 0.3 AND nz >= 0.7, false)) FILTER (kind = 'ground') AS ground FROM rays LEFT JOIN hits USING (ray) GROUP BY scene_id, anchor""")
+SELECT scene_id, anchor, bool_and(t IS NULL) FILTER (kind = 'head') AS head, bool_and(t IS NULL) FILTER (kind = 'body') AS body, bool_and(coalesce(abs(oz - t - z) <= 0.3 AND nz >= 0.7, false)) FILTER (kind = 'ground') AS ground FROM rays LEFT JOIN hits USING (scene_id, ray) GROUP BY scene_id, anchor""")
 def joi14_anchor_checks(spark, d):
     """Whether an observer can stand at its place: head, body and ground (JOI14)."""
     a = _anchors(spark, d).selectExpr("scene_id", "anchor", "ax + 0.511e0 AS x", "ay + 0.513e0 AS y", "0.05e0 AS z")
@@ -103,46 +109,40 @@ def joi14_anchor_checks(spark, d):
 
 
 @query(f"""WITH {FACES}, ob AS (SELECT scene_id, fid AS a, cx - 0.2 AS x_min, cx + 0.2 AS x_max, cy - 0.2 AS y_min, cy + 0.2 AS y_max, cz + 0.02 AS z_min, cz + 0.42 AS z_max FROM faces WHERE {_SUPPORT})
-SELECT a AS fid, count(*) AS n_touching FROM ob JOIN faces ON ob.scene_id = faces.scene_id AND {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY a""")
+SELECT ob.scene_id, a AS fid, count(*) AS n_touching FROM ob JOIN faces ON ob.scene_id = faces.scene_id AND {" AND ".join(f"{x}_min < greatest({x}0, {x}1, {x}2) AND least({x}0, {x}1, {x}2) < {x}_max" for x in "xyz")} GROUP BY ob.scene_id, a""")
 def joi15_interference(spark, d):
     """Scene faces whose boxes touch an object of side 0.4 set on each candidate point; candidates without any have no row."""
     f = _face_table(spark, d)
     ob = support_faces(f).selectExpr("scene_id", "fid AS a", "cx - 0.2e0 AS x_min", "cx + 0.2e0 AS x_max", "cy - 0.2e0 AS y_min", "cy + 0.2e0 AS y_max", "cz + 0.02e0 AS z_min", "cz + 0.42e0 AS z_max")
     fb = f.select("scene_id", F.col("fid").alias("b"), *(e for x in "xyz" for e in (F.least(*(f"{x}{k}" for k in range(3))).alias(f"{x}_min"), F.greatest(*(f"{x}{k}" for k in range(3))).alias(f"{x}_max"))))
-    return touching(ob, fb, 0.5).groupBy(F.col("a").alias("fid")).agg(F.count("*").alias("n_touching"))
+    return touching(ob, fb, 0.5).groupBy("scene_id", F.col("a").alias("fid")).agg(F.count("*").alias("n_touching"))
 
 
-def weighted_draws(items: DataFrame, draws: DataFrame, block: int = 256) -> DataFrame:
-    """(scene_id, draw, fid): each scene's items (scene_id, fid, w: whole numbers) drawn with replacement, draws (scene_id, draw, u in [0, 1)) (SMP1).
+def weighted_draws(items: DataFrame, draws: DataFrame, key: tuple[str, ...] = ("scene_id",)) -> DataFrame:
+    """(*key, draw, fid): each group's items (*key, fid, w: whole numbers) drawn with replacement, draws (*key, draw, u in [0, 1)) (SMP1).
 
-    Weights are summed by blocks of ids, then by blocks of blocks, so that no window spans more than
-    `block` rows but the last, over a scene's number of ids divided by block * block. The range of sums is cut into cells of about the
-    mean weight; an item lists those it covers and meets a draw in the draw's cell: two cells an item
-    on average, whatever the weights. A scene without weight gives no draws.
+    An item begins where the weights before it, in order of ids, end; a draw takes the last item that
+    begins at or before its share of the total. Both are passes over range partitions (operators.ordered), so neither a
+    heavy item nor a large group is ever listed or held. A group without weight gives no draws.
     """
-    i = items.where("w > 0").withColumns({"blk": F.expr(f"fid div {block}"), "big": F.expr(f"fid div {block * block}")})
-    before = lambda *by: F.coalesce(F.sum("s").over(Window.partitionBy("scene_id", *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = i.groupBy("scene_id", "big", "blk").agg(F.sum("w").alias("s"))
-    bigs = sums.groupBy("scene_id", "big").agg(F.sum("s").alias("s")).select("scene_id", "big", before("big").alias("b1"))
-    starts = sums.select("scene_id", "big", "blk", before("big", "blk").alias("b0")).join(bigs, ["scene_id", "big"])
-    within = F.sum("w").over(Window.partitionBy("scene_id", "blk").orderBy("fid"))
-    cum = i.withColumn("hi", within).join(starts, ["scene_id", "big", "blk"]).selectExpr("scene_id", "fid", "w", "b1 + b0 + hi - w AS lo", "b1 + b0 + hi AS hi")
-    total = i.groupBy("scene_id").agg(F.sum("w").alias("total"), F.greatest(F.lit(1).cast("long"), F.expr("sum(w) div count(*)")).alias("unit"))
-    at = draws.join(total, "scene_id").selectExpr("scene_id", "draw", "CAST(floor(u * total) AS BIGINT) AS x", "unit").selectExpr("scene_id", "draw", "x", "x div unit AS c")
-    listed = cum.join(total, "scene_id").withColumn("c", F.explode(F.expr("sequence(lo div unit, (hi - 1) div unit)")))
-    return at.join(listed, ["scene_id", "c"]).where("x >= lo AND x < hi").select("scene_id", "draw", "fid")
+    by = list(key)
+    i = items.where("w > 0").select(*by, "fid", "w")
+    starts = prefix_sums(i, by, ["fid"], F.col("w"), "x").select(*by, "x", "fid")
+    total = i.groupBy(*by).agg(F.sum("w").alias("total"))
+    at = draws.join(total, by).select(*by, "draw", F.floor(F.col("u") * F.col("total")).cast("long").alias("x"))
+    return as_of(at, starts, by, "x", "fid").select(*by, "draw", "fid")
 
 
 _DRAWS = f"""{FACES}, it AS (SELECT scene_id, fid, floor(area * 1000000 + 0.001)::BIGINT AS w FROM faces), cu AS (SELECT scene_id, fid, w, sum(w) OVER (PARTITION BY scene_id ORDER BY fid)::BIGINT AS hi FROM it WHERE w > 0), tt AS (SELECT scene_id, sum(w)::BIGINT AS total FROM it GROUP BY scene_id),
 dr AS (SELECT scene_id, event_id AS draw, floor(((event_id * 7919) % 10007 + 0.5e0) / 10007 * total)::BIGINT AS x FROM events JOIN tt ON scene_id = 's' || (event_id % 3))"""
 
 
-@query(f"WITH {_DRAWS} SELECT draw, fid FROM dr ASOF JOIN (SELECT scene_id, fid, hi - w AS lo FROM cu) c ON dr.scene_id = c.scene_id AND dr.x >= c.lo")
+@query(f"WITH {_DRAWS} SELECT dr.scene_id, draw, fid FROM dr ASOF JOIN (SELECT scene_id, fid, hi - w AS lo FROM cu) c ON dr.scene_id = c.scene_id AND dr.x >= c.lo")
 def smp1_surface_samples(spark, d):
     """Faces drawn by area, one draw for each event (SMP1, SMP2)."""
     items = _faces(spark, d).select("scene_id", "fid", F.floor(F.col("area") * 1000000 + 0.001).cast("long").alias("w"))
     draws = X.read(spark, d, "events").selectExpr("concat('s', event_id % 3) AS scene_id", "event_id AS draw", "((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u")
-    return weighted_draws(items, draws).select("draw", "fid")
+    return weighted_draws(items, draws)
 
 
 _WEIGHT = "floor(area * 1000000 + 0.001)::BIGINT"
@@ -151,8 +151,8 @@ _WEIGHT = "floor(area * 1000000 + 0.001)::BIGINT"
 @query(f"""WITH RECURSIVE {_FLOOR}, fw AS (SELECT scene_id, floor, fid, {_WEIGHT} AS w, area FROM up JOIN fc ON fc.k = scene_id || '/' || gx || '/' || gy || '/' || gz), fk AS (SELECT scene_id, floor, min(fid) AS id, sum(w)::BIGINT AS w FROM fw GROUP BY scene_id, floor HAVING sum(area) >= 2),
 k1 AS (SELECT *, sum(w) OVER (PARTITION BY scene_id ORDER BY id)::BIGINT - w AS lo, sum(w) OVER (PARTITION BY scene_id)::BIGINT AS total FROM fk), dr AS (SELECT 's' || (event_id % 3) AS scene_id, event_id AS draw, ((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u, ((event_id * 104729) % 10009 + 0.5e0) / 10009 AS v FROM events),
 d1 AS (SELECT dr.*, floor(u * total)::BIGINT AS x FROM dr JOIN (SELECT DISTINCT scene_id, total FROM k1) USING (scene_id)), p1 AS (SELECT d1.scene_id, draw, v, id, w AS size FROM d1 ASOF JOIN k1 ON d1.scene_id = k1.scene_id AND d1.x >= k1.lo),
-k2 AS (SELECT fk.id AS floor_id, fid, sum(fw.w) OVER (PARTITION BY fk.id ORDER BY fid)::BIGINT - fw.w AS lo FROM fw JOIN fk USING (scene_id, floor) WHERE fw.w > 0), p2 AS (SELECT draw, id, floor(v * size)::BIGINT AS x FROM p1)
-SELECT p2.draw, p2.id AS floor_id, k2.fid FROM p2 ASOF JOIN k2 ON p2.id = k2.floor_id AND p2.x >= k2.lo""")
+k2 AS (SELECT scene_id, fk.id AS floor_id, fid, sum(fw.w) OVER (PARTITION BY scene_id, fk.id ORDER BY fid)::BIGINT - fw.w AS lo FROM fw JOIN fk USING (scene_id, floor) WHERE fw.w > 0), p2 AS (SELECT scene_id, draw, id, floor(v * size)::BIGINT AS x FROM p1)
+SELECT p2.scene_id, p2.draw, p2.id AS floor_id, k2.fid FROM p2 ASOF JOIN k2 ON p2.scene_id = k2.scene_id AND p2.id = k2.floor_id AND p2.x >= k2.lo""")
 def smp2_anchor_draws(spark, d):
     """Faces drawn for each attempt: a floor by its area, then a face of it by area (SMP2)."""
     f = floor_faces(upward_faces(_face_table(spark, d))).withColumn("w", F.floor(F.col("area") * 1000000 + 0.001).cast("long"))
@@ -160,10 +160,10 @@ def smp2_anchor_draws(spark, d):
     whole = f.groupBy("scene_id", "floor").agg(F.min("fid").alias("fid"), F.sum("w").alias("w"), F.sum("area").alias("area")).where(F.col("area") >= 2)
     draws = X.read(spark, d, "events").selectExpr("concat('s', event_id % 3) AS scene_id", "event_id AS draw", "((event_id * 7919) % 10007 + 0.5e0) / 10007 AS u", "((event_id * 104729) % 10009 + 0.5e0) / 10009 AS v")
     chosen = weighted_draws(whole.select("scene_id", "fid", "w"), draws).withColumnRenamed("fid", "floor_id")
-    # within a floor, which is the key of the second draw as a scene is of the first
-    inside = f.join(whole.select("scene_id", "floor", F.col("fid").alias("floor_id")), ["scene_id", "floor"]).select(F.col("floor_id").alias("scene_id"), "fid", "w")
-    again = chosen.join(draws.select("draw", "v"), "draw").select(F.col("floor_id").alias("scene_id"), "draw", F.col("v").alias("u"))
-    return weighted_draws(inside, again).select("draw", F.col("scene_id").alias("floor_id"), "fid")
+    # within a floor
+    inside = f.join(whole.select("scene_id", "floor", F.col("fid").alias("floor_id")), ["scene_id", "floor"]).select("scene_id", "floor_id", "fid", "w")
+    again = chosen.join(draws.select("scene_id", "draw", F.col("v").alias("u")), ["scene_id", "draw"])
+    return weighted_draws(inside, again, ("scene_id", "floor_id"))
 
 
 @query(f"""WITH {FACES}, {_ANCHORS}, dz AS (SELECT scene_id, anchor, ax, ay, k AS trial, cos(radians(k * 45 + anchor * 7 + 0.3e0)) AS fx, sin(radians(k * 45 + anchor * 7 + 0.3e0)) AS fy FROM anchors, range(0, 8) t(k)),
@@ -180,19 +180,31 @@ def smp3_directions(spark, d):
     return best.select("anchor", (-F.col("b.neg")).alias("trial"), F.col("b.n").alias("n"), F.col("b.area").alias("area")).where("n >= 5")
 
 
-@query(f"""WITH {POINTS}, s AS (SELECT min(x) AS mx, min(y) AS my, greatest(4e0, 0.15 * greatest(max(x) - min(x), max(y) - min(y), 1), 1.5) AS r FROM points),
-c AS (SELECT floor((x - mx) / 5)::BIGINT AS gx, floor((y - my) / 5)::BIGINT AS gy, median(x) AS x, median(y) AS y, median(z) AS z, any_value(s.r) AS r FROM points, s GROUP BY 1, 2 HAVING count(*) >= 8),
-k AS (SELECT *, row_number() OVER (ORDER BY gx, gy, e, a) - 1 AS view FROM c, (VALUES (20), (50)) e(e), (SELECT range * 45 AS a FROM range(0, 8)) a)
-SELECT view::INT AS view, round(x + r * cos(radians(e)) * cos(radians(a)) + 1e-9, 4) AS x, round(y + r * cos(radians(e)) * sin(radians(a)) + 1e-9, 4) AS y, round(z + r * sin(radians(e)) + 1e-9, 4) AS z FROM k WHERE view < 256""")
+@query(f"""WITH {POINTS}, s AS (SELECT scene_id, min(x) AS mx, min(y) AS my, greatest(4e0, 0.15 * greatest(max(x) - min(x), max(y) - min(y), 1), 1.5) AS r FROM points GROUP BY scene_id),
+c AS (SELECT scene_id, floor((x - mx) / 5)::BIGINT AS gx, floor((y - my) / 5)::BIGINT AS gy, median(x) AS x, median(y) AS y, median(z) AS z, any_value(s.r) AS r FROM points JOIN s USING (scene_id) GROUP BY 1, 2, 3 HAVING count(*) >= 8),
+k AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY gx, gy, e, a) - 1 AS view FROM c, (VALUES (20), (50)) e(e), (SELECT range * 45 AS a FROM range(0, 8)) a)
+SELECT scene_id, view::INT AS view, round(x + r * cos(radians(e)) * cos(radians(a)) + 1e-9, 4) AS x, round(y + r * cos(radians(e)) * sin(radians(a)) + 1e-9, 4) AS y, round(z + r * sin(radians(e)) + 1e-9, 4) AS z FROM k WHERE view < 100""")
 def smp4_camera_grid(spark, d):
-    """Cameras around the medians of occupied cells, at two heights and eight sides; the first 256 (AGG22, SMP4)."""
-    p = X.points(spark, d).select("x", "y", "z")
-    s = p.agg(F.min("x").alias("mx"), F.min("y").alias("my"), F.greatest(F.lit(4.0), 0.15 * F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"), F.lit(1.0)), F.lit(1.5)).alias("r"))
-    g = p.join(F.broadcast(s)).groupBy(F.floor((F.col("x") - F.col("mx")) / 5).alias("gx"), F.floor((F.col("y") - F.col("my")) / 5).alias("gy")).agg(F.count("*").alias("n"), *(F.median(a).alias(a) for a in "xyz"), F.first("r").alias("r")).where("n >= 8")
-    k = g.withColumn("e", F.explode(F.array(F.lit(20), F.lit(50)))).withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(315), F.lit(45)))).orderBy("gx", "gy", "e", "a").limit(256).withColumn("one", F.lit(1))
+    """The first hundred cameras of each scene (AGG22, SMP4)."""
+    c = camera_grid(X.points(spark, d), most=100)
+    return c.select("scene_id", "view", *(R(F.col(a)).alias(a) for a in "xyz"))
+
+
+def camera_grid(points: DataFrame, size: float = 5.0, least: int = 8, heights: tuple[int, ...] = (20, 50), sides: int = 8, most: int = 256, large: int = 1 << 20) -> DataFrame:
+    """(scene_id, view, x, y, z): cameras about the medians of each scene's occupied cells, at these heights in degrees and on as many sides; the first `most` of a scene in order of cell, height and side (AGG22, SMP4).
+
+    A camera stands 0.15 of the scene's longer extent in XY away, 4 at least. Cells with more than `large` points take medians by selection (operators.ordered).
+    """
+    low = points.groupBy("scene_id").agg(F.min("x").alias("mx"), F.min("y").alias("my"), F.greatest(F.lit(4.0), 0.15 * F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"), F.lit(1.0))).alias("r"))
+    at = points.join(low.select("scene_id", "mx", "my"), "scene_id").withColumns({f"g{a}": F.floor((F.col(a) - F.col(f"m{a}")) / size) for a in "xy"})
+    cells = medians(at, ["scene_id", "gx", "gy"], ["x", "y", "z"], large).where(F.col("n") >= least).join(low.select("scene_id", "r"), "scene_id")
+    turn = lambda v: F.array(*(F.lit(x) for x in v))
+    k = cells.withColumn("e", F.explode(turn(heights))).withColumn("a", F.explode(turn([360.0 * i / sides for i in range(sides)])))
+    # the first cells of a scene are enough, so Spark keeps `most` rows a scene and task before it shuffles
+    k = k.withColumn("view", F.row_number().over(Window.partitionBy("scene_id").orderBy("gx", "gy", "e", "a")) - 1).where(F.col("view") < most)
     e, a = F.radians("e"), F.radians("a")
-    view = F.row_number().over(Window.partitionBy("one").orderBy("gx", "gy", "e", "a")) - 1
-    return k.select(view.alias("view"), R(F.col("x") + F.col("r") * F.cos(e) * F.cos(a)).alias("x"), R(F.col("y") + F.col("r") * F.cos(e) * F.sin(a)).alias("y"), R(F.col("z") + F.col("r") * F.sin(e)).alias("z"))
+    out = {"x": F.col("x") + F.col("r") * F.cos(e) * F.cos(a), "y": F.col("y") + F.col("r") * F.cos(e) * F.sin(a), "z": F.col("z") + F.col("r") * F.sin(e)}
+    return k.select("scene_id", "view", *(v.alias(n) for n, v in out.items()))
 
 
 _OFFSETS = [(0.0, 0.0)] + [(0.8 * f * math.cos(t), 0.8 * f * math.sin(t)) for f in (0.45, 0.85) for t in (0.0, math.pi / 2, math.pi, math.pi * 1.5)]
@@ -201,7 +213,7 @@ _AXES = [(1.0, 0.0, 0.0), (-1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, -1.0, 0.0), (
 
 @query(f"""WITH {FACES}, {_ANCHORS}, po AS (SELECT scene_id, anchor, o AS spot, ax + 0.011 + dx AS px, ay + 0.013 + dy AS py FROM anchors, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE)" for i, (x, y) in enumerate(_OFFSETS))}) t(o, dx, dy)),
 rays AS (SELECT scene_id, (anchor * 9 + spot) * 6 + k AS ray, px AS ox, py AS oy, 0.3e0 AS oz, dx, dy, dz, 0.25e0 AS len FROM po, (VALUES {", ".join(f"({i}, {x!r}::DOUBLE, {y!r}::DOUBLE, {z!r}::DOUBLE)" for i, (x, y, z) in enumerate(_AXES))}) t(k, dx, dy, dz)), {_HITS},
-ok AS (SELECT anchor, spot FROM po WHERE NOT EXISTS (SELECT 1 FROM hits WHERE ray // 6 = anchor * 9 + spot)),
+ok AS (SELECT anchor, spot FROM po WHERE NOT EXISTS (SELECT 1 FROM hits WHERE hits.scene_id = po.scene_id AND ray // 6 = anchor * 9 + spot)),
 v AS (SELECT anchor, spot, p AS pitch, y AS yaw, row_number() OVER (PARTITION BY anchor ORDER BY spot, i, j) AS k FROM ok, (VALUES (0, 0), (1, -15), (2, 15)) t(i, p), (VALUES (0, 0), (1, -20), (2, 20), (3, -40), (4, 40)) u(j, y))
 SELECT anchor, k::INT AS view, spot::INT AS spot, pitch::INT AS pitch, yaw::INT AS yaw FROM v WHERE k <= 24""")
 def smp5_observation_cameras(spark, d):
@@ -211,8 +223,8 @@ def smp5_observation_cameras(spark, d):
     axes = F.array(*(F.struct(*(F.lit(v).alias(f"d{a}") for a, v in zip("xyz", t, strict=True))) for t in _AXES))
     rays = po.select("scene_id", "anchor", "spot", "ox", "oy", F.posexplode(axes).alias("k", "t"))
     rays = rays.selectExpr("scene_id", "(anchor * 9 + spot) * 6 + k AS ray", "ox", "oy", "0.3e0 AS oz", "t.dx", "t.dy", "t.dz", "0.25e0 AS len")
-    blocked = ray_hits(rays, _faces(spark, d)).select(F.expr("ray div 6").alias("place")).distinct()
-    clear = po.withColumn("place", F.expr("anchor * 9 + spot")).join(blocked, "place", "left_anti")
+    blocked = ray_hits(rays, _faces(spark, d)).select("scene_id", F.expr("ray div 6").alias("place")).distinct()
+    clear = po.withColumn("place", F.expr("anchor * 9 + spot")).join(blocked, ["scene_id", "place"], "left_anti")
     turn = lambda *v: F.array(*(F.lit(x) for x in v))
     v = clear.select("anchor", "spot", F.posexplode(turn(0, -15, 15)).alias("i", "pitch")).select("*", F.posexplode(turn(0, -20, 20, -40, 40)).alias("j", "yaw"))
     k = F.row_number().over(Window.partitionBy("anchor").orderBy("spot", "i", "j"))
@@ -310,8 +322,8 @@ def itr1_regions(spark, d):
     return r.select("scene", "node", "n", *(R(F.col(c)).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")), "over")
 
 
-_TRIALS = f"""{OBJECTS}, {FACES}, su AS (SELECT instance, 3 + instance % 4 AS class, min(least(x0, x1, x2)) AS x_lo, max(greatest(x0, x1, x2)) AS x_hi, min(least(y0, y1, y2)) AS y_lo, max(greatest(y0, y1, y2)) AS y_hi, max(greatest(z0, z1, z2)) AS pz FROM faces GROUP BY instance),
-tr AS (SELECT uid, instance, k AS trial, (uid % 7 + 1) * 0.01e0 + CASE WHEN uid % 50 = 0 THEN 500 ELSE 0 END AS dz, x_lo, x_hi, y_lo, y_hi, pz, radians(k * 30 + uid % 30 + 0.5e0) AS yaw, x_lo + (x_hi - x_lo) * ((uid * 31 + k * 17) % 101) / 101e0 AS px, y_lo + (y_hi - y_lo) * ((uid * 13 + k * 29) % 103) / 103e0 AS py, (uid % 5 + 1) * 0.1e0 AS dx, (uid % 3 + 1) * 0.1e0 AS dy, 0.02e0 + uid % 4 * 0.01e0 AS target FROM objects JOIN su ON instance = uid % (SELECT count(*) FROM su), range(0, 12) t(k)),
+_TRIALS = f"""{OBJECTS}, {FACES}, su AS (SELECT scene_id, instance, row_number() OVER (ORDER BY scene_id, instance) - 1 AS support, min(least(x0, x1, x2)) AS x_lo, max(greatest(x0, x1, x2)) AS x_hi, min(least(y0, y1, y2)) AS y_lo, max(greatest(y0, y1, y2)) AS y_hi, max(greatest(z0, z1, z2)) AS pz FROM faces GROUP BY scene_id, instance),
+tr AS (SELECT uid, k AS trial, (uid % 7 + 1) * 0.01e0 + CASE WHEN uid % 50 = 0 THEN 500 ELSE 0 END AS dz, x_lo, x_hi, y_lo, y_hi, pz, radians(k * 30 + uid % 30 + 0.5e0) AS yaw, x_lo + (x_hi - x_lo) * ((uid * 31 + k * 17) % 101) / 101e0 AS px, y_lo + (y_hi - y_lo) * ((uid * 13 + k * 29) % 103) / 103e0 AS py, (uid % 5 + 1) * 0.1e0 AS dx, (uid % 3 + 1) * 0.1e0 AS dy, 0.02e0 + uid % 4 * 0.01e0 AS target FROM objects JOIN su ON support = uid % (SELECT count(*) FROM su), range(0, 12) t(k)),
 sc AS (SELECT *, target / dz AS s, (abs(cos(yaw)) * dx + abs(sin(yaw)) * dy) / 2 AS hx, (abs(sin(yaw)) * dx + abs(cos(yaw)) * dy) / 2 AS hy FROM tr),
 re AS (SELECT *, CASE WHEN s < 0.001 OR s > 100 THEN 'scale' WHEN px - s * hx < x_lo OR px + s * hx > x_hi OR py - s * hy < y_lo OR py + s * hy > y_hi THEN 'outside' WHEN least(px - x_lo, x_hi - px, py - y_lo, y_hi - py) < s * sqrt(hx * hx + hy * hy) + 0.03 THEN 'clearance' ELSE '' END AS reason FROM sc),
 wn AS (SELECT uid, min(trial) AS first FROM re WHERE reason = '' GROUP BY uid)"""
@@ -338,10 +350,11 @@ def first_placements(trials: DataFrame) -> DataFrame:
 def smp7_placements(spark, d):
     """Twelve trials of each object on a support: the failed ones with reasons, then the first that passes (GEO12, SMP7, SMP8)."""
     f = X.faces(spark, d)
-    su = f.groupBy("instance").agg(*(g for a in "xy" for g in (F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_lo"), F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_hi"))), F.max(F.greatest("z0", "z1", "z2")).alias("pz"))
+    su = f.groupBy("scene_id", "instance").agg(*(g for a in "xy" for g in (F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_lo"), F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_hi"))), F.max(F.greatest("z0", "z1", "z2")).alias("pz"))
+    su = su.withColumn("support", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("scene_id", "instance")) - 1)  # a handful of rows
     n = su.agg(F.count("*").alias("n"))
-    o = X.objects(spark, d).select("uid").join(F.broadcast(n)).selectExpr("uid", "uid % n AS instance")  # n is one row
-    t = o.join(su, "instance").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    o = X.objects(spark, d).select("uid").join(F.broadcast(n)).selectExpr("uid", "uid % n AS support")  # n is one row
+    t = o.join(su, "support").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(11))))
     t = t.selectExpr("uid", "trial", "x_lo", "x_hi", "y_lo", "y_hi", "pz", "(uid % 7 + 1) * 0.01e0 + if(uid % 50 = 0, 500, 0) AS dz", "radians(trial * 30 + uid % 30 + 0.5e0) AS yaw", "x_lo + (x_hi - x_lo) * ((uid * 31 + trial * 17) % 101) / 101e0 AS px", "y_lo + (y_hi - y_lo) * ((uid * 13 + trial * 29) % 103) / 103e0 AS py", "(uid % 5 + 1) * 0.1e0 AS dx", "(uid % 3 + 1) * 0.1e0 AS dy", "0.02e0 + uid % 4 * 0.01e0 AS target")
     return first_placements(t).select("uid", "trial", "reason", R(F.col("px")).alias("look_x"), R(F.col("py")).alias("look_y"), R(F.col("look_z")).alias("look_z"))
 
@@ -353,13 +366,13 @@ def smp7_placement_search(spark, d):
     p = materialize(patches(support_faces(f)), "placing-patches")
     a = _anchors(spark, d)
     near = patch_summary(p).join(a, "scene_id").where(F.hypot(F.col("x") - F.col("ax"), F.col("y") - F.col("ay")) <= 2)
-    supports = materialize(near.select(F.col("anchor").alias("observation"), "patch", F.col("semantic").alias("class"), *(F.col(f"{x}_{m}").alias(f"{x}_{n}") for x in "xy" for m, n in (("min", "lo"), ("max", "hi")))), "placing-supports")
+    supports = materialize(near.select("scene_id", F.col("anchor").alias("observation"), "patch", F.col("semantic").alias("class"), *(F.col(f"{x}_{m}").alias(f"{x}_{n}") for x in "xy" for m, n in (("min", "lo"), ("max", "hi")))), "placing-supports")
     c = candidates(p)
-    spots = clearances(c, boundary_edges(p)).join(c.join(f.select("fid", "cz"), "fid"), ["patch", "fid"])
-    points = spots.join(supports.select("observation", "patch"), "patch").select("observation", "patch", F.col("fid").alias("point"), F.col("cx").alias("px"), F.col("cy").alias("py"), F.col("cz").alias("pz"), "clearance")
+    spots = clearances(c, boundary_edges(p)).join(c, ["scene_id", "patch", "fid"])
+    points = spots.join(supports.select("scene_id", "observation", "patch"), ["scene_id", "patch"]).select("observation", "patch", F.col("fid").alias("point"), F.col("cx").alias("px"), F.col("cy").alias("py"), F.col("cz").alias("pz"), "clearance")
     o = X.objects(spark, d).selectExpr("uid", "uid % 25 AS observation", "array(3 + uid % 6, 3 + uid * 5 % 4) AS classes", "(uid % 5 + 1) * 0.1e0 AS dx", "(uid % 3 + 1) * 0.1e0 AS dy", "(uid % 7 + 1) * 0.1e0 + if(uid % 50 = 0, 500, 0) AS dz", "0.02e0 + uid % 4 * 0.01e0 AS target_min", "0.05e0 + uid % 4 * 0.01e0 AS target_max", "if(uid % 2 = 0, 'height', 'longest') AS dimension")
     turn = F.row_number().over(Window.partitionBy("observation").orderBy(F.sha2(F.concat_ws(":", F.lit("7"), "observation", "uid"), 256), "uid"))
     o = o.withColumn("turn", turn).where("turn <= 12")
     eyes = a.select(F.col("anchor").alias("observation"), "scene_id", F.col("ax").alias("eye_x"), F.col("ay").alias("eye_y"), F.lit(1.6).alias("eye_z"))
-    t = placement.searched(placement.trials(o, supports, points, 7), f, eyes)
+    t = placement.searched(placement.trials(o, supports.drop("scene_id"), points, 7), f, eyes)
     return t.select("observation", "uid", "patch", "point", "yaw_turn", "reason", *(R(F.col(f"look_{x}")).alias(f"look_{x}") for x in "xyz"), "eye_x", "eye_y", "eye_z", F.lit(60.0).alias("horizontal_fov_deg"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import geometry as G
 from tesserae.operators import masks, spatial
 from tesserae.operators.graph import connected_components
+from tesserae.operators.ordered import medians
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import BITS, MASK_POINTS, OBJECTS, PIXELS, POINTS, SAMPLES
 
@@ -28,57 +29,57 @@ def query(sql: str | None = None):
 
 
 def face_semantics(samples: DataFrame, least: float = 0.45) -> DataFrame:
-    """(fid, label, confidence): each face's most frequent known label, the smallest among equals, if it has the share `least` of all samples, unknown ones (-1) included; the mean confidence of its samples. Else -1 and 0 (AGG16)."""
-    s = samples.groupBy("fid", "label").agg(F.count("*").alias("n"), F.sum("conf").alias("s"))
+    """(scene_id, fid, label, confidence): each face's most frequent known label, the smallest among equals, if it has the share `least` of all samples, unknown ones (-1) included; the mean confidence of its samples. Else -1 and 0 (AGG16)."""
+    s = samples.groupBy("scene_id", "fid", "label").agg(F.count("*").alias("n"), F.sum("conf").alias("s"))
     best = F.max(F.when(F.col("label") >= 0, F.struct("n", (-F.col("label")).alias("neg"), "s"))).alias("b")
-    t = s.groupBy("fid").agg(F.sum("n").alias("total"), best)
+    t = s.groupBy("scene_id", "fid").agg(F.sum("n").alias("total"), best)
     won = F.coalesce(F.col("b.n") / F.col("total") >= least, F.lit(False))
-    return t.select("fid", F.when(won, -F.col("b.neg")).otherwise(-1).alias("label"), F.when(won, F.col("b.s") / F.col("b.n")).otherwise(0.0).alias("confidence"))
+    return t.select("scene_id", "fid", F.when(won, -F.col("b.neg")).otherwise(-1).alias("label"), F.when(won, F.col("b.s") / F.col("b.n")).otherwise(0.0).alias("confidence"))
 
 
-@query(f"""WITH {SAMPLES}, c AS (SELECT fid, label, count(*) AS n, sum(conf) AS s FROM samples GROUP BY ALL), t AS (SELECT fid, sum(n) AS total FROM c GROUP BY fid),
-w AS (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY n DESC, label) AS k FROM c WHERE label >= 0)
-SELECT t.fid, CASE WHEN n / total >= 0.45 THEN label ELSE -1 END AS label, CASE WHEN n / total >= 0.45 THEN round(s / n + 1e-9, 4) ELSE 0e0 END AS confidence FROM t LEFT JOIN w ON w.fid = t.fid AND k = 1""")
+@query(f"""WITH {SAMPLES}, c AS (SELECT scene_id, fid, label, count(*) AS n, sum(conf) AS s FROM samples GROUP BY ALL), t AS (SELECT scene_id, fid, sum(n) AS total FROM c GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY scene_id, fid ORDER BY n DESC, label) AS k FROM c WHERE label >= 0)
+SELECT t.scene_id, t.fid, CASE WHEN n / total >= 0.45 THEN label ELSE -1 END AS label, CASE WHEN n / total >= 0.45 THEN round(s / n + 1e-9, 4) ELSE 0e0 END AS confidence FROM t LEFT JOIN w ON w.scene_id = t.scene_id AND w.fid = t.fid AND k = 1""")
 def agg16_face_semantics(spark, d):
     return face_semantics(X.samples(spark, d)).withColumn("confidence", F.when(F.col("confidence") > 0, R(F.col("confidence"))).otherwise(0.0))
 
 
 def face_visibility(faces: DataFrame, samples: DataFrame) -> DataFrame:
-    """(fid, visibility, core): the most views that see one of a face's samples, 0 without any; a face without a mapping is core (AGG8)."""
-    seen = samples.groupBy("fid").agg(F.max("visible").alias("v"))
-    return faces.join(seen, "fid", "left").select("fid", F.coalesce("v", F.lit(0)).alias("visibility"), F.coalesce("core", F.lit(True)).alias("core"))
+    """(scene_id, fid, visibility, core): the most views that see one of a face's samples, 0 without any; a face without a mapping is core (AGG8)."""
+    seen = samples.groupBy("scene_id", "fid").agg(F.max("visible").alias("v"))
+    return faces.join(seen, ["scene_id", "fid"], "left").select("scene_id", "fid", F.coalesce("v", F.lit(0)).alias("visibility"), F.coalesce("core", F.lit(True)).alias("core"))
 
 
-@query(f"WITH {SAMPLES}, f AS (SELECT o_orderkey AS fid, o_custkey % 4 <> 0 AS core FROM orders) SELECT f.fid, coalesce(max(visible), 0) AS visibility, bool_and(core) AS core FROM f LEFT JOIN samples s USING (fid) GROUP BY f.fid")
+@query(f"WITH {SAMPLES}, f AS (SELECT 's' || (o_orderkey // 1024 % 3) AS scene_id, o_orderkey // 1024 // 3 * 1024 + o_orderkey % 1024 AS fid, o_custkey % 4 <> 0 AS core FROM orders) SELECT scene_id, fid, coalesce(max(visible), 0) AS visibility, bool_and(core) AS core FROM f LEFT JOIN samples s USING (scene_id, fid) GROUP BY ALL")
 def agg8_face_visibility(spark, d):
-    return face_visibility(X.read(spark, d, "orders").selectExpr("o_orderkey AS fid", "o_custkey % 4 <> 0 AS core"), X.samples(spark, d))
+    return face_visibility(X.faces(spark, d).selectExpr("scene_id", "fid", "visibility <> 0 AS core"), X.samples(spark, d))
 
 
 def instance_faces(samples: DataFrame, least: float = 0.55) -> DataFrame:
-    """(fid, owned, n): faces of whose samples an instance owns the share `least` (AGG15)."""
-    return samples.groupBy("fid").agg(F.count_if("selected").alias("owned"), F.count("*").alias("n")).where(F.col("owned") / F.col("n") >= least)
+    """(scene_id, fid, owned, n): faces of whose samples an instance owns the share `least` (AGG15)."""
+    return samples.groupBy("scene_id", "fid").agg(F.count_if("selected").alias("owned"), F.count("*").alias("n")).where(F.col("owned") / F.col("n") >= least)
 
 
-@query(f"WITH {SAMPLES} SELECT fid, sum(selected::INT)::BIGINT AS owned, count(*) AS n FROM samples GROUP BY fid HAVING sum(selected::INT) / count(*) >= 0.55")
+@query(f"WITH {SAMPLES} SELECT scene_id, fid, sum(selected::INT)::BIGINT AS owned, count(*) AS n FROM samples GROUP BY scene_id, fid HAVING sum(selected::INT) / count(*) >= 0.55")
 def agg15_instance_face_vote(spark, d):
     return instance_faces(X.samples(spark, d))
 
 
 def face_instances(claims: DataFrame) -> DataFrame:
-    """(fid, instance, confidence): the claim (fid, instance, conf) of the highest confidence as a 32-bit number, the lowest instance among equals (AGG17)."""
-    best = claims.groupBy("fid").agg(F.max(F.struct(F.col("conf").cast("float").alias("c"), (-F.col("instance")).alias("i"))).alias("b"))
-    return best.select("fid", (-F.col("b.i")).alias("instance"), F.col("b.c").cast("double").alias("confidence"))
+    """(scene_id, fid, instance, confidence): the claim (scene_id, fid, instance, conf) of the highest confidence as a 32-bit number, the lowest instance among equals (AGG17)."""
+    best = claims.groupBy("scene_id", "fid").agg(F.max(F.struct(F.col("conf").cast("float").alias("c"), (-F.col("instance")).alias("i"))).alias("b"))
+    return best.select("scene_id", "fid", (-F.col("b.i")).alias("instance"), F.col("b.c").cast("double").alias("confidence"))
 
 
-@query(f"WITH {SAMPLES}, r AS (SELECT fid, instance, conf::FLOAT AS conf, row_number() OVER (PARTITION BY fid ORDER BY conf::FLOAT DESC, instance) AS k FROM samples) SELECT fid, instance, round(conf::DOUBLE + 1e-9, 4) AS confidence FROM r WHERE k = 1")
+@query(f"WITH {SAMPLES}, r AS (SELECT scene_id, fid, instance, conf::FLOAT AS conf, row_number() OVER (PARTITION BY scene_id, fid ORDER BY conf::FLOAT DESC, instance) AS k FROM samples) SELECT scene_id, fid, instance, round(conf::DOUBLE + 1e-9, 4) AS confidence FROM r WHERE k = 1")
 def agg17_face_instance_conflict(spark, d):
     return face_instances(X.samples(spark, d)).withColumn("confidence", R(F.col("confidence")))
 
 
-@query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT qid, pid, round(dist + 1e-9, 4) AS dist FROM k WHERE k = 1")
+@query(f"WITH {POINTS}, q AS (SELECT * FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.scene_id, q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY scene_id, qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT scene_id, qid, pid, round(dist + 1e-9, 4) AS dist FROM k WHERE k = 1")
 def joi8_nearest_point(spark, d):
     p = X.points(spark, d)
-    return spatial.nearest_within(p.where("is_query"), p.where("NOT is_query"), 0.2, ("scene_id",)).select("qid", "pid", R(F.col("dist")).alias("dist"))
+    return spatial.nearest_within(p.where("is_query"), p.where("NOT is_query"), 0.2, ("scene_id",)).select("scene_id", "qid", "pid", R(F.col("dist")).alias("dist"))
 
 
 def point_visibility(pixels: DataFrame, points: DataFrame, radius: float, stride: int = 2) -> DataFrame:
@@ -92,11 +93,11 @@ def point_visibility(pixels: DataFrame, points: DataFrame, radius: float, stride
     return seen.groupBy("scene_id", F.col("rid").alias("pid")).agg(F.countDistinct("view").alias("n_views"))
 
 
-@query(f"WITH {POINTS}, q AS (SELECT *, pid % 7 AS row, pid // 7 % 5 AS col FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.view, q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND row % 2 = 0 AND col % 2 = 0 AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT pid, count(DISTINCT view) AS n_views FROM k WHERE k = 1 GROUP BY pid")
+@query(f"WITH {POINTS}, q AS (SELECT *, pid % 7 AS row, pid // 7 % 5 AS col FROM points WHERE is_query), r AS (SELECT * FROM points WHERE NOT is_query), j AS (SELECT q.scene_id, q.view, q.pid AS qid, r.pid, sqrt((q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) + (q.z - r.z) * (q.z - r.z)) AS dist FROM q JOIN r ON q.scene_id = r.scene_id AND row % 2 = 0 AND col % 2 = 0 AND abs(q.x - r.x) < 0.2 AND abs(q.y - r.y) < 0.2 AND abs(q.z - r.z) < 0.2), k AS (SELECT *, row_number() OVER (PARTITION BY scene_id, qid ORDER BY dist, pid) AS k FROM j WHERE dist < 0.2) SELECT scene_id, pid, count(DISTINCT view) AS n_views FROM k WHERE k = 1 GROUP BY scene_id, pid")
 def agg7_point_visibility(spark, d):
     p = X.points(spark, d)
     pixels = p.where("is_query").withColumns({"row": F.expr("pid % 7"), "col": F.expr("pid div 7 % 5")})
-    return point_visibility(pixels, p.where("NOT is_query"), 0.2).select("pid", "n_views")
+    return point_visibility(pixels, p.where("NOT is_query"), 0.2)
 
 
 _VOXEL = """v0 AS (SELECT scene_id, min(x) AS mx, min(y) AS my, min(z) AS mz FROM points GROUP BY scene_id), v AS (SELECT p.*, floor((x - mx) / 0.5)::BIGINT AS gx, floor((y - my) / 0.5)::BIGINT AS gy, floor((z - mz) / 0.5)::BIGINT AS gz FROM points p JOIN v0 USING (scene_id)),
@@ -124,17 +125,17 @@ def agg4_voxels(spark, d):
     return v.select("scene_id", "gx", "gy", "gz", "first_pid", "n", *((R(F.col(c)) + 0.0).alias(c) for c in "xyzrgb"))
 
 
-@query(f"WITH {POINTS}, {_VOXEL} SELECT pid, min(pid) OVER (PARTITION BY scene_id, gx, gy, gz) AS first_pid FROM v")
+@query(f"WITH {POINTS}, {_VOXEL} SELECT scene_id, pid, min(pid) OVER (PARTITION BY scene_id, gx, gy, gz) AS first_pid FROM v")
 def agg5_voxel_back_projection(spark, d):
     v = voxels(X.points(spark, d)).select("scene_id", "pid", "gx", "gy", "gz")
-    return v.join(voxel_points(voxels(X.points(spark, d))).select("scene_id", "gx", "gy", "gz", "first_pid"), ["scene_id", "gx", "gy", "gz"]).select("pid", "first_pid")
+    return v.join(voxel_points(voxels(X.points(spark, d))).select("scene_id", "gx", "gy", "gz", "first_pid"), ["scene_id", "gx", "gy", "gz"]).select("scene_id", "pid", "first_pid")
 
 
-def occupied_targets(p: DataFrame, size: float = 5.0, least: int = 8) -> DataFrame:
-    """(scene_id, gx, gy, n, x, y, z): medians of XY cells, counted from the scene's least corner, with enough points; a scene without any has its centre, without a cell (AGG22)."""
+def occupied_targets(p: DataFrame, size: float = 5.0, least: int = 8, large: int = 1 << 20) -> DataFrame:
+    """(scene_id, gx, gy, n, x, y, z): medians of XY cells, counted from the scene's least corner, with enough points; a scene without any has its centre, without a cell. Cells with more than `large` points take medians by selection (AGG22)."""
     box = p.groupBy("scene_id").agg(F.count("*").alias("all"), *(g for a in "xyz" for g in (F.min(a).alias(f"{a}_min"), F.max(a).alias(f"{a}_max"))))
     at = p.join(box.select("scene_id", "x_min", "y_min"), "scene_id").withColumns({f"g{a}": F.floor((F.col(a) - F.col(f"{a}_min")) / size).cast("long") for a in "xy"})
-    cells = at.groupBy("scene_id", "gx", "gy").agg(F.count("*").alias("n"), *(F.median(a).alias(a) for a in "xyz")).where(F.col("n") >= least)
+    cells = medians(at, ["scene_id", "gx", "gy"], ["x", "y", "z"], large).where(F.col("n") >= least)
     none = F.lit(None).cast("long")
     rest = box.join(cells.select("scene_id").distinct(), "scene_id", "left_anti").select("scene_id", none.alias("gx"), none.alias("gy"), F.col("all").alias("n"), *(((F.col(f"{a}_min") + F.col(f"{a}_max")) / 2).alias(a) for a in "xyz"))
     return cells.unionByName(rest)
@@ -163,15 +164,15 @@ def mask_heads(mp: DataFrame) -> DataFrame:
     return mp.groupBy("scene_id", "mask").agg(F.min("view").alias("view"), F.min("class").alias("class"), F.count("*").alias("n"), *(F.avg(a).alias(a) for a in "xyz"), F.max("weight").alias("score"))
 
 
-@query(f"WITH {MASK_POINTS}, {_HEAD} SELECT mask, view, class, n, round(x + 1e-9, 4) AS x, round(y + 1e-9, 4) AS y, round(z + 1e-9, 4) AS z FROM h")
+@query(f"WITH {MASK_POINTS}, {_HEAD} SELECT scene_id, mask, view, class, n, round(x + 1e-9, 4) AS x, round(y + 1e-9, 4) AS y, round(z + 1e-9, 4) AS z FROM h")
 def agg6_mask_centroids(spark, d):
-    return mask_heads(X.mask_points(spark, d)).select("mask", "view", "class", "n", *(R(F.col(a)).alias(a) for a in "xyz"))
+    return mask_heads(X.mask_points(spark, d)).select("scene_id", "mask", "view", "class", "n", *(R(F.col(a)).alias(a) for a in "xyz"))
 
 
-@query("WITH n AS (SELECT l_suppkey * 8 + l_linenumber AS mask, l_partkey % 200 AS pid, l_quantity::DOUBLE / 1000 AS dist FROM lineitem) SELECT mask, pid, round(max(exp(-(dist / 0.035e0) * (dist / 0.035e0))) + 1e-9, 4) AS weight FROM n GROUP BY mask, pid")
+@query("WITH n AS (SELECT 's' || (l_suppkey % 3) AS scene_id, l_suppkey // 3 * 8 + l_linenumber AS mask, l_partkey % 200 AS pid, l_quantity::DOUBLE / 1000 AS dist FROM lineitem) SELECT scene_id, mask, pid, round(max(exp(-(dist / 0.035e0) * (dist / 0.035e0))) + 1e-9, 4) AS weight FROM n GROUP BY scene_id, mask, pid")
 def agg6_point_weights(spark, d):
-    near = X.read(spark, d, "lineitem").selectExpr("concat('s', l_suppkey % 3) AS scene_id", "l_suppkey * 8 + l_linenumber AS mask", "l_partkey % 200 AS pid", "CAST(l_quantity AS DOUBLE) / 1000 AS dist")
-    return lifted_points(near, 0.035).select("mask", "pid", R(F.col("weight")).alias("weight"))
+    near = X.read(spark, d, "lineitem").selectExpr("concat('s', l_suppkey % 3) AS scene_id", "l_suppkey div 3 * 8 + l_linenumber AS mask", "l_partkey % 200 AS pid", "CAST(l_quantity AS DOUBLE) / 1000 AS dist")
+    return lifted_points(near, 0.035).select("scene_id", "mask", "pid", R(F.col("weight")).alias("weight"))
 
 
 _PAIRS = "pr AS (SELECT a.scene_id, a.mask AS a, b.mask AS b, a.n AS na, b.n AS nb, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS dist FROM h a JOIN h b ON a.scene_id = b.scene_id AND a.class = b.class AND a.view <> b.view AND a.mask < b.mask AND abs(floor(a.x / 0.5) - floor(b.x / 0.5)) <= 1 AND abs(floor(a.y / 0.5) - floor(b.y / 0.5)) <= 1 AND abs(floor(a.z / 0.5) - floor(b.z / 0.5)) <= 1)"
@@ -186,15 +187,15 @@ def mask_pairs(h: DataFrame, size: float = 0.5) -> DataFrame:
     return j.select("scene_id", F.col("mask").alias("a"), "b", F.col("n").alias("na"), "nb", d.alias("dist"))
 
 
-@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS} SELECT a, b, round(dist + 1e-9, 4) AS dist FROM pr")
+@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS} SELECT scene_id, a, b, round(dist + 1e-9, 4) AS dist FROM pr")
 def joi10_mask_pairs(spark, d):
-    return mask_pairs(mask_heads(X.mask_points(spark, d))).select("a", "b", R(F.col("dist")).alias("dist"))
+    return mask_pairs(mask_heads(X.mask_points(spark, d))).select("scene_id", "a", "b", R(F.col("dist")).alias("dist"))
 
 
-_IOU = """io AS (SELECT pr.a, pr.b, any_value(na) AS na, any_value(nb) AS nb, any_value(dist) AS dist, count(q.pid) AS common FROM pr JOIN mask_points p ON p.mask = pr.a LEFT JOIN mask_points q ON q.mask = pr.b AND q.pid = p.pid GROUP BY pr.a, pr.b),
-sc AS (SELECT a, b, dist, common / (na + nb - common) AS iou FROM io)"""
-#: A mask's feature is that of the vector of its own number; masks beyond the vectors have none.
-_EDGE = """es AS (SELECT sc.*, 0.55e0 * iou + 0.2e0 * greatest(0e0, 1 - dist / 0.5) + 0.25e0 * greatest(0e0, coalesce(list_sum(list_transform(list_zip(e.embedding, g.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) / sqrt(list_sum(list_transform(e.embedding, lambda z: z::DOUBLE * z::DOUBLE)) * list_sum(list_transform(g.embedding, lambda z: z::DOUBLE * z::DOUBLE))), 0e0)) AS score FROM sc LEFT JOIN embeddings e ON e.vec_id = sc.a LEFT JOIN embeddings g ON g.vec_id = sc.b)"""
+_IOU = """io AS (SELECT pr.scene_id, pr.a, pr.b, any_value(na) AS na, any_value(nb) AS nb, any_value(dist) AS dist, count(q.pid) AS common FROM pr JOIN mask_points p ON p.scene_id = pr.scene_id AND p.mask = pr.a LEFT JOIN mask_points q ON q.scene_id = pr.scene_id AND q.mask = pr.b AND q.pid = p.pid GROUP BY pr.scene_id, pr.a, pr.b),
+sc AS (SELECT scene_id, a, b, dist, common / (na + nb - common) AS iou FROM io)"""
+#: Vectors go to three scenes in turn and are the features of the masks of their number; other masks have none.
+_EDGE = """ft AS (SELECT 's' || (vec_id % 3) AS scene_id, vec_id // 3 AS mask, embedding FROM embeddings), es AS (SELECT sc.*, 0.55e0 * iou + 0.2e0 * greatest(0e0, 1 - dist / 0.5) + 0.25e0 * greatest(0e0, coalesce(list_sum(list_transform(list_zip(e.embedding, g.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) / sqrt(list_sum(list_transform(e.embedding, lambda z: z::DOUBLE * z::DOUBLE)) * list_sum(list_transform(g.embedding, lambda z: z::DOUBLE * z::DOUBLE))), 0e0)) AS score FROM sc LEFT JOIN ft e ON e.scene_id = sc.scene_id AND e.mask = sc.a LEFT JOIN ft g ON g.scene_id = sc.scene_id AND g.mask = sc.b)"""
 
 
 def pair_overlap(mp: DataFrame, size: float = 0.5) -> DataFrame:
@@ -211,44 +212,45 @@ def pair_overlap(mp: DataFrame, size: float = 0.5) -> DataFrame:
 
 
 def edge_scores(pairs: DataFrame, features: DataFrame, reach: float = 0.5) -> DataFrame:
-    """pairs with their score of overlap, closeness and likeness (AGG11); features: (mask, feature), a mask without one is like no other (GEO3)."""
-    f = lambda k: features.select(F.col("mask").alias(k), F.col("feature").alias(f"f{k}"))
-    j = pairs.join(f("a"), "a", "left").join(f("b"), "b", "left")
+    """pairs with their score of overlap, closeness and likeness (AGG11); features: (scene_id, mask, feature), a mask without one is like no other (GEO3)."""
+    f = lambda k: features.select("scene_id", F.col("mask").alias(k), F.col("feature").alias(f"f{k}"))
+    j = pairs.join(f("a"), ["scene_id", "a"], "left").join(f("b"), ["scene_id", "b"], "left")
     like = F.coalesce(G.cosine(F.col("fa"), F.col("fb")), F.lit(0.0))
     score = 0.55 * F.col("iou") + 0.2 * F.greatest(F.lit(0.0), 1 - F.col("dist") / reach) + 0.25 * F.greatest(F.lit(0.0), like)
     return j.withColumn("score", score).drop("fa", "fb")
 
 
 def _features(spark, d) -> DataFrame:
-    return X.read(spark, d, "embeddings").select(F.col("vec_id").alias("mask"), F.col("embedding").alias("feature"))
+    return X.read(spark, d, "embeddings").selectExpr("concat('s', vec_id % 3) AS scene_id", "vec_id div 3 AS mask", "embedding AS feature")
 
 
-@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU} SELECT a, b, round(iou + 1e-9, 4) AS iou FROM sc")
+@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU} SELECT scene_id, a, b, round(iou + 1e-9, 4) AS iou FROM sc")
 def agg9_pair_overlap(spark, d):
-    return pair_overlap(X.mask_points(spark, d)).select("a", "b", R(F.col("iou")).alias("iou"))
+    return pair_overlap(X.mask_points(spark, d)).select("scene_id", "a", "b", R(F.col("iou")).alias("iou"))
 
 
-@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE} SELECT a, b, round(score + 1e-9, 4) AS score FROM es")
+@query(f"WITH {MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE} SELECT scene_id, a, b, round(score + 1e-9, 4) AS score FROM es")
 def agg11_edge_scores(spark, d):
-    return edge_scores(pair_overlap(X.mask_points(spark, d)), _features(spark, d)).select("a", "b", R(F.col("score")).alias("score"))
+    return edge_scores(pair_overlap(X.mask_points(spark, d)), _features(spark, d)).select("scene_id", "a", "b", R(F.col("score")).alias("score"))
 
 
 #: At 0.55 no pair of the bound tables is linked, so the queries pass another limit.
 _LEAST = 0.25
-_COMP = f"{MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE}, ed AS (SELECT a, b FROM es WHERE round(score + 1e-9, 6) >= {_LEAST} UNION SELECT b, a FROM es WHERE round(score + 1e-9, 6) >= {_LEAST}), rc AS (SELECT mask, mask AS root FROM h UNION SELECT ed.b, r.root FROM rc r JOIN ed ON ed.a = r.mask WHERE r.root < ed.b), cp AS (SELECT mask, min(root) AS instance FROM rc GROUP BY mask)"
+_COMP = f"{MASK_POINTS}, {_HEAD}, {_PAIRS}, {_IOU}, {_EDGE}, ed AS (SELECT scene_id, a, b FROM es WHERE round(score + 1e-9, 6) >= {_LEAST} UNION SELECT scene_id, b, a FROM es WHERE round(score + 1e-9, 6) >= {_LEAST}), rc AS (SELECT scene_id, mask, mask AS root FROM h UNION SELECT ed.scene_id, ed.b, r.root FROM rc r JOIN ed ON ed.scene_id = r.scene_id AND ed.a = r.mask WHERE r.root < ed.b), cp AS (SELECT scene_id, mask, min(root) AS instance FROM rc GROUP BY scene_id, mask)"
 
 
 def mask_components(heads: DataFrame, edges: DataFrame, least: float = 0.55) -> DataFrame:
-    """heads with the instance that each mask belongs to: its component over edges that score at least `least` (ITR3)."""
-    comp = connected_components(edges.where(F.col("score") >= least), "a", "b").withColumnRenamed("node", "mask")
-    return heads.join(comp, "mask", "left").withColumn("instance", F.coalesce("component", "mask")).drop("component")
+    """heads with the instance that each mask belongs to: its component over edges of its scene that score at least `least` (ITR3)."""
+    comp = connected_components(edges.where(F.col("score") >= least), "a", "b", ("scene_id",)).withColumnRenamed("node", "mask")
+    return heads.join(comp, ["scene_id", "mask"], "left").withColumn("instance", F.coalesce("component", "mask")).drop("component")
 
 
 def merged_instances(masks_: DataFrame, mp: DataFrame, min_views: int = 2, min_points: int = 50) -> DataFrame:
-    """Each instance's class, views, score weighted by points, number of distinct points and smallest point; few views or points drop it (AGG12, SET2)."""
-    g = masks_.groupBy("instance").agg(F.min("class").alias("class"), F.countDistinct("view").alias("n_views"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
-    pts = mp.select("mask", "pid").join(masks_.select("mask", "instance"), "mask").select("instance", "pid").distinct().groupBy("instance").agg(F.count("*").alias("n_points"), F.min("pid").alias("first_point"))
-    return g.join(pts, "instance").where((F.col("n_views") >= min_views) & (F.col("n_points") >= min_points))
+    """Each scene's instances: class, views, score weighted by points, number of distinct points and smallest point; few views or points drop it (AGG12, SET2)."""
+    key = ["scene_id", "instance"]
+    g = masks_.groupBy(*key).agg(F.min("class").alias("class"), F.countDistinct("view").alias("n_views"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))
+    pts = mp.select("scene_id", "mask", "pid").join(masks_.select("scene_id", "mask", "instance"), ["scene_id", "mask"]).select(*key, "pid").distinct().groupBy(*key).agg(F.count("*").alias("n_points"), F.min("pid").alias("first_point"))
+    return g.join(pts, key).where((F.col("n_views") >= min_views) & (F.col("n_points") >= min_points))
 
 
 def _instances(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -257,12 +259,12 @@ def _instances(spark, d) -> tuple[DataFrame, DataFrame]:
     return mp, mask_components(mask_heads(mp), e, _LEAST)
 
 
-@query(f"WITH RECURSIVE {_COMP} SELECT mask, instance FROM cp")
+@query(f"WITH RECURSIVE {_COMP} SELECT scene_id, mask, instance FROM cp")
 def itr3_mask_components(spark, d):
-    return _instances(spark, d)[1].select("mask", "instance")
+    return _instances(spark, d)[1].select("scene_id", "mask", "instance")
 
 
-@query(f"WITH RECURSIVE {_COMP}, j AS (SELECT instance, h.* FROM h JOIN cp USING (mask)), pt AS (SELECT instance, count(DISTINCT pid) AS n_points, min(pid) AS first_point FROM mask_points JOIN cp USING (mask) GROUP BY instance) SELECT instance, any_value(class) AS class, count(DISTINCT view) AS n_views, round(sum(score * n) / sum(n) + 1e-9, 4) AS score, any_value(n_points) AS n_points, any_value(first_point) AS first_point FROM j JOIN pt USING (instance) GROUP BY instance HAVING count(DISTINCT view) >= 2 AND any_value(n_points) >= 50")
+@query(f"WITH RECURSIVE {_COMP}, j AS (SELECT instance, h.* FROM h JOIN cp USING (scene_id, mask)), pt AS (SELECT scene_id, instance, count(DISTINCT pid) AS n_points, min(pid) AS first_point FROM mask_points JOIN cp USING (scene_id, mask) GROUP BY scene_id, instance) SELECT scene_id, instance, any_value(class) AS class, count(DISTINCT view) AS n_views, round(sum(score * n) / sum(n) + 1e-9, 4) AS score, any_value(n_points) AS n_points, any_value(first_point) AS first_point FROM j JOIN pt USING (scene_id, instance) GROUP BY scene_id, instance HAVING count(DISTINCT view) >= 2 AND any_value(n_points) >= 50")
 def agg12_instances(spark, d):
     mp, m = _instances(spark, d)
     return merged_instances(m, mp).withColumn("score", R(F.col("score")))
@@ -393,10 +395,10 @@ def src9_index_runs(spark, d):
     return masks.compact(X.mask_bits(spark, d).where("bit = 1"), "mask", "idx")
 
 
-@query(f"WITH {MASK_POINTS} SELECT mask, string_agg(pid::VARCHAR, ',' ORDER BY pid) AS pids FROM mask_points GROUP BY mask")
+@query(f"WITH {MASK_POINTS} SELECT scene_id, mask, string_agg(pid::VARCHAR, ',' ORDER BY pid) AS pids FROM mask_points GROUP BY scene_id, mask")
 def src10_ragged_instances(spark, d):
-    g = X.mask_points(spark, d).groupBy("mask").agg(F.sort_array(F.collect_list("pid")).alias("p"))
-    return g.select("mask", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("pids"))
+    g = X.mask_points(spark, d).groupBy("scene_id", "mask").agg(F.sort_array(F.collect_list("pid")).alias("p"))
+    return g.select("scene_id", "mask", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("pids"))
 
 
 @query("SELECT user_id AS mask, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id)::INT AS rank FROM events")
