@@ -9,6 +9,7 @@ from tesserae.functions import geometry as G
 from tesserae.operators import masks, spatial
 from tesserae.operators.graph import connected_components
 from tesserae.operators.ordered import medians
+from tesserae.operators.setjoin import overlap, similar_sets
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import BITS, MASK_POINTS, OBJECTS, PIXELS, POINTS, SAMPLES
 
@@ -220,6 +221,32 @@ def edge_scores(pairs: DataFrame, features: DataFrame, reach: float = 0.5) -> Da
     return j.withColumn("score", score).drop("fa", "fb")
 
 
+def linked_masks(mp: DataFrame, features: DataFrame, least: float = 0.55, size: float = 0.5) -> DataFrame:
+    """(scene_id, a, b, dist, iou, score): pairs of mask_pairs() that score `least` or more (JOI10, AGG9, AGG11).
+
+    Closeness and likeness give 0.45 at most, so a pair needs an overlap of (least - 0.45) / 0.55: above 0, only
+    pairs that a prefix filter lets through are met at all. At a lower limit pairs without a common point may be
+    linked, and all pairs of neighbouring cells are scored.
+    """
+    need = (least - 0.45) / 0.55
+    if need <= 0:
+        pairs = pair_overlap(mp, size)
+    else:
+        met = similar_sets(mp, need, ("scene_id", "class"), apart="view")
+        h = lambda s: mask_heads(mp).select("scene_id", F.col("mask").alias(s), *(F.col(k).alias(f"{k}{s}") for k in "xyz"))
+        j = met.join(h("a"), ["scene_id", "a"]).join(h("b"), ["scene_id", "b"])
+        near = [F.abs(spatial.cell(f"{k}a", size) - spatial.cell(f"{k}b", size)) <= 1 for k in "xyz"]
+        d = F.sqrt(sum((F.col(f"{k}a") - F.col(f"{k}b")) * (F.col(f"{k}a") - F.col(f"{k}b")) for k in "xyz"))
+        pairs = j.where(near[0] & near[1] & near[2]).select("scene_id", "a", "b", d.alias("dist"), overlap().alias("iou"))
+    return edge_scores(pairs, features, size).where(F.col("score") >= least)
+
+
+@query(f"WITH {MASK_POINTS}, h AS (SELECT scene_id, class, view, mask, count(*) AS n FROM mask_points GROUP BY ALL), c AS (SELECT scene_id, class, p.mask AS a, q.mask AS b, count(*) AS common FROM mask_points p JOIN mask_points q USING (scene_id, class, pid) WHERE p.mask < q.mask AND p.view <> q.view GROUP BY ALL) SELECT scene_id, class, a, b, common, round(common / (x.n + y.n - common) + 1e-9, 4) AS iou FROM c JOIN h x USING (scene_id, class) JOIN h y USING (scene_id, class) WHERE x.mask = a AND y.mask = b AND common >= 0.3 * (x.n + y.n - common)")
+def joi10_similar_masks(spark, d):
+    """Pairs of masks whose overlap is 0.3 or more, wherever they are, by the prefix filter (JOI10, AGG9)."""
+    return similar_sets(X.mask_points(spark, d), 0.3, ("scene_id", "class"), apart="view").select("scene_id", "class", "a", "b", "common", R(overlap()).alias("iou"))
+
+
 def _features(spark, d) -> DataFrame:
     return X.read(spark, d, "embeddings").selectExpr("concat('s', vec_id % 3) AS scene_id", "vec_id div 3 AS mask", "embedding AS feature")
 
