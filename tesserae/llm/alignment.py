@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import grouped, table, texts, worker_global
+from tesserae.llm.common import grouped, is_plain, table, texts, worker_global
 from tesserae.llm.tokens import load
 from tesserae.plans.materialize import materialize, release
 
@@ -32,6 +33,7 @@ class Tokenizers:
 
     def __init__(self, a: str, b: str):
         import sentencepiece
+        import tiktoken
 
         self.a, value = load(a), _byte_values()
         self.a.encode_special_tokens = True
@@ -39,20 +41,76 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         spell = lambda i: bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("\u2581", " ").encode()
         self.b_bytes = [spell(i) for i in range(self.b.get_piece_size())]
+        with open(a) as f:
+            merges = json.load(f)["model"]["merges"]
+        vocab = self.a.get_vocab(False)
+        joined = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        # ranks are merges only if later ones have larger ids
+        self.quick = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in self.a_bytes.items()}, special_tokens={}) if joined == sorted(joined) else None
+        #: Sizes of the tokens of both sides by id.
+        self.sizes = [np.zeros(max(self.a_bytes) + 1, np.int64), np.array(list(map(len, self.b_bytes)), np.int64)]
+        for i, x in self.a_bytes.items():
+            self.sizes[0][i] = len(x)
+        #: Each id as text with a sign after it: of A a comma or a bar, of B a comma, a semicolon or a unit's end.
+        self.spelled = [f"{i}{sign}" for k, signs in enumerate((",|", ",;\n")) for sign in signs for i in range(len(self.sizes[k]))]
         # a unit's end ends a piece, as no piece goes from a character to a space or holds a line break
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.apart = not any("\n" in p or "\u2581" in p.lstrip("\u2581") for p in pieces)
+        self.apart = self.quick is not None and not any("\n" in p or "\u2581" in p.lstrip("\u2581") for p in pieces)
+
+    def signed(self, side: int, ids: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """Places in `spelled`."""
+        return side * 2 * len(self.sizes[0]) + sign * len(self.sizes[side]) + ids
 
     def split(self, text: str) -> list[str]:
         """Units of space + text: words with the space before them, and line breaks; the whole where units could depend on each other."""
         whole = " " + text
         return [whole] if not self.apart or _JOINED(whole) else _UNITS(whole)
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each unit by A and by B. Units without a space in front are given to B after a line break, which is then taken off."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
-        return a, [ids if u[0] == " " else ids[2:] for u, ids in zip(units, b, strict=True)]
+    def encode(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Of both sides the ids of all units' tokens, one after the other, and how many each unit has; and which units' bytes a side's tokens do not give, which have none.
+
+        Words with a space in front are encoded as one text, since tokens end where they do, and are told
+        apart by their sizes; A's by the quicker library for the same merges, which differs at most on characters
+        of unlike classes. Others are given to the tokenizers one by one, to B after a line break, which is then
+        taken off.
+        """
+        size = np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
+        alone = np.fromiter((u[0] != " " or len(u) < 2 or "\u2581" in u or not is_plain(u) for u in units), bool, len(units)) if self.apart else np.ones(len(units), bool)
+        parts: list[tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]] = []
+        words = np.flatnonzero(~alone)
+        for k in range(0, len(words), 2000):
+            own = words[k : k + 2000]
+            text = "".join(units[i] for i in own)
+            ids = [np.array(self.quick.encode_ordinary(text), np.int64), np.array(self.b.encode(text[1:]), np.int64)]
+            upto, counts = np.cumsum(size[own]), []
+            for ids_, spelled, sizes in zip(ids, (self.a_bytes, self.b_bytes), self.sizes, strict=True):
+                end = np.cumsum(sizes[ids_])
+                at = np.searchsorted(end, upto)
+                if b"".join(map(spelled.__getitem__, ids_.tolist())) != text.encode() or (end[np.minimum(at, len(end) - 1)] != upto).any():
+                    break
+                counts.append(np.diff(at + 1, prepend=0))
+            if len(counts) == 2:
+                parts.append((own, ids, counts, np.zeros(len(own), bool)))
+            else:
+                alone[own] = True
+        single = np.flatnonzero(alone)
+        if len(single):
+            own = [units[i] for i in single]
+            a = [e.ids for e in self.a.encode_batch(own, add_special_tokens=False)]
+            b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in own], num_threads=1)
+            b = [ids if u[0] == " " else ids[2:] for u, ids in zip(own, b, strict=True)]
+            bad = np.array([b"".join(map(self.a_bytes.__getitem__, x)) != u.encode() or b"".join(map(self.b_bytes.__getitem__, y)) != u.encode() for u, x, y in zip(own, a, b, strict=True)], bool)
+            sides = [[[] if w else ids for ids, w in zip(side, bad, strict=True)] for side in (a, b)]
+            parts.append((single, [np.array([i for x in side for i in x], np.int64) for side in sides], [np.array(list(map(len, side)), np.int64) for side in sides], bad))
+        where = np.concatenate([p[0] for p in parts])
+        back = np.argsort(where, kind="stable")
+        out = []
+        for k in range(2):
+            ids, n = np.concatenate([p[1][k] for p in parts]), np.concatenate([p[2][k] for p in parts])
+            first = np.cumsum(n) - n
+            m = n[back]
+            out.append((ids[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[back], m)], m))
+        return [x[0] for x in out], [x[1] for x in out], np.concatenate([p[3] for p in parts])[back]
 
 
 def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -91,21 +149,12 @@ class Units:
         self.pairs = np.zeros(4096, np.uint32)
 
     def _add(self, units: list[str]) -> None:
-        a, b = self.tok.encode(units)
-        raw = [u.encode() for u in units]
-        spell = self.tok.a_bytes, self.tok.b_bytes
-        sizes = [[len(spell[k][i]) for ids in side for i in ids] for k, side in enumerate((a, b))]
-        bad = [b"".join(map(spell[0].__getitem__, x)) != r or b"".join(map(spell[1].__getitem__, y)) != r for x, y, r in zip(a, b, raw, strict=True)]
-        if any(bad):
-            a, b = ([[] if w else ids for ids, w in zip(side, bad, strict=True)] for side in (a, b))
-            sizes = [[len(spell[k][i]) for ids in side for i in ids] for k, side in enumerate((a, b))]
-        count = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)], np.int64)
-        ids = [np.array([i for x in side for i in x], np.uint32) for side in (a, b)]
-        ga, gb, left, right = align(*(np.array(s, np.int64) for s in sizes))
-        owner = np.repeat(np.arange(len(units)), count[:, 0])
-        link = ids[0][left] << np.uint32(15) | ids[1][right]
+        ids, count, bad = self.tok.encode(units)
+        ga, gb, left, right = align(*(self.tok.sizes[k][ids[k]] for k in range(2)))
+        owner = np.repeat(np.arange(len(units)), count[0])
+        link = (ids[0][left] << 15 | ids[1][right]).astype(np.uint32)
         n = np.zeros((len(units), 7), np.int64)
-        n[:, :2], n[:, 6] = count, bad
+        n[:, 0], n[:, 1], n[:, 6] = *count, bad
         n[:, 3] = np.bincount(owner[left], minlength=len(units))
         # a unit's bytes begin and end groups
         starts = np.append(True, ga[1:] != ga[:-1])[: len(ga)]
@@ -115,11 +164,15 @@ class Units:
             k = np.searchsorted(known, link)
             n[:, 4] = np.bincount(owner[left], weights=best[k], minlength=len(units))
             np.add.at(n[:, 5], owner[left], times[k])
-        names = [list(map(str, x.tolist())) for x in ids]
-        ends = [np.flatnonzero(np.append(g[1:] != g[:-1], True)[: len(g)]) + 1 for g in (ga, gb)]
-        cuts = [[",".join(names[k][p:q]) for p, q in zip([0, *e.tolist()], e.tolist(), strict=False)] for k, e in enumerate(ends)]
-        group = list(map("|".join, zip(*cuts, strict=True)))
-        upto = np.cumsum(n[:, 2])
+        # each group's A ids, then its B ids, each id with the sign that follows it
+        last = [np.append(g[1:] != g[:-1], True)[: len(g)] for g in (ga, gb)]
+        unit_end = np.zeros(len(gb), bool)
+        unit_end[np.cumsum(count[1])[count[1] > 0] - 1] = True
+        code = np.concatenate([self.tok.signed(0, ids[0], last[0].astype(np.int64)), self.tok.signed(1, ids[1], last[1] + unit_end.astype(np.int64))])
+        order = np.lexsort((np.repeat([0, 1], [len(ga), len(gb)]), np.concatenate([ga, gb])))
+        spelled = "".join(map(self.tok.spelled.__getitem__, code[order].tolist())).split("\n")[:-1]
+        strings = iter(spelled)
+        group = [next(strings) if k else "" for k in count[1].tolist()]
         # filled in
         old, new = len(self.at), len(self.at) + len(units)
         while new + 1 >= len(self.n):
@@ -131,7 +184,7 @@ class Units:
         self.n[old:new] = n
         self.pairs[used : used + len(link)] = link
         self.first[old + 1 : new + 1] = used + np.cumsum(n[:, 3])
-        self.spelled += [";".join(group[p:q]) for p, q in zip([0, *upto.tolist()], upto.tolist(), strict=False)]
+        self.spelled += group
         self.at.update(zip(units, range(old, new), strict=True))
 
     def places(self, docs: list[list[str]]) -> list[np.ndarray]:
