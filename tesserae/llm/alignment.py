@@ -10,12 +10,13 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import grouped, is_plain, table, texts, worker_global
 from tesserae.llm.tokens import load
-from tesserae.plans.materialize import materialize, release
+from tesserae.plans.materialize import materialize
 
 #: Runs of white space across which a tokenizer's tokens may depend on each other; other texts fall into units that are encoded apart.
 _JOINED = re.compile("  | \n| \\Z|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
@@ -135,15 +136,14 @@ def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Units:
     """What is known of units met so far: tokens, groups and linked pairs; starts afresh at `most` of them."""
 
-    def __init__(self, tok: Tokenizers, most: int = 300_000, counts=None):
-        """counts: an array of sorted pairs, and for each its count, and whether that is its A id's highest."""
-        self.tok, self.most, self.counts = tok, most, counts
+    def __init__(self, tok: Tokenizers, most: int = 300_000):
+        self.tok, self.most = tok, most
         self.reset()
 
     def reset(self) -> None:
         self.at: dict[str, int] = {}
-        #: Of each unit: A tokens, B tokens, groups, links, links that are best, sum of counts, 1 if the sides' bytes differ from the unit's.
-        self.n = np.zeros((1024, 7), np.int64)
+        #: Of each unit: A tokens, B tokens, groups, links, 1 if the sides' bytes differ from the unit's.
+        self.n = np.zeros((1024, 5), np.int64)
         self.spelled: list[str] = []
         self.first = np.zeros(1025, np.int64)
         self.pairs = np.zeros(4096, np.uint32)
@@ -153,17 +153,12 @@ class Units:
         ga, gb, left, right = align(*(self.tok.sizes[k][ids[k]] for k in range(2)))
         owner = np.repeat(np.arange(len(units)), count[0])
         link = (ids[0][left] << 15 | ids[1][right]).astype(np.uint32)
-        n = np.zeros((len(units), 7), np.int64)
-        n[:, 0], n[:, 1], n[:, 6] = *count, bad
+        n = np.zeros((len(units), 5), np.int64)
+        n[:, 0], n[:, 1], n[:, 4] = *count, bad
         n[:, 3] = np.bincount(owner[left], minlength=len(units))
         # a unit's bytes begin and end groups
         starts = np.append(True, ga[1:] != ga[:-1])[: len(ga)]
         n[:, 2] = np.bincount(owner[starts], minlength=len(units))
-        if self.counts is not None:
-            known, times, best = self.counts
-            k = np.searchsorted(known, link)
-            n[:, 4] = np.bincount(owner[left], weights=best[k], minlength=len(units))
-            np.add.at(n[:, 5], owner[left], times[k])
         # each group's A ids, then its B ids, each id with the sign that follows it
         last = [np.append(g[1:] != g[:-1], True)[: len(g)] for g in (ga, gb)]
         unit_end = np.zeros(len(gb), bool)
@@ -205,7 +200,7 @@ class Units:
         unit, times = np.unique(doc << 32 | np.concatenate([*places, np.zeros(0, np.int64)]), return_counts=True)
         doc, unit = unit >> 32, unit & 0xFFFFFFFF
         bad = np.zeros(len(places), bool)
-        bad[doc[self.n[unit, 6] > 0]] = True
+        bad[doc[self.n[unit, 4] > 0]] = True
         live = ~bad[doc]
         doc, unit, times = doc[live], unit[live], times[live]
         n = self.n[unit, 3]
@@ -214,14 +209,14 @@ class Units:
         return pair >> 32, pair & 0xFFFFFFFF, np.bincount(back, weights=np.repeat(times, n), minlength=len(pair)).astype(np.int64)
 
     def totals(self, places: list[np.ndarray]) -> tuple[np.ndarray, list[str]]:
-        """(documents, 6) sums over the documents' units, and the digests of their groups; zeros and '' where a unit's bytes differ."""
-        out, digest = np.zeros((len(places), 6), np.int64), []
+        """(documents, 4) sums over the documents' units, and the digests of their groups; zeros and '' where a unit's bytes differ."""
+        out, digest = np.zeros((len(places), 4), np.int64), []
         for k, p in enumerate(places):
             n = self.n[p].sum(0)
-            if not len(p) or n[6]:
+            if not len(p) or n[4]:
                 digest.append("")
                 continue
-            out[k] = n[:6]
+            out[k] = n[:4]
             digest.append(hashlib.sha256(";".join(map(self.spelled.__getitem__, p.tolist())).encode()).hexdigest())
         return out, digest
 
@@ -233,30 +228,58 @@ def _units(a: str, b: str, cache: int, counts=None) -> Units:
     return Units(worker_global(f"both {a} {b}", lambda: Tokenizers(a, b)), cache, counts)
 
 
-def pair_counts(docs: DataFrame, a: str, b: str, text_col: str = "text", cache: int = 300_000, held: int = 1 << 22) -> DataFrame:
-    """(pair, n): how many documents hold each pair of linked ids; pair is the A id times 2^15 plus the B id. Tasks add up what they meet, `held` entries at a time, before the shuffle."""
+_COUNTED = ("n_a", "n_b", "n_groups", "n_links")
+
+
+def _packed(pair: np.ndarray, times: np.ndarray) -> bytes:
+    """A document's pairs, in order, and how often each occurs."""
+    return zstandard.compress(np.concatenate([np.diff(pair, prepend=0), times]).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1).astype(np.int64)
+    return np.cumsum(x[: len(x) // 2]), x[len(x) // 2 :]
+
+
+def tokenized(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str = "text", cache: int = 300_000) -> DataFrame:
+    """(doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links) of each row's whole text; links: its distinct linked pairs and their numbers of occurrences, packed. A pair is the A id times 2^15 plus the B id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, met, n = _units(a, b, cache), [], 0
+        units = Units(worker_global(f"both {a} {b}", lambda: Tokenizers(a, b)), cache)
+        for batch in grouped(batches):
+            places = units.places([units.tok.split(t) if t else [] for t in texts(batch)])
+            n, digest = units.totals(places)
+            doc, pair, times = units.linked(places)
+            cuts = np.searchsorted(doc, np.arange(len(places) + 1)).tolist()
+            links = [_packed(pair[p:q], times[p:q]) for p, q in zip(cuts, cuts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in n.T), pa.array(digest, pa.string()), pa.array(links, pa.binary())], names=["doc_id", *_COUNTED, "groups_sha256", "links"])
+
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return own.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in _COUNTED) + ", groups_sha256 string, links binary")
+
+
+def pair_counts(rows: DataFrame, held: int = 1 << 22) -> DataFrame:
+    """(pair, n): how many of the rows of tokenized() hold each pair. Tasks add up what they meet, `held` entries at a time, before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            pair, times = np.concatenate([m[0] for m in met]), np.concatenate([m[1] for m in met])
-            pair, back = np.unique(pair, return_inverse=True)
-            times = np.bincount(back, weights=times).astype(np.int64)
+            pair, times = np.unique(np.concatenate(met), return_counts=True)
             for i in range(0, len(pair), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(pair[i : i + 100_000], pa.int64()), pa.array(times[i : i + 100_000], pa.int64())], names=["pair", "n"])
 
-        for batch in grouped(batches):
-            _, pair, _ = units.linked(units.places([units.tok.split(t) if t else [] for t in texts(batch)]))
-            met.append(np.unique(pair, return_counts=True))
-            n += len(met[-1][0])
-            if n >= held:
-                yield from flush()
-                met, n = [], 0
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                met.append(_unpacked(x)[0])
+                n += len(met[-1])
+                if n >= held:
+                    yield from flush()
+                    met, n = [], 0
         if met:
             yield from flush()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return rows.select("links").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def alignments(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str = "text", cache: int = 300_000, most_pairs: int = 1 << 23) -> DataFrame:
@@ -264,52 +287,51 @@ def alignments(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col
 
     A's tokens are of space + text, B's of the text. Texts fall into units, words with the space before
     them and line breaks, that both tokenizers encode apart; a worker aligns a unit once and keeps it in
-    its cache. White space of other forms could join units, so such texts are one unit each. A first pass
-    counts the documents of each linked pair; a second adds up each text's links. The counts are
-    broadcast if there are at most most_pairs (100 MB); beyond, each document's pairs meet them by a join.
+    its cache. White space of other forms could join units, so such texts are one unit each. Texts are
+    tokenized once; each one's linked pairs are written, packed. Their counts of documents are
+    broadcast if there are at most most_pairs (140 MB); beyond, each document's pairs meet them by a join.
 
     Null and empty texts, and those whose A or B tokens' bytes differ from space + text, have zeros and
     ''. Each repeated row counts as a document. Null ids stay null; ids are of any type; other columns are not read. No rows
     give no rows.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    counts = materialize(pair_counts(docs, a, b, text_col, cache), "aligned-pairs")
-    highest = materialize(counts.groupBy(F.shiftright("pair", 15).alias("a")).agg(F.max("n").alias("most")), "aligned-highest")
+    rows = materialize(tokenized(docs, a, b, id_col, text_col, cache).withColumn("row", F.monotonically_increasing_id()), "aligned-rows")
+    counts = materialize(pair_counts(rows), "aligned-pairs")
     # at most one row for each id of A
+    highest = counts.groupBy(F.shiftright("pair", 15).alias("a")).agg(F.max("n").alias("most"))
     known = counts.withColumn("a", F.shiftright("pair", 15)).join(highest, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in _COLUMNS) + ", groups_sha256 string"
+    out = ["doc_id", *_COUNTED, "n_best", "count_sum", "groups_sha256"]
+    schema = f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in _COUNTED) + ", groups_sha256 string"
     if counts.count() <= most_pairs:
         got = known.toArrow()
         order = np.argsort(pair := got["pair"].to_numpy(), kind="stable")
-        shared = docs.sparkSession.sparkContext.broadcast((pair[order].astype(np.uint32), got["n"].to_numpy()[order], got["best"].to_numpy()[order]))
-        release(highest)
+        shared = docs.sparkSession.sparkContext.broadcast((pair[order], got["n"].to_numpy()[order], got["best"].to_numpy()[order]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            units = _units(a, b, cache, shared.value)
-            for batch in grouped(batches):
-                n, digest = units.totals(units.places([units.tok.split(t) if t else [] for t in texts(batch)]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in n.T), pa.array(digest, pa.string())], names=["doc_id", *_COLUMNS, "groups_sha256"])
-
-        return own.mapInArrow(run, schema)
+            pairs, n, best = shared.value
+            for batch in batches:
+                sums = []
+                for x in batch.column("links").to_pylist():
+                    pair, times = _unpacked(x)
+                    at = np.searchsorted(pairs, pair)
+                    sums.append((int(times[best[at]].sum()), int((times * n[at]).sum())))
+                names = [*(c for c in batch.schema.names if c != "links"), "n_best", "count_sum"]
+                cols = list(zip(*sums, strict=True)) or [[], []]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-2]), *(pa.array(c, pa.int64()) for c in cols)], names=names)
+
+        return rows.select("row", "doc_id", *_COUNTED, "groups_sha256", "links").mapInArrow(run, f"{schema}, n_best long, count_sum long").select(*out)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _units(a, b, cache)
-        for batch in grouped(batches):
-            places = units.places([units.tok.split(t) if t else [] for t in texts(batch)])
-            n, digest = units.totals(places)
-            doc, pair, times = units.linked(places)
-            cuts = np.searchsorted(doc, np.arange(len(places) + 1))
-            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x, pa.int64())) for x in (pair, times)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in n.T), pa.array(digest, pa.string()), *lists], names=["doc_id", *_COLUMNS, "groups_sha256", "pairs", "times"])
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                pair, times = _unpacked(x)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), k), pa.int64()), pa.array(pair, pa.int64()), pa.array(times, pa.int64())], names=["row", "pair", "times"])
 
-    rows = materialize(own.mapInArrow(listed, schema + ", pairs array<long>, times array<long>").withColumn("row", F.monotonically_increasing_id()), "aligned-rows")
-    each = rows.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select("row", F.col("p.pairs").alias("pair"), F.col("p.times").alias("times"))
+    each = rows.select("row", "links").mapInArrow(listed, "row long, pair long, times long")
     # written, so that the join can be split by a common pair
     met = each.join(materialize(known, "aligned-known").hint("merge"), "pair")
-    sums = met.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("best"), F.sum(F.col("n") * F.col("times")).alias("sum"))
-    out = {"n_best": F.coalesce("best", F.lit(0)), "count_sum": F.coalesce("sum", F.lit(0))}
-    return rows.drop("pairs", "times").join(sums.hint("merge"), "row", "left").withColumns(out).select("doc_id", *_COLUMNS, "groups_sha256")
+    sums = met.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("times")).alias("count_sum"))
+    return rows.drop("links").join(sums.hint("merge"), "row", "left").fillna(0, ["n_best", "count_sum"]).select(*out)
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
