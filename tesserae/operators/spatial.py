@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,13 +31,35 @@ def nearest_within(queries: DataFrame, reference: DataFrame, radius: float, by:
     return best.select(*by, "qid", F.col("m.rid").alias("pid"), F.col("m.dist").alias("dist"))
 
 
-def boxes_holding(points: DataFrame, boxes: DataFrame, size: float, by: tuple[str, ...] = ()) -> DataFrame:
+def level(extent: Column, size: float) -> Column:
+    """The level of the grid at which a box of this extent covers two cells an axis at most: cells of size * 2^level; 0 for small boxes."""
+    return F.when(extent > size, F.ceil(F.log2(extent / size))).otherwise(0).cast("int")
+
+
+def cell_at(at: Column, lev: Column, size: float) -> Column:
+    """The cell of a place on a level."""
+    return F.floor(at / (size * F.pow(F.lit(2.0), lev))).cast("long")
+
+
+def cells_between(low: Column, high: Column, lev: Column, size: float) -> Column:
+    return F.sequence(cell_at(low, lev, size), cell_at(high, lev, size))
+
+
+def levels(boxes: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(*by, level): the levels that a scene's boxes have; a few rows a scene."""
+    return boxes.select(*by, "level").distinct()
+
+
+def boxes_holding(points: DataFrame, boxes: DataFrame, size: float, by: tuple[str, ...]) -> DataFrame:
     """Points with each box (x_min, x_max, y_min, y_max) of their scene (by) that holds them, both ends included (JOI6).
 
-    A box lists the cells that it covers; a point meets the boxes of its own cell only.
+    A box is filed at the level of its own extent, so it lists four cells at most, whatever its size; a
+    point looks in one cell of each level that its scene has.
     """
-    span = lambda a: F.sequence(F.floor(F.col(f"{a}_min") / size).cast("long"), F.floor(F.col(f"{a}_max") / size).cast("long"))
-    b = boxes.withColumn("c_x", F.explode(span("x"))).withColumn("c_y", F.explode(span("y")))
-    p = points.withColumns({"c_x": cell("x", size), "c_y": cell("y", size)})
+    b = boxes.withColumn("level", level(F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min")), size))
+    p = points.join(levels(b, by), list(by))
+    p = p.withColumns({f"c_{a}": cell_at(F.col(a), F.col("level"), size) for a in "xy"})
+    for a in "xy":
+        b = b.withColumn(f"c_{a}", F.explode(cells_between(F.col(f"{a}_min"), F.col(f"{a}_max"), F.col("level"), size)))
     inside = (F.col("x") >= F.col("x_min")) & (F.col("x") <= F.col("x_max")) & (F.col("y") >= F.col("y_min")) & (F.col("y") <= F.col("y_max"))
-    return p.join(b, [*by, "c_x", "c_y"]).where(inside).drop("c_x", "c_y")
+    return p.join(b, [*by, "level", "c_x", "c_y"]).where(inside).drop("level", "c_x", "c_y")
