@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators.masks import view_problems
 from tesserae.plans.materialize import materialize, release
 from tesserae.plans.scene import mask_heads
 from tesserae.sources import fixtures as X
@@ -199,13 +200,10 @@ def fil4_mask_filter(spark, d):
     return g.where("area >= 2 AND edge <= 0.5").select("mask", "area", R(F.col("edge")).alias("edge"))
 
 
-@query(f"""WITH {PIXELS}, cm AS (SELECT DISTINCT n_nationkey % 6 AS view FROM nation), rs AS (SELECT n_nationkey % 9 AS view, count(*) AS n FROM nation GROUP BY 1), g AS (SELECT view, count(*) AS n_pixels FROM pixels GROUP BY view)
-SELECT g.view, n_pixels, CASE WHEN cm.view IS NULL THEN 'no camera' WHEN rs.n <> 3 THEN rs.n || ' rasters' ELSE '' END AS problem FROM g LEFT JOIN cm ON cm.view = g.view LEFT JOIN rs ON rs.view = g.view""")
+@query(f"""WITH {PIXELS}, cm AS (SELECT DISTINCT 's' || n_nationkey % 3 AS scene_id, n_nationkey % 7 AS view FROM nation), rs AS (SELECT 's' || n_nationkey % 3 AS scene_id, n_nationkey % 9 AS view, count(*) AS n FROM nation GROUP BY ALL), g AS (SELECT 's' || oid % 3 AS scene_id, view, count(*) AS n_masks FROM pixels GROUP BY ALL)
+SELECT * FROM (SELECT scene_id, g.view, n_masks, CASE WHEN cm.view IS NULL THEN 'no camera' WHEN coalesce(rs.n, 0) <> 1 THEN coalesce(rs.n, 0) || ' rasters' END AS problem FROM g LEFT JOIN cm USING (scene_id, view) LEFT JOIN rs USING (scene_id, view)) WHERE problem IS NOT NULL""")
 def joi9_view_checks(spark, d):
-    """Each view's pixels, and what keeps it from being lifted: no camera, or another number of depth rasters than due (JOI9)."""
+    """Views of each scene that cannot be lifted: without a camera, or with another number of depth rasters than one (JOI9)."""
     n = X.read(spark, d, "nation")
-    cameras = n.selectExpr("n_nationkey % 6 AS view").distinct().withColumn("camera", F.lit(True))
-    rasters = n.groupBy(F.expr("n_nationkey % 9").alias("view")).agg(F.count("*").alias("n"))
-    g = X.pixels(spark, d).groupBy("view").agg(F.count("*").alias("n_pixels")).join(cameras, "view", "left").join(rasters, "view", "left")
-    problem = F.when(F.col("camera").isNull(), "no camera").when(F.col("n") != 3, F.concat("n", F.lit(" rasters"))).otherwise("")
-    return g.select("view", "n_pixels", problem.alias("problem"))
+    cameras, rasters = (n.selectExpr("concat('s', n_nationkey % 3) AS scene_id", f"n_nationkey % {k} AS view") for k in (7, 9))
+    return view_problems(X.pixels(spark, d).selectExpr("concat('s', oid % 3) AS scene_id", "view"), cameras, rasters)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
@@ -43,11 +43,24 @@ def geo1_triangle_attributes(spark, d):
     return _faces(spark, d).select("scene_id", "fid", *(R(F.col(c)).alias(c) for c in ("area", "nz", "cx", "cy", "cz")))
 
 
-@query(f"WITH {FACES} SELECT fid, round((-cy + 10) * 0.01 + 1e-9, 4) AS x, round((cx + 20) * 0.01 + 1e-9, 4) AS y, round((cz + 1) * 0.01 + 1e-9, 4) AS z FROM faces")
+def placed_faces(faces: DataFrame, matrices: DataFrame) -> DataFrame:
+    """faces with their corners in world metres: each instance's row-major 4x4 matrix times the corner, then the scene's unit (GEO2).
+
+    matrices: (scene_id, instance, matrix array<double>, metres), a row an instance; faces without one are left out.
+    """
+    j = faces.join(matrices, ["scene_id", "instance"])
+    m, unit = F.col("matrix"), F.col("metres")
+    out = {f"{a}{k}": v * unit for k in range(3) for a, v in zip("xyz", G.affine(m, *(F.col(f"{b}{k}") for b in "xyz")), strict=True)}
+    return j.withColumns(out).drop("matrix", "metres")
+
+
+@query(f"WITH {FACES}, m AS (SELECT *, radians(instance * 15e0) AS t, instance * 0.5e0 AS sx, 1e0 AS sz, CASE WHEN scene_id = 's1' THEN 0.01e0 ELSE 1e0 END AS unit FROM faces) SELECT scene_id, fid, {', '.join(f'round((x{k} * cos(t) + y{k} * -sin(t) + z{k} * 0e0 + sx) * 1e0 * unit + 1e-9, 4) + 0e0 AS x{k}, round((x{k} * sin(t) + y{k} * cos(t) + z{k} * 0e0 + 2e0) * 1e0 * unit + 1e-9, 4) + 0e0 AS y{k}, round((x{k} * 0e0 + y{k} * 0e0 + z{k} * 1e0 + sz) * 1e0 * unit + 1e-9, 4) + 0e0 AS z{k}' for k in range(3))} FROM m WHERE instance % 5 <> 4")
 def geo2_affine(spark, d):
-    turn = [0, -1, 0, 10, 1, 0, 0, 20, 0, 0, 1, 1, 0, 0, 0, 1]
-    x, y, z = G.affine(turn, F.col("cx"), F.col("cy"), F.col("cz"), 0.01)
-    return _faces(spark, d).select("fid", R(x).alias("x"), R(y).alias("y"), R(z).alias("z"))
+    """Faces placed by the matrices of their instances; some instances have none."""
+    f = X.faces(spark, d)
+    m = f.select("scene_id", "instance").distinct().where("instance % 5 <> 4").withColumn("t", F.expr("radians(instance * 15e0)"))
+    m = m.selectExpr("scene_id", "instance", "array(cos(t), -sin(t), 0e0, instance * 0.5e0, sin(t), cos(t), 0e0, 2e0, 0e0, 0e0, 1e0, 1e0, 0e0, 0e0, 0e0, 1e0) AS matrix", "if(scene_id = 's1', 0.01e0, 1e0) AS metres")
+    return placed_faces(f, m).select("scene_id", "fid", *((R(F.col(f"{a}{k}")) + 0.0).alias(f"{a}{k}") for a in "xyz" for k in range(3)))
 
 
 _BOX = "(SELECT scene_id, instance, min(least(x0, x1, x2)) AS x_min, max(greatest(x0, x1, x2)) AS x_max, min(least(y0, y1, y2)) AS y_min, max(greatest(y0, y1, y2)) AS y_max FROM faces GROUP BY scene_id, instance)"
@@ -57,14 +70,17 @@ def _boxes(f: DataFrame, *keys: str) -> DataFrame:
     return f.groupBy(*(keys or ("scene_id", "instance"))).agg(*(F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min") for a in "xyz"), *(F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max") for a in "xyz"))
 
 
-@query(f"""WITH {FACES}, b AS {_BOX}, s AS (SELECT scene_id, min(x_min) AS sx0, max(x_max) AS sx1, min(y_min) AS sy0, max(y_max) AS sy1 FROM b GROUP BY scene_id)
-SELECT scene_id, instance, round(greatest(x_min - 0.75, sx0) + 1e-9, 4) AS x_min, round(least(x_max + 0.75, sx1) + 1e-9, 4) AS x_max, round(greatest(y_min - 0.75, sy0) + 1e-9, 4) AS y_min, round(least(y_max + 0.75, sy1) + 1e-9, 4) AS y_max FROM b JOIN s USING (scene_id)""")
+def expanded_bounds(boxes: DataFrame, margin: float = 0.75) -> DataFrame:
+    """boxes (scene_id, .., x_min .. z_max) widened by the margin in XY within their scene's bounds, and as high as the scene (GEO4)."""
+    s = boxes.groupBy("scene_id").agg(*(f(f"{a}_{m}").alias(f"_{a}_{m}") for a in "xyz" for m, f in (("min", F.min), ("max", F.max))))
+    grown = {f"{a}_{m}": f(F.col(f"{a}_{m}") + by, f"_{a}_{m}") for a in "xy" for m, f, by in (("min", F.greatest, -margin), ("max", F.least, margin))}
+    return boxes.join(s, "scene_id").withColumns(grown | {f"z_{m}": F.col(f"_z_{m}") for m in ("min", "max")}).select(*boxes.columns)
+
+
+@query(f"""WITH {FACES}, b AS (SELECT scene_id, instance, {", ".join(f"min(least({a}0, {a}1, {a}2)) AS {a}_min, max(greatest({a}0, {a}1, {a}2)) AS {a}_max" for a in "xyz")} FROM faces GROUP BY scene_id, instance), s AS (SELECT scene_id, min(x_min) AS sx0, max(x_max) AS sx1, min(y_min) AS sy0, max(y_max) AS sy1, min(z_min) AS sz0, max(z_max) AS sz1 FROM b GROUP BY scene_id)
+SELECT scene_id, instance, round(greatest(x_min - 0.75, sx0) + 1e-9, 4) AS x_min, round(least(x_max + 0.75, sx1) + 1e-9, 4) AS x_max, round(greatest(y_min - 0.75, sy0) + 1e-9, 4) AS y_min, round(least(y_max + 0.75, sy1) + 1e-9, 4) AS y_max, round(sz0 + 1e-9, 4) AS z_min, round(sz1 + 1e-9, 4) AS z_max FROM b JOIN s USING (scene_id)""")
 def geo4_expanded_bounds(spark, d):
-    b = _boxes(_faces(spark, d)).select("scene_id", "instance", "x_min", "x_max", "y_min", "y_max")
-    s = b.groupBy("scene_id").agg(F.min("x_min").alias("sx0"), F.max("x_max").alias("sx1"), F.min("y_min").alias("sy0"), F.max("y_max").alias("sy1"))
-    b = b.join(s, "scene_id")
-    grown = {"x_min": F.greatest(F.col("x_min") - 0.75, "sx0"), "x_max": F.least(F.col("x_max") + 0.75, "sx1"), "y_min": F.greatest(F.col("y_min") - 0.75, "sy0"), "y_max": F.least(F.col("y_max") + 0.75, "sy1")}
-    return b.select("scene_id", "instance", *(R(c).alias(k) for k, c in grown.items()))
+    return expanded_bounds(_boxes(_faces(spark, d))).select("scene_id", "instance", *(R(F.col(f"{a}_{m}")).alias(f"{a}_{m}") for a in "xyz" for m in ("min", "max")))
 
 
 _ANCHORS = "anchors AS (SELECT 's' || (n_nationkey % 3) AS scene_id, n_nationkey AS anchor, n_nationkey % 5 * 3e0 AS ax, n_nationkey // 5 * 3e0 AS ay FROM nation)"
@@ -89,11 +105,23 @@ def geo10_eye_and_right(spark, d):
     return X.read(spark, d, "nation").select(F.col("n_nationkey").alias("anchor"), F.expr("n_nationkey % 5 * 3e0").alias("eye_x"), F.expr("n_nationkey div 5 * 3e0").alias("eye_y"), F.lit(1.6).alias("eye_z"), R(-F.sin(yaw)).alias("right_x"), R(F.cos(yaw)).alias("right_y"))
 
 
-@query(f"""WITH {FACES}, u AS (SELECT *, (fid * 7 % 101) / 101e0 AS u, (fid * 13 % 103) / 103e0 AS v FROM faces), w AS (SELECT *, CASE WHEN u + v > 1 THEN 1 - u ELSE u END AS a, CASE WHEN u + v > 1 THEN 1 - v ELSE v END AS b FROM u)
-SELECT fid, round((1 - a - b) * x0 + a * x1 + b * x2 + 1e-9, 4) AS x, round((1 - a - b) * y0 + a * y1 + b * y2 + 1e-9, 4) AS y, round((1 - a - b) * z0 + a * z1 + b * z2 + 1e-9, 4) AS z FROM w""")
+def surface_points(faces: DataFrame, u: Column, v: Column) -> DataFrame:
+    """faces (x0 .. z2, colours r0 .. b2) with the point of each at (u, v), reflected beyond the diagonal: place x, y, z, colour r, g, b as whole numbers from 0 to 255, and the unit normal nx, ny, nz (GEO6)."""
+    w = G.barycentric(u, v)
+    mix = lambda a: sum(w[k] * F.col(f"{a}{k}") for k in range(3))
+    f = faces if "nx" in faces.columns else G.with_triangle_attributes(faces)
+    return f.withColumns({a: mix(a) for a in "xyz"} | {a: F.floor(F.least(F.greatest(mix(a), F.lit(0.0)), F.lit(255.0))).cast("short") for a in "rgb"})
+
+
+_COLOUR = {"r": "v{k} * 53 % 300 - 20e0", "g": "v{k} * 31 % 256 + 0e0", "b": "v{k} * 17 % 290 - 5e0"}
+
+
+@query(f"""WITH {FACES}, u AS (SELECT *, {", ".join(f"{e.format(k=k)} AS {a}{k}" for a, e in _COLOUR.items() for k in range(3))}, (fid * 7 % 101) / 101e0 AS u, (fid * 13 % 103) / 103e0 AS v FROM faces), w AS (SELECT *, CASE WHEN u + v > 1 THEN 1 - u ELSE u END AS p, CASE WHEN u + v > 1 THEN 1 - v ELSE v END AS q FROM u)
+SELECT scene_id, fid, {", ".join(f"round((1 - p - q) * {a}0 + p * {a}1 + q * {a}2 + 1e-9, 4) AS {a}" for a in "xyz")}, {", ".join(f"floor(least(greatest((1 - p - q) * {a}0 + p * {a}1 + q * {a}2, 0), 255))::SMALLINT AS {a}" for a in "rgb")}, {", ".join(f"round(n{a} + 1e-9, 4) + 0e0 AS n{a}" for a in "xyz")} FROM w""")
 def geo6_barycentric(spark, d):
-    w = G.barycentric(F.expr("(fid * 7 % 101) / 101e0"), F.expr("(fid * 13 % 103) / 103e0"))
-    return _faces(spark, d).select("fid", *(R(sum(w[k] * F.col(f"{a}{k}") for k in range(3))).alias(a) for a in "xyz"))
+    f = _faces(spark, d).withColumns({f"{a}{k}": F.expr(e.format(k=k)) for a, e in _COLOUR.items() for k in range(3)})
+    p = surface_points(f, F.expr("(fid * 7 % 101) / 101e0"), F.expr("(fid * 13 % 103) / 103e0"))
+    return p.select("scene_id", "fid", *(R(F.col(a)).alias(a) for a in "xyz"), "r", "g", "b", *((R(F.col(f"n{a}")) + 0.0).alias(f"n{a}") for a in "xyz"))
 
 
 def budgets(f: DataFrame, keys: tuple[str, ...] = ("scene_id", "instance"), triangles: int = 1_500_000, points: int = 250_000, side: float = 8.0, density: float = 2500.0) -> DataFrame:

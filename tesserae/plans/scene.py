@@ -10,6 +10,7 @@ from tesserae.operators import masks, spatial
 from tesserae.operators.graph import connected_components
 from tesserae.operators.ordered import medians
 from tesserae.operators.setjoin import overlap, similar_sets
+from tesserae.plans.materialize import materialize
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import BITS, MASK_POINTS, OBJECTS, PIXELS, POINTS, SAMPLES
 
@@ -310,9 +311,10 @@ def _views(spark, d) -> DataFrame:
 def unprojected(pixels: DataFrame, views: DataFrame) -> DataFrame:
     """pixels (view, row, col, dist) with their world places x, y, z; those without a finite positive distance or a camera have none (GEO7).
 
-    views: (view, fx, fy, cx, cy, camera_to_world); a table of cameras, which Spark broadcasts if it is small.
+    views: ([scene_id,] view, fx, fy, cx, cy, camera_to_world); a table of cameras, which Spark broadcasts if it is small.
     """
-    seen = pixels.where((F.col("dist") > 0) & (F.col("dist") < float("inf"))).join(views, "view")
+    key = [c for c in ("scene_id", "view") if c in views.columns]
+    seen = pixels.where((F.col("dist") > 0) & (F.col("dist") < float("inf"))).join(views, key)
     x, y, z = G.unproject(*(F.col(c) for c in ("row", "col", "dist", "fx", "fy", "cx", "cy")))
     m = F.col("camera_to_world")
     out = {a: m[4 * i] * x + m[4 * i + 1] * y + m[4 * i + 2] * z + m[4 * i + 3] for i, a in enumerate("xyz")}
@@ -326,6 +328,34 @@ def geo7_unproject(spark, d):
     return p.groupBy("view", "row", "col").agg(F.count("*").alias("n"), *((R(F.min(a)) + 0.0).alias(a) for a in "xyz"))
 
 
+def lifted_masks(masks_: DataFrame, depth: DataFrame, cameras: DataFrame, points: DataFrame, radius: float) -> DataFrame:
+    """(scene_id, mask, pid, weight): the scene's points that each mask holds, from its run lists, the view's depths and camera (JOI9, GEO7, JOI8, AGG6).
+
+    masks_: (scene_id, mask, view, height, rle); depth: (scene_id, view, row, col, dist), a raster a view;
+    cameras: see unprojected(); points: (scene_id, pid, x, y, z). A pixel that several masks hold is placed and
+    looks for its nearest point once. Views with problems are for masks.view_problems().
+    """
+    key = ["scene_id", "view", "row", "col"]
+    seen = materialize(masks.seen_pixels(masks_, depth), "lifted-pixels")
+    at = unprojected(seen.select(*key, "dist").distinct(), cameras).withColumn("pid", F.struct("view", "row", "col"))
+    near = spatial.nearest_within(at, points, radius, ("scene_id",)).select("scene_id", "qid.*", "pid", F.col("dist").alias("away"))
+    met = seen.join(near, key).select("scene_id", "mask", "pid", F.col("away").alias("dist"))
+    return lifted_points(met, radius)
+
+
+_MASKS = """ml AS (SELECT 's' || (mask % 3) AS scene_id, mask, 1 + mask % 7 AS view, idx % 8 AS row, idx // 8 AS col FROM bits WHERE bit = 1), dp AS (SELECT 's' || (oid % 3) AS scene_id, view, row, col, min(dist) AS dist FROM pixels GROUP BY ALL)"""
+
+
+@query(f"""WITH {BITS}, {PIXELS}, {POINTS}, {_POSE}, {_MASKS}, s AS (SELECT *, (col + 0.5e0 - 32) / 64 AS rx, -(row + 0.5e0 - 32) / 64 AS ry FROM ml JOIN dp USING (scene_id, view, row, col) WHERE dist > 0), l AS (SELECT *, rx / sqrt(rx * rx + ry * ry + 1) * dist AS lx, ry / sqrt(rx * rx + ry * ry + 1) * dist AS ly, -1e0 / sqrt(rx * rx + ry * ry + 1) * dist AS lz FROM s),
+w AS (SELECT scene_id, mask, row, col, cos(t) * lx - sin(t) * ly + px AS wx, sin(t) * lx + cos(t) * ly + py AS wy, lz + pz AS wz FROM l JOIN cams USING (view)), j AS (SELECT w.*, p.pid, sqrt((wx - x) * (wx - x) + (wy - y) * (wy - y) + (wz - z) * (wz - z)) AS away FROM w JOIN points p ON w.scene_id = p.scene_id AND abs(wx - x) < 1 AND abs(wy - y) < 1 AND abs(wz - z) < 1),
+k AS (SELECT *, row_number() OVER (PARTITION BY scene_id, mask, row, col ORDER BY away, pid) AS k FROM j WHERE away < 1) SELECT scene_id, mask, pid, round(max(exp(-(away * away))) + 1e-9, 4) AS weight FROM k WHERE k = 1 GROUP BY scene_id, mask, pid""")
+def joi9_lifted_masks(spark, d):
+    """Masks of 8 rows lifted onto the scenes' points within 1 (JOI9, AGG6)."""
+    m = masks.encode_runs(X.mask_bits(spark, d)).selectExpr("concat('s', mask % 3) AS scene_id", "mask", "1 + mask % 7 AS view", "CAST(8 AS BIGINT) AS height", "rle")
+    depth = X.pixels(spark, d).groupBy(F.expr("concat('s', oid % 3)").alias("scene_id"), "view", "row", "col").agg(F.min("dist").alias("dist"))
+    return lifted_masks(m, depth, _views(spark, d), X.points(spark, d), 1.0).withColumn("weight", R(F.col("weight")))
+
+
 @query("SELECT p_partkey AS view, round((p_size + 100) * 0.5e0 / tan(radians(60e0) / 2) + 1e-9, 4) AS fx, round((p_size + 50) * 0.5e0 / tan(radians(45e0) / 2) + 1e-9, 4) AS fy, (p_size + 100) / 2e0 AS cx, (p_size + 50) / 2e0 AS cy FROM part")
 def geo8_intrinsics(spark, d):
     w, h = F.col("p_size") + 100, F.col("p_size") + 50
