@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
+from tesserae.operators.digests import mask_ids, observation_ids, region_ids
 from tesserae.operators.metadata import rule_problems, setting_problems, token_set, vocabulary_problems
 from tesserae.operators.placement import placed_boxes
 from tesserae.plans.materialize import shared_dir
 from tesserae.plans.mesh import _boxes, _faces
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES, OBJECTS
+from tesserae.sources.outputs import commit, committed, keyed_files, manifest_files, metadata_outputs, region_manifest
 
 R = lambda c, n=4: F.round(c + 1e-9, n)
 QUERIES: dict = {}
@@ -56,18 +58,17 @@ def src2_manifest(spark, d):
     return parse_manifest(X.read(spark, d, "part").selectExpr("p_partkey AS line_no", f"{line} AS line"))
 
 
-def keyed_json(docs: DataFrame) -> DataFrame:
-    """(source, key, value) of JSON objects keyed by uid (source, json); a corrupt one gives a row without a key."""
-    entries = F.when(F.try_parse_json("json").isNotNull(), F.from_json("json", "map<string,string>"))
-    return docs.select("source", F.explode_outer(entries).alias("key", "value"))
-
-
-@query("SELECT p_partkey AS source, CASE WHEN p_partkey % 13 <> 0 THEN k || p_partkey END AS key, CASE WHEN p_partkey % 13 <> 0 THEN p_size * 100 ELSE -1 END AS face_count FROM part, (VALUES ('a'), ('b')) t(k) WHERE p_partkey % 13 <> 0 OR k = 'a'")
+@query("""WITH p AS (SELECT *, p_partkey // 100 AS shard FROM part) SELECT shard, 'u' || p_partkey AS key, p_size * 100 AS face_count, '' AS problem FROM p WHERE shard % 7 NOT IN (3, 5) UNION ALL SELECT DISTINCT shard, '', -1, CASE shard % 7 WHEN 3 THEN 'no JSON' ELSE 'no object' END FROM p WHERE shard % 7 IN (3, 5)""")
 def src3_keyed_json(spark, d):
-    entry = "named_struct('faceCount', p_size * 100)"
-    j = f"if(p_partkey % 13 = 0, '{{broken', to_json(map(concat('a', p_partkey), {entry}, concat('b', p_partkey), {entry})))"
-    out = keyed_json(X.read(spark, d, "part").selectExpr("p_partkey AS source", f"{j} AS json"))
-    return out.select("source", "key", F.coalesce(F.get_json_object("value", "$.faceCount").cast("int"), F.lit(-1)).alias("face_count"))
+    """Compressed shards of objects keyed by uid, a file each, some broken, written and scanned (SRC3)."""
+    p = X.read(spark, d, "part").selectExpr("p_partkey div 100 AS shard", "concat('u', p_partkey) AS uid", "to_json(named_struct('faceCount', p_size * 100)) AS v")
+    body = F.concat(F.lit("{"), F.array_join(F.collect_list(F.concat(F.lit('"'), "uid", F.lit('": '), "v")), ",\n"), F.lit("}"))
+    j = p.groupBy("shard").agg(F.when(F.expr("shard % 7 = 3"), "{broken").when(F.expr("shard % 7 = 5"), "[1, 2]").otherwise(body).alias("value"))
+    at = _new_path(spark, "shards")
+    j.repartition("shard").write.partitionBy("shard").option("compression", "gzip").text(at)
+    out = keyed_files(spark, at, "*.gz")
+    shard = F.regexp_extract("path", "shard=([0-9]+)", 1).cast("long")
+    return out.select(shard.alias("shard"), F.coalesce("key", F.lit("")).alias("key"), F.coalesce(F.get_json_object("value", "$.faceCount").cast("int"), F.lit(-1)).alias("face_count"), "problem")
 
 
 @query("""WITH r AS (SELECT p_brand AS rule, min(p_size) - 2 AS low, max(p_size) - 12 AS high, min(p_partkey) % 3 AS k, max(p_partkey) % 3 AS m, count(*) AS n FROM part GROUP BY p_brand) SELECT rule, 'placement' AS problem FROM r WHERE k = 2 UNION ALL SELECT rule, 'dimension' FROM r WHERE m = 1 UNION ALL SELECT rule, 'range' FROM r WHERE NOT (0 < low AND low <= high) UNION ALL SELECT rule, 'terms' FROM r WHERE n % 4 = 0 UNION ALL SELECT rule, 'supports' FROM r WHERE n % 5 = 0""")
@@ -110,19 +111,57 @@ def src11_json_lines_sink(spark, d):
     return spark.read.schema(o.schema).json(at)
 
 
-@query(f"WITH {FACES} SELECT fid, semantic, instance FROM faces")
+def _records(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A manifest, the annotations that most of its objects have, and the categories of a third."""
+    p = X.read(spark, d, "part").selectExpr("p_partkey AS line_no", "concat('u', p_partkey) AS uid", "lpad(p_partkey % 10, 3, '0') AS shard", "p_name", "p_type")
+    r = p.select("line_no", "uid", "shard", F.concat("shard", F.lit("/"), "uid", F.lit(".glb")).alias("path"))
+    return r, p.where("line_no % 17 <> 0").select("uid", F.to_json(F.struct(F.col("p_name").alias("name"))).alias("json")), p.where("line_no % 3 = 0").select("uid", F.col("p_type").alias("category"))
+
+
+def _committed_twice(spark, outputs: dict[str, DataFrame], name: str) -> DataFrame:
+    """One of the outputs, after a first run over fewer rows whose outputs the second replaced."""
+    at = _new_path(spark, "outputs")
+    commit(spark, at, {n: df.limit(1) for n, df in outputs.items()})
+    commit(spark, at, outputs)
+    return committed(spark, at, name)
+
+
+@query("SELECT count(*) AS requested, count(DISTINCT p_partkey % 10) AS shards, sum((p_partkey % 17 <> 0)::INT)::BIGINT AS annotated, sum((p_partkey % 17 = 0)::INT)::BIGINT AS missing, sum((p_partkey % 17 <> 0 AND p_partkey % 3 = 0)::INT)::BIGINT AS categorised, CASE WHEN sum((p_partkey % 17 = 0)::INT) > 0 THEN sum((p_partkey % 17 = 0)::INT)::BIGINT || ' requested objects have no annotation' ELSE '' END AS warning FROM part")
+def src11_summary(spark, d):
+    """The summary of a metadata run (SRC11, AGG25)."""
+    return _committed_twice(spark, metadata_outputs(*_records(spark, d)), "summary")
+
+
+@query("""SELECT 'u' || p_partkey AS uid, lpad((p_partkey % 10)::VARCHAR, 3, '0') || '/u' || p_partkey || '.glb' AS path, '{"name":"' || p_name || '","_added":{"uid":"u' || p_partkey || '","shard":"' || lpad((p_partkey % 10)::VARCHAR, 3, '0') || '","glb_relative_path":"' || lpad((p_partkey % 10)::VARCHAR, 3, '0') || '/u' || p_partkey || '.glb","categories":[' || CASE WHEN p_partkey % 3 = 0 THEN '"' || p_type || '"' ELSE '' END || ']}}' AS json FROM part WHERE p_partkey % 17 <> 0""")
+def src11_annotations(spark, d):
+    """Annotations with what the manifest and the categories add (SRC11)."""
+    return _committed_twice(spark, metadata_outputs(*_records(spark, d)), "annotations")
+
+
+@query("SELECT p_partkey AS line_no, 'u' || p_partkey AS uid FROM part WHERE p_partkey % 17 = 0")
+def src11_missing(spark, d):
+    return _committed_twice(spark, metadata_outputs(*_records(spark, d)), "missing")
+
+
+@query("SELECT 'u' || p_partkey AS uid, lpad((p_partkey % 10)::VARCHAR, 3, '0') || '/u' || p_partkey || '.glb' AS path FROM part WHERE p_partkey % 17 <> 0 ORDER BY path, uid LIMIT 20")
+def src11_sample(spark, d):
+    return _committed_twice(spark, metadata_outputs(*_records(spark, d)), "sample").select("uid", "path")
+
+
+@query(f"WITH {FACES} SELECT scene_id, fid, semantic, instance FROM faces")
 def src12_label_sink(spark, d):
-    """Face labels by instance, so that a reader of one instance lists one folder only."""
-    f = X.faces(spark, d).select("fid", "semantic", "instance")
+    """Face labels by scene and instance, so that a reader of one instance lists one folder only."""
+    f = X.faces(spark, d).select("scene_id", "fid", "semantic", "instance")
     at = _new_path(spark, "labels")
-    f.repartition("instance").write.partitionBy("instance").parquet(at)
+    f.repartition("scene_id", "instance").write.partitionBy("scene_id", "instance").parquet(at)
     return spark.read.schema(f.schema).parquet(at)
 
 
-@query(f"WITH {FACES} SELECT instance AS region, count(*) AS n_faces, 120::BIGINT AS requested, CASE WHEN count(*) < 120 THEN 'only ' || count(*) || ' of 120' ELSE '' END AS warning FROM faces GROUP BY instance")
+@query(f"WITH {FACES}, r AS (SELECT scene_id, instance, count(*) AS n FROM faces GROUP BY ALL) SELECT scene_id, 'side 8' AS config, count(*) AS n_regions, sum(n)::BIGINT AS n_faces, 41::BIGINT AS requested, CASE WHEN count(*) < 41 THEN 'only ' || count(*) || ' of 41' ELSE '' END AS warning FROM r GROUP BY scene_id")
 def src13_region_manifest(spark, d):
-    g = X.faces(spark, d).groupBy(F.col("instance").alias("region")).agg(F.count("*").alias("n_faces")).withColumn("requested", F.lit(120).cast("long"))
-    return g.withColumn("warning", F.when(F.expr("n_faces < requested"), F.concat(F.lit("only "), "n_faces", F.lit(" of "), "requested")).otherwise(""))
+    """Each scene's header beside its regions (SRC13)."""
+    r = X.faces(spark, d).groupBy("scene_id", F.col("instance").alias("region")).agg(F.count("*").alias("n_faces"))
+    return _committed_twice(spark, region_manifest(r, "side 8", 41), "header")
 
 
 def profiles(rows: DataFrame) -> DataFrame:
@@ -218,14 +257,19 @@ def txt5_model_answers(spark, d):
     return judged(X.read(spark, d, "part").selectExpr("p_partkey AS uid", "p_size AS size").selectExpr("uid", f"{raw} AS raw"), ["c0", "c1"])
 
 
-@query(f"""WITH {FACES}, b AS (SELECT instance, min(least(x0, x1, x2)) AS a, max(greatest(x0, x1, x2)) AS b, min(least(y0, y1, y2)) AS c, max(greatest(y0, y1, y2)) AS d FROM faces GROUP BY instance)
-SELECT instance, 'region_' || sha256('s0:' || printf('%.6f', a) || ':' || printf('%.6f', b) || ':' || printf('%.6f', c) || ':' || printf('%.6f', d))[1:12] AS region_id, sha256('front|' || instance % 6 || '|a table|' || instance)[1:16] AS mask_id FROM b""")
+@query(f"""WITH {FACES}, b AS (SELECT scene_id, instance, min(least(x0, x1, x2)) AS a, max(greatest(x0, x1, x2)) AS b, min(least(y0, y1, y2)) AS c, max(greatest(y0, y1, y2)) AS d FROM faces GROUP BY scene_id, instance)
+SELECT scene_id, instance, 'region_' || sha256(scene_id || ':' || printf('%.6f', a) || ':' || printf('%.6f', b) || ':' || printf('%.6f', c) || ':' || printf('%.6f', d))[1:12] AS region_id, sha256('front|' || instance % 6 || '|a table|' || instance)[1:16] AS mask_id FROM b""")
 def txt6_content_ids(spark, d):
-    """Ids that follow from content alone: of regions by their rounded bounds, of masks by view, class, prompt and index."""
-    bound = [F.format_string("%.6f", f"{a}_{m}") for a in "xy" for m in ("min", "max")]
-    region = F.concat(F.lit("region_"), F.substring(F.sha2(F.concat_ws(":", F.lit("s0"), *bound), 256), 1, 12))
-    mask = F.substring(F.sha2(F.concat_ws("|", F.lit("front"), F.col("instance") % 6, F.lit("a table"), "instance"), 256), 1, 16)
-    return _boxes(_faces(spark, d)).select("instance", region.alias("region_id"), mask.alias("mask_id"))
+    """Ids that follow from content alone: of regions by their bounds, of masks by view, class, prompt and index."""
+    b = region_ids(_boxes(_faces(spark, d))).withColumns({"view": F.lit("front"), "class": F.expr("instance % 6"), "prompt": F.lit("a table"), "index": F.col("instance")})
+    return mask_ids(b).select("scene_id", "instance", "region_id", "mask_id")
+
+
+@query("""SELECT n_nationkey AS anchor, 'observation_' || sha256('{"anchor":[' || (n_nationkey % 5 * 3 + 0.5e0)::VARCHAR || ',' || (n_nationkey // 5 * -0.25e0)::DOUBLE::VARCHAR || ',1.6],"config_digest":"c' || n_nationkey % 2 || '","forward":[' || CASE WHEN n_nationkey % 2 = 0 THEN '1.0,0.0' ELSE '0.0,-1.0' END || ',0.0],"horizontal_angle_deg":88.0,"radius_m":4.12346,"source":"' || sha256('s' || n_nationkey % 3) || '"}')[1:12] AS observation_id FROM nation WHERE n_nationkey >= 5""")
+def txt6_observation_ids(spark, d):
+    """Ids of observations by source, place, direction, reach and settings (TXT6)."""
+    o = X.read(spark, d, "nation").where("n_nationkey >= 5").selectExpr("n_nationkey AS anchor", "sha2(concat('s', n_nationkey % 3), 256) AS source_digest", "n_nationkey % 5 * 3 + 0.5e0 AS ax", "n_nationkey div 5 * -0.25e0 AS ay", "1.6e0 AS az", "if(n_nationkey % 2 = 0, 1e0, 0e0) AS fx", "if(n_nationkey % 2 = 0, 0e0, -1e0) AS fy", "0e0 AS fz", "4.1234567e0 AS radius", "88e0 AS angle", "concat('c', n_nationkey % 2) AS config_digest")
+    return observation_ids(o).select("anchor", "observation_id")
 
 
 @query(f"""WITH {OBJECTS}, q AS (SELECT uid, uid % 3 AS up, uid % 2 AS longest, 1 + uid % 5 + 0e0 AS dx, 1 + uid % 3 + 0e0 AS dy, 1 + uid % 7 + 0e0 AS dz, radians(uid % 24 * 15 + 1) AS yaw, uid % 10 * 1e0 AS px, uid % 9 * 1e0 AS py, 0.2e0 AS pz, 0.3e0 + uid % 4 * 0.1e0 AS target FROM objects),
@@ -261,16 +305,16 @@ def src1_scene_inventory(spark, d):
 _KEYS = ("id", "scene", "anchor", "forward", "radius", "faces", "core", "geometry", "provenance")
 
 
-@query(f"WITH {FACES}, g AS (SELECT instance, count(*) AS n FROM faces GROUP BY instance) SELECT instance AS id, n AS faces, CASE WHEN instance % 7 = 3 THEN 'lacks radius' WHEN instance % 5 = 1 THEN 'no file g' || instance ELSE '' END AS problem FROM g")
+@query(f"WITH {FACES}, g AS (SELECT scene_id, instance, count(*) AS n FROM faces GROUP BY ALL) SELECT scene_id, instance, CASE WHEN instance % 5 = 1 THEN -1 ELSE n END AS faces, CASE WHEN instance % 5 = 1 THEN 'no JSON' WHEN instance % 7 = 3 THEN 'lacks radius' ELSE '' END AS problem FROM g")
 def src4_observation_manifests(spark, d):
-    """Manifests as JSON: the first key they lack, or the file that the inventory of files has not (SRC4)."""
-    g = X.faces(spark, d).groupBy("instance").agg(F.count("*").alias("n"))
-    text = g.select("instance", F.to_json(F.struct(F.col("instance").alias("id"), F.lit("s0").alias("scene"), F.lit(0.0).alias("anchor"), F.lit(1.0).alias("forward"), F.when(F.expr("instance % 7 <> 3"), 4.0).alias("radius"), F.col("n").alias("faces"), F.col("n").alias("core"), F.concat(F.lit("g"), "instance").alias("geometry"), F.concat(F.lit("p"), "instance").alias("provenance"))).alias("json"))
-    kinds = dict.fromkeys(_KEYS, "string") | {"id": "bigint", "faces": "bigint"}
-    m = text.select(F.from_json("json", ", ".join(f"{k} {t}" for k, t in kinds.items())).alias("m")).select("m.*")
-    files = g.where("instance % 5 <> 1").select(F.concat(F.lit("g"), "instance").alias("geometry"), F.lit(True).alias("there"))
-    lacks = F.coalesce(*(F.when(F.col(k).isNull(), F.lit(f"lacks {k}")) for k in _KEYS))
-    return m.join(files, "geometry", "left").select("id", "faces", F.coalesce(lacks, F.when(F.col("there").isNull(), F.concat(F.lit("no file "), "geometry")), F.lit("")).alias("problem"))
+    """Manifests in folders of scenes and observations, some broken, some without a key, written and scanned (SRC4)."""
+    g = X.faces(spark, d).groupBy("scene_id", "instance").agg(F.count("*").alias("n"))
+    full = F.to_json(F.struct(F.col("instance").alias("id"), F.col("scene_id").alias("scene"), F.lit(0.0).alias("anchor"), F.lit(1.0).alias("forward"), F.when(F.expr("instance % 7 <> 3"), 4.0).alias("radius"), F.col("n").alias("faces"), F.col("n").alias("core"), F.concat(F.lit("g"), "instance").alias("geometry"), F.concat(F.lit("p"), "instance").alias("provenance")))
+    at = _new_path(spark, "observations")
+    g.select("scene_id", "instance", F.when(F.expr("instance % 5 = 1"), "{broken").otherwise(full).alias("value")).repartition("scene_id", "instance").write.partitionBy("scene_id", "instance").text(at)
+    m = manifest_files(spark, at, _KEYS, (), "*.txt")
+    named = lambda k: F.regexp_extract("path", f"{k}=([^/]+)", 1)
+    return m.select(named("scene_id").alias("scene_id"), named("instance").cast("long").alias("instance"), F.coalesce(F.get_json_object("json", "$.faces").cast("long"), F.lit(-1).cast("long")).alias("faces"), "problem")
 
 
 @query("WITH u AS (SELECT o_custkey AS unit, count(*) AS n, sum(CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END)::BIGINT AS bad FROM orders GROUP BY o_custkey) SELECT unit, CASE WHEN bad > 0 THEN 'failed' ELSE 'complete' END AS status, CASE WHEN bad > 0 THEN bad || ' of ' || n || ' rows without a value' ELSE '' END AS error FROM u")

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
+from tesserae.operators import digests as D
 from tesserae.operators import metadata as M
 from tesserae.operators.metadata import token_set
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import OBJECTS
+from tesserae.sources.outputs import roll_up
 
 R = lambda c, n=4: F.round(c, n)
 QUERIES: dict = {}
@@ -199,3 +201,68 @@ def lin5_invalidation(spark, d):
     """A forced stage and all after it are pending again, whatever their last run."""
     forced = X.read(spark, d, "customer").where("c_acctbal > 5000").selectExpr("c_custkey AS unit", "array('lift', 'merge', 'export')[c_nationkey % 3] AS stage")
     return M.invalidated(_runs(spark, d), forced, spark.createDataFrame(_STAGES, "stage string, stage_no int"))
+
+
+#: Settings of 25 configurations, as their sections' JSON; blanks and the order of keys do not count.
+_SECTIONS = {
+    "geometry": ("""concat('{"unit": "m",  "density": ', n_nationkey * 0.5e0, '}')""", """'{"density":' || (n_nationkey * 0.5e0)::DOUBLE::VARCHAR || ',"unit":"m"}'"""),
+    "render": ("""concat('{"views": ', n_nationkey % 4, ', "size": [64, {"b": 2, "a": 1}]}')""", """'{"size":[64,{"a":1,"b":2}],"views":' || n_nationkey % 4 || '}'"""),
+    "fusion": ("""concat('{"least": 0.5}', '')""", """'{"least":0.5}'"""),
+    "vocabulary": ("""concat('[{"name": "table", "id": ', n_nationkey % 2, '}]')""", """'[{"id":' || n_nationkey % 2 || ',"name":"table"}]'"""),
+}
+_DEPENDS = [("geometry", "geometry", False), ("views", "geometry", False), ("views", "render", False), ("fusion", "fusion", False), ("fusion", "vocabulary", True)]
+_GRAPH = [("geometry", 0, None), ("views", 1, "geometry"), ("fusion", 2, "views")]
+_DIGESTS = f"""se AS (SELECT n_nationkey AS config, {", ".join(f"{e[1]} AS {n}" for n, e in _SECTIONS.items())} FROM nation), dg AS (SELECT config, 'geometry' AS stage, 0 AS stage_no, sha256('{{"geometry":' || geometry || '}}') AS config_digest FROM se UNION ALL SELECT config, 'views', 1, sha256('{{"geometry":' || geometry || ',"render":' || render || '}}') FROM se UNION ALL SELECT config, 'fusion', 2, sha256('{{"fusion":' || fusion || ',"vocabulary":"' || sha256(vocabulary) || '"}}') FROM se)"""
+
+
+def _digests(spark, d) -> DataFrame:
+    n = X.read(spark, d, "nation")
+    s = None
+    for name, (e, _) in _SECTIONS.items():
+        part = n.selectExpr("n_nationkey AS config", f"'{name}' AS section", f"{e} AS value")
+        s = part if s is None else s.union(part)
+    return D.stage_digests(s, spark.createDataFrame(_DEPENDS, "stage string, section string, by_digest boolean"))
+
+
+@query(f"WITH {_DIGESTS} SELECT config, stage, config_digest FROM dg")
+def lin4_stage_digests(spark, d):
+    """A digest for each stage of each configuration, of the sections that it depends on (LIN4)."""
+    return _digests(spark, d)
+
+
+_STALE = f"""{_DIGESTS}, un AS (SELECT c_custkey AS unit, c_nationkey AS config FROM customer), wa AS (SELECT * FROM un JOIN dg USING (config)),
+ru AS (SELECT unit, stage, stage_no, CASE WHEN (unit + stage_no) % 19 = 0 THEN 'failed' ELSE 'complete' END AS status, CASE WHEN (unit + stage_no) % 17 = 3 THEN 'old' ELSE config_digest END AS c, CASE WHEN stage_no > 0 THEN 'a' || unit || (stage_no - 1) || CASE WHEN unit % 13 = 5 THEN 'x' ELSE '' END END AS u, 'a' || unit || stage_no AS artifact_digest FROM wa WHERE (unit * 3 + stage_no) % 11 <> 0),
+rs AS (SELECT wa.unit, wa.stage, wa.stage_no, CASE WHEN r.status IS NULL THEN 'never run' WHEN r.status <> 'complete' THEN 'failed' WHEN r.c <> wa.config_digest THEN 'settings' WHEN r.u IS DISTINCT FROM p.artifact_digest THEN 'upstream' END AS reason FROM wa LEFT JOIN ru r ON r.unit = wa.unit AND r.stage = wa.stage LEFT JOIN ru p ON p.unit = wa.unit AND p.stage_no = wa.stage_no - 1 AND p.status = 'complete'),
+lo AS (SELECT unit, min(stage_no) AS low, arg_min(stage, stage_no) AS first FROM rs WHERE reason IS NOT NULL GROUP BY unit)"""
+
+
+@query(f"WITH {_STALE} SELECT unit, stage, coalesce(reason, 'after ' || first) AS reason FROM rs JOIN lo USING (unit) WHERE stage_no >= low")
+def lin4_stale_stages(spark, d):
+    """Stages of each customer's unit that have to run, with the reason: settings, upstream artifacts, failures, or an earlier stage that runs (LIN4, LIN5)."""
+    g = _digests(spark, d)
+    stages = spark.createDataFrame(_GRAPH, "stage string, stage_no int, upstream string")
+    units = X.read(spark, d, "customer").selectExpr("c_custkey AS unit", "c_nationkey AS config")
+    runs = units.join(g, "config").join(stages, "stage").where("(unit * 3 + stage_no) % 11 <> 0").selectExpr("unit", "stage", "if((unit + stage_no) % 19 = 0, 'failed', 'complete') AS status", "if((unit + stage_no) % 17 = 3, 'old', config_digest) AS config_digest", "if(stage_no > 0, concat('a', unit, stage_no - 1, if(unit % 13 = 5, 'x', '')), NULL) AS upstream_digest", "concat('a', unit, stage_no) AS artifact_digest")
+    return D.stale_stages(units, g, stages, runs)
+
+
+@query("WITH c AS (SELECT l_partkey AS uid, arg_max(l_returnflag, l_orderkey * 8 + l_linenumber) AS decision FROM lineitem WHERE l_suppkey % 3 = 1 GROUP BY 1) SELECT p_partkey AS uid, c.uid IS NOT NULL AS hit, coalesce(decision, '') AS decision FROM part LEFT JOIN c ON c.uid = p_partkey")
+def lin6_classification_cache(spark, d):
+    """Objects whose classification under this digest is at hand, by the cache's last record (LIN6)."""
+    cache = X.read(spark, d, "lineitem").selectExpr("l_partkey AS uid", "concat('c', l_suppkey % 3) AS config_digest", "l_orderkey * 8 + l_linenumber AS seq", "l_returnflag AS decision")
+    return D.cached(X.read(spark, d, "part").selectExpr("p_partkey AS uid"), cache, "c1").withColumn("decision", F.coalesce("decision", F.lit("")))
+
+
+@query(f"WITH {_RUNS} SELECT stage, count(*) AS requested, sum((coalesce(l.m.s, '') = 'complete')::INT)::BIGINT AS complete, sum((coalesce(l.m.s, '') = 'failed')::INT)::BIGINT AS failed, 0::BIGINT AS other, sum((l.m.s IS NULL)::INT)::BIGINT AS missing FROM (SELECT c_custkey AS unit, stage FROM customer, st) w LEFT JOIN last l USING (unit, stage) GROUP BY stage")
+def agg25_batch_roll_up(spark, d):
+    """Of all units and stages, how many were asked for, done, failed or never run (AGG25)."""
+    wanted = X.read(spark, d, "customer").selectExpr("c_custkey AS unit", "explode(array('lift', 'merge', 'export')) AS stage")
+    return roll_up(wanted, M.latest(_runs(spark, d)).select("unit", "stage", "status"), ["stage"])
+
+
+@query(f"WITH {OBJECTS}, b AS (SELECT uid, CASE WHEN uid % 9 = 0 THEN NULL WHEN face_count > 4000 THEN 'rejected' WHEN uid % 5 = 2 THEN 'needs_review' ELSE 'accepted' END AS status, category FROM objects) SELECT category, count(*) AS requested, sum((coalesce(status, '') = 'accepted')::INT)::BIGINT AS accepted, sum((coalesce(status, '') = 'rejected')::INT)::BIGINT AS rejected, sum((coalesce(status, '') = 'needs_review')::INT)::BIGINT AS other, sum((status IS NULL)::INT)::BIGINT AS missing FROM b GROUP BY category")
+def agg25_classified_roll_up(spark, d):
+    """Each category's objects by what their classification came to (AGG25)."""
+    o = X.objects(spark, d).selectExpr("category", "uid AS unit", "face_count")
+    r = o.where("unit % 9 <> 0").selectExpr("category", "unit", "CASE WHEN face_count > 4000 THEN 'rejected' WHEN unit % 5 = 2 THEN 'needs_review' ELSE 'accepted' END AS status")
+    return roll_up(o.select("category", "unit"), r, ["category"], ("accepted", "rejected"))
