@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.plans.materialize import materialize
+
 
 def normalised(text: Column) -> Column:
     """Lower case, with anything but a-z and 0-9 as single blanks."""
@@ -47,13 +49,16 @@ def classify(metadata: DataFrame, rules: DataFrame) -> DataFrame:
 
     A term counts if it is one of the words, or the whole, of an object's categories, name or tags; descriptions are
     not read. One class that matches is accepted, with 0.98 if a term is a whole LVIS category and
-    0.90 else; several or none need a review. Terms are joined by equality to the objects' tokens; the rules are a table of configuration.
+    0.90 else; several or none need a review. Metadata are parsed once and written; each text is normalised once, as a
+    column of its own row, and terms are joined by equality to the words. The rules are a table of configuration.
     """
-    lvis = F.transform("lvis", lambda x: F.replace(x, F.lit("_"), F.lit(" ")))
-    every = F.concat(lvis, F.array("name"), "tags", "categories")
-    tokens = metadata.where("refused IS NULL").select("uid", F.transform(lvis, normalised).alias("whole"), F.explode(F.array_distinct(F.flatten(F.transform(every, token_set)))).alias("token"))
+    metadata = materialize(metadata.select("uid", "refused", "name", "tags", "categories", "lvis"), "classified")
+    one = lambda c, lvis: F.transform(c, lambda x: F.struct(x.alias("text"), F.lit(lvis).alias("is_lvis")))
+    every = F.concat(one(F.col("lvis"), True), one(F.concat(F.array("name"), "tags", "categories"), False))
+    texts = metadata.where("refused IS NULL").select("uid", F.explode(every).alias("t")).select("uid", "t.is_lvis", normalised(F.when(F.col("t.is_lvis"), F.replace("t.text", F.lit("_"), F.lit(" "))).otherwise(F.col("t.text"))).alias("whole"))
+    tokens = texts.withColumn("token", F.explode(F.array_distinct(F.concat(F.array("whole"), F.split("whole", " "))))).where("token <> ''")
     terms = rules.select("canonical_class", F.posexplode("terms").alias("k", "term")).withColumn("token", normalised(F.col("term")))
-    hits = tokens.join(terms, "token").groupBy("uid", "canonical_class").agg(F.min(F.struct("k", "term")).getField("term").alias("term"), F.max(F.array_contains("whole", F.col("token"))).alias("is_lvis"))
+    hits = tokens.join(terms, "token").groupBy("uid", "canonical_class").agg(F.min(F.struct("k", "term")).getField("term").alias("term"), F.max(F.col("is_lvis") & (F.col("whole") == F.col("token"))).alias("is_lvis"))
     by_object = hits.groupBy("uid").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("canonical_class")), ", ").alias("classes"), F.first("term").alias("term"), F.first("is_lvis").alias("is_lvis"))
     j = metadata.select("uid", "refused").join(by_object, "uid", "left")
     one = F.col("n") == 1

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -231,24 +233,64 @@ def smp5_observation_cameras(spark, d):
     return v.withColumn("view", k).where("view <= 24").select("anchor", "view", "spot", "pitch", "yaw")
 
 
-def spaced(points: DataFrame, least: float, most: int | None = None) -> DataFrame:
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(scene_id, rank, kept) of the points that a block can decide, from its edges in order of block and rank.
+
+    A point is refused by an accepted better neighbour, accepted if all are refused, and else stays open.
+    A block holds its accepted and open points only, as one that is neither has been refused.
+    """
+    block, accepted, open_, point, best, names = None, set(), set(), None, None, ("scene_id", "bx", "by", "rank", "better", "kept", "inside")
+    for b in batches:
+        out = []
+        for scene, bx, by, rank, better, kept, inside in zip(*(b.column(n).to_pylist() for n in names), strict=True):
+            if (scene, bx, by, rank) != point:
+                if point is not None:
+                    out.append(_close(point, best, accepted, open_))
+                if (scene, bx, by) != block:
+                    block, accepted, open_ = (scene, bx, by), set(), set()
+                point, best = (scene, bx, by, rank), True
+            known = kept if kept is not None or not inside else True if better in accepted else None if better in open_ else False
+            # True accepted so far, False refused, None open
+            best = False if known or best is False else None if known is None or best is None else True
+        out = [x for x in out if x[2] is not None]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.bool_())], names=["scene_id", "rank", "kept"])
+    if point is not None and (last := _close(point, best, accepted, open_))[2] is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.string()), pa.array([last[1]], pa.int64()), pa.array([last[2]], pa.bool_())], names=["scene_id", "rank", "kept"])
+
+
+def _close(point: tuple, best: bool | None, accepted: set, open_: set) -> tuple:
+    if best is not False:
+        (open_ if best is None else accepted).add(point[3])
+    return point[0], point[3], best
+
+
+def spaced(points: DataFrame, least: float, most: int | None = None, block: int = 64) -> DataFrame:
     """Points (scene_id, rank, x, y) of each scene accepted in order of rank unless an accepted one is closer than least; the first `most` of a scene (ITR7).
 
-    In each round a point without an open better neighbour is accepted, and one with an accepted better
-    neighbour refused; the best open one of a scene is always decided.
+    In each round blocks of `block` x `block` cells are decided by themselves, in order of rank, as far as
+    they can be: only what hangs on an undecided point of another block is left for the next round, whose
+    blocks are shifted by half. So rounds grow with the blocks that a chain of neighbours crosses, not with its links; the best open
+    point of a scene is always decided. A block's edges are streamed.
     """
-    p = points.select("scene_id", "rank", "x", "y")
+    p = points.select(F.col("scene_id").cast("string").alias("scene_id"), F.col("rank").cast("long").alias("rank"), "x", "y")
     key = ["scene_id", "rank"]
-    a = spatial.neighbours(p, ["x", "y"], least)
+    a = spatial.neighbours(p.withColumns({"px": spatial.cell("x", least), "py": spatial.cell("y", least)}), ["x", "y"], least)
     b = p.select("scene_id", F.col("rank").alias("better"), F.col("x").alias("bx"), F.col("y").alias("by"), spatial.cell("x", least).alias("c_x"), spatial.cell("y", least).alias("c_y"))
-    edges = materialize(a.join(b, ["scene_id", "c_x", "c_y"]).where((F.col("better") < F.col("rank")) & (F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) < least)).select(*key, "better"), "spacing")
-    state = materialize(p.select(*key, F.lit(None).cast("boolean").alias("kept")), "spaced")
+    edges = a.join(b, ["scene_id", "c_x", "c_y"]).where((F.col("better") < F.col("rank")) & (F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) < least))
+    edges = materialize(edges.select(*key, "px", "py", "better", F.col("c_x").alias("qx"), F.col("c_y").alias("qy")), "spacing")
+    held = edges.select(*key).distinct().withColumn("_e", F.lit(True))
+    # without a better neighbour a point is accepted
+    state = materialize(p.select(*key).join(held, key, "left").select(*key, F.when(F.col("_e").isNull(), True).alias("kept")), "spaced")
+    turn = 0
     while not state.where("kept IS NULL").isEmpty():
-        met = edges.join(state.select("scene_id", F.col("rank").alias("better"), "kept"), ["scene_id", "better"]).groupBy(*key).agg(F.count_if("kept").alias("near"), F.count_if(F.col("kept").isNull()).alias("open"))
-        s = state.join(met, key, "left").fillna(0, ["near", "open"])
-        after = materialize(s.select(*key, F.coalesce("kept", F.when(F.col("near") > 0, False).when(F.col("open") == 0, True)).alias("kept")), "spaced")
+        at = lambda c, turn=turn: F.floor((F.col(c) + turn % 2 * (block // 2)) / block).cast("long")
+        e = edges.join(state.where("kept IS NULL").select(*key), key).join(state.select("scene_id", F.col("rank").alias("better"), "kept"), ["scene_id", "better"])
+        e = e.select("scene_id", at("px").alias("bx"), at("py").alias("by"), "rank", "better", "kept", ((at("px") == at("qx")) & (at("py") == at("qy"))).alias("inside"))
+        e = e.repartition("scene_id", "bx", "by").sortWithinPartitions("scene_id", "bx", "by", "rank")
+        met = e.mapInArrow(_decided, "scene_id string, rank long, kept boolean").withColumnRenamed("kept", "now")
+        after = materialize(state.join(met, key, "left").select(*key, F.coalesce("kept", "now").alias("kept")), "spaced")
         release(state)
-        state = after
+        state, turn = after, turn + 1
     release(edges)
     kept = points.join(state.where("kept").select(*key), key)
     if most is None:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -383,44 +387,59 @@ def geo3_cosine(spark, d):
 _PROTO = f"en AS (SELECT label, unnest(range(1, 65)) AS i, embedding, sqrt({_DOT.format(a='embedding', b='embedding')}) AS s FROM embeddings), pm AS (SELECT label, i, avg(embedding[i]::DOUBLE / greatest(s, 1e-8)) AS m FROM en GROUP BY label, i), pn AS (SELECT label, sqrt(sum(m * m)) AS s FROM pm GROUP BY label), proto AS (SELECT label, i, m / greatest(s, 1e-8) AS p FROM pm JOIN pn USING (label))"
 
 
-def prototypes(e: DataFrame) -> DataFrame:
-    """(label, proto): each class's prompt vectors at unit length, averaged and brought to unit length (AGG23)."""
+def prototypes(e: DataFrame, dim: int) -> DataFrame:
+    """(label, proto): each class's prompt vectors of `dim` numbers at unit length, averaged and brought to unit length (AGG23); dim averages side by side, so that nothing is exploded."""
     size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = e.select("label", F.posexplode(F.transform("embedding", lambda x: x.cast("double"))).alias("i", "x"), F.greatest(size(F.col("embedding")), F.lit(1e-8)).alias("s"))
-    mean = unit.groupBy("label", "i").agg(F.avg(F.col("x") / F.col("s")).alias("m"))
-    v = mean.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("v"))
-    return v.select("label", F.transform("v", lambda x: x / F.greatest(size(F.col("v")), F.lit(1e-8))).alias("proto"))
+    unit = e.select("label", "embedding", F.greatest(size(F.col("embedding")), F.lit(1e-8)).alias("s"))
+    v = unit.groupBy("label").agg(F.array(*(F.avg(F.col("embedding")[i].cast("double") / F.col("s")) for i in range(dim))).alias("v"))
+    v = v.withColumn("n", F.greatest(size(F.col("v")), F.lit(1e-8)))
+    return v.select("label", F.transform("v", lambda x: x / F.col("n")).alias("proto"))
 
 
 @query(f"WITH {_PROTO} SELECT label, (i - 1)::INT AS i, round(p + 1e-9, 4) AS p FROM proto")
 def agg23_prototypes(spark, d):
-    p = prototypes(X.read(spark, d, "embeddings"))
+    p = prototypes(X.read(spark, d, "embeddings"), 64)
     return p.select("label", F.posexplode("proto").alias("i", "p")).withColumn("p", R(F.col("p")))
 
 
-def zero_shot(vectors: DataFrame, protos: DataFrame, k: int = 5, least: float = 0.25, margin: float = 0.05) -> DataFrame:
+def zero_shot(vectors: DataFrame, protos: DataFrame, k: int = 5, least: float = 0.25, margin: float = 0.05, most: int = 1 << 16) -> DataFrame:
     """(vec_id, top array<struct<label, conf>>, margin, unknown): the k likeliest classes of each vector by softmax over unit vectors' products (TOP1).
 
     unknown: the first class's confidence is under `least`, or leads the second's by less than `margin` (alone, it leads by all
-    of it). The prototypes, one row a class, are broadcast.
+    of it). The prototypes, one row a class of the vocabulary, are broadcast as one matrix and multiplied in blocks;
+    a vocabulary of more than `most` classes is an error, as it would not fit beside the rows. A null vector counts as zeros.
     """
-    p = protos.agg(F.collect_list(F.struct("label", "proto")).alias("ps"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-    v = F.col("embedding")
-    size = F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))), F.lit(1e-8))
-    s = vectors.join(F.broadcast(p)).select("vec_id", "ps", "embedding", size.alias("size"))
-    s = s.select("vec_id", F.transform("ps", lambda x: F.struct(x["label"].alias("label"), F.exp(dot(v, x["proto"]) / F.col("size")).alias("e"))).alias("s"))
-    s = s.select("vec_id", "s", F.aggregate("s", F.lit(0.0), lambda t, x: t + x["e"]).alias("t"))
-    ranked = F.slice(F.sort_array(F.transform("s", lambda x: F.struct((-x["e"] / F.col("t")).alias("neg"), x["label"].alias("label")))), 1, k)
-    s = s.select("vec_id", F.transform(ranked, lambda x: F.struct(x["label"].alias("label"), (-x["neg"]).alias("conf"))).alias("top"))
-    first, second = F.col("top")[0]["conf"], F.coalesce(F.get("top", F.lit(1))["conf"], F.lit(0.0))
-    return s.select("vec_id", "top", (first - second).alias("margin"), ((first < least) | (first - second < margin)).alias("unknown"))
+    got = protos.orderBy("label").limit(most + 1).toArrow()
+    if not 0 < got.num_rows <= most:
+        raise ValueError(f"no classes, or over {most}")
+    labels, matrix = got["label"].combine_chunks(), np.array(got["proto"].to_pylist(), float)
+    shared = vectors.sparkSession.sparkContext.broadcast((labels, matrix))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, proto = shared.value
+        step = max(1, (1 << 22) // max(1, len(proto)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                b = whole.slice(at, step)
+                v = np.array([x or [0.0] * proto.shape[1] for x in b.column(1).to_pylist()], float).reshape(b.num_rows, -1)
+                e = np.exp(v @ proto.T / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-8))
+                conf = e / e.sum(1, keepdims=True)
+                # labels are in order, so that of equals the smaller comes first
+                best = np.argsort(-conf, axis=1, kind="stable")[:, :k]
+                top = np.take_along_axis(conf, best, 1)
+                lead = top[:, 0] - (top[:, 1] if top.shape[1] > 1 else 0.0)
+                rows = pa.StructArray.from_arrays([names.take(pa.array(best.ravel())), pa.array(top.ravel())], ["label", "conf"])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, best.size + 1, best.shape[1]), pa.int32()), rows)
+                yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(lead), pa.array((top[:, 0] < least) | (lead < margin))], names=["vec_id", "top", "margin", "unknown"])
+
+    kinds = vectors.schema["vec_id"].dataType.simpleString(), protos.schema["label"].dataType.simpleString()
+    return vectors.select("vec_id", "embedding").mapInArrow(run, f"vec_id {kinds[0]}, top array<struct<label:{kinds[1]},conf:double>>, margin double, unknown boolean")
 
 
 @query(f"WITH {_PROTO}, d AS (SELECT vec_id, pr.label, sum(e.embedding[i]::DOUBLE * p / s) AS dot FROM (SELECT *, greatest(sqrt({_DOT.format(a='embedding', b='embedding')}), 1e-8) AS s FROM embeddings) e, proto pr GROUP BY vec_id, pr.label), s AS (SELECT vec_id, label, exp(dot) / sum(exp(dot)) OVER (PARTITION BY vec_id) AS conf FROM d), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY conf DESC, label) AS k, max(conf) OVER (PARTITION BY vec_id) AS first, nth_value(conf, 2) OVER (PARTITION BY vec_id ORDER BY conf DESC, label ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM s) SELECT vec_id, label, round(conf + 1e-9, 4) AS conf, k::INT AS rank, round(first - second + 1e-9, 4) AS margin, round(first + 1e-9, 7) < 0.15 OR round(first - second + 1e-9, 7) < 0.05 AS unknown FROM k WHERE k <= 5")
 def top1_zero_shot(spark, d):
     e = X.read(spark, d, "embeddings").select("vec_id", "embedding", "label")
-    s = zero_shot(e, prototypes(e), 5, 0.15, 0.05)
+    s = zero_shot(e, prototypes(e, 64), 5, 0.15, 0.05)
     return s.select("vec_id", F.posexplode("top").alias("k", "x"), "margin", "unknown").select("vec_id", "x.label", R(F.col("x.conf")).alias("conf"), (F.col("k") + 1).alias("rank"), R(F.col("margin")).alias("margin"), "unknown")
 
 

@@ -39,6 +39,17 @@ def test_spaced(spark):
     assert sorted((x.scene_id, x.rank) for x in observing.spaced(df, 1.5, 3).collect()) == [(s, i) for s in first for i in first[s]]
 
 
+@pytest.mark.parametrize("block", [2, 64])
+def test_spaced_chain(spark, block, monkeypatch):
+    """A chain in order of rank, each point near the one before: few rounds where it lies in few blocks."""
+    rounds = []
+    write = observing.materialize
+    monkeypatch.setattr(observing, "materialize", lambda df, name="t", **k: rounds.append(name) or write(df, name, **k))
+    df = spark.createDataFrame([("s", i, 0.9 * i, 0.0) for i in range(40)], "scene_id string, rank int, x double, y double")
+    assert sorted(x.rank for x in observing.spaced(df, 1.0, block=block).collect()) == list(range(0, 40, 2))
+    assert rounds.count("spaced") <= (3 if block == 64 else 45)
+
+
 def test_placement_search(spark):
     """A table with a block on it: what fits, what touches the block, what a wall hides, against plain loops over the ordered trials."""
     from tesserae.operators import placement
