@@ -96,7 +96,7 @@ _HARMLESS = frozenset("version isbn issn doi commit sha sha1 sha256 md5 digest c
 _WORD = re.compile(r"[a-z0-9]+")
 
 #: What the votes are called, in the order of their places in a pattern.
-LABELERS = ("regex_opening", "regex_hex", "regex_mixed", "regex_groups", "regex_luhn", "gazetteer_personal", "gazetteer_harmless", "context_named", "context_quoted", "context_word_like", "regex_base")
+LABELERS = ("regex_opening", "regex_hex", "regex_mixed", "regex_groups", "regex_luhn", "gazetteer_personal", "gazetteer_harmless", "context_named", "context_quoted", "context_word_like", "regex_base", "regex_digest", "regex_isbn", "context_number")
 
 
 def entropy(s: str) -> float:
@@ -125,9 +125,22 @@ def votes(text: str, start: int, end: int, named: bool, passed: int = 2) -> list
         1 if text[start - 1 : start] in ("'", '"', "`") and text[end : end + 1] == text[start - 1 : start] and digit else 2,
         0 if not s.startswith(_OPENINGS) and (not digit or re.fullmatch(r"[A-Za-z]+(?:[-_/+][A-Za-z]+)*[0-9]{0,2}", s)) else 2,
         passed,
+        # lengths of common digests; thirteen digits of a book; a number in a list of others
+        0 if len(s) in (32, 40, 64) and re.fullmatch("[0-9a-f]+", s) else 2,
+        0 if _isbn(_NOT_DIGIT.sub("", s)) and not re.search("[A-Za-z]", s) else 2,
+        0 if _NUMBERED.search(before) else 2,
     ]
 
 
+#: What stands right before numbers of things.
+_NUMBERED = re.compile(r"(?:\b(?:no|nr|order|orders|invoice|ticket|ref|reference|item|sku|part|issue|build|version|commit|revision|isbn|v)[.:#]*|#)\s*$")
+
+
+def _isbn(digits: str) -> bool:
+    """Whether thirteen digits are a book's number, check digit included."""
+    return len(digits) == 13 and digits[:3] in ("978", "979") and sum(int(c) * (3 if i % 2 else 1) for i, c in enumerate(digits)) % 10 == 0
+
+
 def _near(c: str) -> int:
     """Kind of the character beside a span: none, space, quote, a name's sign, letter or digit, other."""
     return 0 if not c else 1 if c.isspace() else 2 if c in "\"'`" else 3 if c in "=:" else 4 if c.isalnum() else 5

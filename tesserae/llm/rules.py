@@ -67,8 +67,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Lines travel as hashes and numbers of words, written once; counting is a partial aggregation, and
     the recurring lines are joined back to the documents' lines, where Spark splits a hot line. No text
-    is shuffled. Ids are of any type. Null texts count as empty, null hosts as one host. Each repeated
-    row counts as a document, and they get the same verdict. Other columns are not read. No rows give
+    is shuffled. Ids are of any type. Null texts count as empty, null hosts as one host. Documents are told
+    apart by their ids: rows that share one, or have none, count once for a line and a host; repeated rows get the same verdict. Other columns are not read. No rows give
     no rows.
     """
     text, host = F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(F.col(host_col))
@@ -79,8 +79,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # in order of hash a document's line is its first where the hash changes
     marked = _let(F.sort_array(each), lambda s: F.transform(s, lambda x, i: F.struct(x["line"].alias("line"), x["words"].alias("words"), (F.when(i == 0, True).otherwise(x["line"] != F.get(s, i - 1)["line"])).cast("int").alias("first"))))
     listed = materialize(rows.select("_id", "_key", "_host", F.explode(marked).alias("l")).select("_id", "_key", "_host", "l.*"), "rules-listed")
-    hosts = docs.groupBy(host.alias("_host")).agg(F.count("*").alias("documents"))
-    often = listed.groupBy("_host", "line").agg(F.sum("first").alias("n")).where(F.col("n") > least_documents)
+    hosts = rows.groupBy("_host").agg(F.count_distinct("_id").alias("documents"))
+    often = listed.where("first = 1").groupBy("_host", "line").agg(F.count_distinct("_id").alias("n")).where(F.col("n") > least_documents)
     # written, so that the join below is between two plain exchanges, which Spark can split by a hot line, or a broadcast if its size allows
     recurring = materialize(often.join(hosts, "_host").where(100 * F.col("n") > host_percent * F.col("documents")).select("line"), "rules-lines")
     lost = listed.select("_id", "_key", "line", "words").join(recurring, "line").groupBy("_id", "_key").agg(F.sum("words").alias("_lost"))
@@ -107,7 +107,7 @@ twice AS (SELECT doc_id, x.i AS i, count(*) OVER (PARTITION BY doc_id, x.k) AS n
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
 ln AS (SELECT doc_id, source, lower(regexp_replace(trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS k, len(list_filter(regexp_split_to_array(x, '[ \t\n\x0B\f\r]+'), lambda y: y <> '')) AS words
   FROM (SELECT doc_id, source, unnest(l) AS x FROM w)),
-hosts AS (SELECT source, count(*) AS documents FROM documents GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS documents FROM documents GROUP BY source),
 freq AS (SELECT source, k FROM (SELECT source, k, count(DISTINCT doc_id) AS n FROM ln GROUP BY source, k) JOIN hosts USING (source) WHERE n > 3 AND 100 * n > 5 * documents),
 lost AS (SELECT doc_id, sum(words) AS n FROM ln JOIN freq USING (source, k) GROUP BY doc_id),
 s AS (SELECT w.doc_id, len(w.w) AS n_words, length(array_to_string(w.w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,

@@ -55,8 +55,7 @@ def test_frequent_lengths_are_counted(spark, data, none):
     docs = docs_of(spark, data)
     counts = Counter(p for r in docs.collect() if tokens.is_plain(r.text or "") for p in tokens.BYTE_LEVEL(r.text or ""))
     got = tokens.frequent_lengths(docs, path, top=300, every=1)
-    least = min(1 << k for k in range(40) if sum(n >= 1 << k for n in counts.values()) <= 300)
-    assert 0 < len(got) <= 300 and set(got) == {p for p, n in counts.items() if n >= least}
+    assert set(got) == set(sorted(counts, key=lambda p: (-counts[p], p))[:300])
     assert got == {p: len(tok.encode(p, add_special_tokens=False)) for p in got}
     assert tokens.frequent_lengths(none, path) == {}
 
@@ -347,3 +346,11 @@ def test_pipeline_against_brute_force(spark, data):
 
 def test_queries_are_registered():
     assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+
+
+def test_repeated_rows_do_not_make_a_line_recur(spark):
+    """Four rows of one id and text, and four without an id, are one document each; four ids with one line are four."""
+    lines = lambda k: "\n".join(" ".join(f"w{k}x{i}y{j}" for j in range(12)) for i in range(6))
+    rows = [(1, lines(1), "a")] * 4 + [(None, lines(2), "a")] * 4 + [(10 + k, lines(9), "b") for k in range(4)]
+    got = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.kept and r.n_line_words == 0 for r in got if r.host == "a") and not any(r.kept for r in got if r.host == "b") and len(got) == 12
