@@ -90,6 +90,13 @@ def shard_lookup(wanted: DataFrame, entries: DataFrame, reserved: str = "_extra"
     return wanted.join(e, ["shard", "uid"], "left").select("shard", "uid", status.alias("status"))
 
 
+def inverted(lists: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(uid, categories) of wanted (uid) objects from lists (category, uids): each category once, in order whatever its case, then as it is spelled (JOI3)."""
+    each = lists.select("category", F.explode("uids").alias("uid")).join(wanted.select("uid"), "uid", "left_semi").distinct()
+    g = each.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(F.lower("category").alias("low"), "category"))).alias("c"))
+    return g.select("uid", F.transform("c", lambda x: x["category"]).alias("categories"))
+
+
 def latest(runs: DataFrame) -> DataFrame:
     """The last row (by seq) of each unit's stage in an append-only table of runs."""
     rest = [c for c in runs.columns if c not in ("unit", "stage")]

@@ -233,28 +233,34 @@ def txt4_prompts(spark, d):
     return o.select("uid", prompt(["ring", "ball", "cup"], F.struct("name", F.split("name", " ").alias("tags"), "license")).alias("prompt"))
 
 
-def judged(answers: DataFrame, classes: list[str], threshold: float = 0.75) -> DataFrame:
-    """(uid, decision, class, confidence, reason) of a model's answers (uid, raw): what stands between the first and the last brace (TXT5).
+def judged(answers: DataFrame, rules: DataFrame, threshold: float = 0.75) -> DataFrame:
+    """(uid, decision, class, confidence, reason, and the rule's other columns) of a model's answers (uid, raw): what stands between the first and the last brace (TXT5).
 
-    An answer that is not accepted, or of no known class, is rejected with its own reason, cut at 500
-    characters; one under the threshold or that is no JSON needs a review. An accepted one takes the class's rule by a join.
+    rules: (canonical_class, ..), a table of configuration. An answer that is not accepted, or of no known class, is rejected with its own reason, cut at 500
+    characters; one under the threshold or that is no JSON needs a review. An accepted one has its class's rule, the others nulls.
     """
     v = F.try_parse_json(F.regexp_extract("raw", r"(?s)(\{.*\})", 1))
     a = answers.select("uid", v.alias("v")).select("uid", "v", F.try_variant_get("v", "$.canonical_class", "string").alias("c"), F.try_variant_get("v", "$.decision", "string").alias("said"), F.coalesce(F.try_variant_get("v", "$.confidence", "double"), F.lit(0.0)).alias("p"), F.try_variant_get("v", "$.reason", "string").alias("why"))
-    known = F.coalesce((F.col("said") == "accepted") & F.col("c").isin(*classes), F.lit(False))
+    rest = [c for c in rules.columns if c != "canonical_class"]
+    a = a.join(rules.select(F.col("canonical_class").alias("c"), F.struct(F.lit(True).alias("_"), *rest).alias("rule")), "c", "left")
+    known = F.coalesce((F.col("said") == "accepted") & F.col("rule").isNotNull(), F.lit(False))
     decision = F.when(F.col("v").isNull(), "needs_review").when(~known, "rejected").when(F.col("p") < threshold, "needs_review").otherwise("accepted")
     own = F.substring(F.coalesce(F.when(F.col("why") != "", F.col("why")), F.lit("Local LLM classification")), 1, 500)
     reason = F.when(F.col("v").isNull(), "Invalid model output").when(known & (F.col("p") < threshold), "Below acceptance threshold").otherwise(own)
-    return a.select("uid", decision.alias("decision"), "c", "p", reason.alias("reason")).select("uid", "decision", F.when(F.col("decision") == "accepted", F.col("c")).alias("class"), F.col("p").alias("confidence"), "reason")
+    a = a.select("uid", decision.alias("decision"), "c", "p", reason.alias("reason"), "rule")
+    taken = F.when(F.col("decision") == "accepted", F.col("rule"))
+    return a.select("uid", "decision", F.when(F.col("decision") == "accepted", F.col("c")).alias("class"), F.col("p").alias("confidence"), "reason", *(taken[c].alias(c) for c in rest))
 
 
 @query("""WITH a AS (SELECT p_partkey AS uid, p_partkey % 6 AS k, p_size % 3 AS c, p_size % 100 / 100e0 + 0.5e0 AS p FROM part)
-SELECT uid, CASE WHEN k >= 4 THEN 'needs_review' WHEN k = 3 OR c = 2 THEN 'rejected' WHEN p < 0.75 THEN 'needs_review' ELSE 'accepted' END AS decision, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN 'c' || c END AS class, CASE WHEN k >= 4 THEN 0e0 ELSE p END AS confidence,
-CASE WHEN k >= 4 THEN 'Invalid model output' WHEN k < 3 AND c < 2 AND p < 0.75 THEN 'Below acceptance threshold' WHEN uid % 5 = 0 THEN 'Local LLM classification' ELSE left(repeat('so {it} is ', uid % 90 + 1), 500) END AS reason FROM a""")
+SELECT uid, CASE WHEN k >= 4 THEN 'needs_review' WHEN k = 3 OR c = 2 THEN 'rejected' WHEN p < 0.75 THEN 'needs_review' ELSE 'accepted' END AS decision, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN 'c' || c ELSE '' END AS class, CASE WHEN k >= 4 THEN 0e0 ELSE p END AS confidence,
+CASE WHEN k >= 4 THEN 'Invalid model output' WHEN k < 3 AND c < 2 AND p < 0.75 THEN 'Below acceptance threshold' WHEN uid % 5 = 0 THEN 'Local LLM classification' ELSE left(repeat('so {it} is ', uid % 90 + 1), 500) END AS reason, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN CASE c WHEN 0 THEN 'surface' ELSE 'floor' END ELSE '' END AS placement, CASE WHEN k < 3 AND c < 2 AND p >= 0.75 THEN 0.1e0 * (c + 1) ELSE -1e0 END AS low FROM a""")
 def txt5_model_answers(spark, d):
     said = """concat('{"decision":"', if(uid % 6 = 3, 'rejected', 'accepted'), '","canonical_class":"c', size % 3, '","confidence":', size % 100 / 100e0 + 0.5e0, ',"reason":"', if(uid % 5 = 0, '', repeat('so {it} is ', CAST(uid % 90 + 1 AS INT))), '"}')"""
     raw = f"CASE uid % 6 WHEN 4 THEN 'no answer' WHEN 5 THEN '{{broken}}' ELSE concat('Well: ', {said}, ' thus.') END"
-    return judged(X.read(spark, d, "part").selectExpr("p_partkey AS uid", "p_size AS size").selectExpr("uid", f"{raw} AS raw"), ["c0", "c1"])
+    rules = spark.createDataFrame([("c0", "surface", 0.1), ("c1", "floor", 0.2)], "canonical_class string, placement string, low double")
+    j = judged(X.read(spark, d, "part").selectExpr("p_partkey AS uid", "p_size AS size").selectExpr("uid", f"{raw} AS raw"), rules)
+    return j.fillna("", ["class", "placement"]).fillna(-1.0, ["low"])
 
 
 @query(f"""WITH {FACES}, b AS (SELECT scene_id, instance, min(least(x0, x1, x2)) AS a, max(greatest(x0, x1, x2)) AS b, min(least(y0, y1, y2)) AS c, max(greatest(y0, y1, y2)) AS d FROM faces GROUP BY scene_id, instance)

@@ -170,9 +170,26 @@ def fil8_scene_validation(spark, d):
     return scene_problems(scenes, _faces(spark, d))
 
 
-@query(f"WITH {FACES} SELECT scene_id, instance, count(*) AS n_faces, count(DISTINCT semantic) AS n_classes, round(sum(area) + 1e-9, 3) AS area, round(min(least(x0, x1, x2)) + 1e-9, 4) AS x_min, round(max(greatest(x0, x1, x2)) + 1e-9, 4) AS x_max FROM faces GROUP BY scene_id, instance")
+def scene_statistics(faces: DataFrame, source: str = "semantic", instance: str = "instance", **limits) -> DataFrame:
+    """(scene_id, n_faces, n_vertices, area, x_min .. z_max, n_sources, n_instances, n_instanced, n_over_budget), a row a scene (AGG1).
+
+    A vertex counts once for each source mesh that has it; an instanced source has several instances. limits are those of budgets(), for instances.
+    """
+    bounds = [x for a in "xyz" for x in (F.min(F.least(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_min"), F.max(F.greatest(*(f"{a}{k}" for k in range(3)))).alias(f"{a}_max"))]
+    whole = faces.groupBy("scene_id").agg(F.count("*").alias("n_faces"), F.sum("area").alias("area"), *bounds)
+    corner = faces.select("scene_id", source, F.explode(F.array("v0", "v1", "v2")).alias("v")).distinct().groupBy("scene_id").agg(F.count("*").alias("n_vertices"))
+    uses = faces.select("scene_id", source, instance).distinct().groupBy("scene_id", source).agg(F.count("*").alias("k"))
+    uses = uses.groupBy("scene_id").agg(F.count("*").alias("n_sources"), F.count_if(F.col("k") > 1).alias("n_instanced"))
+    over = budgets(faces, ("scene_id", instance), **limits).groupBy("scene_id").agg(F.count("*").alias("n_instances"), F.count_if("over_budget").alias("n_over_budget"))
+    return whole.join(corner, "scene_id").join(uses, "scene_id").join(over, "scene_id")
+
+
+@query(f"""WITH {FACES}, w AS (SELECT scene_id, count(*) AS n_faces, round(sum(area) + 1e-9, 3) AS area, {", ".join(f"round(min(least({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_min, round(max(greatest({a}0, {a}1, {a}2)) + 1e-9, 4) AS {a}_max" for a in "xyz")}, count(DISTINCT semantic) AS n_sources FROM faces GROUP BY scene_id),
+v AS (SELECT scene_id, count(*) AS n_vertices FROM (SELECT DISTINCT scene_id, semantic, unnest([v0, v1, v2]) FROM faces) GROUP BY scene_id), u AS (SELECT scene_id, sum((k > 1)::INT)::BIGINT AS n_instanced FROM (SELECT scene_id, semantic, count(DISTINCT instance) AS k FROM faces GROUP BY ALL) GROUP BY scene_id),
+i AS (SELECT scene_id, count(*) AS n_instances, sum((n > 100 OR ceil(s * 2500 - 1e-6) > 8000 OR side > 8)::INT)::BIGINT AS n_over_budget FROM (SELECT scene_id, instance, count(*) AS n, sum(area) AS s, greatest(max(greatest(x0, x1, x2)) - min(least(x0, x1, x2)), max(greatest(y0, y1, y2)) - min(least(y0, y1, y2))) AS side FROM faces GROUP BY ALL) GROUP BY scene_id) SELECT * FROM w JOIN v USING (scene_id) JOIN u USING (scene_id) JOIN i USING (scene_id)""")
 def agg1_scene_statistics(spark, d):
-    return _faces(spark, d).groupBy("scene_id", "instance").agg(F.count("*").alias("n_faces"), F.countDistinct("semantic").alias("n_classes"), R(F.sum("area"), 3).alias("area"), R(F.min(F.least("x0", "x1", "x2"))).alias("x_min"), R(F.max(F.greatest("x0", "x1", "x2"))).alias("x_max"))
+    s = scene_statistics(_face_table(spark, d), triangles=100, points=8000)
+    return s.withColumns({"area": R(F.col("area"), 3)} | {f"{a}_{m}": R(F.col(f"{a}_{m}")) for a in "xyz" for m in ("min", "max")})
 
 
 @query(f"""WITH {FACES}, b AS {_BOX}, j AS (SELECT scene_id, b.instance AS region, fid, area, cx BETWEEN x_min AND x_max AND cy BETWEEN y_min AND y_max AS core FROM faces f JOIN b USING (scene_id) WHERE cx BETWEEN x_min - 0.75 AND x_max + 0.75 AND cy BETWEEN y_min - 0.75 AND y_max + 0.75)

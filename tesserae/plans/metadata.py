@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import geometry as G
 from tesserae.operators import digests as D
 from tesserae.operators import metadata as M
+from tesserae.plans.materialize import shared_dir
 from tesserae.operators.metadata import token_set
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import OBJECTS
-from tesserae.sources.outputs import roll_up
+from tesserae.sources.outputs import roll_up, stored_by
 
 R = lambda c, n=4: F.round(c, n)
 QUERIES: dict = {}
@@ -106,11 +109,13 @@ def joi1_object_annotations(spark, d):
     return M.annotated_objects(f, n)
 
 
-@query("WITH w AS (SELECT DISTINCT l_partkey AS uid, l_partkey % 10 AS shard FROM lineitem) SELECT shard, uid, CASE WHEN uid % 7 = 0 THEN 'missing' WHEN uid % 13 = 0 THEN 'not an object' WHEN uid % 17 = 0 THEN 'reserved key' ELSE 'found' END AS status FROM w")
+@query("WITH w AS (SELECT DISTINCT l_partkey AS uid, l_partkey % 10 AS shard FROM lineitem WHERE l_partkey % 10 < 4) SELECT shard, uid, CASE WHEN uid % 7 = 0 THEN 'missing' WHEN uid % 13 = 0 THEN 'not an object' WHEN uid % 17 = 0 THEN 'reserved key' ELSE 'found' END AS status FROM w")
 def joi2_shard_lookup(spark, d):
-    w = X.read(spark, d, "lineitem").selectExpr("l_partkey % 10 AS shard", "l_partkey AS uid").distinct()
+    """Objects of some shards looked up in a table that is stored by shard; the others' files are not read."""
+    w = X.read(spark, d, "lineitem").selectExpr("l_partkey % 10 AS shard", "l_partkey AS uid").where("shard < 4").distinct()
     value = """CASE WHEN uid % 13 = 0 THEN '[1]' WHEN uid % 17 = 0 THEN '{"_extra":{}}' ELSE annotation END AS value"""
-    return M.shard_lookup(w, X.objects(spark, d).where("uid % 7 <> 0").selectExpr("CAST(shard AS BIGINT) AS shard", "uid", value))
+    entries = X.objects(spark, d).where("uid % 7 <> 0").selectExpr("CAST(shard AS BIGINT) AS shard", "uid", value)
+    return M.shard_lookup(w, stored_by(entries, f"{shared_dir(spark)}/sinks/shards-{uuid.uuid4().hex}", "shard"))
 
 
 @query(f"WITH {OBJECTS}, rq AS (SELECT DISTINCT l_partkey AS uid FROM lineitem) SELECT uid FROM rq WHERE uid NOT IN (SELECT uid FROM objects WHERE uid % 7 <> 0)")
@@ -120,13 +125,12 @@ def set1_missing_objects(spark, d):
     return rq.join(X.objects(spark, d).where("uid % 7 <> 0"), "uid", "left_anti")
 
 
-@query(f"WITH {OBJECTS} SELECT o.uid, string_agg(DISTINCT o.category, '|' ORDER BY o.category) AS categories FROM objects o JOIN lineitem ON l_partkey = uid GROUP BY o.uid")
+@query("WITH c AS (SELECT DISTINCT l_partkey AS uid, CASE WHEN l_linenumber % 2 = 0 THEN lower(l_returnflag) ELSE l_returnflag END || l_linestatus AS category FROM lineitem), rq AS (SELECT p_partkey AS uid FROM part WHERE p_size > 10) SELECT uid, string_agg(category, '|' ORDER BY lower(category), category) AS categories FROM c JOIN rq USING (uid) GROUP BY uid")
 def joi3_category_inversion(spark, d):
-    """Categories' uid lists, exploded and kept for requested uids."""
-    lists = X.objects(spark, d).groupBy("category").agg(F.collect_list("uid").alias("uids"))
-    rq = X.read(spark, d, "lineitem").select(F.col("l_partkey").alias("uid"))
-    g = lists.select("category", F.explode("uids").alias("uid")).join(rq, "uid", "left_semi")
-    return g.groupBy("uid").agg(F.array_join(F.array_sort(F.collect_set("category")), "|").alias("categories"))
+    """Categories of requested objects, from lists of a thousand uids a row at most."""
+    c = X.read(spark, d, "lineitem").selectExpr("l_partkey AS uid", "concat(if(l_linenumber % 2 = 0, lower(l_returnflag), l_returnflag), l_linestatus) AS category").distinct()
+    lists = c.groupBy("category", F.expr("uid div 1000")).agg(F.collect_list("uid").alias("uids"))
+    return M.inverted(lists, X.read(spark, d, "part").where("p_size > 10").selectExpr("p_partkey AS uid")).select("uid", F.array_join("categories", "|").alias("categories"))
 
 
 @query(f"WITH {OBJECTS}, c AS (SELECT l_partkey AS uid, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS categories FROM lineitem GROUP BY l_partkey) SELECT uid, name, coalesce(categories, '') AS categories, 'shard-' || shard AS provenance FROM objects LEFT JOIN c USING (uid)")

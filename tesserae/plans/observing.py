@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,10 +15,11 @@ from tesserae.operators import placement, spatial
 from tesserae.operators.ordered import as_of, medians, prefix_sums
 from tesserae.operators.placement import placed_boxes
 from tesserae.operators.rays import anchor_checks, anchor_probes, ray_hits, touching
-from tesserae.plans.materialize import materialize, release
-from tesserae.plans.mesh import _ANCHORS, _FLOOR, _SUPPORT, _face_table, _faces, boundary_edges, candidates, clearances, floor_faces, patch_summary, patches, support_faces, upward_faces
+from tesserae.plans.materialize import materialize, release, shared_dir
+from tesserae.plans.mesh import _ANCHORS, _FLOOR, _SUPPORT, _boxes, _face_table, _faces, boundary_edges, candidates, clearances, floor_faces, patch_summary, patches, support_faces, upward_faces
 from tesserae.sources import fixtures as X
 from tesserae.sources.fixtures import FACES, OBJECTS, POINTS
+from tesserae.sources.outputs import stored_by
 
 R = lambda c, n=4: F.round(c + 1e-9, n)
 QUERIES: dict = {}
@@ -62,6 +64,19 @@ _PROBES = [("cx", "cy", "cz")] + [tuple(f"{a}{k}" for a in "xyz") for k in range
 _WIDE = 44 + math.degrees(math.atan2(1.5, 4))
 
 
+def near_sources(faces: DataFrame, boxes: DataFrame, anchors: DataFrame, reach: float, size: float = 4.0) -> DataFrame:
+    """The faces of sources that some observer can reach (JOI7): faces (scene_id, instance, ..), stored by these two, boxes (scene_id, instance, x_min .. z_max), anchors (scene_id, anchor, ax, ay, z_min, z_max).
+
+    Boxes meet the observers' squares on the grid; the sources that are left decide, by partition pruning, which folders are read.
+    """
+    wide = reach + 1e-6
+    a = anchors.select("scene_id", F.col("anchor").alias("a"), *((F.col(f"a{x}") + s * wide).alias(f"{x}_{m}") for x in "xy" for m, s in (("min", -1), ("max", 1))), (F.col("z_min") - 1e-6).alias("z_min"), (F.col("z_max") + 1e-6).alias("z_max"))
+    # flat sources have boxes without height
+    b = boxes.select("scene_id", F.col("instance").alias("b"), *((F.col(f"{x}_{m}") + s * 1e-6).alias(f"{x}_{m}") for x in "xyz" for m, s in (("min", -1), ("max", 1))))
+    some = touching(a, b, size).select("scene_id", F.col("b").alias("instance")).distinct()
+    return faces.join(some, ["scene_id", "instance"], "left_semi")
+
+
 @query(f"""WITH {FACES}, {_ANCHORS}, pr AS (SELECT scene_id, fid, unnest([{", ".join(f"{{'k': {k}, 'x': {x}, 'y': {y}, 'z': {z}}}" for k, (x, y, z) in enumerate(_PROBES))}]) AS p FROM faces),
 j AS (SELECT anchor, fid, p.k AS k, p.x - ax AS dx, p.y - ay AS dy, p.z AS z, sqrt((p.x - ax) * (p.x - ax) + (p.y - ay) * (p.y - ay)) AS r FROM pr JOIN anchors USING (scene_id) WHERE abs(p.x - ax) <= 5.5 AND abs(p.y - ay) <= 5.5),
 s AS (SELECT anchor, fid, bool_or(k = 0 AND r <= 4 AND CASE WHEN r > 1e-9 THEN dx / r ELSE 0 END >= cos(radians(44)) AND z BETWEEN 0 AND 0.09) AS core FROM j WHERE r <= 5.5 AND CASE WHEN r > 1e-9 THEN dx / r ELSE 0 END >= cos(radians({_WIDE!r})) AND z BETWEEN -0.5 AND 0.59 GROUP BY anchor, fid)
@@ -69,7 +84,10 @@ SELECT anchor, count(*) AS n_faces, sum(core::INT)::BIGINT AS n_core FROM s GROU
 def joi7_observation_context(spark, d):
     """Faces that an observer's widened sector meets at any of seven probes, and those whose centroid is in the sector (JOI7)."""
     probe = [F.struct(F.lit(k).alias("k"), *(F.expr(e).alias(a) for a, e in zip("xyz", p, strict=True))) for k, p in enumerate(_PROBES)]
-    p = _faces(spark, d).select("scene_id", "fid", F.explode(F.array(*probe)).alias("p")).select("scene_id", "fid", "p.*")
+    f = X.faces(spark, d)
+    stored = stored_by(f, f"{shared_dir(spark)}/sinks/sources-{uuid.uuid4().hex}", "scene_id", "instance")
+    met = near_sources(stored, _boxes(f), _anchors(spark, d).selectExpr("scene_id", "anchor", "ax", "ay", "-0.5e0 AS z_min", "0.59e0 AS z_max"), 5.5)
+    p = G.with_triangle_attributes(met).select("scene_id", "fid", F.explode(F.array(*probe)).alias("p")).select("scene_id", "fid", "p.*")
     near = spatial.boxes_holding(p, _reach(_anchors(spark, d), 5.5), 4.0, ("scene_id",))
     sector = lambda r, half, low, high: G.in_sector(F.col("x") - F.col("ax"), F.col("y") - F.col("ay"), F.col("z"), F.lit(1.0), F.lit(0.0), r, half, F.lit(low), F.lit(high))
     met = near.where(sector(5.5, _WIDE, -0.5, 0.59)).groupBy("anchor", "fid").agg(F.bool_or((F.col("k") == 0) & sector(4.0, 44.0, 0.0, 0.09)).alias("core"))

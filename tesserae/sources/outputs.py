@@ -30,6 +30,13 @@ def committed(spark: SparkSession, at: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{at}/data/{last['run']}/{name}")
 
 
+def stored_by(df: DataFrame, at: str, *keys: str) -> DataFrame:
+    """df written at a path in a folder for each value of the keys, a file each or as many as it needs, and read back: a join on a key, or a filter, then reads the folders of the values that occur only (JOI2, JOI7)."""
+    df.repartition(*keys).write.partitionBy(*keys).parquet(at)
+    # folders' names are text; the schema says of what type their values are
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def metadata_outputs(records: DataFrame, annotations: DataFrame, categories: DataFrame, sample: int = 20) -> dict[str, DataFrame]:
     """The outputs of a metadata run (SRC11): annotations (uid, path, json) in the order of paths, sample, categories, missing, summary.
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tesserae.operators import digests as D
 from tesserae.operators.masks import column_runs, seen_pixels
+from tesserae.operators.metadata import inverted, shard_lookup
+from tesserae.plans.observing import near_sources
 from tesserae.sources import outputs as O
 
 
@@ -93,3 +95,24 @@ def test_mask_runs_meet_depths(spark):
     assert sorted(map(tuple, column_runs(masks).collect())) == [("s", 1, "v", 0, 2, 3), ("s", 1, "v", 1, 0, 3), ("s", 1, "v", 2, 0, 0), ("s", 2, "v", 0, 0, 0)]
     depth = spark.createDataFrame([("s", "v", r, c, d) for r, c, d in ((0, 0, 1.0), (3, 0, 2.0), (1, 1, 0.0), (2, 1, float("inf")), (3, 1, 3.0), (0, 2, 4.0), (1, 2, 5.0))] + [("t", "v", 0, 0, 1.0)], "scene_id string, view string, row int, col int, dist double")
     assert sorted(map(tuple, seen_pixels(masks, depth).collect())) == [("s", 1, "v", 0, 2, 4.0), ("s", 1, "v", 3, 0, 2.0), ("s", 1, "v", 3, 1, 3.0), ("s", 2, "v", 0, 0, 1.0)]
+
+
+def test_stored_tables_are_pruned(spark, tmp_path):
+    """Shards that no wanted object names, and sources that no observer reaches, are not read."""
+    entries = spark.createDataFrame([(k % 8, k, "{}") for k in range(64)], "shard long, uid long, value string")
+    at = f"file://{tmp_path}/shards"
+    stored = O.stored_by(entries, at, "shard")
+    wanted = spark.createDataFrame([(k % 8, k) for k in range(64)], "shard long, uid long").where("shard < 2")
+    found = shard_lookup(wanted, stored)
+    assert found.count() == 16 and "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    faces = spark.createDataFrame([("s", i, 3.0 * i, 0.0, 0.0) for i in range(20)] + [("t", 0, 0.0, 0.0, 0.0)], "scene_id string, instance int, x double, y double, z double")
+    boxes = faces.selectExpr("scene_id", "instance", "x AS x_min", "x + 1 AS x_max", "y AS y_min", "y + 1 AS y_max", "z AS z_min", "z AS z_max")
+    anchors = spark.createDataFrame([("s", 1, 10.0, 0.0, -0.5, 0.5), ("s", 2, 40.0, 30.0, -0.5, 0.5)], "scene_id string, anchor int, ax double, ay double, z_min double, z_max double")
+    near = near_sources(O.stored_by(faces, f"file://{tmp_path}/sources", "scene_id", "instance"), boxes, anchors, 4.0)
+    assert sorted((r.scene_id, r.instance) for r in near.collect()) == [("s", i) for i in (2, 3, 4)]
+
+
+def test_categories_in_order_whatever_their_case(spark):
+    lists = spark.createDataFrame([("b", [1, 2]), ("A", [1]), ("a", [1, 1]), ("C", [2, 9])], "category string, uids array<int>")
+    got = {r.uid: r.categories for r in inverted(lists, spark.createDataFrame([(1,), (2,), (3,)], "uid int")).collect()}
+    assert got == {1: ["A", "a", "b"], 2: ["b", "C"]}
