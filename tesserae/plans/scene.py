@@ -16,7 +16,7 @@ from tesserae.operators.ordered import medians
 from tesserae.operators.setjoin import overlap, similar_sets
 from tesserae.plans.materialize import materialize
 from tesserae.sources import fixtures as X
-from tesserae.sources.fixtures import BITS, MASK_POINTS, OBJECTS, PIXELS, POINTS, SAMPLES
+from tesserae.sources.fixtures import BITS, MASK_POINTS, PIXELS, POINTS, SAMPLES
 
 #: Rounded off the ties, so that both engines agree.
 R = lambda c, n=4: F.round(c + 1e-9, n)
