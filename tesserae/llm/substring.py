@@ -251,7 +251,7 @@ def second_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text
     repeated, which are all repeated ones and few others, are combined within a task, so that a common
     passage sends a row a batch of documents, dealt by hash and sorted within partitions; a stream over
     these names all but the first of each hash. A sketch of fixed size lets more through the more windows there are:
-    at 5*10^8 about two in three, at 10^10 all, and the exact pass, linear in them, is then a plain shuffle.
+    at 5*10^8 about one single window in three, at 10^10 all, and the exact pass, linear in them, is then a plain shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, size, text_col, shape))
     kind = docs.schema[id_col].dataType.simpleString()
