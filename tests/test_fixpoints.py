@@ -39,6 +39,22 @@ def test_spaced(spark):
     assert sorted((x.scene_id, x.rank) for x in observing.spaced(df, 1.5, 3).collect()) == [(s, i) for s in first for i in first[s]]
 
 
+def test_spaced_in_turns(spark, monkeypatch):
+    """Turns of a few points give what one gives, and list few neighbours of a scene that is soon covered."""
+    r = random.Random(8)
+    pts = [(s, i, r.random() * 6, r.random() * 6) for s in "ab" for i in range(1500)]
+    want = []
+    for s, i, x, y in pts:
+        if all(t != s or math.hypot(x - a, y - b) >= 1.0 for t, _, a, b in want):
+            want.append((s, i, x, y))
+    edges, write = [], observing.materialize
+    monkeypatch.setattr(observing, "materialize", lambda df, name="t", **k: (lambda t: edges.append(t.count() if name == "spacing" else 0) or t)(write(df, name, **k)))
+    df = spark.createDataFrame(pts, "scene_id string, rank int, x double, y double")
+    assert sorted((x.scene_id, x.rank) for x in observing.spaced(df, 1.0, first=64).collect()) == [(s, i) for s, i, _, _ in want]
+    # all pairs that are too close number some 150,000
+    assert 0 < sum(edges) < 10_000
+
+
 @pytest.mark.parametrize("block", [2, 64])
 def test_spaced_chain(spark, block, monkeypatch):
     """A chain in order of rank, each point near the one before: few rounds where it lies in few blocks."""
