@@ -116,3 +116,12 @@ def test_categories_in_order_whatever_their_case(spark):
     lists = spark.createDataFrame([("b", [1, 2]), ("A", [1]), ("a", [1, 1]), ("C", [2, 9])], "category string, uids array<int>")
     got = {r.uid: r.categories for r in inverted(lists, spark.createDataFrame([(1,), (2,), (3,)], "uid int")).collect()}
     assert got == {1: ["A", "a", "b"], 2: ["b", "C"]}
+
+
+def test_every_shard_is_looked_up(spark, data):
+    """joi2_shard_lookup asks for all objects that are referenced, in its SQL as in its code."""
+    from tesserae.plans import metadata
+
+    got = {(x.shard, x.uid) for x in metadata.joi2_shard_lookup(spark, data).collect()}
+    want = {(x.l_partkey % 10, x.l_partkey) for x in spark.read.parquet(f"{data}/lineitem.parquet").select("l_partkey").distinct().collect()}
+    assert got == want and " < 4" not in metadata.SQL["joi2_shard_lookup"]
