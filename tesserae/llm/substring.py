@@ -19,7 +19,7 @@ from tesserae.llm.exact import among, marked
 from tesserae.plans.materialize import materialize
 
 #: Windows whose cells a task holds before it hands on a partition sketch, and those it combines before the shuffle.
-HELD, COMBINED = 1 << 22, 1 << 20
+HELD, COMBINED = 1 << 20, 1 << 20
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -80,7 +80,8 @@ def partition_sketch(held: list[list[np.ndarray]], shape: Shape) -> Iterator[tup
     per = 1 << (shape.width - shape.slice)
     ends = (np.arange(1, per, dtype=np.uint32) << np.uint32(shape.slice)).astype(np.uint32)
     for k in range(shape.depth):
-        c = np.sort(np.concatenate([h[k] for h in held]))
+        c = np.concatenate([h[k] for h in held])
+        c.sort()
         first = np.append(True, c[1:] != c[:-1])
         more = np.zeros(len(c), bool)
         more[:-1] = ~first[1:]

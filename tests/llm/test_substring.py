@@ -84,3 +84,17 @@ def test_window_hashes_tell_windows_apart():
 def test_packed_cells_come_back():
     c = np.unique(np.random.default_rng(0).integers(0, 1 << 24, 5000).astype(np.uint32))
     assert (S._unpack(S._pack(c)) == c).all() and len(S._unpack(S._pack(c[:0]))) == 0
+
+
+def test_a_sketch_takes_little_memory():
+    """What a task adds to a full sketch's windows while it packs them stays small beside an executor."""
+    import tracemalloc
+
+    h = np.random.default_rng(1).integers(0, 1 << 63, (S.HELD, 2), np.uint64)
+    held = [S.cells(x, S.Shape()) for x in np.array_split(h, 64)]
+    tracemalloc.start()
+    for _ in S.partition_sketch(held, S.Shape()):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
