@@ -34,11 +34,11 @@ def _summary(seen: Counter, kept: int) -> bytes:
     return zstandard.compress(json.dumps([[p for p, _ in best], [n for _, n in best]]).encode(), 1)
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", top: int = 50_000, every: int = 16, kept: int = 50_000) -> dict[str, int]:
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", top: int = 50_000, every: int = 1, kept: int = 50_000) -> dict[str, int]:
     """Token counts of the `top` commonest pre-tokens of docs, of equal counts the first in order.
 
-    Each task counts the pre-tokens of every `every`-th slice of 64 rows, as what is common only decides
-    which lengths are at hand, and hands on one summary, its `kept` commonest. Summaries are folded by 64 tasks, then
+    Each task counts the pre-tokens of all its rows (of every `every`-th slice of 64, if that is asked for) and hands on one summary, its `kept` commonest, as what is common only decides
+    which lengths are at hand. Summaries are folded by 64 tasks, then
     by one: no pre-token is dealt by a shuffle, and a task holds some bounded summaries at a time.
     """
 

@@ -354,3 +354,13 @@ def test_repeated_rows_do_not_make_a_line_recur(spark):
     rows = [(1, lines(1), "a")] * 4 + [(None, lines(2), "a")] * 4 + [(10 + k, lines(9), "b") for k in range(4)]
     got = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert all(r.kept and r.n_line_words == 0 for r in got if r.host == "a") and not any(r.kept for r in got if r.host == "b") and len(got) == 12
+
+
+def test_op1_counts_all_rows(spark, monkeypatch):
+    """What the broadcast table holds is counted on every row, not on some: a pre-token of the last rows is in it."""
+    seen = []
+    real = tokens.frequent_lengths
+    monkeypatch.setattr(tokens, "frequent_lengths", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    df = spark.createDataFrame([(i, "aaa" if i < 64 else "zzz") for i in range(128)], "doc_id long, text string").coalesce(1)
+    assert tokens.count_tokens(df, P.path("byte_bpe_50k.json")).count() == 128
+    assert set(seen[0]) == {"aaa", "zzz"}
