@@ -19,7 +19,7 @@ from tesserae.llm.exact import among, marked
 from tesserae.plans.materialize import materialize
 
 #: Windows whose cells a task holds before it hands on a partition sketch, and those it combines before the shuffle.
-HELD, COMBINED = 1 << 20, 1 << 20
+HELD, COMBINED = 1 << 20, 1 << 18
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -167,7 +167,7 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 _ROW = "h1 long, h2 int, id {kind}, dk long, start int, n int"
 
 
-def _contenders(bits, size: int, shape: Shape):
+def _contenders(bits, size: int, shape: Shape, combined: int):
     """Windows estimated repeated, (h1, h2, id, dk, start, 0), without those that an earlier one in the same batch of documents makes second; the latter as runs (.., start, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,25 +175,27 @@ def _contenders(bits, size: int, shape: Shape):
         repeated = laid_out(bits.value, shape)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            doc = np.concatenate([np.full(len(s), d, np.int32) for d, s, _ in held])
-            start, h = np.concatenate([s for _, s, _ in held]), np.concatenate([h for _, _, h in held])
-            h2 = (h[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            h1 = h[:, 0].view(np.int64)
+            doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(s) for s, _, _ in held])
+            start, h1, h2 = (np.concatenate([x[k] for x in held]) for k in range(3))
+            held.clear()
             # ids in their order, null last; rows of one id are one document
             rank = {v: k for k, v in enumerate(sorted({i for i in ids if i is not None}))}
-            place = np.array([rank.get(i, len(rank)) for i in ids], np.int64)[doc]
-            order = np.lexsort((doc, start, place, h2, h1))
+            place = np.array([rank.get(i, len(rank)) for i in ids], np.int32)[doc]
+            order = np.lexsort((doc, start, place, h2, h1)).astype(np.int32)
             same = np.append(False, (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1]))
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-            best = order[first]
+            best = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order), dtype=np.int32)))]
             second = (place[order] != place[best]) | (start[order] != start[best])
             stay, go = order[~second], np.sort(order[second])
+            del order, same, best, second, place
             d, s, n = _runs(doc[go], start[go])
             own, names = np.array(keys, np.int64), pa.array(ids, kind)
-            for where, a, b, s_, n_ in ((doc[stay], h1[stay], h2[stay], start[stay], np.zeros(len(stay), np.int32)), (d, own[d], np.zeros(len(d), np.int32), s, n)):
-                for i in range(0, len(where), 100_000):
-                    p = slice(i, i + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(a[p], pa.int64()), pa.array(b[p], pa.int32()), names.take(pa.array(where[p])), pa.array(own[where[p]], pa.int64()), pa.array(s_[p], pa.int32()), pa.array(n_[p], pa.int32())], names=["h1", "h2", "id", "dk", "start", "n"])
+            one = lambda where, a, b, s, n: pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), names.take(pa.array(where)), pa.array(own[where], pa.int64()), pa.array(s, pa.int32()), pa.array(n, pa.int32())], names=["h1", "h2", "id", "dk", "start", "n"])
+            for i in range(0, len(stay), 50_000):
+                p = stay[i : i + 50_000]
+                yield one(doc[p], h1[p], h2[p], start[p], np.zeros(len(p), np.int32))
+            for i in range(0, len(d), 50_000):
+                p = slice(i, i + 50_000)
+                yield one(d[p], own[d[p]], np.zeros(len(d[p]), np.int32), s[p], n[p])
 
         for b in grouped(batches):
             kind = b.column(0).type
@@ -201,13 +203,14 @@ def _contenders(bits, size: int, shape: Shape):
                 h = window_hashes(words_of(t), size)
                 at = np.flatnonzero(estimated_repeated(h, repeated, shape))
                 if len(at):
-                    held.append((len(ids), at.astype(np.int32), h[at]))
+                    held.append((at.astype(np.int32), h[at, 0].view(np.int64), (h[at, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
                     ids.append(i)
                     keys.append(k)
                     total += len(at)
-            if total >= COMBINED:
-                yield from flush()
-                ids, keys, held, total = [], [], [], 0
+                # within a batch, too: a large group of copies is all repeated windows
+                if total >= combined:
+                    yield from flush()
+                    ids, keys, held, total = [], [], [], 0
         if held:
             yield from flush()
 
@@ -257,7 +260,7 @@ def second_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, size, text_col, shape))
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), _key(id_col, text_col).alias("dk"), F.col(text_col).alias("text"))
-    rows = own.mapInArrow(_contenders(shared, size, shape), _ROW.format(kind=kind))
+    rows = own.mapInArrow(_contenders(shared, size, shape, COMBINED), _ROW.format(kind=kind))
     rows = rows.repartition("h1").sortWithinPartitions("h1", "h2", F.col("id").asc_nulls_last(), "start")
     return materialize(rows.mapInArrow(_seconds, f"id {kind}, dk long, start int, n int"), "substring-seconds")
 

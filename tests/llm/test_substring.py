@@ -98,3 +98,29 @@ def test_a_sketch_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 32 << 20
+
+
+def test_repeated_windows_take_little_memory():
+    """What a task adds while it combines the windows of many copies stays small beside an executor, and copies in a batch make one window a hash."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import zstandard
+
+    shape = S.Shape(2, 9, 6)
+    bits = SimpleNamespace(value={k: zstandard.compress(b"\xff" * 8) for k in range(16)})
+    text = lambda k: " ".join(f"{k}x{j}" for j in range(6000))
+    batch = lambda n: pa.RecordBatch.from_pydict({"id": [*range(64 * n, 64 * n + 64)], "dk": [*range(64)], "text": [text(k % 60) for k in range(64)]})
+    tracemalloc.start()
+    rows = [b.select(["id", "start", "n"]).to_pylist() for b in S._contenders(bits, 20, shape, S.COMBINED)(map(batch, range(1)))]
+    first = {(r["id"], r["start"]) for b in rows for r in b if not r["n"]}
+    late = {(r["id"], s) for b in rows for r in b for s in range(r["start"], r["start"] + r["n"])}
+    assert first == {(k, s) for k in range(60) for s in range(5981)} | {(k, s) for k, s in first if k >= 60} and first | late == {(k, s) for k in range(64) for s in range(5981)}
+    del rows, first, late
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    n = sum(b.num_rows for b in S._contenders(bits, 20, shape, S.COMBINED)(map(batch, range(6))))
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert n >= 60 * 5981 and peak < 64 << 20
