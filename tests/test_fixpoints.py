@@ -168,3 +168,27 @@ def test_inventory_strips_its_own_folder_only(spark, tmp_path):
 def test_inventory_lists_files(spark, data):
     got = {x.rel_path: x.length for x in catalogue.inventory(spark, data, ".parquet").collect()}
     assert got == {os.path.relpath(os.path.join(r, f), data): os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(data) for f in fs if f.endswith(".parquet")}
+
+
+def test_components_by_parts(spark, monkeypatch):
+    """Places, chunks and their order change nothing: ids of both kinds, two scenes of equal ids, null ids, chains over many parts, and the same links as without places."""
+    from pyspark.sql import functions as F
+
+    from tesserae.operators import graph
+
+    r = random.Random(3)
+    rows = [(s, k, k + 1, k // 7) for s in "st" for k in range(200) if k % 50] + [(s, r.randrange(300), r.randrange(300), r.randrange(9)) for s in "st" for _ in range(60)] + [("s", None, 5, 1), ("t", 4, None, None), ("s", 7, 7, 1), (None, 1000, 1001, 0), (None, 1001, 1002, None)]
+    e = spark.createDataFrame(rows, "scene_id string, a long, b long, place long")
+    text = e.withColumns({c: F.concat(F.lit("é/"), c) for c in "ab"})
+    for table, by, chunk in ((e, (), 1 << 17), (text, ("scene_id",), 5)):
+        known = table.where("scene_id IS NOT NULL")
+        want = sorted(map(tuple, graph.connected_components(known, "a", "b", by).collect()))
+        monkeypatch.setattr(graph, "CHUNK", chunk)
+        assert sorted(map(tuple, graph.connected_components(known, "a", "b", by, ("place",)).collect())) == want
+    rounds = []
+    real = graph._mark
+    monkeypatch.setattr(graph, "CHUNK", 1 << 17)
+    monkeypatch.setattr(graph, "_mark", lambda e, pair: rounds.append(real(e, pair)) or rounds[-1])
+    chain = spark.range(2000).selectExpr("id AS a", "id + 1 AS b", "id div 500 AS place")
+    assert [x.component for x in graph.connected_components(chain, "a", "b", (), ("place",)).select("component").distinct().collect()] == [0]
+    assert rounds[0][0] <= 6
