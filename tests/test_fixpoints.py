@@ -138,6 +138,23 @@ def test_plan_regions(spark, seed):
     assert [x.n for x in got if x.scene == "t"] == [1]
 
 
+@pytest.mark.parametrize("large, rounds", [(1000, 0), (150, 2)])
+def test_regions_of_few_points_are_cut_in_a_task(spark, monkeypatch, large, rounds):
+    """Rounds, each of which broadcasts its cuts, are for the large regions only; results are the same, for values that are no numbers, too."""
+    r, made, write = random.Random(7), [], observing.materialize
+    pts = [(round(r.random() * 8, 1), round(r.random() * 6, 1)) for _ in range(500)]
+    box = [f(p[a] for p in pts) for a in (0, 1) for f in (min, max)]
+    monkeypatch.setattr(observing, "materialize", lambda df, name="t", **o: made.append(name) or write(df, name, **o))
+    frame = lambda rows: spark.createDataFrame(rows, "scene string, x double, y double")
+    rows = lambda got, s: {x.node: (x.n, x.x_min, x.x_max, x.y_min, x.y_max) for x in got if x.scene == s}
+    got = observing.plan_regions(frame([("s", *p) for p in pts]), 40, 3.0, large=large).collect()
+    assert rows(got, "s") == regions(pts, box, 40, 3.0)
+    assert made.count("cuts") == rounds
+    odd = [("n", x, None if k == 3 else y) for k, (x, y) in enumerate(pts[:90])] + [(None, *p) for p in pts[:90]]
+    by_size = [sorted(map(str, observing.plan_regions(frame(odd), 40, 3.0, large=k).collect())) for k in (large, 0)]
+    assert by_size[0] == by_size[1]
+
+
 def test_oriented_boxes(spark):
     r = np.random.default_rng(0)
     p = r.standard_normal((500, 3)) * [5, 2, 0.5]
