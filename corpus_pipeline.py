@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact, minhash, packing, pii, quality
+from tesserae.llm import exact, packing, pii, quality, similar
 from tesserae.llm.common import crc_mod
 from tesserae.plans.materialize import materialize
 from tesserae.plans.session import workers_import
@@ -51,7 +51,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 5-word similarities of 0.8 or more, the row with the smallest id, of equal ids one; without an id only if none has one. Texts of under five words are one run; those without words are copies of each other."""
     rows, row = _keyed(docs)
-    groups = minhash.near_copies(rows, row).join(rows.select(F.col(row).alias("key"), "doc_id").hint("merge"), "key")
+    groups = similar.near_copies(rows, row).join(rows.select(F.col(row).alias("key"), "doc_id").hint("merge"), "key")
     groups = materialize(groups.select("component", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key").alias("by")), "near-groups")
     # written, so that the join can be split by a hot component
     stays = materialize(groups.groupBy("component").agg(F.min("by").alias("stay")), "near-stays")
