@@ -24,9 +24,10 @@ WORDS, PLACES = 40, 3
 #: Segments whose keys are made, grouped and joined at once; more, if they have no more than so many keys.
 ROUND, KEYS = 16, 2_000_000
 _STEP = np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-_SKETCH = ["s0", "s1", "s2", "s3"]
-#: Of the sketch's 256 bits 39 differ at similarity 0.8 (standard deviation 6), 128 of unlike texts (8).
-_FAR = 80
+#: The words of a fingerprint that pairs are verified by first.
+_SKETCH = [f"s{k}" for k in range(16)]
+#: Of the sketch's 1,024 bits 155 differ at similarity 0.8 (standard deviation 11), up to 192 (12) of sets of few shingles, 512 of unlike texts.
+_FEW, _FAR_FEW, _FAR = 100, 270, 215
 
 
 def _spread(h: np.ndarray) -> np.ndarray:
@@ -54,32 +55,38 @@ def _few(h: np.ndarray) -> list[int]:
 
 
 def signatures(docs: DataFrame, key_col: str, text_col: str = "text", width: int = 5) -> DataFrame:
-    """(key, n, fp, s0..s3, few): the number of distinct shingles, the fingerprint of each row's whole text and its first 256 bits."""
+    """(key, n, fp, s0..s15, few): the number of distinct shingles, the fingerprint of each row's whole text and its first 1,024 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in grouped(batches):
             own = [_hashes(shingles(t, width)) for t in texts(b)]
             fp = [fingerprint(h) for h in own]
-            sketch = np.array([np.frombuffer(f[:32], "<i8") for f in fp], np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(h) for h in own], pa.int64()), pa.array(fp, pa.binary()), *(pa.array(sketch[:, k]) for k in range(4)), pa.array([_few(h) for h in own], pa.list_(pa.int64()))], names=["key", "n", "fp", *_SKETCH, "few"])
+            sketch = np.array([np.frombuffer(f[: 8 * len(_SKETCH)], "<i8") for f in fp], np.int64).reshape(-1, len(_SKETCH))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(h) for h in own], pa.int64()), pa.array(fp, pa.binary()), *(pa.array(x) for x in sketch.T.copy()), pa.array([_few(h) for h in own], pa.list_(pa.int64()))], names=["key", "n", "fp", *_SKETCH, "few"])
 
-    return docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "key long, n long, fp binary, s0 long, s1 long, s2 long, s3 long, few array<long>")
+    return docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, f"key long, n long, fp binary, {', '.join(f'{x} long' for x in _SKETCH)}, few array<long>")
+
+
+def _widths(bits: int) -> list[int]:
+    """The bits of each place of a segment."""
+    return [(bits + k) // PLACES for k in range(PLACES)]
 
 
 def layout(rows: int, least: float = 0.8, miss: float = 1e-4) -> tuple[int, int]:
-    """(bits of a place, segments) for so many rows.
+    """(bits of a segment, segments) for so many rows.
 
-    Keys of two places tell rows apart, a quarter of a row to a key at most, so that what meets by chance does not grow faster than the
-    keys. There are as many segments as leave a pair of similarity `least` without a common key with probability `miss`.
+    Keys of two places, two thirds of a segment's bits, tell rows apart: a sixteenth of a row to a key at any number of rows, so that
+    what meets by chance, in twos and in threes, grows as the keys do. There are as many segments as leave a pair of similarity `least`
+    without a common key with probability `miss`.
     """
-    bits = min(18, max(10, math.ceil((math.log2(max(rows, 1)) + 2) / 2)))
-    same = (1 - math.acos(2 * least / (1 + least)) / math.pi) ** bits
-    return bits, math.ceil(math.log(miss) / math.log1p(-(3 * same**2 * (1 - same) + same**3)))
+    bits = min(54, max(24, math.ceil(1.5 * (math.log2(max(rows, 1)) + 4))))
+    x, y, z = ((1 - math.acos(2 * least / (1 + least)) / math.pi) ** w for w in _widths(bits))
+    return bits, math.ceil(math.log(miss) / math.log1p(-(x * y + x * z + y * z - 2 * x * y * z)))
 
 
 def variant_keys(signed: DataFrame, bits: int, first: int, last: int) -> DataFrame:
     """(key, at, bits) of each row: the segments from `first` to before `last` with each of their places deleted."""
-    deal, size = np.random.default_rng(42), PLACES * bits
+    deal, size, widths = np.random.default_rng(42), bits, _widths(bits)
     # places are disjoint until the fingerprint is used up, then dealt anew
     order = np.concatenate([deal.permutation(64 * WORDS) for _ in range(-(-last * size // (64 * WORDS)))])[first * size : last * size]
     at = np.arange(PLACES * first, PLACES * last, dtype=np.int64)
@@ -87,8 +94,9 @@ def variant_keys(signed: DataFrame, bits: int, first: int, last: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            place = np.unpackbits(fp, axis=1, bitorder="little")[:, order].reshape(b.num_rows, last - first, PLACES, bits).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
-            left = np.stack([place[:, :, i] << bits | place[:, :, j] for i, j in ((1, 2), (0, 2), (0, 1))], axis=2)
+            own = np.unpackbits(fp, axis=1, bitorder="little")[:, order].reshape(b.num_rows, last - first, size).astype(np.int64)
+            place = [x @ (1 << np.arange(x.shape[2], dtype=np.int64)) for x in np.split(own, np.cumsum(widths)[:-1], axis=2)]
+            left = np.stack([place[i] << widths[j] | place[j] for i, j in ((1, 2), (0, 2), (0, 1))], axis=2)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), len(at))), pa.array(np.tile(at, b.num_rows)), pa.array(left.reshape(-1))], names=["key", "at", "bits"])
 
     return signed.select("key", "fp").mapInArrow(run, "key long, at long, bits long")
@@ -97,45 +105,58 @@ def variant_keys(signed: DataFrame, bits: int, first: int, last: int) -> DataFra
 def _near(n_a: Column, n_b: Column, a: list[Column], b: list[Column], least: float) -> Column:
     """Whether sizes and sketches allow the similarity."""
     far = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a[1:], b[1:], strict=True)), F.bit_count(a[0].bitwiseXOR(b[0])))
-    return (F.least(n_a, n_b) >= least * F.greatest(n_a, n_b) - 1e-6) & (far <= _FAR)
+    return (F.least(n_a, n_b) >= least * F.greatest(n_a, n_b) - 1e-6) & (far <= F.when(F.least(n_a, n_b) < _FEW, _FAR_FEW).otherwise(_FAR))
 
 
 def _cols(prefix: str) -> list[Column]:
     return [F.col(f"{prefix}{s}") for s in _SKETCH]
 
 
-def _stars(rows: DataFrame, signed: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """((a, b) of each bucket's pivot and its other rows as far as they may be similar; key, at, bits, pivot of the other rows of buckets of three and more)."""
+def _members(rows: DataFrame) -> DataFrame:
+    """(at, bits, key, size): the rows of buckets of two and more."""
     by = ["at", "bits"]
     # tables are written where the join that follows has to be split by a hot bucket
     buckets = materialize(rows.groupBy(*by).agg(F.count("*").alias("size")).where("size > 1"), "similar-buckets")
-    members = materialize(rows.join(buckets.hint("merge"), by), "similar-members")
+    members = materialize(rows.join(buckets.hint("merge"), by).select(*by, "key", "size"), "similar-members")
     release(buckets)
-    company = members.groupBy("key").agg(F.sum("size").alias("company"))
-    placed = materialize(members.join(company.hint("merge"), "key").select("key", *by, "size", "company"), "similar-placed")
-    release(members)
-    pivots = materialize(placed.groupBy(*by).agg(F.max(F.struct("company", "key")).alias("m")).select(*by, F.col("m.key").alias("pivot")), "similar-pivots")
-    others = materialize(placed.join(pivots.hint("merge"), by).where("key <> pivot").select("key", *by, "size", "pivot"), "similar-others")
-    _drop(placed, pivots)
-    own = lambda k: signed.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), *(F.col(s).alias(f"{k}{s}") for s in _SKETCH)).hint("merge")
-    met = others.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct().join(own("a"), "a").join(own("b"), "b")
-    star = materialize(met.where(_near(F.col("na"), F.col("nb"), _cols("a"), _cols("b"), least)).select("a", "b"), "similar-star")
-    rest = materialize(others.where("size > 2").drop("size"), "similar-rest")
-    release(others)
-    return star, rest
+    return members
+
+
+def _hubs(star: DataFrame) -> DataFrame:
+    """(key, n, hub, nhub): for each row of the star one in the middle of its group, the pivot of the most rows among those of the row's own such pivot."""
+    ends = star.union(star.select("a", F.col("a").alias("b"), "na", F.col("na").alias("nb")).distinct())
+    degree = materialize(star.groupBy("a").agg(F.count("*").alias("degree")), "similar-degree")
+    homes = ends.join(degree.hint("merge"), "a").groupBy(F.col("b").alias("key"), F.col("nb").alias("n")).agg(F.max(F.struct("degree", "a", "na")).alias("m"))
+    homes = materialize(homes.select("key", "n", F.col("m.a").alias("home"), F.col("m.na").alias("nhome")), "similar-homes")
+    above = homes.select(F.col("key").alias("home"), F.col("home").alias("hub"), F.col("nhome").alias("nhub")).hint("merge")
+    out = materialize(homes.join(above, "home").select("key", "n", "hub", "nhub"), "similar-hubs")
+    _drop(degree, homes)
+    return out
+
+
+def _bounds(keys: DataFrame, hubs: DataFrame, verified: DataFrame, docs: DataFrame, key_col: str, text_col: str, width: int) -> DataFrame:
+    """(key, hub, both, common) of those keys that have a hub: the shingles that both have, and those that any of these rows or of their hubs has too."""
+    own = materialize(hubs.join(keys.hint("merge"), "key", "left_semi"), "similar-bounded")
+    own_and_hubs = own.select("key").union(own.select(F.col("hub").alias("key"))).distinct()
+    alone = shared_counts(own_and_hubs, docs, key_col, text_col, width).hint("merge")
+    both = verified.select(F.col("a").alias("hub"), F.col("b").alias("key"), "both").hint("merge")
+    out = own.join(both, ["hub", "key"], "left").join(alone, "key", "left")
+    out = materialize(out.select("key", "hub", F.coalesce("both", "n").alias("both"), (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")), "similar-bounds")
+    release(own)
+    return out
 
 
 def near_copies(docs: DataFrame, key_col: str, text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
     """(key, component) of each row linked to another; links join rows whose shingles have a similarity of `least` or more.
 
-    Keys are longs, one a row and none null. Rows that share a key of their fingerprints and whose first 256 bits
+    Keys are longs, one a row and none null. Rows that share a key of their fingerprints and whose first 1,024 bits
     and sizes allow the similarity are candidates; every link is verified on the whole texts. Keys are made some segments at a
     time (ROUND), so that few lie on disk. In each bucket rows are held against one of it, its pivot: the row with the
-    most company, which stands in the middle of a group of copies, so that a large group makes one pair a row. Then
-    come the pairs of a bucket that this has left in different components, unless they cannot be similar enough: two
-    texts have no more shingles in common than both have with their pivot, and beside those than both have with
-    any open text. These bounds are exact, so the components are those of all candidate pairs. Null
-    texts count as empty; texts without words are copies of each other. Other columns are not read.
+    most company in all buckets, which stands in the middle of a group of copies, so that a large group makes few pairs a row.
+    A pair is met once, whatever the buckets that it shares. Then come the pairs of a bucket that this has left in different
+    components, unless they cannot be similar enough: two texts have no more shingles in common than both have with a
+    third, their hub, and beside those than both have with any open text. These bounds are exact, so the components are those of
+    all candidate pairs. Null texts count as empty; texts without words are copies of each other. Other columns are not read.
     """
     signed = materialize(signatures(docs, key_col, text_col, width), "similar-signed")
     rows = signed.count()
@@ -144,62 +165,62 @@ def near_copies(docs: DataFrame, key_col: str, text_col: str = "text", width: in
     parts = []
     for at in range(0, segments, step):
         keys = variant_keys(signed, bits, at, min(at + step, segments))
-        parts.append(_stars(keys if at else keys.union(few), signed, least))
-    pairs, others = parts[0]
-    for p, o in parts[1:]:
-        pairs, others = pairs.union(p), others.union(o)
-    star, read = overlaps(pairs.distinct(), docs, key_col, text_col, width)
-    sizes = lambda k: signed.select(F.col("key").alias(k), F.col("n").alias(f"n{k}")).hint("merge")
-    star = materialize(star.join(sizes("a"), "a").join(sizes("b"), "b"), "similar-verified")
-    release(read)
+        parts.append(_members(keys if at else keys.union(few)))
+    members, by = parts[0], ["at", "bits"]
+    for p in parts[1:]:
+        members = members.union(p)
+    company = members.groupBy("key").agg(F.sum("size").alias("company"))
+    placed = materialize(members.join(company.hint("merge"), "key"), "similar-placed")
+    _drop(*parts)
+    pivots = materialize(placed.groupBy(*by).agg(F.max(F.struct("company", "key")).alias("m")).select(*by, F.col("m.key").alias("pivot")), "similar-pivots")
+    others = materialize(placed.join(pivots.hint("merge"), by).where("key <> pivot").select(*by, "key", "pivot"), "similar-others")
+    _drop(placed, pivots)
+    own = lambda k: signed.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), *(F.col(s).alias(f"{k}{s}") for s in _SKETCH)).hint("merge")
+    met = others.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct().join(own("a"), "a").join(own("b"), "b")
+    star = materialize(met.where(_near(F.col("na"), F.col("nb"), _cols("a"), _cols("b"), least)).select("a", "b", "na", "nb"), "similar-near")
+    hubs = _hubs(star)
+    pairs = materialize(star.union(hubs.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b"), F.col("nhub").alias("na"), F.col("n").alias("nb"))).distinct(), "similar-held")
+    release(star)
+    verified, read = overlaps(pairs.select("a", "b"), docs, key_col, text_col, width)
+    verified = materialize(verified.join(pairs.hint("merge"), ["a", "b"]), "similar-star")
+    _drop(read, pairs)
     similar = F.col("both") / (F.col("na") + F.col("nb") - F.col("both")) >= least
-    links = star.where(similar).select("a", "b")
-    comps = materialize(connected_components(links, "a", "b"), "similar-comps")
+    links = verified.where(similar).select("a", "b")
+    # links of a row are dealt together, so that rows of one group are connected in each task and the loop is over few links
+    comps = materialize(connected_components(links, "a", "b", near=("b",)), "similar-comps")
 
     # buckets whose rows, the pivot aside, are still in several components: of a pair one at least is not in the largest
-    by = ["at", "bits"]
     c = comps.withColumnsRenamed({"node": "key", "component": "c"})
-    placed = materialize(others.join(c.hint("merge"), "key", "left").withColumn("c", F.coalesce("c", "key")), "similar-parts")
-    _drop(*(t for p in parts for t in p))
+    placed = materialize(others.join(c.hint("merge"), "key", "left").select(*by, "key", F.coalesce("c", "key").alias("c")), "similar-parts")
+    release(others)
     counted = placed.groupBy(*by, "c").agg(F.count("*").alias("k"))
     mixed = materialize(counted.groupBy(*by).agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("cs")).where("cs > 1").select(*by, F.col("m.c").alias("largest")), "similar-mixed")
-    known = signed.select("key", "n", *_SKETCH)
-    met = materialize(placed.join(mixed.hint("merge"), by).join(known.hint("merge"), "key"), "similar-met")
+    open_ = materialize(placed.join(mixed.hint("merge"), by).select(*by, "key", "c", "largest"), "similar-open")
     _drop(placed, mixed)
-    here = lambda r, s: r.select(*by, *(F.col(x).alias(f"{s}{x}") for x in ("key", "c", "n", *_SKETCH)))
-    on = lambda: [(F.col("x.at") == F.col("y.at")) & (F.col("x.bits") == F.col("y.bits")) & (F.col("x_c") != F.col("y_c")) & _near(F.col("x_n"), F.col("y_n"), _cols("x_"), _cols("y_"), least)]
-    again = [*by, "pivot", *(F.col(f"x_{x}").alias(x) for x in ("key", "c", "n", *_SKETCH))]
-    few = here(met.where("c <> largest"), "x_").withColumn("pivot", F.lit(None).cast("long"))
-    few = materialize(few.alias("x").join(here(met, "y_").alias("y").hint("merge"), on(), "left_semi").select(*again), "similar-few")
-    whole = here(met, "x_").alias("x").join(here(few, "y_").alias("y").hint("merge"), on(), "left_semi")
-    open_ = whole.select(*by, F.col("x_key").alias("key")).union(few.select(*by, "key")).distinct()
-    open_ = materialize(met.join(open_.hint("merge"), [*by, "key"], "left_semi"), "similar-open")
-    _drop(met, few)
-    if open_.isEmpty():
-        _drop(signed, star, open_)
-        return comps.withColumnRenamed("node", "key")
-    keys = materialize(open_.select("key").union(open_.select(F.col("pivot").alias("key"))).distinct(), "similar-open-keys")
-    alone = shared_counts(keys, docs, key_col, text_col, width).hint("merge")
-    shared = star.select(F.col("a").alias("pivot"), F.col("b").alias("key"), "both").hint("merge")
-    rows = open_.join(alone, "key", "left").join(shared, ["pivot", "key"], "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
-    # no text with this row's shared shingles only could be similar enough
-    rows = materialize(rows.where(F.col("common") >= least * F.col("n") - 1e-6), "similar-open-rows")
-    _drop(signed, open_, keys)
-    # texts of sizes further apart than `least` allows are not met: theirs are bands that do not touch
-    rows = rows.withColumn("band", F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / -math.log(least) - 1e-9))
-    a, b = (rows.select(*by, "band", *(F.col(x).alias(f"{s}{x}") for x in ("key", "n", "c", "both", "common", *_SKETCH))) for s in ("x_", "y_"))
-    # what both have with their pivot is known if they were held against it
+    bounds = _bounds(open_.select("key").distinct(), hubs, verified, docs, key_col, text_col, width)
+    known = signed.select("key", "n", *_SKETCH).join(bounds.hint("merge"), "key", "left")
+    met = materialize(open_.join(known.hint("merge"), "key"), "similar-met")
+    _drop(signed, open_, bounds, hubs)
+    held = ("key", "c", "n", "hub", "both", "common", *_SKETCH)
+    x = met.where("c <> largest").select(*by, "largest", *(F.col(k).alias(f"x_{k}") for k in held)).alias("x")
+    y = met.select(*by, *(F.col(k).alias(f"y_{k}") for k in held)).alias("y")
+    # what both have with their hub is known if it is the same one
     most = F.least("x_common", "y_common")
     beside = F.least("x_both", "y_both") + F.least(F.col("x_common") - F.col("x_both"), F.col("y_common") - F.col("y_both"))
-    most = F.when(F.col("x_both").isNotNull() & F.col("y_both").isNotNull(), F.least(most, beside)).otherwise(most)
-    a = a.withColumn("band", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))))
-    can = (F.col("x.band") == F.col("y.band")) & (F.col("x_key") < F.col("y_key")) & (most / (F.col("x_n") + F.col("y_n") - most) >= least)
-    more = a.alias("x").join(b.alias("y").hint("merge"), [*on(), can]).select(F.col("x_key").alias("a"), F.col("y_key").alias("b"), F.col("x_n").alias("na"), F.col("y_n").alias("nb")).distinct()
-    more = materialize(more, "similar-more")
-    release(rows)
+    most = F.when(F.col("x_hub") == F.col("y_hub"), F.least(most, beside)).otherwise(most)
+    can = F.col("x_common").isNull() | F.col("y_common").isNull() | (most / (F.col("x_n") + F.col("y_n") - most) >= least)
+    # of two rows outside the largest component that of the smaller key asks
+    asks = (F.col("y_c") == F.col("largest")) | (F.col("x_key") < F.col("y_key"))
+    on = (F.col("x.at") == F.col("y.at")) & (F.col("x.bits") == F.col("y.bits")) & (F.col("x_c") != F.col("y_c")) & asks & can & _near(F.col("x_n"), F.col("y_n"), _cols("x_"), _cols("y_"), least)
+    more = x.join(y.hint("merge"), on).select(F.col("x_key").alias("a"), F.col("y_key").alias("b"), F.col("x_n").alias("na"), F.col("y_n").alias("nb"))
+    more = materialize(more.distinct(), "similar-more")
+    release(met)
+    if more.isEmpty():
+        _drop(verified, more)
+        return comps.withColumnRenamed("node", "key")
     found, read = overlaps(more.select("a", "b"), docs, key_col, text_col, width)
     found = materialize(found.join(more.hint("merge"), ["a", "b"]).where(similar).select("a", "b"), "similar-found")
     _drop(read, more, comps)
-    out = connected_components(links.union(found), "a", "b").withColumnRenamed("node", "key")
-    _drop(star, found)
+    out = connected_components(links.union(found), "a", "b", near=("b",)).withColumnRenamed("node", "key")
+    _drop(verified, found)
     return out

@@ -80,3 +80,32 @@ def test_chains_groups_and_pairs_beside_the_pivot_match_brute_force(spark, seed,
     assert [got.get(k, k) for k in range(len(rows))] == brute_force([t or "" for t in rows])
     assert len(met) == 2  # the pairs that share no pivot, too
     assert similar.near_copies(df.where("false"), "_row").count() == 0
+
+
+def test_rows_meet_by_chance_as_often_at_any_size():
+    """A sixteenth of a row to a key at most, and no less than a fortieth, so that pairs and triples by chance grow as the rows do."""
+    for rows in (10_000, 40_000, 200_000, 1_000_000, 12_000_000):
+        bits, _ = similar.layout(rows)
+        assert 1 / 40 <= rows / 2 ** (2 * bits / 3) <= 1 / 16
+
+
+def test_a_group_of_copies_meets_each_pair_once(spark, monkeypatch):
+    """In a group in which half of the rows are too far from all others, pairs are held once, not once a round and bucket, and few of those that hubs leave apart."""
+    r, own, rows = random.Random(8), words(5, 150), []
+    for k in range(240):
+        rows.append(" ".join(w if r.random() > k / 240 * 0.06 else f"z{r.randrange(400)}" for w in own))
+    df = spark.createDataFrame(list(enumerate(rows)), "_row long, text string")
+    held, write = [], similar.materialize
+    monkeypatch.setattr(similar, "KEYS", 0)
+
+    def materialize(table, name, **options):
+        out = write(table, name, **options)
+        if {"a", "b"} <= {*out.columns} or "x_key" in out.columns or "band" in out.columns or {"key", "pivot", "n"} <= {*out.columns}:
+            held.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(similar, "materialize", materialize)
+    got = {x.key: x.component for x in similar.near_copies(df, "_row").collect()}
+    assert [got.get(k, k) for k in range(len(rows))] == brute_force(rows)
+    print(held, len(got))
+    assert sum(n for _, n in held) < 60 * len(rows)
