@@ -90,10 +90,10 @@ def test_rows_meet_by_chance_as_often_at_any_size():
 
 
 def test_a_group_of_copies_meets_each_pair_once(spark, monkeypatch):
-    """In a group in which half of the rows are too far from all others, pairs are held once, not once a round and bucket, and few of those that hubs leave apart."""
+    """In a group in which over half of the rows are too far from all others, pairs are held once over all rounds, and few of those that hubs leave apart."""
     r, own, rows = random.Random(8), words(5, 150), []
-    for k in range(240):
-        rows.append(" ".join(w if r.random() > k / 240 * 0.06 else f"z{r.randrange(400)}" for w in own))
+    for k in range(60):
+        rows.append(" ".join(w if r.random() > k / 60 * 0.06 else f"z{r.randrange(400)}" for w in own))
     df = spark.createDataFrame(list(enumerate(rows)), "_row long, text string")
     held, write = [], similar.materialize
     monkeypatch.setattr(similar, "KEYS", 0)
@@ -107,5 +107,4 @@ def test_a_group_of_copies_meets_each_pair_once(spark, monkeypatch):
     monkeypatch.setattr(similar, "materialize", materialize)
     got = {x.key: x.component for x in similar.near_copies(df, "_row").collect()}
     assert [got.get(k, k) for k in range(len(rows))] == brute_force(rows)
-    print(held, len(got))
-    assert sum(n for _, n in held) < 60 * len(rows)
+    assert sum(n for _, n in held) < 12 * len(rows)
