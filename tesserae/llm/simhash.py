@@ -89,7 +89,8 @@ def linked_pairs(fps: DataFrame, distance: int = 4) -> DataFrame:
     b = keys.select(F.col("bits").alias("bits_"), F.col("at").alias("at_"), F.col("id").alias("b"), F.col("fp").alias("fb"))
     diff = F.col("fa").bitwiseXOR(F.col("fb"))
     on = (F.col("bits") == F.col("bits_")) & (F.col("at") == F.col("at_")) & (F.col("fa") < F.col("fb")) & (F.bit_count(diff) <= distance) & (_first_match(diff, distance) == F.col("at"))
-    return a.join(b, on).select("a", "b")
+    # merged, as Spark sizes the keys by the rows they are made from and would broadcast 64 times as many
+    return a.join(b.hint("merge"), on).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:

@@ -218,6 +218,13 @@ def test_every_link_is_found_once(spark):
     assert got == want
 
 
+def test_keys_are_not_broadcast(spark):
+    """Spark sizes the 64 keys of a fingerprint by its one row, so that tables of up to 10 MB were sent to the driver whole, as 640."""
+    pairs = simhash.linked_pairs(spark.range(300).select("id", F.xxhash64("id").alias("fp")))
+    assert pairs.count() == 0
+    assert "Broadcast" not in pairs._jdf.queryExecution().sparkPlan().toString() + pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lm_base_and_gain(spark, data, odd, none):
     for df in (odd, docs_of(spark, data)):
         rows = df.select("doc_id", "text").collect()
