@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tesserae.operators import tiles
@@ -46,3 +47,49 @@ def test_pairs_are_not_shuffled(spark):
         plan = pairs._jdf.queryExecution().sparkPlan().toString() + pairs._jdf.queryExecution().optimizedPlan().toString()
         above = plan[: plan.index("MapInArrow")]
         assert not any(word in above for word in ("Exchange", "Join", "Aggregate"))
+
+
+def _judged(path, least):
+    """Pairs of enough overlap and closeness; the numbers of pairs that are asked for go to the file."""
+
+    def keep(v):
+        with open(path, "a") as f:
+            f.write(f"{len(v['common'])}\n")
+        return v["common"] / (v["na"] + v["nb"] - v["common"]) - v["dist"] / 5 >= least
+
+    return keep
+
+
+@pytest.mark.parametrize("block,least", [(8, 0.1), (8, 0.3), (16, 0.0), (2048, 0.1)])
+def test_connections_are_those_of_all_pairs(spark, monkeypatch, tmp_path, block, least):
+    """Sets of several blocks a cell, clusters that reach over cells, copies with the same and other views, sets linked to none: each is connected to what all pairs connect it to."""
+    monkeypatch.setattr(tiles, "BLOCK", block)
+    r = random.Random(block + int(10 * least))
+    rows = []
+    for g in "ab":
+        for m in range(150):
+            at = [r.uniform(0, 3), r.uniform(0, 1)]
+            low = 40 * int(at[0] // 1.2)
+            rows.append((g, m, None if m % 49 == 5 else r.randrange(3), at, sorted(r.sample(range(low, low + 45), r.randrange(1, 30)))))
+        # masks of the same points, one of a number below that of its like, and one that only its like is like
+        rows += [(g, 200 + k, u if k % 3 else 7, p, list(reversed(e))) for k, (_, _, u, p, e) in enumerate(x for x in rows[:40] if x[0] == g)]
+        rows += [(g, -1, *rows[-1][2:]), *((g, 900 + k, 1, [2.9, 0.9], [5000]) for k in range(3))]
+    df = spark.createDataFrame(rows, "scene string, id bigint, apart int, at array<double>, elements array<bigint>").withColumn("n", F.size("elements").cast("bigint"))
+    cells = [F.floor(F.col("at")[k]).cast("long") for k in (0, 1)]
+    keep = _judged(str(tmp_path / "n"), least)
+    every = connected_components(tiles.set_pairs(df, ("scene",), cells, keep=keep), "a", "b", ("scene",)).where("node <> component")
+    got = tiles.connections(df, ("scene",), cells, keep)
+    want = sorted((x.scene, x.component, x.node) for x in every.collect())
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 20
+
+
+def test_connected_sets_are_not_asked_for_again(spark, monkeypatch, tmp_path):
+    """A crowded cell whose sets are all connected costs sets times a block, and copies nothing; all pairs are some 180,000."""
+    monkeypatch.setattr(tiles, "BLOCK", 32)
+    r = random.Random(4)
+    rows = [("s", m, m % 7, [0.5, 0.5], sorted(r.sample(range(60), 40))) for m in range(300)]
+    rows += [("s", 300 + m, *x[2:]) for m, x in enumerate(rows)]
+    df = spark.createDataFrame(rows, "scene string, id bigint, apart int, at array<double>, elements array<bigint>").withColumn("n", F.size("elements").cast("bigint"))
+    got = tiles.connections(df, ("scene",), [F.floor(F.col("at")[k]).cast("long") for k in (0, 1)], _judged(str(tmp_path / "n"), 0.3))
+    assert sorted(map(tuple, got.collect())) == [("s", 0, m) for m in range(1, 600)]
+    assert sum(map(int, (tmp_path / "n").read_text().split())) < 300 * 32
