@@ -93,3 +93,18 @@ def test_connected_sets_are_not_asked_for_again(spark, monkeypatch, tmp_path):
     got = tiles.connections(df, ("scene",), [F.floor(F.col("at")[k]).cast("long") for k in (0, 1)], _judged(str(tmp_path / "n"), 0.3))
     assert sorted(map(tuple, got.collect())) == [("s", 0, m) for m in range(1, 600)]
     assert sum(map(int, (tmp_path / "n").read_text().split())) < 300 * 32
+
+
+def test_pairs_carry_only_what_is_given(spark):
+    _, df = _sets(spark, 20)
+    full = {(x.scene, x.a, x.b): x for x in tiles.set_pairs(df, ("scene",)).collect()}
+    got = tiles.set_pairs(df, ("scene",), give=("iou", "dist"))
+    made = next(line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line)
+    assert not any(f"{c}#" in made for c in ("na", "nb", "common", "like"))
+    assert {(x.scene, x.a, x.b): (x.iou, x.dist) for x in got.collect()} == {k: (x.common / (x.na + x.nb - x.common), x.dist) for k, x in full.items()}
+
+
+def test_overlaps_are_rounded_as_before(spark):
+    """All overlaps of sets of 400 elements together."""
+    x = spark.range(401 * 401).selectExpr("id div 401 AS p", "id % 401 AS q").where("p <= q AND q > 0").select((F.col("p") / F.col("q")).alias("c"))
+    assert x.where(scene._R4("c") != scene.R(F.col("c"))).isEmpty()
